@@ -5,9 +5,11 @@ from __future__ import annotations
 import html as _html
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from sitecorpus.functions.text import collapse_spaces, sql_collapse_spaces, sql_lit
+from sitecorpus.functions.text import (
+    collapse_spaces, py_strip, sql_collapse_spaces, sql_lit, sql_strip,
+)
 
 TITLE_RX = r"(?is)<title[^>]*>(.*?)</title>"
 DESCRIPTION_RX = (r"(?is)<meta\s[^>]*name\s*=\s*[\"']description[\"'][^>]*"
@@ -21,7 +23,7 @@ XML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
                 ("&apos;", "'"), ("&amp;", "&")]
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescape(s: pd.Series) -> pd.Series:
     return s.map(lambda v: None if v is None else _html.unescape(v))
 
@@ -68,3 +70,64 @@ def sql_title(html_expr: str = "html") -> str:
 
 def sql_language(html_expr: str = "html") -> str:
     return f"regexp_extract({html_expr}, {sql_lit(LANG_RX)}, 1)"
+
+
+# ---- plain-text body (the reader's "text" response mode), JVM-side ----------------------
+
+def _cls(chars: str) -> str:
+    return "[" + "".join(f"\\x{{{ord(c):x}}}" for c in chars) + "]"
+
+
+# White space other than the newline, as an explicit class valid in Java and RE2.
+HSPACE = _cls("".join(c for c in map(chr, range(0x110000)) if c.isspace() and c != "\n"))
+
+BLOCK_TAGS = ("br|p|div|li|h[1-6]|tr|td|th|ul|ol|article|section|footer|nav|header|main|"
+              "aside|hr|blockquote|pre|table|dl|dt|dd|figure|figcaption|form")
+
+# Named entities decoded natively besides the five XML ones.
+COMMON_ENTITIES = [("&nbsp;", " "), ("&copy;", "©"), ("&reg;", "®"),
+                   ("&trade;", "™"), ("&middot;", "·"), ("&hellip;", "…"),
+                   ("&mdash;", "—"), ("&ndash;", "–"), ("&laquo;", "«"),
+                   ("&raquo;", "»"), ("&lsquo;", "‘"), ("&rsquo;", "’"),
+                   ("&ldquo;", "“"), ("&rdquo;", "”"), ("&bull;", "•"),
+                   ("&euro;", "€")]
+TEXT_ENTITY_RX = (r"&(?!(?:amp|lt|gt|quot|apos|#39|nbsp|copy|reg|trade|middot|hellip|mdash|"
+                  r"ndash|laquo|raquo|lsquo|rsquo|ldquo|rdquo|bull|euro);)[#A-Za-z0-9]+;?")
+
+# (pattern, replacement) steps shared by the Spark expression and its SQL twin.
+TEXT_STEPS = [
+    (r"(?is)^.*?<body\b[^>]*>|</body>.*$", ""),
+    (r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<noscript\b.*?</noscript>|"
+     r"<template\b.*?</template>|<head\b.*?</head>", " "),
+    (r"(?i)</?(?:" + BLOCK_TAGS + r")\b[^>]*>", "\n"),
+    (r"<[^>]*>", ""),
+]
+TEXT_TIDY = [(HSPACE + "+", " "), (r" ?\n ?", "\n"), (r"\n{3,}", "\n\n")]
+
+
+def html_text(col: Column, decode_all_entities: bool = True) -> Column:
+    """Visible text of a page: head, scripts, styles and comments dropped, block tags become
+    line breaks, other tags removed, entities decoded, spaces collapsed, blank-line runs
+    reduced to one empty line."""
+    t = col
+    for rx, rep in TEXT_STEPS:
+        t = F.regexp_replace(t, rx, rep)
+    native = t
+    for ent, ch in COMMON_ENTITIES + XML_ENTITIES:
+        native = F.replace(native, F.lit(ent), F.lit(ch))
+    if decode_all_entities:
+        native = F.coalesce(_unescape(F.when(t.rlike(TEXT_ENTITY_RX), t)), native)
+    for rx, rep in TEXT_TIDY:
+        native = F.regexp_replace(native, rx, rep)
+    return py_strip(native)
+
+
+def sql_html_text(expr: str = "html") -> str:
+    t = expr
+    for rx, rep in TEXT_STEPS:
+        t = f"regexp_replace({t}, {sql_lit(rx)}, {sql_lit(rep)}, 'g')"
+    for ent, ch in COMMON_ENTITIES + XML_ENTITIES:
+        t = f"replace({t}, {sql_lit(ent)}, {sql_lit(ch)})"
+    for rx, rep in TEXT_TIDY:
+        t = f"regexp_replace({t}, {sql_lit(rx)}, {sql_lit(rep)}, 'g')"
+    return sql_strip(t)

@@ -58,6 +58,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A path below the shared checkpoint folder (for written intermediate tables)."""
+    """A path below the shared checkpoint folder (for written intermediate tables and
+    exported files). A ``file:`` URI is returned as a plain path so executor-side Python
+    writers (the markdown export) see the same folder as Spark's readers."""
     base = ensure_checkpoint_dir(spark)
+    if base.startswith("file:"):
+        base = "/" + base[len("file:"):].lstrip("/")
     return os.path.join(base, *parts)
