@@ -53,7 +53,8 @@ def latest_pages(df: DataFrame, key: str = "filename", order: str = "url_index",
 
 
 def duplicate_titles(df: DataFrame, key: str = "title_key", keep: str = "none",
-                     order: str = "url_index", tie: str = "filename") -> DataFrame:
+                     order: str = "url_index", tie: str = "filename",
+                     by: list[str] | tuple = ()) -> DataFrame:
     """Stats per repeated title: ``title, total_files, moved_files, folder`` (+ first member
     when ``keep='first'``). Partial aggregation before the shuffle absorbs heavy titles."""
     if keep not in ("none", "first"):
@@ -62,11 +63,11 @@ def duplicate_titles(df: DataFrame, key: str = "title_key", keep: str = "none",
     aggs = [F.count(F.lit(1)).alias("total_files")]
     if keep == "first":
         aggs.append(F.min(F.struct(F.col(order).alias("o"), F.col(tie).alias("t"))).alias("_first"))
-    stats = valid.groupBy(F.col(key).alias("title")).agg(*aggs).filter("total_files > 1")
+    stats = valid.groupBy(*by, F.col(key).alias("title")).agg(*aggs).filter("total_files > 1")
     moved = F.col("total_files") if keep == "none" else F.col("total_files") - 1
     stats = stats.withColumn("moved_files", moved).withColumn("folder", slug(F.col("title")))
     if keep == "first":
-        stats = stats.select("title", "total_files", "moved_files", "folder",
+        stats = stats.select(*by, "title", "total_files", "moved_files", "folder",
                              F.col("_first.o").alias("keep_" + order),
                              F.col("_first.t").alias("keep_" + tie))
     return stats
@@ -74,7 +75,7 @@ def duplicate_titles(df: DataFrame, key: str = "title_key", keep: str = "none",
 
 def route_duplicates(df: DataFrame, key: str = "title_key", keep: str = "none",
                      order: str = "url_index", tie: str = "filename",
-                     stats: DataFrame | None = None) -> DataFrame:
+                     stats: DataFrame | None = None, by: list[str] | tuple = ()) -> DataFrame:
     """Add ``is_duplicate`` and ``folder`` to every page.
 
     The stats side (one row per repeated title) is broadcast after a size check; beyond the
@@ -82,10 +83,14 @@ def route_duplicates(df: DataFrame, key: str = "title_key", keep: str = "none",
     the title is used, so a heavy title never lands whole on one task.
     """
     if stats is None:
-        stats = duplicate_titles(df, key=key, keep=keep, order=order, tie=tie)
-    cols = ["title", "folder"] + ([f"keep_{order}", f"keep_{tie}"] if keep == "first" else [])
+        stats = duplicate_titles(df, key=key, keep=keep, order=order, tie=tie, by=by)
+    cols = [*by, "title", "folder"] + ([f"keep_{order}", f"keep_{tie}"] if keep == "first" else [])
     side = broadcast_if_small(stats.select(*cols).withColumnRenamed("title", "_tk"))
-    joined = df.join(side, df[key] == side["_tk"], "left")
+    cond = df[key] == side["_tk"]
+    for b in by:
+        side = side.withColumnRenamed(b, f"_by_{b}")
+        cond = cond & (df[b] == side[f"_by_{b}"])
+    joined = df.join(side, cond, "left").drop(*[f"_by_{b}" for b in by])
     routed = F.col("_tk").isNotNull()
     if keep == "first":
         routed = routed & ~((F.col(order) == F.col(f"keep_{order}"))

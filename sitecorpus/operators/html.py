@@ -105,23 +105,43 @@ TEXT_STEPS = [
 TEXT_TIDY = [(HSPACE + "+", " "), (r" ?\n ?", "\n"), (r"\n{3,}", "\n\n")]
 
 
-def html_text(col: Column, decode_all_entities: bool = True) -> Column:
-    """Visible text of a page: head, scripts, styles and comments dropped, block tags become
-    line breaks, other tags removed, entities decoded, spaces collapsed, blank-line runs
-    reduced to one empty line."""
+def _strip_tags(col: Column) -> Column:
     t = col
     for rx, rep in TEXT_STEPS:
         t = F.regexp_replace(t, rx, rep)
-    native = t
+    return t
+
+
+def _decode_tidy(stripped: Column, decode_all_entities: bool) -> Column:
+    native = stripped
     for ent, ch in COMMON_ENTITIES + XML_ENTITIES:
         native = F.replace(native, F.lit(ent), F.lit(ch))
     if decode_all_entities:
-        native = F.coalesce(_unescape(F.when(t.rlike(TEXT_ENTITY_RX), t)), native)
+        native = F.coalesce(_unescape(F.when(stripped.rlike(TEXT_ENTITY_RX), stripped)), native)
     for rx, rep in TEXT_TIDY:
         native = F.regexp_replace(native, rx, rep)
     return py_strip(native)
 
 
+def html_text(col: Column, decode_all_entities: bool = False) -> Column:
+    """Visible text of a page as one Column expression: head, scripts, styles and comments
+    dropped, block tags become line breaks, other tags removed, entities decoded, spaces
+    collapsed, blank-line runs reduced to one empty line. Without ``decode_all_entities``
+    only the common named and the XML entities are decoded (pure JVM); use
+    :func:`with_html_text` for full decoding."""
+    return _decode_tidy(_strip_tags(col), decode_all_entities)
+
+
+def with_html_text(df: DataFrame, html_col: str = "html", out_col: str = "markdown",
+                   decode_all_entities: bool = True) -> DataFrame:
+    """Add :func:`html_text` of ``html_col`` as ``out_col``. The tag-stripped text is
+    materialised once, so the regex chain runs once per page even though both the
+    native decoder and the residual-entity check read it."""
+    staged = df.withColumn("_stripped", _strip_tags(F.col(html_col)))
+    return staged.withColumn(out_col, _decode_tidy(F.col("_stripped"), decode_all_entities)) \
+        .drop("_stripped")
+
+
 def sql_html_text(expr: str = "html") -> str:
     t = expr
     for rx, rep in TEXT_STEPS:

@@ -17,7 +17,7 @@ from sitecorpus.operators.frontmatter import (
     FENCE_RX, lint_frontmatter, parse_frontmatter, render_pages, split_frontmatter,
     sql_render_frontmatter, sql_yaml_quote, yaml_quote,
 )
-from sitecorpus.operators.html import html_text, sql_html_text, sql_language, sql_title
+from sitecorpus.operators.html import sql_html_text, sql_language, sql_title, with_html_text
 from sitecorpus.functions.text import sql_lit, py_strip
 from sitecorpus.plans.catalog import register, table
 from sitecorpus.plans.crawl import page_records
@@ -32,9 +32,8 @@ CRAWL_DATE = 1700000000
 
 def page_documents(pages: DataFrame, crawl_date: int = CRAWL_DATE) -> DataFrame:
     """Page records with the body (visible text) and the fields the frontmatter needs."""
-    recs = page_records(pages)
-    return recs.select("*", html_text(F.col("html")).alias("markdown"),
-                       F.col("url").alias("url_source"),
+    recs = with_html_text(page_records(pages), "html", "markdown")
+    return recs.select("*", F.col("url").alias("url_source"),
                        F.lit(crawl_date).cast("long").alias("crawl_date"))
 
 
