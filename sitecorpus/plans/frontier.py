@@ -320,7 +320,7 @@ def q_crawl_progress(spark, sf_dir):
 @register("time_budget", f"""
   WITH o AS ({_EVENT_OUTCOME_SQL})
   SELECT crawl_id, url_index, url FROM o
-  QUALIFY epoch_us(started_at) - min(epoch_us(started_at)) OVER (PARTITION BY crawl_id) <= {BUDGET_SECONDS} * 1000000""")
+  QUALIFY epoch_us(started_at) - min(epoch_us(started_at)) OVER (PARTITION BY crawl_id) <= CAST({BUDGET_SECONDS} AS BIGINT) * 1000000""")
 def q_time_budget(spark, sf_dir):
     kept = within_budget(event_outcomes(table(spark, sf_dir, "events")), BUDGET_SECONDS)
     return kept.select("crawl_id", "url_index", "url")
