@@ -6,10 +6,13 @@ equivalent DuckDB SQL when the operation can be stated in SQL.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sitecorpus.session import ensure_checkpoint_dir, ship_package
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -18,7 +21,14 @@ def register(key: str, oracle: str | None = None):
     def deco(fn):
         if key in QUERIES:
             raise ValueError(f"duplicate query key {key}")
-        QUERIES[key] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            ensure_checkpoint_dir(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[key] = run
         if oracle is not None:
             ORACLES[key] = oracle
         return fn
@@ -31,4 +41,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_all() -> None:
     """Import every plan module so that its queries are registered."""
-    from sitecorpus.plans import corpus, crawl, frontier  # noqa: F401
+    from sitecorpus.plans import corpus, crawl, frontier, knowledge  # noqa: F401

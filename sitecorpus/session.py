@@ -38,6 +38,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -65,3 +66,27 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     if base.startswith("file:"):
         base = "/" + base[len("file:"):].lstrip("/")
     return os.path.join(base, *parts)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``sitecorpus`` importable by the Python workers (pandas UDFs, mapInPandas):
+    zip the package once per process and ``addPyFile`` it, as ``--py-files`` would."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="sitecorpus-py-"), "sitecorpus.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
