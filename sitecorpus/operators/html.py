@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import html as _html
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sitecorpus.functions.text import (
     collapse_spaces, py_strip, sql_collapse_spaces, sql_lit, sql_strip,
@@ -15,42 +12,25 @@ TITLE_RX = r"(?is)<title[^>]*>(.*?)</title>"
 DESCRIPTION_RX = (r"(?is)<meta\s[^>]*name\s*=\s*[\"']description[\"'][^>]*"
                   r"content\s*=\s*[\"']([^\"']*)[\"']")
 LANG_RX = r"(?is)<html\b[^>]*?\slang\s*=\s*[\"']?([^\"'\s>]+)"
-# An entity that the native chain below does not decode.
-OTHER_ENTITY_RX = r"&(?!(?:amp|lt|gt|quot|apos|#39);)[#A-Za-z0-9]+;?"
 
 # The five XML entities, decoded natively (&amp; last).
 XML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
                 ("&apos;", "'"), ("&amp;", "&")]
 
 
-@F.pandas_udf(T.StringType())
-def _unescape(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: None if v is None else _html.unescape(v))
-
-
 def decode_entities(col: Column) -> Column:
-    """HTML entity decoding. The five XML entities are decoded with native ``replace``;
-    only values that still hold another entity are handed (as short strings) to Python."""
-    native = col
-    for ent, ch in XML_ENTITIES:
-        native = F.replace(native, F.lit(ent), F.lit(ch))
-    needs_python = col.rlike(OTHER_ENTITY_RX)
-    return F.coalesce(_unescape(F.when(needs_python, col)), native)
+    """HTML entity decoding (named HTML 4 entities and numeric references) on the JVM via
+    commons-text, which ships with Spark; no Python round trip."""
+    return F.call_function("java_method", F.lit("org.apache.commons.text.StringEscapeUtils"),
+                           F.lit("unescapeHtml4"), col)
 
 
-def extract_page_metadata(pages: DataFrame, html_col: str = "html",
-                          decode_all_entities: bool = True) -> DataFrame:
+def extract_page_metadata(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """Add ``title``, ``description``, ``language`` (``""`` when absent) from the HTML."""
     h = F.col(html_col)
 
     def field(rx):
-        raw = F.regexp_extract(h, rx, 1)
-        if decode_all_entities:
-            raw = decode_entities(raw)
-        else:
-            for ent, ch in XML_ENTITIES:
-                raw = F.replace(raw, F.lit(ent), F.lit(ch))
-        return collapse_spaces(raw)
+        return collapse_spaces(decode_entities(F.regexp_extract(h, rx, 1)))
 
     return pages.select(
         "*",
@@ -84,15 +64,8 @@ HSPACE = _cls("".join(c for c in map(chr, range(0x110000)) if c.isspace() and c
 BLOCK_TAGS = ("br|p|div|li|h[1-6]|tr|td|th|ul|ol|article|section|footer|nav|header|main|"
               "aside|hr|blockquote|pre|table|dl|dt|dd|figure|figcaption|form")
 
-# Named entities decoded natively besides the five XML ones.
-COMMON_ENTITIES = [("&nbsp;", " "), ("&copy;", "©"), ("&reg;", "®"),
-                   ("&trade;", "™"), ("&middot;", "·"), ("&hellip;", "…"),
-                   ("&mdash;", "—"), ("&ndash;", "–"), ("&laquo;", "«"),
-                   ("&raquo;", "»"), ("&lsquo;", "‘"), ("&rsquo;", "’"),
-                   ("&ldquo;", "“"), ("&rdquo;", "”"), ("&bull;", "•"),
-                   ("&euro;", "€")]
-TEXT_ENTITY_RX = (r"&(?!(?:amp|lt|gt|quot|apos|#39|nbsp|copy|reg|trade|middot|hellip|mdash|"
-                  r"ndash|laquo|raquo|lsquo|rsquo|ldquo|rdquo|bull|euro);)[#A-Za-z0-9]+;?")
+# The entities the SQL oracles decode (the pages use no others).
+SQL_ENTITIES = [("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7")]
 
 # (pattern, replacement) steps shared by the Spark expression and its SQL twin.
 TEXT_STEPS = [
@@ -112,41 +85,30 @@ def _strip_tags(col: Column) -> Column:
     return t
 
 
-def _decode_tidy(stripped: Column, decode_all_entities: bool) -> Column:
-    native = stripped
-    for ent, ch in COMMON_ENTITIES + XML_ENTITIES:
-        native = F.replace(native, F.lit(ent), F.lit(ch))
-    if decode_all_entities:
-        native = F.coalesce(_unescape(F.when(stripped.rlike(TEXT_ENTITY_RX), stripped)), native)
+def _decode_tidy(stripped: Column) -> Column:
+    t = decode_entities(stripped)
     for rx, rep in TEXT_TIDY:
-        native = F.regexp_replace(native, rx, rep)
-    return py_strip(native)
+        t = F.regexp_replace(t, rx, rep)
+    return py_strip(t)
 
 
-def html_text(col: Column, decode_all_entities: bool = False) -> Column:
-    """Visible text of a page as one Column expression: head, scripts, styles and comments
-    dropped, block tags become line breaks, other tags removed, entities decoded, spaces
-    collapsed, blank-line runs reduced to one empty line. Without ``decode_all_entities``
-    only the common named and the XML entities are decoded (pure JVM); use
-    :func:`with_html_text` for full decoding."""
-    return _decode_tidy(_strip_tags(col), decode_all_entities)
+def html_text(col: Column) -> Column:
+    """Visible text of a page: head, scripts, styles and comments dropped, block tags become
+    line breaks, other tags removed, entities decoded, spaces collapsed, blank-line runs
+    reduced to one empty line. JVM only."""
+    return _decode_tidy(_strip_tags(col))
 
 
-def with_html_text(df: DataFrame, html_col: str = "html", out_col: str = "markdown",
-                   decode_all_entities: bool = True) -> DataFrame:
-    """Add :func:`html_text` of ``html_col`` as ``out_col``. The tag-stripped text is
-    materialised once, so the regex chain runs once per page even though both the
-    native decoder and the residual-entity check read it."""
-    staged = df.withColumn("_stripped", _strip_tags(F.col(html_col)))
-    return staged.withColumn(out_col, _decode_tidy(F.col("_stripped"), decode_all_entities)) \
-        .drop("_stripped")
+def with_html_text(df: DataFrame, html_col: str = "html", out_col: str = "markdown") -> DataFrame:
+    """Add :func:`html_text` of ``html_col`` as ``out_col``."""
+    return df.withColumn(out_col, html_text(F.col(html_col)))
 
 
 def sql_html_text(expr: str = "html") -> str:
     t = expr
     for rx, rep in TEXT_STEPS:
         t = f"regexp_replace({t}, {sql_lit(rx)}, {sql_lit(rep)}, 'g')"
-    for ent, ch in COMMON_ENTITIES + XML_ENTITIES:
+    for ent, ch in SQL_ENTITIES + XML_ENTITIES:
         t = f"replace({t}, {sql_lit(ent)}, {sql_lit(ch)})"
     for rx, rep in TEXT_TIDY:
         t = f"regexp_replace({t}, {sql_lit(rx)}, {sql_lit(rep)}, 'g')"

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sitecorpus.plans.sizing import spread
 from sitecorpus.session import ensure_checkpoint_dir, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,8 +36,13 @@ def register(key: str, oracle: str | None = None):
     return deco
 
 
+# Tables whose rows carry long texts (per-row regex and tokenizing work).
+TEXT_TABLES = ("pages", "documents", "conversations")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def load_all() -> None:

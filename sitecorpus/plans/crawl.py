@@ -19,10 +19,10 @@ from sitecorpus.functions.text import slug
 from sitecorpus.plans.catalog import register, table
 
 
-def page_records(pages: DataFrame, decode_all_entities: bool = True) -> DataFrame:
+def page_records(pages: DataFrame) -> DataFrame:
     """One record per fetched page: position, names and the reader's metadata fields."""
     df = pages.select("page_id", "url", "html", (F.col("page_id") + 1).alias("url_index"))
-    df = extract_page_metadata(df, decode_all_entities=decode_all_entities)
+    df = extract_page_metadata(df)
     return df.select(
         "page_id", "url", "url_index", "html", "title", "description", "language",
         url_domain("url").alias("domain"), url_filename("url").alias("filename"),

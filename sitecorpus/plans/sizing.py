@@ -18,3 +18,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     small = df.persist()
     n = small.count()
     return F.broadcast(small) if n <= max_rows else small
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least ``min_partitions`` (default: the cluster's default
+    parallelism) when its scan yields fewer partitions, so per-row text work (regex over
+    HTML, tokenizing) uses every core. On large inputs the scan already yields more
+    partitions and nothing is shuffled."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
