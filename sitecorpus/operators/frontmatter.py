@@ -144,13 +144,17 @@ def parse_frontmatter(df: DataFrame, block_col: str = "fm_block") -> DataFrame:
 
 
 def lint_frontmatter(df: DataFrame, fields=("title", "url_source", "domain", "description"),
-                     names=("title", "source_url", "domain", "description")) -> DataFrame:
-    """Render → split → parse each record and report fields whose re-read value differs
-    (quotes escaped but backslashes not: ``a\\d`` fails, ``a\\n`` turns into a newline)."""
-    rendered = df.withColumn("_fm", render_frontmatter(
-        *fields[:3], F.lit(0), fields[3], None, include_language=False))
-    parsed = parse_frontmatter(split_frontmatter(
-        rendered.withColumn("_raw", F.col("_fm")), "_raw"))
+                     names=("title", "source_url", "domain", "description"),
+                     key: str = "doc_id") -> DataFrame:
+    """Render → split → parse each record and report, one row per problem, the fields whose
+    re-read value differs: ``key, field, written, reread`` (quotes are escaped but
+    backslashes are not, so ``a\\d`` fails and ``a\\n`` turns into a newline).
+
+    Problems are produced by exploding a per-record array, so a clean record yields no row
+    without a Filter (which Catalyst would push below the parse and evaluate twice)."""
+    rendered = df.select(key, *fields, render_frontmatter(
+        *fields[:3], F.lit(0), fields[3], None, include_language=False).alias("_raw"))
+    parsed = parse_frontmatter(split_frontmatter(rendered, "_raw"))
     checks = []
     for f, n in zip(fields, names):
         written = F.coalesce(F.col(f), F.lit(""))
@@ -159,9 +163,8 @@ def lint_frontmatter(df: DataFrame, fields=("title", "url_source", "domain", "de
                              F.struct(F.lit(n).alias("field"), written.alias("written"),
                                       reread.alias("reread"))))
     problems = F.filter(F.array(*checks), lambda x: x.isNotNull())
-    return (parsed.withColumn("problems", problems)
-            .filter(F.size("problems") > 0)
-            .drop("_fm", "_raw", "has_frontmatter", "fm_block", "body", "meta", "yaml_kind"))
+    return parsed.select(key, F.explode(problems).alias("p")).select(
+        key, "p.field", "p.written", "p.reread")
 
 
 # ---- SQL twins ---------------------------------------------------------------------------

@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sitecorpus.plans.sizing import broadcast_if_small
+from sitecorpus.plans.sizing import broadcast_if_small, materialize
 
 TERM_RX = r"[\p{L}\p{N}]+"
 SCORE_DIGITS = 6
@@ -105,27 +105,40 @@ def vector_scores(pairs: DataFrame, queries: DataFrame, corpus: DataFrame,
 
 # ---- keyword --------------------------------------------------------------------------------
 
-def keyword_scores(queries: DataFrame, docs: DataFrame, query_id: str = "query_id",
-                   query_text: str = "text", doc_id: str = "doc_id",
-                   doc_text: str = "text") -> DataFrame:
+def keyword_index(docs: DataFrame, doc_id: str = "doc_id", doc_text: str = "text"):
+    """Term index of the corpus, built once: ``postings (term, doc_id, w)`` with
+    ``w = tf * idf``, ``norms (doc_id, dn)`` and ``idf (term, idf)``, where
+    ``idf = ln(1 + N / df)``. Tokenizing happens once; the postings are checkpointed to the
+    shared folder, so the scoring and norm branches read them instead of re-tokenizing."""
+    tf = (docs.select(F.col(doc_id).alias("doc_id"), F.explode(tokens(doc_text)).alias("term"))
+          .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+    tf = materialize(tf, "term-counts")
+    n_docs = tf.select("doc_id").distinct().count()
+    idf = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+           .select("term", F.log(1.0 + F.lit(float(n_docs)) / F.col("df")).alias("idf")))
+    postings = tf.join(idf, "term").select("term", "doc_id", (F.col("tf") * F.col("idf")).alias("w"))
+    postings = materialize(postings, "postings")
+    norms = postings.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("dn"))
+    return postings, norms, idf
+
+
+def keyword_scores(queries: DataFrame, docs: DataFrame | None = None, query_id: str = "query_id",
+                   query_text: str = "text", doc_id: str = "doc_id", doc_text: str = "text",
+                   index=None) -> DataFrame:
     """TF-IDF cosine in [0, 1] for every (query, document) sharing at least one term:
-    ``query_id, doc_id, keyword_score``. Terms are lower-cased letter/digit runs,
-    ``idf = ln(1 + N / df)``; query terms absent from the corpus weigh nothing."""
-    n_docs = docs.count()
-    doc_terms = (docs.select(F.col(doc_id).alias("doc_id"), F.explode(tokens(doc_text)).alias("term"))
-                 .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
-    dfreq = doc_terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = dfreq.select("term", F.log(1.0 + F.lit(float(n_docs)) / F.col("df")).alias("idf"))
-    dw = doc_terms.join(idf, "term").select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("w"))
-    dnorm = dw.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("dn"))
+    ``query_id, doc_id, keyword_score``. Terms are lower-cased letter/digit runs; query
+    terms absent from the corpus weigh nothing. The query-term weights (one row per query
+    term) are broadcast after a size check, so postings of a heavy term are streamed
+    through the join instead of being shuffled onto one task."""
+    postings, norms, idf = index if index is not None else keyword_index(docs, doc_id, doc_text)
     q_terms = (queries.select(F.col(query_id).alias("query_id"), F.explode(tokens(query_text)).alias("term"))
                .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf")))
     qw = q_terms.join(idf, "term").select("query_id", "term", (F.col("qtf") * F.col("idf")).alias("qw"))
     qw = broadcast_if_small(qw)
     qnorm = qw.groupBy("query_id").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qn"))
-    dots = (dw.join(qw, "term").groupBy("query_id", "doc_id")
+    dots = (postings.join(qw, "term").groupBy("query_id", "doc_id")
             .agg(F.sum(F.col("w") * F.col("qw")).alias("dot")))
-    scored = dots.join(broadcast_if_small(qnorm), "query_id").join(dnorm, "doc_id")
+    scored = dots.join(F.broadcast(qnorm), "query_id").join(norms, "doc_id")
     return scored.select("query_id", "doc_id", F.round(
         F.col("dot") / (F.col("qn") * F.col("dn")), SCORE_DIGITS).alias("keyword_score"))
 

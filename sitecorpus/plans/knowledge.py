@@ -20,6 +20,7 @@ from sitecorpus.operators.upsert import (
     reconcile_registry,
 )
 from sitecorpus.plans.catalog import register
+from sitecorpus.plans.sizing import materialize
 from sitecorpus.plans.corpus import CRAWL_DATE, _LATEST_RENDERED_SQL, _DOC_SQL, rendered_pages
 
 DOCS_PER_LISTING_PAGE = 100
@@ -37,8 +38,8 @@ def corpus_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = importable(docs)
     docs = docs.withColumn("doc_name", document_name(F.col("meta"), F.col("stem")))
     # The corpus feeds the listing, the registry and the plan: write it once to the shared
-    # checkpoint folder instead of re-running the page extraction in every branch.
-    return docs.checkpoint(eager=True)
+    # folder instead of re-running the page extraction in every branch.
+    return materialize(docs, "corpus-docs")
 
 
 def previous_import(docs: DataFrame) -> DataFrame:

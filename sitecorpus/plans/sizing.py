@@ -29,3 +29,14 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back: cuts the
+    lineage (a lost executor re-reads files instead of recomputing) and lets several
+    branches share one computation. Columnar files are much cheaper than RDD checkpoints."""
+    import uuid
+    from sitecorpus.session import shared_path
+    path = shared_path(df.sparkSession, "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
