@@ -1,0 +1,245 @@
+"""HTML → markdown with element removal (the reader's markdown response), as one
+Arrow-batched pandas UDF over the standard-library HTML parser.
+
+The HTML column crosses to Python once and is never shuffled; selectors are validated on
+the driver before anything runs. Supported selectors: ``tag``, ``.class``, ``#id``,
+``tag.class``, ``[attr]``, ``[attr=value]``, comma unions and the descendant combinator.
+"""
+
+from __future__ import annotations
+
+import re
+from html.parser import HTMLParser
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+_SIMPLE = re.compile(r"^([A-Za-z][A-Za-z0-9-]*|\*)?((?:[.#][A-Za-z0-9_-]+|\[[A-Za-z0-9_-]+"
+                     r"(?:=(?:\"[^\"]*\"|'[^']*'|[^\]'\"]*))?\])*)$")
+_PART = re.compile(r"[.#][A-Za-z0-9_-]+|\[[^\]]+\]")
+
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
+        "source", "track", "wbr"}
+SKIP = {"script", "style", "head", "title", "noscript", "template", "iframe", "svg"}
+BLOCK = {"div", "section", "article", "main", "header", "footer", "nav", "aside", "figure",
+         "figcaption", "form", "table", "thead", "tbody", "dl", "dt", "dd"}
+
+
+def parse_selectors(spec: str):
+    """``".ads, nav footer"`` → list of selectors, each a list of compound parts
+    ``(tag, classes, id, attrs)``; raises ValueError on anything unsupported."""
+    out = []
+    for sel in (s.strip() for s in (spec or "").split(",")):
+        if not sel:
+            continue
+        chain = []
+        for simple in sel.split():
+            m = _SIMPLE.match(simple)
+            if not m or not (m.group(1) or m.group(2)):
+                raise ValueError(f"unsupported selector: {sel!r}")
+            tag = (m.group(1) or "*").lower()
+            classes, ident, attrs = [], None, []
+            for part in _PART.findall(m.group(2) or ""):
+                if part[0] == ".":
+                    classes.append(part[1:])
+                elif part[0] == "#":
+                    ident = part[1:]
+                else:
+                    name, _, val = part[1:-1].partition("=")
+                    attrs.append((name.lower(), val.strip("\"'") if _ else None))
+            chain.append((tag, classes, ident, attrs))
+        out.append(chain)
+    return out
+
+
+def _matches(simple, tag, attrs) -> bool:
+    want_tag, classes, ident, want_attrs = simple
+    if want_tag != "*" and want_tag != tag:
+        return False
+    cls = set((attrs.get("class") or "").split())
+    if any(c not in cls for c in classes):
+        return False
+    if ident is not None and attrs.get("id") != ident:
+        return False
+    for name, val in want_attrs:
+        if name not in attrs or (val is not None and attrs[name] != val):
+            return False
+    return True
+
+
+def _selected(selectors, stack, tag, attrs) -> bool:
+    for chain in selectors:
+        if not _matches(chain[-1], tag, attrs):
+            continue
+        i = len(chain) - 2
+        for anc_tag, anc_attrs in reversed(stack):
+            if i < 0:
+                break
+            if _matches(chain[i], anc_tag, anc_attrs):
+                i -= 1
+        if i < 0:
+            return True
+    return False
+
+
+class _Markdown(HTMLParser):
+    def __init__(self, selectors):
+        super().__init__(convert_charrefs=True)
+        self.selectors = selectors
+        self.stack = []          # open elements: (tag, attrs)
+        self.out = []
+        self.skip_depth = None   # stack depth at which removal/skip started
+        self.pre = 0
+        self.links = []
+        self.lists = []
+
+    def _emit(self, s):
+        if self.skip_depth is None:
+            self.out.append(s)
+
+    def handle_starttag(self, tag, attrs_list):
+        attrs = {k: (v or "") for k, v in attrs_list}
+        if tag in VOID:
+            if self.skip_depth is None and not _selected(self.selectors, self.stack, tag, attrs):
+                if tag == "br":
+                    self._emit("\n")
+                elif tag == "hr":
+                    self._emit("\n\n---\n\n")
+            return  # images are never kept, nor their alt text
+        # a block start closes an open paragraph (and inline elements left open inside
+        # it); a list item closes the previous item of the same list
+        if tag == "p" or tag in BLOCK or tag in ("ul", "ol", "pre", "blockquote", "table") \
+                or tag.startswith("h") and tag[1:].isdigit():
+            self._close_open("p", stop={"li", "td", "th", "blockquote"} | BLOCK)
+        elif tag == "li":
+            self._close_open("li", stop={"ul", "ol"})
+        if self.skip_depth is None and (tag in SKIP or _selected(self.selectors, self.stack, tag, attrs)):
+            self.skip_depth = len(self.stack)
+        self.stack.append((tag, attrs))
+        if tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
+            self._emit("\n\n" + "#" * int(tag[1]) + " ")
+        elif tag == "p":
+            self._emit("\n\n")
+        elif tag in ("b", "strong"):
+            self._emit("**")
+        elif tag in ("i", "em"):
+            self._emit("_")
+        elif tag == "a":
+            self.links.append(attrs.get("href", ""))
+            self._emit("[")
+        elif tag in ("ul", "ol"):
+            self.lists.append([tag, 0])
+            self._emit("\n")
+        elif tag == "li":
+            if self.lists and self.lists[-1][0] == "ol":
+                self.lists[-1][1] += 1
+                self._emit(f"\n{self.lists[-1][1]}. ")
+            else:
+                self._emit("\n- ")
+        elif tag == "pre":
+            self.pre += 1
+            self._emit("\n\n```\n")
+        elif tag == "code" and not self.pre:
+            self._emit("`")
+        elif tag == "blockquote":
+            self._emit("\n\n> ")
+        elif tag == "tr":
+            self._emit("\n|")
+        elif tag in ("td", "th"):
+            self._emit(" ")
+        elif tag in BLOCK:
+            self._emit("\n")
+
+    def _close_open(self, tag, stop):
+        for open_tag, _ in reversed(self.stack):
+            if open_tag == tag:
+                self.handle_endtag(tag)
+                return
+            if open_tag in stop:
+                return
+
+    def handle_endtag(self, tag):
+        if tag in VOID or not any(t == tag for t, _ in self.stack):
+            return
+        while self.stack:
+            open_tag, _ = self.stack.pop()
+            self._close(open_tag)
+            if self.skip_depth is not None and len(self.stack) <= self.skip_depth:
+                self.skip_depth = None
+            if open_tag == tag:
+                break
+
+    def _close(self, tag):
+        if tag in ("h1", "h2", "h3", "h4", "h5", "h6", "p", "blockquote"):
+            self._emit("\n\n")
+        elif tag in ("b", "strong"):
+            self._emit_closing("**")
+        elif tag in ("i", "em"):
+            self._emit_closing("_")
+        elif tag == "a":
+            href = self.links.pop() if self.links else ""
+            self._emit(f"]({href})")
+        elif tag in ("ul", "ol"):
+            if self.lists:
+                self.lists.pop()
+            self._emit("\n")
+        elif tag == "pre":
+            self.pre = max(0, self.pre - 1)
+            self._emit("\n```\n\n")
+        elif tag == "code" and not self.pre:
+            self._emit("`")
+        elif tag in ("td", "th"):
+            self._emit(" |")
+        elif tag in BLOCK:
+            self._emit("\n")
+
+    def _emit_closing(self, marker):
+        """Close emphasis right after its text; trailing white space moves behind it."""
+        if self.skip_depth is not None:
+            return
+        tail = []
+        while self.out and not self.out[-1].strip():
+            tail.append(self.out.pop())
+        self.out.append(marker)
+        self.out.extend(reversed(tail))
+
+    def handle_data(self, data):
+        if self.skip_depth is not None:
+            return
+        self.out.append(data if self.pre else re.sub(r"\s+", " ", data))
+
+    def text(self) -> str:
+        while self.stack:
+            self._close(self.stack.pop()[0])
+        md = "".join(self.out)
+        lines = [ln.rstrip() if "```" in md else ln.strip() for ln in md.split("\n")]
+        md = "\n".join(lines)
+        return re.sub(r"\n{3,}", "\n\n", md).strip()
+
+
+def html_to_markdown_text(html: str | None, selectors=()) -> str | None:
+    """Plain-Python conversion of one page (the per-row helper of the UDF)."""
+    if html is None:
+        return None
+    p = _Markdown(selectors)
+    p.feed(html)
+    p.close()
+    return p.text()
+
+
+def to_markdown(html: Column, remove: str = "") -> Column:
+    """Markdown of a page with the elements matching ``remove`` dropped; images are never
+    kept. The selector list is checked here, on the driver, before any job runs."""
+    selectors = parse_selectors(remove)
+
+    @F.pandas_udf(T.StringType())
+    def convert(s: pd.Series) -> pd.Series:
+        return s.map(lambda h: html_to_markdown_text(h, selectors))
+
+    return convert(html)
+
+
+def clean_html(pages: DataFrame, remove: str = "", html_col: str = "html",
+               out_col: str = "markdown") -> DataFrame:
+    """Add the markdown body (selectors removed, images dropped)."""
+    return pages.withColumn(out_col, to_markdown(F.col(html_col), remove))
