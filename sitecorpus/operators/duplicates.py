@@ -104,3 +104,17 @@ def duplicate_breakdown(stats: DataFrame, limit: int | None = None) -> DataFrame
     """Stats by ``total_files`` descending, ties by title ascending."""
     out = stats.orderBy(F.col("total_files").desc(), F.col("title").asc())
     return out.limit(limit) if limit is not None else out
+
+
+def route_increment(retained: DataFrame, batch: DataFrame, run_col: str = "run",
+                    key: str = "filename", order: str = "url_index",
+                    title_col: str = "title_key") -> DataFrame:
+    """One later run: duplicates are judged over *retained ∪ new* only (pages routed out
+    earlier are not looked at, so a title whose copies were all archived can come back).
+    A new page replaces a retained one with the same file name first; later runs win, then
+    later positions."""
+    both = retained.unionByName(batch, allowMissingColumns=True)
+    both = both.withColumn("_seq", F.col(run_col).cast("long") * F.lit(10 ** 12)
+                           + F.col(order).cast("long"))
+    latest = latest_pages(both, key=key, order="_seq").drop("_seq")
+    return route_duplicates(latest, key=title_col)

@@ -24,6 +24,22 @@ def read_markdown_corpus(spark: SparkSession, path: str) -> DataFrame:
              .option("pathGlobFilter", "*.md")
              .option("recursiveFileLookup", "false")
              .load(path))
+    return markdown_records(files)
+
+
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
+
+def read_markdown_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+    """Streaming twin of :func:`read_markdown_corpus`: new ``*.md`` files as they land."""
+    files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+             .option("pathGlobFilter", "*.md").option("maxFilesPerTrigger", files_per_batch)
+             .load(path))
+    return markdown_records(files)
+
+
+def markdown_records(files: DataFrame) -> DataFrame:
+    """binaryFile rows → ``path, filename, stem, raw, error`` (text-mode UTF-8 decoding)."""
     name = F.regexp_extract("path", r"([^/]*)$", 1)
     stem = F.when(name.rlike(r"^.+\.[^.]+$"), F.regexp_extract(name, r"^(.+)\.[^.]+$", 1)) \
         .otherwise(name)
