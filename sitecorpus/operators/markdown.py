@@ -211,8 +211,15 @@ class _Markdown(HTMLParser):
     def text(self) -> str:
         while self.stack:
             self._close(self.stack.pop()[0])
-        md = "".join(self.out)
-        lines = [ln.rstrip() if "```" in md else ln.strip() for ln in md.split("\n")]
+        lines, fenced = [], False
+        for ln in "".join(self.out).split("\n"):
+            if ln.strip() == "```":
+                fenced = not fenced
+                lines.append("```")
+            elif fenced:
+                lines.append(ln.rstrip())
+            else:
+                lines.append(re.sub(r" {2,}", " ", ln).strip())
         md = "\n".join(lines)
         return re.sub(r"\n{3,}", "\n\n", md).strip()
 

@@ -165,7 +165,7 @@ def parse_envelope(df: DataFrame, col: str = "envelope") -> DataFrame:
         pos > 0, F.slice(lines, 1, F.greatest(pos - 1, F.lit(0)))).otherwise(lines))
 
     def last(label):
-        hit = F.element_at(F.filter("_header", lambda l: l.startswith(label)), -1)
+        hit = F.try_element_at(F.filter("_header", lambda l: l.startswith(label)), F.lit(-1))
         return F.coalesce(py_strip(F.replace(hit, F.lit(label), F.lit(""))), F.lit(""))
 
     body = F.when(pos > 0, py_strip(F.array_join(

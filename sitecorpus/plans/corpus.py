@@ -127,7 +127,7 @@ def q_roundtrip(spark, sf_dir):
     """Lint over the documents: first line as title, second as description."""
     docs = table(spark, sf_dir, "documents")
     lines = F.split(F.col("text"), "\n")
-    recs = docs.select("doc_id", py_strip(F.element_at(lines, 1)).alias("title"),
+    recs = docs.select("doc_id", py_strip(F.try_element_at(lines, F.lit(1))).alias("title"),
                        F.concat(F.lit("doc://"), F.col("source"), F.lit("/"),
                                 F.col("doc_id").cast("string")).alias("url_source"),
                        F.col("source").alias("domain"),

@@ -1,0 +1,40 @@
+"""HTML → markdown goldens (FIXTURES.md)."""
+
+import pytest
+
+from sitecorpus.operators.markdown import html_to_markdown_text, parse_selectors
+
+
+def md(html, remove=""):
+    return html_to_markdown_text(html, parse_selectors(remove))
+
+
+def test_removal_nested_and_images():
+    h = ('<nav>menu</nav><div class="ad">buy <p>now <b>x</b></p></div><article><h1>T</h1>'
+         '<p>one <img src="a.png" alt="ALT"> two</p></article><footer>f</footer>')
+    out = md(h, ".ad,nav,footer")
+    assert out == "# T\n\none two"
+    assert "ALT" not in md(h)
+
+
+def test_unclosed_and_entities_and_script():
+    out = md('<script>var t="</p>";</script><p><b>bold<p>next &amp; &copy;')
+    assert out == "**bold**\n\nnext & ©"
+
+
+def test_lists_links_code_table():
+    out = md('<ul><li>a<li>b</ul><ol><li>x</ol><a href="/u">l</a><pre>a  b\n c</pre>'
+             '<table><tr><th>h</th><td>v</td></tr></table>')
+    assert "- a\n- b" in out and "1. x" in out and "[l](/u)" in out
+    assert "```\na  b\n c\n```" in out and "| h | v |" in out
+
+
+@pytest.mark.parametrize("sel", ["a:hover", "div > p", "a::after"])
+def test_unsupported_selector(sel):
+    with pytest.raises(ValueError):
+        parse_selectors(sel)
+
+
+def test_selector_kinds():
+    h = '<div id="k">1</div><span data-x="y">2</span><i class="a b">3</i><p>4</p>'
+    assert md(h, "#k, [data-x=y], i.b") == "4"
