@@ -106,20 +106,23 @@ def vector_scores(pairs: DataFrame, queries: DataFrame, corpus: DataFrame,
 # ---- keyword --------------------------------------------------------------------------------
 
 def keyword_index(docs: DataFrame, doc_id: str = "doc_id", doc_text: str = "text"):
-    """Term index of the corpus, built once: ``postings (term, doc_id, w)`` with
-    ``w = tf * idf``, ``norms (doc_id, dn)`` and ``idf (term, idf)``, where
-    ``idf = ln(1 + N / df)``. Tokenizing happens once; the postings are checkpointed to the
-    shared folder, so the scoring and norm branches read them instead of re-tokenizing."""
+    """Term index of the corpus, built once and written to the shared folder:
+    ``tf (term, doc_id, tf)``, ``idf (term, idf)`` with ``idf = ln(1 + N / df)``, and
+    ``norms (doc_id, dn)`` with ``dn = sqrt(sum((tf * idf)^2))``. Everything a query set
+    needs afterwards is query-independent, so scoring never re-tokenizes or re-joins the
+    whole vocabulary."""
     tf = (docs.select(F.col(doc_id).alias("doc_id"), F.explode(tokens(doc_text)).alias("term"))
-          .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+          .groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf")))
     tf = materialize(tf, "term-counts")
-    n_docs = tf.select("doc_id").distinct().count()
-    idf = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-           .select("term", F.log(1.0 + F.lit(float(n_docs)) / F.col("df")).alias("idf")))
-    postings = tf.join(idf, "term").select("term", "doc_id", (F.col("tf") * F.col("idf")).alias("w"))
-    postings = materialize(postings, "postings")
-    norms = postings.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("dn"))
-    return postings, norms, idf
+    n_docs = docs.count()
+    idf = materialize(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
+        "term", F.log(1.0 + F.lit(float(n_docs)) / F.col("df")).alias("idf")), "idf")
+    w = F.col("tf") * F.col("idf")
+    # the vocabulary grows with the corpus: a plain join here, which AQE turns into a
+    # broadcast at run time when the idf table turns out small
+    norms = materialize(tf.join(idf, "term").groupBy("doc_id")
+                        .agg(F.sqrt(F.sum(w * w)).alias("dn")), "doc-norms")
+    return tf, idf, norms
 
 
 def keyword_scores(queries: DataFrame, docs: DataFrame | None = None, query_id: str = "query_id",
@@ -127,17 +130,20 @@ def keyword_scores(queries: DataFrame, docs: DataFrame | None = None, query_id:
                    index=None) -> DataFrame:
     """TF-IDF cosine in [0, 1] for every (query, document) sharing at least one term:
     ``query_id, doc_id, keyword_score``. Terms are lower-cased letter/digit runs; query
-    terms absent from the corpus weigh nothing. The query-term weights (one row per query
-    term) are broadcast after a size check, so postings of a heavy term are streamed
-    through the join instead of being shuffled onto one task."""
-    postings, norms, idf = index if index is not None else keyword_index(docs, doc_id, doc_text)
+    terms absent from the corpus weigh nothing.
+
+    Only the query terms are looked up: their weights (one row per query term) are broadcast
+    after a size check and the term counts stream through that join, so the postings of a
+    heavy term are never shuffled onto one task."""
+    tf, idf, norms = index if index is not None else keyword_index(docs, doc_id, doc_text)
     q_terms = (queries.select(F.col(query_id).alias("query_id"), F.explode(tokens(query_text)).alias("term"))
                .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf")))
-    qw = q_terms.join(idf, "term").select("query_id", "term", (F.col("qtf") * F.col("idf")).alias("qw"))
+    qw = q_terms.join(idf, "term").select(
+        "query_id", "term", "idf", (F.col("qtf") * F.col("idf")).alias("qw"))
     qw = broadcast_if_small(qw)
     qnorm = qw.groupBy("query_id").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qn"))
-    dots = (postings.join(qw, "term").groupBy("query_id", "doc_id")
-            .agg(F.sum(F.col("w") * F.col("qw")).alias("dot")))
+    dots = (tf.join(qw, "term").groupBy("query_id", "doc_id")
+            .agg(F.sum(F.col("tf") * F.col("idf") * F.col("qw")).alias("dot")))
     scored = dots.join(F.broadcast(qnorm), "query_id").join(norms, "doc_id")
     return scored.select("query_id", "doc_id", F.round(
         F.col("dot") / (F.col("qn") * F.col("dn")), SCORE_DIGITS).alias("keyword_score"))
