@@ -40,7 +40,7 @@ def preprocess(col, extra_spaces: bool = True, urls_emails: bool = False) -> Col
 
 def token_count(col) -> Column:
     """Tokens = maximal runs of non-space characters."""
-    return F.regexp_count(_c(col), F.lit(NON_SPACE + "+"))
+    return F.regexp_count(_c(col), F.lit(NON_SPACE + "+")).cast("long")
 
 
 def parents(df: DataFrame, text_col: str = "text", max_parent_tokens: int | None = None) -> DataFrame:
@@ -63,7 +63,7 @@ def children(df: DataFrame, text_col: str = "text", sep: str = "\n", max_tokens:
     step = max_tokens - overlap
     segs = df.select(key, F.posexplode(F.split(F.col(text_col), _sep_rx(sep))).alias("seg_no", "seg"))
     segs = segs.filter(~is_blank(F.col("seg")))
-    toks = segs.select(key, (F.col("seg_no") + 1).alias("seg_no"),
+    toks = segs.select(key, (F.col("seg_no") + 1).cast("long").alias("seg_no"),
                        F.split(py_strip(F.col("seg")), ANY_SPACE + "+").alias("_t"))
     toks = toks.withColumn("_n", F.size("_t"))
     n_pieces = F.ceil(F.greatest(F.col("_n") - overlap, F.lit(1)) / F.lit(step)).cast("int")
@@ -71,8 +71,9 @@ def children(df: DataFrame, text_col: str = "text", sep: str = "\n", max_tokens:
                          F.explode(F.sequence(F.lit(0), n_pieces - 1)).alias("_i"))
     start = F.col("_i") * step
     window = F.slice("_t", start + 1, F.lit(max_tokens))
-    return pieces.select(key, "seg_no", (F.col("_i") + 1).alias("piece_no"),
-                         start.alias("token_start"), F.size(window).alias("n_tokens"),
+    return pieces.select(key, "seg_no", (F.col("_i") + 1).cast("long").alias("piece_no"),
+                         start.cast("long").alias("token_start"),
+                         F.size(window).cast("long").alias("n_tokens"),
                          F.array_join(window, " ").alias("text"))
 
 

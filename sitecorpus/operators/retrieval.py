@@ -178,7 +178,7 @@ def top_k(df: DataFrame, k: int = 2, score: str = "score", key: str = "query_id"
     """k best rows per query, ties to the lower id; adds ``rank``. The row_number filter
     plans a partial top-k before the shuffle (WindowGroupLimit)."""
     w = Window.partitionBy(key).orderBy(F.col(score).desc(), F.col(tie).asc())
-    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return df.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
 
 
 def retrieve(queries: DataFrame, docs: DataFrame, vectors: DataFrame, method: str = "hybrid",

@@ -45,7 +45,7 @@ def read_document_listing(pages: DataFrame) -> DataFrame:
     if broken:
         in_range = in_range.filter(F.lit(False))
     rows = in_range.select("page", F.posexplode("_j.data").alias("pos", "d"))
-    return rows.select("page", (F.col("pos") + 1).alias("pos"), F.col("d.name").alias("name"),
+    return rows.select("page", (F.col("pos") + 1).cast("long").alias("pos"), F.col("d.name").alias("name"),
                        F.col("d.id").alias("id")).filter(
         (F.length("name") > 0) & (F.length("id") > 0))
 

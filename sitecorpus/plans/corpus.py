@@ -141,7 +141,7 @@ def q_roundtrip(spark, sf_dir):
 def q_read_corpus(spark, sf_dir):
     out, _ = export_corpus(spark, sf_dir)
     return read_markdown_corpus(spark, out).select(
-        "filename", "stem", F.length("raw").alias("n_chars"))
+        "filename", "stem", F.length("raw").cast("long").alias("n_chars"))
 
 
 @register("export_markdown", f"""
