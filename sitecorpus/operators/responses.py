@@ -73,12 +73,25 @@ def response_flags(v: Column) -> tuple[Column, Column]:
     return v.isNotNull(), warning.contains(CACHED_MARK)
 
 
+def number_attempts(attempts: DataFrame, limit: int, order: tuple = ("started_at",)) -> DataFrame:
+    """Add ``seq`` (1-based per URL and kind, in ``order``) keeping only the first ``limit``
+    attempts of each. The ``row_number() <= limit`` filter is planned as a partial
+    WindowGroupLimit before the shuffle, so a URL with very many attempts never lands
+    whole on one task."""
+    from pyspark.sql import Window
+    w = Window.partitionBy("url", "kind").orderBy(*order)
+    ranked = attempts.withColumn("seq", F.row_number().over(w))
+    return ranked.filter(F.col("seq") <= max(limit, 1)).withColumn("seq", F.col("seq").cast("int"))
+
+
 def resolve_attempts(attempts: DataFrame, max_retries: int = 2,
-                     accept_cached: bool = False, with_body: bool = True) -> DataFrame:
+                     accept_cached: bool = False, with_body: bool = True,
+                     order: tuple | None = None) -> DataFrame:
     """One outcome per URL: ``url, ok, reason, n_attempts, decided_seq, from_refetch``
     (+ ``body`` of the deciding response).
 
-    Attempts carry ``seq`` (1-based number within ``kind``), ``kind`` (``fetch`` or
+    Attempts carry ``seq`` (1-based number within ``kind``; or pass ``order`` to number
+    them here, see :func:`number_attempts`), ``kind`` (``fetch`` or
     ``refetch``), ``status`` (null without a response) and ``error`` (``timeout``,
     ``connection`` or another error name). The first ``max_retries + 1`` fetches are read in
     order; a status >= 400, timeout or connection error is retried; the first other
@@ -89,6 +102,8 @@ def resolve_attempts(attempts: DataFrame, max_retries: int = 2,
     narrow rows only, and the deciding body is joined back on (url, kind, seq).
     """
     limit = max_retries + 1
+    if order is not None:
+        attempts = number_attempts(attempts, limit, order)
     valid, cached = response_flags(F.col("_v"))
     retryable = (F.coalesce(F.col("status") >= 400, F.lit(False))
                  | F.coalesce(F.col("error").isin(RETRYABLE_ERRORS), F.lit(False)))

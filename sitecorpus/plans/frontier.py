@@ -87,15 +87,14 @@ def event_attempts(events: DataFrame) -> DataFrame:
             .when(F.col("event_type") == "view", F.lit('{"warning":"Cached snapshot","data":{}}'))
             .otherwise(F.concat(F.lit('{"data":{"title":"u'), F.col("user_id").cast("string"),
                                 F.lit('"}}'))))
-    a = events.select(F.col("user_id").cast("string").alias("url"), kind.alias("kind"),
-                      "ts", "event_id",
-                      F.when(F.col("event_type") == "error", 500).otherwise(200).alias("status"),
-                      F.lit(None).cast("string").alias("error"), body.alias("body"))
-    # attempts per URL are few (bounded by the retry policy), so numbering them is a
-    # window over small groups
-    w = Window.partitionBy("url", "kind").orderBy("ts", "event_id")
-    return a.withColumn("seq", F.row_number().over(w).cast("int")).withColumnRenamed(
-        "ts", "started_at")
+    return events.select(F.col("user_id").cast("string").alias("url"), kind.alias("kind"),
+                         F.col("ts").alias("started_at"), "event_id",
+                         F.when(F.col("event_type") == "error", 500).otherwise(200).alias("status"),
+                         F.lit(None).cast("string").alias("error"), body.alias("body"))
+
+
+# attempts are numbered inside the resolver, in capture order
+ATTEMPT_ORDER = ("started_at", "event_id")
 
 
 def event_outcomes(events: DataFrame) -> DataFrame:
@@ -230,7 +229,7 @@ def q_response_fields(spark, sf_dir):
 @register("fetch_outcome", _OUTCOME_SQL)
 def q_fetch_outcome(spark, sf_dir):
     att = event_attempts(table(spark, sf_dir, "events"))
-    return resolve_attempts(att, MAX_RETRIES, with_body=False).select(
+    return resolve_attempts(att, MAX_RETRIES, with_body=False, order=ATTEMPT_ORDER).select(
         "url", "ok", "reason", "n_attempts", "from_refetch")
 
 
@@ -240,7 +239,7 @@ def q_fetch_outcome(spark, sf_dir):
      OR (reason = 'invalid_json' AND from_refetch)""")
 def q_cached_refetch(spark, sf_dir):
     att = event_attempts(table(spark, sf_dir, "events"))
-    out = resolve_attempts(att, MAX_RETRIES, with_body=True)
+    out = resolve_attempts(att, MAX_RETRIES, with_body=True, order=ATTEMPT_ORDER)
     return out.filter(F.col("from_refetch") | F.col("reason").isin(
         "no_refetch", "refetch_http_error", "still_cached", "refetch_error")).select(
         "url", "ok", "reason")

@@ -48,3 +48,11 @@ def test_operator_modules_do_not_collect():
         if name.endswith(".py"):
             src = open(os.path.join(base, name), encoding="utf-8").read()
             assert ".collect()" not in src and "toPandas(" not in src, name
+
+
+def test_attempt_numbering_is_partial_top_k(spark):
+    from sitecorpus.operators.responses import resolve_attempts
+    from sitecorpus.plans.frontier import ATTEMPT_ORDER, event_attempts
+    out = resolve_attempts(event_attempts(table(spark, SF_SMALL, "events")), 2,
+                           order=ATTEMPT_ORDER)
+    assert "WindowGroupLimit" in _formatted(out)
