@@ -17,7 +17,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     from lineage."""
     small = df.persist()
     n = small.count()
-    return F.broadcast(small) if n <= max_rows else small
+    if n <= max_rows:
+        return F.broadcast(small)
+    small.unpersist()  # too big to broadcast: do not pin it, the shuffle join reads df
+    return df
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
