@@ -82,24 +82,36 @@ def vector_top_k(queries: DataFrame, corpus: DataFrame, k: int = 2,
     return top_k(per_block, k, score="vector_score")
 
 
+def _norm(v: Column) -> Column:
+    return F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
+
+
+def _dot(a: Column, b: Column) -> Column:
+    """Dot product in double precision. (Unrolling it into one arithmetic expression per
+    dimension generates methods too large for the JIT, which runs slower.)"""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")),
+                       F.lit(0.0), lambda acc, x: acc + x)
+
+
 def cosine(a: Column, b: Column) -> Column:
-    """Cosine of two float arrays in double precision (JVM higher-order functions)."""
-    dot = F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")),
-                      F.lit(0.0), lambda acc, x: acc + x)
-    na = F.sqrt(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
-    nb = F.sqrt(F.aggregate(b, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
-    return F.when((na > 0) & (nb > 0), dot / (na * nb)).otherwise(F.lit(0.0))
+    """Cosine of two float arrays in double precision; 0 when either norm is 0."""
+    na, nb = _norm(a), _norm(b)
+    return F.when((na > 0) & (nb > 0), _dot(a, b) / (na * nb)).otherwise(F.lit(0.0))
 
 
 def vector_scores(pairs: DataFrame, queries: DataFrame, corpus: DataFrame,
                   query_id: str = "query_id", doc_id: str = "doc_id",
                   vec: str = "embedding") -> DataFrame:
-    """Cosine for given (query_id, doc_id) pairs (0 when either side has no vector)."""
-    qv = queries.select(F.col(query_id).alias("query_id"), F.col(vec).alias("_qv"))
-    cv = corpus.select(F.col(doc_id).alias("doc_id"), F.col(vec).alias("_cv"))
+    """Cosine for given (query_id, doc_id) pairs (0 when either side has no vector). Norms
+    are computed once per vector, before the pairs are formed."""
+    qv = queries.select(F.col(query_id).alias("query_id"), F.col(vec).alias("_qv"),
+                        _norm(F.col(vec)).alias("_qn"))
+    cv = corpus.select(F.col(doc_id).alias("doc_id"), F.col(vec).alias("_cv"),
+                       _norm(F.col(vec)).alias("_cn"))
     j = pairs.join(qv, "query_id", "left").join(cv, "doc_id", "left")
-    score = F.when(F.col("_qv").isNull() | F.col("_cv").isNull(), F.lit(0.0)).otherwise(
-        cosine(F.col("_qv"), F.col("_cv")))
+    ok = F.col("_qv").isNotNull() & F.col("_cv").isNotNull() & (F.col("_qn") > 0) & (F.col("_cn") > 0)
+    score = F.when(ok, _dot(F.col("_qv"), F.col("_cv")) / (F.col("_qn") * F.col("_cn"))) \
+        .otherwise(F.lit(0.0))
     return j.select("query_id", "doc_id", F.round(score, SCORE_DIGITS).alias("vector_score"))
 
 
