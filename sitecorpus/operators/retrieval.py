@@ -118,22 +118,20 @@ def vector_scores(pairs: DataFrame, queries: DataFrame, corpus: DataFrame,
 # ---- keyword --------------------------------------------------------------------------------
 
 def keyword_index(docs: DataFrame, doc_id: str = "doc_id", doc_text: str = "text"):
-    """Term index of the corpus, built once and written to the shared folder:
-    ``tf (term, doc_id, tf)``, ``idf (term, idf)`` with ``idf = ln(1 + N / df)``, and
-    ``norms (doc_id, dn)`` with ``dn = sqrt(sum((tf * idf)^2))``. Everything a query set
-    needs afterwards is query-independent, so scoring never re-tokenizes or re-joins the
-    whole vocabulary."""
+    """Term index of the corpus: ``tf (term, doc_id, tf)`` written once to the shared folder
+    (tokenizing happens once), plus ``idf (term, idf)`` with ``idf = ln(1 + N / df)`` and
+    ``norms (doc_id, dn)`` with ``dn = sqrt(sum((tf * idf)^2))`` derived from it. All three
+    are query-independent; materialize idf and norms too when many query sets reuse them."""
     tf = (docs.select(F.col(doc_id).alias("doc_id"), F.explode(tokens(doc_text)).alias("term"))
           .groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf")))
     tf = materialize(tf, "term-counts")
     n_docs = docs.count()
-    idf = materialize(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
-        "term", F.log(1.0 + F.lit(float(n_docs)) / F.col("df")).alias("idf")), "idf")
+    idf = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
+        "term", F.log(1.0 + F.lit(float(n_docs)) / F.col("df")).alias("idf"))
     w = F.col("tf") * F.col("idf")
     # the vocabulary grows with the corpus: a plain join here, which AQE turns into a
     # broadcast at run time when the idf table turns out small
-    norms = materialize(tf.join(idf, "term").groupBy("doc_id")
-                        .agg(F.sqrt(F.sum(w * w)).alias("dn")), "doc-norms")
+    norms = tf.join(idf, "term").groupBy("doc_id").agg(F.sqrt(F.sum(w * w)).alias("dn"))
     return tf, idf, norms
 
 
