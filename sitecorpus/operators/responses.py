@@ -3,7 +3,10 @@ refetch) and the labelled text envelope."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import json
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sitecorpus.functions.text import py_strip
 
@@ -34,15 +37,34 @@ def _present(v: Column, path: str) -> Column:
     return F.variant_get(v, path, "variant").isNotNull()
 
 
+@F.pandas_udf(T.BooleanType())
+def _python_json_ok(bodies: pd.Series) -> pd.Series:
+    def ok(b):
+        if b is None:
+            return False
+        try:
+            json.loads(b)
+            return True
+        except ValueError:
+            return False
+    return bodies.map(ok)
+
+
 def parse_responses(df: DataFrame, include_language: bool = True, body_col: str = "body",
-                    url_col: str = "url") -> DataFrame:
+                    url_col: str = "url", strict: bool = False) -> DataFrame:
     """Add ``title, content, url_source, description, language, error``.
 
     Missing keys take defaults (``url_source`` defaults to the requested URL); explicit
     nulls print as ``None``. ``error``: ``invalid_json``, or ``bad_shape`` when the body,
     ``data``, ``warning`` or (with language) ``metadata`` has a type the original tool
-    could not read."""
+    could not read.
+
+    Spark's JSON parser differs from Python's on a few inputs: it rejects repeated keys and
+    ``NaN`` and accepts text after the object. ``strict=True`` additionally requires that
+    Python's parser accepts the body (an Arrow-batched check that sees only the body)."""
     parsed = df.withColumn("_v", F.try_parse_json(F.col(body_col)))
+    if strict:
+        parsed = parsed.withColumn("_v", F.when(_python_json_ok(F.col(body_col)), F.col("_v")))
     v = F.col("_v")
     data_ok = ~_present(v, "$.data") | _is_object(v, "$.data")
     warn = F.variant_get(v, "$.warning", "variant")

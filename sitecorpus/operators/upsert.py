@@ -64,12 +64,15 @@ def read_field_registry(responses: DataFrame) -> DataFrame:
 def importable(docs: DataFrame, body_col: str = "body") -> DataFrame:
     """Add ``import_status``: null when the document can be imported, else ``unreadable``
     (bad bytes or YAML: read as an empty document), ``empty_frontmatter``,
-    ``not_mapping`` or ``blank`` (body only white space)."""
+    ``not_mapping``, ``blank`` (body only white space) or ``bad_title`` (a null title)."""
+    null_title = (F.coalesce(F.map_contains_key("meta", F.lit("title")), F.lit(False))
+                  & F.try_element_at("meta", F.lit("title")).isNull())
     status = (F.when(F.col("error").isNotNull() | (F.col("fm_error") == "invalid_yaml"),
                      F.lit("unreadable"))
               .when(F.col("yaml_kind") == "null", F.lit("empty_frontmatter"))
               .when(F.col("fm_error") == "not_mapping", F.lit("not_mapping"))
-              .when(is_blank(F.col(body_col)), F.lit("blank")))
+              .when(is_blank(F.col(body_col)), F.lit("blank"))
+              .when(null_title, F.lit("bad_title")))
     return docs.withColumn("import_status", status)
 
 

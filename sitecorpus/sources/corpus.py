@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import os
 
+import logging
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sitecorpus.operators.frontmatter import normalize_newlines
 
 
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
+
 def read_markdown_corpus(spark: SparkSession, path: str) -> DataFrame:
     """``path, filename, stem, raw, error`` for every ``*.md`` file directly in ``path``.
 
@@ -20,16 +26,19 @@ def read_markdown_corpus(spark: SparkSession, path: str) -> DataFrame:
     parts = [p for p in path.replace("\\", "/").split("/") if p]
     if "duplicates" in parts:
         raise ValueError("corpus path lies inside a duplicates folder; nothing would import")
-    files = (spark.read.format("binaryFile")
-             .option("pathGlobFilter", "*.md")
-             .option("recursiveFileLookup", "false")
-             .load(path))
+    try:
+        files = (spark.read.format("binaryFile")
+                 .option("pathGlobFilter", "*.md")
+                 .option("recursiveFileLookup", "false")
+                 .load(path))
+    except AnalysisException as ex:
+        if "PATH_NOT_FOUND" not in str(ex):
+            raise
+        logging.getLogger(__name__).warning("corpus folder not found: %s", path)
+        files = spark.createDataFrame([], BINARY_FILE_SCHEMA)
     return markdown_records(files)
 
 
-BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
-
-
 def read_markdown_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     """Streaming twin of :func:`read_markdown_corpus`: new ``*.md`` files as they land."""
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)

@@ -15,5 +15,10 @@ def read_responses(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     return spark.read.schema(RESPONSE_SCHEMA).format(fmt).load(path)
 
 
+def read_responses_stream(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Streaming twin of :func:`read_responses`: captured bodies as they land."""
+    return spark.readStream.schema(RESPONSE_SCHEMA).format(fmt).load(path)
+
+
 def read_attempts(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.schema(ATTEMPT_SCHEMA).format(fmt).load(path)

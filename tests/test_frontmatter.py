@@ -63,3 +63,8 @@ def test_render_language_rule(spark):
     got = [r[0] for r in df.select(render_frontmatter("t", "u", "d", "c", "s", "l")).collect()]
     assert 'language: "en"' in got[0] and "language" not in got[1]
     assert got[0].endswith("---\n\n")
+
+
+def test_missing_corpus_folder_is_empty(spark, tmp_path):
+    from sitecorpus.sources.corpus import read_markdown_corpus
+    assert read_markdown_corpus(spark, str(tmp_path / "nope")).count() == 0

@@ -102,3 +102,12 @@ def test_envelope_round_trip(spark):
                                "language string, content string")
     r = parse_envelope(format_envelope(df)).first()
     assert (r.env_title, r.env_url_source, r.env_markdown) == ("T", "u", "line1\nline2")
+
+
+def test_strict_mode_uses_python_rules(spark):
+    df = spark.createDataFrame([(1, "u", '{"data":{}} trailing'), (2, "u", '{"data":{}}')],
+                               "i int, url string, body string")
+    loose = {r.i: r.error for r in parse_responses(df).collect()}
+    strict = {r.i: r.error for r in parse_responses(df, strict=True).collect()}
+    assert loose == {1: None, 2: None}
+    assert strict == {1: "invalid_json", 2: None}
