@@ -20,9 +20,11 @@ def test_document_names(spark):
 
 
 def test_blank_body_not_importable(spark):
-    df = spark.createDataFrame([(" \n ", None, None, "mapping"), ("x", None, None, "mapping")],
-                               "body string, error string, fm_error string, yaml_kind string")
-    assert [r.import_status for r in importable(df).collect()] == ["blank", None]
+    df = spark.createDataFrame(
+        [(" \n ", None, None, "mapping", {"title": "t"}), ("x", None, None, "mapping", {"title": "t"}),
+         ("x", None, None, "mapping", {"title": None})],
+        "body string, error string, fm_error string, yaml_kind string, meta map<string,string>")
+    assert [r.import_status for r in importable(df).collect()] == ["blank", None, "bad_title"]
 
 
 def _listing(spark, pages):
