@@ -1,7 +1,6 @@
 """Child-chunk window counts (FIXTURES.md) and pre-processing."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from sitecorpus.operators.chunking import children, preprocess
 

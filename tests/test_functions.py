@@ -6,7 +6,6 @@ import re
 from urllib.parse import urlparse
 
 import pytest
-from pyspark.sql import functions as F
 
 from sitecorpus.functions.text import collapse_spaces, py_strip, slug
 from sitecorpus.functions.urls import url_domain, url_error, url_filename

@@ -3,7 +3,6 @@
 import os
 import re
 
-from pyspark.sql import functions as F
 
 from conftest import ROOT, SF_SMALL
 from sitecorpus.operators.duplicates import latest_pages, route_duplicates, with_title_key

@@ -4,7 +4,6 @@ the same after a restart on the same checkpoint."""
 import os
 import uuid
 
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from sitecorpus.operators.reports import crawl_summary
