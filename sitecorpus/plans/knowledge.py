@@ -2,16 +2,17 @@
 
 Derived inputs (see FIXTURES.md): the corpus is the latest page per file name with the
 repeated titles routed out. An earlier, interrupted import already stored the documents of
-the even page ids; its listing is served 100 documents per page, and its field registry
-holds the frontmatter keys of those documents except ``language`` (that run left the
-language out).
+the plain-http pages; its listing is served in pages covering blocks of 200 page ids, and
+its field registry holds the frontmatter keys of those documents except ``language`` (that
+run left the language out).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sitecorpus.functions.text import sql_strip
+from sitecorpus.functions.text import sql_lit, sql_strip
+from sitecorpus.functions.urls import URL_RX, url_parts
 from sitecorpus.operators.duplicates import latest_pages, route_duplicates, with_title_key
 from sitecorpus.operators.frontmatter import parse_frontmatter, split_frontmatter
 from sitecorpus.operators.upsert import (
@@ -23,7 +24,7 @@ from sitecorpus.plans.catalog import register
 from sitecorpus.plans.sizing import materialize
 from sitecorpus.plans.corpus import CRAWL_DATE, _LATEST_RENDERED_SQL, _DOC_SQL, rendered_pages
 
-DOCS_PER_LISTING_PAGE = 100
+PAGE_IDS_PER_LISTING_PAGE = 200
 
 
 def corpus_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +32,7 @@ def corpus_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = latest_pages(rendered_pages(spark, sf_dir))
     keyed = with_title_key(latest, title_col="title", stem_col="filename")
     kept = route_duplicates(keyed).filter(~F.col("is_duplicate"))
-    files = kept.select("page_id", "filename", F.col("filename").alias("path"),
+    files = kept.select("page_id", "url", "filename", F.col("filename").alias("path"),
                         F.regexp_replace("filename", r"\.md$", "").alias("stem"),
                         F.col("text").alias("raw"), F.lit(None).cast("string").alias("error"))
     docs = parse_frontmatter(split_frontmatter(files))
@@ -43,15 +44,17 @@ def corpus_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def previous_import(docs: DataFrame) -> DataFrame:
-    return docs.filter(F.col("page_id") % 2 == 0).select(
+    scheme, _, _ = url_parts(F.col("url"))
+    return docs.filter(scheme == "http").select(
         "page_id", "filename", "meta", F.col("doc_name").alias("name"),
         document_id(F.col("doc_name"), F.col("filename")).alias("id"))
 
 
 def listing_responses(docs: DataFrame) -> DataFrame:
-    """``page, status, body``: the earlier import's documents, 100 per page."""
+    """``page, status, body``: the earlier import's documents, one listing page per block
+    of 200 page ids (at most 200 documents per page)."""
     prev = previous_import(docs).withColumn(
-        "page", (F.floor(F.col("page_id") / (2 * DOCS_PER_LISTING_PAGE)) + 1).cast("int"))
+        "page", (F.floor(F.col("page_id") / PAGE_IDS_PER_LISTING_PAGE) + 1).cast("int"))
     last_page = prev.agg(F.max("page")).first()[0] or 0
     per_page = prev.groupBy("page").agg(
         F.array_sort(F.collect_list(F.struct("page_id", "id", "name"))).alias("docs"))
@@ -91,7 +94,7 @@ _LISTING_SQL = f"""
   SELECT CAST(page_id // 200 + 1 AS INTEGER) AS page,
          row_number() OVER (PARTITION BY page_id // 200 ORDER BY page_id) AS pos,
          doc_name AS name, {_DOCID} AS id
-  FROM ({_DOCS_SQL}) d WHERE page_id % 2 = 0"""
+  FROM ({_DOCS_SQL}) d WHERE lower(regexp_extract(url, {sql_lit(URL_RX)}, 1)) = 'http'"""
 _EXISTING_FIELDS_SQL = """
   SELECT name, left(sha256('field|' || name), 32) AS field_id,
          CASE WHEN name = 'crawl_date' THEN 'time' ELSE 'string' END AS type

@@ -81,7 +81,13 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
-    out = os.path.join(tempfile.mkdtemp(prefix="sitecorpus-py-"), "sitecorpus.zip")
+    base = ensure_checkpoint_dir(spark)
+    if base.startswith("file:") or base.startswith("/"):
+        folder = os.path.join(shared_path(spark, "py"), key)
+        os.makedirs(folder, exist_ok=True)
+    else:  # a non-POSIX shared store: build the zip on the driver, Spark ships it
+        folder = tempfile.mkdtemp(prefix="sitecorpus-py-")
+    out = os.path.join(folder, "sitecorpus.zip")
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
         for base, _, files in os.walk(pkg_dir):
             for f in files:
