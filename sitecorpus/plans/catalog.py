@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitecorpus.plans.sizing import spread
+from sitecorpus.plans.sizing import release_pinned, spread
 from sitecorpus.session import ensure_checkpoint_dir, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,7 @@ def register(key: str, oracle: str | None = None):
 
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            release_pinned()  # the previous query's cached join sides
             ship_package(spark)
             ensure_checkpoint_dir(spark)
             return fn(spark, sf_dir)

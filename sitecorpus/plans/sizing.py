@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, functions as F
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
+# Sides persisted for a size check; released by release_pinned() (a released side is simply
+# recomputed if a plan still needs it, so releasing never changes results).
+_PINNED: list[DataFrame] = []
+
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Persist ``df`` (so it is computed once), count it, and mark it for broadcast when it
@@ -18,11 +22,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     small = df.persist()
     n = small.count()
     if n <= max_rows:
+        _PINNED.append(small)
         return F.broadcast(small)
     small.unpersist()  # too big to broadcast: do not pin it, the shuffle join reads df
     return df
 
 
+def release_pinned() -> None:
+    """Unpersist every side cached by :func:`broadcast_if_small` so far."""
+    while _PINNED:
+        _PINNED.pop().unpersist()
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin ``df`` over at least ``min_partitions`` (default: the cluster's default
     parallelism) when its scan yields fewer partitions, so per-row text work (regex over
