@@ -43,8 +43,9 @@ def parse_sitemaps(files: DataFrame, file_col: str = "file", xml_col: str = "xml
                     files_.append(f)
                     pos.append(i)
                     urls.append(u)
-            yield pd.DataFrame({"file": files_, "pos": pd.Series(pos, dtype="int64"),
-                                "url": urls})
+            if files_:  # an empty frame with object columns cannot be converted to Arrow
+                yield pd.DataFrame({"file": files_, "pos": pd.Series(pos, dtype="int64"),
+                                    "url": urls})
 
     return files.select(file_col, xml_col).mapInPandas(parse, FRONTIER_SCHEMA)
 
@@ -52,7 +53,7 @@ def parse_sitemaps(files: DataFrame, file_col: str = "file", xml_col: str = "xml
 def read_sitemaps(spark: SparkSession, path: str) -> DataFrame:
     """Parse every sitemap file under ``path`` (one file per row, whole text)."""
     files = (spark.read.option("wholetext", "true").text(path)
-             .select(F.input_file_name().alias("file"), F.col("value").alias("xml")))
+             .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("xml")))
     return parse_sitemaps(files)
 
 

@@ -78,3 +78,26 @@ def test_filename_matches_python(spark):
     ("A  -  B", "a-b"), ("a b", "a-b"), ("x" * 60, "x" * 50), ("-lead", "-lead")])
 def test_slug_goldens(spark, title, folder):
     assert spark.createDataFrame([(title,)], "t string").select(slug("t")).first()[0] == folder
+
+
+def test_read_sitemaps_from_files(spark, tmp_path):
+    from sitecorpus.sources.sitemaps import SITEMAP_NS, read_sitemaps, expand_seeds
+    ns = f'<urlset xmlns="{SITEMAP_NS}">'
+    files = {
+        "a.xml": ns + "<url><loc> http://h/1 </loc></url><url><loc>http://h/1</loc></url>"
+                 "<url><loc/></url><url><loc> </loc></url><url><loc>x</loc><loc>y</loc></url></urlset>",
+        "plain.xml": "<urlset><url><loc>http://h/2</loc></url></urlset>",
+        "broken.xml": ns + "<url><loc>http://h/3</loc>",
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    got = read_sitemaps(spark, str(tmp_path)).collect()
+    by_file = {}
+    for r in got:
+        by_file.setdefault(r.file.rsplit("/", 1)[-1], []).append((r.pos, r.url))
+    assert sorted(by_file["a.xml"]) == [(1, "http://h/1"), (2, "http://h/1"), (3, ""), (4, "x")]
+    assert "plain.xml" not in by_file and "broken.xml" not in by_file
+    seeds = spark.createDataFrame([("http://h/a.xml",), ("http://h/a.XML",), ("http://h/a.xml?x=1",)],
+                                  "seed string")
+    out = expand_seeds(seeds, spark.createDataFrame([], "file string, pos long, url string"))
+    assert sorted(r.url for r in out.collect()) == ["http://h/a.XML", "http://h/a.xml?x=1"]
