@@ -114,7 +114,7 @@ def _parse_block(block):
 
 @F.pandas_udf(PARSED_TYPE)
 def _parse_blocks(blocks: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([_parse_block(b) for b in blocks])
+    return pd.DataFrame([_parse_block(b) for b in blocks], columns=["entries", "kind", "error"])
 
 
 def _fast_entries(block: Column) -> Column:
