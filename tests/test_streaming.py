@@ -43,3 +43,21 @@ def test_corpus_stream_restart_keeps_state(spark):
     assert len(names) == len(set(names))
     keys = [r[1] for r in first]
     assert len(keys) == len(set(keys))
+
+
+def test_stream_outcomes_equal_batch(spark, tmp_path):
+    from sitecorpus.operators.responses import resolve_attempts
+    from sitecorpus.plans.frontier import ATTEMPT_ORDER, event_attempts
+    from sitecorpus.operators.responses import number_attempts
+    from sitecorpus.streaming.live import stream_outcomes
+
+    # captured attempts (numbered once, as the capture records them) land as parquet files
+    att = number_attempts(event_attempts(table(spark, SF_SMALL, "events")), 3, ATTEMPT_ORDER)
+    src = str(tmp_path / "attempts")
+    att.drop("event_id").write.parquet(src)
+    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+    name = "o_" + uuid.uuid4().hex[:8]
+    live = run_to_table(spark, stream_outcomes(stream), name, shared_path(spark, "streams", name))
+    batch = resolve_attempts(spark.read.parquet(src), with_body=False)
+    cols = ["url", "ok", "reason", "n_attempts", "from_refetch"]
+    assert sorted(map(tuple, live.select(cols).collect())) == sorted(map(tuple, batch.select(cols).collect()))
