@@ -25,10 +25,20 @@ DEFAULT_BLOCK_ROWS = 8192
 
 
 def tokens(col) -> Column:
+    """Lower-cased letter/digit runs as an array."""
     c = F.col(col) if isinstance(col, str) else col
     return F.regexp_extract_all(F.lower(c), F.lit(TERM_RX), 0)
 
 
+def term_rows(df: DataFrame, id_col: str, id_alias: str, text_col: str) -> DataFrame:
+    """``(id, term)`` rows, one per token occurrence: the lower-cased text is split on runs
+    of non-letter/digit characters and the empty edge pieces are dropped (the same terms as
+    :func:`tokens`, without materialising every regex match)."""
+    parts = F.split(F.lower(F.col(text_col)), r"[^\p{L}\p{N}]+")
+    return (df.select(F.col(id_col).alias(id_alias), F.explode(parts).alias("term"))
+            .filter(F.col("term") != ""))
+
+
 # ---- vector ---------------------------------------------------------------------------------
 
 def _topk_block(k: int, qid: str, cid: str):
@@ -122,7 +132,7 @@ def keyword_index(docs: DataFrame, doc_id: str = "doc_id", doc_text: str = "text
     (tokenizing happens once), plus ``idf (term, idf)`` with ``idf = ln(1 + N / df)`` and
     ``norms (doc_id, dn)`` with ``dn = sqrt(sum((tf * idf)^2))`` derived from it. All three
     are query-independent; materialize idf and norms too when many query sets reuse them."""
-    tf = (docs.select(F.col(doc_id).alias("doc_id"), F.explode(tokens(doc_text)).alias("term"))
+    tf = (term_rows(docs, doc_id, "doc_id", doc_text)
           .groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf")))
     tf = materialize(tf, "term-counts")
     n_docs = docs.count()
@@ -146,7 +156,7 @@ def keyword_scores(queries: DataFrame, docs: DataFrame | None = None, query_id:
     after a size check and the term counts stream through that join, so the postings of a
     heavy term are never shuffled onto one task."""
     tf, idf, norms = index if index is not None else keyword_index(docs, doc_id, doc_text)
-    q_terms = (queries.select(F.col(query_id).alias("query_id"), F.explode(tokens(query_text)).alias("term"))
+    q_terms = (term_rows(queries, query_id, "query_id", query_text)
                .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf")))
     qw = q_terms.join(idf, "term").select(
         "query_id", "term", "idf", (F.col("qtf") * F.col("idf")).alias("qw"))
