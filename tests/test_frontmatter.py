@@ -68,3 +68,30 @@ def test_render_language_rule(spark):
 def test_missing_corpus_folder_is_empty(spark, tmp_path):
     from sitecorpus.sources.corpus import read_markdown_corpus
     assert read_markdown_corpus(spark, str(tmp_path / "nope")).count() == 0
+
+
+def test_fast_path_agrees_with_pyyaml(spark):
+    """Random Unicode values rendered in the fixed layout: the parsed map (JVM fast path or
+    PyYAML slow path, chosen per row) equals what PyYAML reads from the same block."""
+    import random
+
+    import yaml
+
+    rng = random.Random(11)
+    pool = ("abcXYZ019 _-.:#&*!?%$@[]{}|>'\"\\\t/é漢ß😀  \u0085\x07"
+            "﻿")
+    vals = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 16))) for _ in range(300)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v string")
+    fm = df.select("i", render_frontmatter("v", F.lit("u"), F.lit("d"), F.lit(1), F.lit(""),
+                                           None, include_language=False).alias("raw"))
+    got = {r.i: (r.meta, r.fm_error) for r in parse_frontmatter(split_frontmatter(fm)).collect()}
+    for i, v in enumerate(vals):
+        block = f'title: "{v.replace(chr(34), chr(92) + chr(34))}"\nsource_url: "u"\ndomain: "d"\n' \
+                f'crawl_date: "1"\ndescription: ""'
+        try:
+            want = yaml.safe_load(block)
+        except yaml.YAMLError:
+            assert got[i][1] == "invalid_yaml", repr(v)
+            continue
+        meta, err = got[i]
+        assert err is None and meta["title"] == want["title"], repr(v)
