@@ -164,7 +164,7 @@ def keyword_scores(queries: DataFrame, docs: DataFrame | None = None, query_id:
     qnorm = qw.groupBy("query_id").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qn"))
     dots = (tf.join(qw, "term").groupBy("query_id", "doc_id")
             .agg(F.sum(F.col("tf") * F.col("idf") * F.col("qw")).alias("dot")))
-    scored = dots.join(F.broadcast(qnorm), "query_id").join(norms, "doc_id")
+    scored = dots.join(broadcast_if_small(qnorm), "query_id").join(norms, "doc_id")
     return scored.select("query_id", "doc_id", F.round(
         F.col("dot") / (F.col("qn") * F.col("dn")), SCORE_DIGITS).alias("keyword_score"))
 
