@@ -217,7 +217,8 @@ def retrieve(queries: DataFrame, docs: DataFrame, vectors: DataFrame, method: st
     elif method == "keyword" or (method == "hybrid" and weight <= 0.0):
         res = keyword_scores(queries, docs).withColumnRenamed("keyword_score", "score")
     else:
-        kw = keyword_scores(queries, docs)
+        # keyword scores feed both the candidate set and the fusion: written once
+        kw = materialize(keyword_scores(queries, docs), "keyword-scores")
         vt = vector_top_k(queries, vectors, k).select("query_id", "doc_id")
         cands = kw.select("query_id", "doc_id").unionByName(vt).distinct()
         vs = vector_scores(cands, queries, vectors)

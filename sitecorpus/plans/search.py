@@ -19,6 +19,7 @@ from sitecorpus.operators.retrieval import (
     TERM_RX, above, hybrid_scores, keyword_scores, retrieve, top_k, vector_scores, vector_top_k,
 )
 from sitecorpus.plans.catalog import register, table
+from sitecorpus.plans.sizing import materialize
 
 K_VECTOR = 2
 K_REPORT = 10
@@ -45,7 +46,8 @@ def _vectors(spark, sf_dir) -> DataFrame:
 
 def _hybrid(spark, sf_dir) -> DataFrame:
     q, d, v = _queries(spark, sf_dir), _docs(spark, sf_dir), _vectors(spark, sf_dir)
-    kw = keyword_scores(q, d)
+    # keyword scores feed both the candidate set and the fusion: written once
+    kw = materialize(keyword_scores(q, d), "keyword-scores")
     vt = vector_top_k(q.filter(F.col("embedding").isNotNull()), v, K_VECTOR).select("query_id", "doc_id")
     cands = kw.select("query_id", "doc_id").unionByName(vt).distinct()
     return hybrid_scores(vector_scores(cands, q, v), kw, WEIGHT)
