@@ -30,3 +30,29 @@ def test_preprocess(spark):
     df = spark.createDataFrame([("a  b\t\tc\n\n\n\nd https://x.y/z e@x.org",)], "t string")
     assert df.select(preprocess("t")).first()[0] == "a b c\n\nd https://x.y/z e@x.org"
     assert df.select(preprocess("t", urls_emails=True)).first()[0] == "a b c\n\nd "
+
+
+def _py_windows(n, max_tokens, overlap):
+    """The rule in plain Python: windows of max_tokens stepping max_tokens - overlap, up to
+    the first window that reaches the end of the segment."""
+    out, start = [], 0
+    while True:
+        end = min(start + max_tokens, n)
+        out.append((start, end - start))
+        if end >= n:
+            return out
+        start += max_tokens - overlap
+
+
+@pytest.mark.parametrize("max_tokens,overlap", [(512, 50), (7, 3), (5, 0), (2, 1)])
+def test_windows_match_python_rule(spark, max_tokens, overlap):
+    import random
+    rng = random.Random(max_tokens * 31 + overlap)
+    lengths = [rng.randint(1, 3 * max_tokens + 5) for _ in range(40)]
+    df = spark.createDataFrame([(i, " ".join("t" for _ in range(n))) for i, n in enumerate(lengths)],
+                               "doc_id long, text string")
+    got = {}
+    for r in children(df, max_tokens=max_tokens, overlap=overlap).collect():
+        got.setdefault(r.doc_id, []).append((r.piece_no, r.token_start, r.n_tokens))
+    for i, n in enumerate(lengths):
+        assert [(s, c) for _, s, c in sorted(got[i])] == _py_windows(n, max_tokens, overlap), n
