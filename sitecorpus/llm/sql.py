@@ -8,7 +8,7 @@ WITH RECURSIVE w AS (
          'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS words FROM documents),
 s AS (
   SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [words] ELSE list_distinct(
-         list_transform(range(1, len(words) - 1), i -> words[i:i + 2])) END AS grams FROM w),
+         list_transform(range(1, len(words) - 1), lambda i: words[i:i + 2])) END AS grams FROM w),
 sets AS (SELECT doc_id, grams, len(grams) AS n FROM s),
 heads AS (SELECT min(doc_id) AS id, any_value(n) AS n, list_sort(grams) AS g, list(doc_id) AS members
           FROM sets WHERE n > 0 GROUP BY list_sort(grams)),
