@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from sitecorpus.llm.components import components
 from sitecorpus.llm.hash_counts import chunked, text_bytes, with_counts
 from sitecorpus.llm.stored import store
-from sitecorpus.llm.words import Batch, distinct_per_text, mix, numbered
+from sitecorpus.llm.words import LOWER, Batch, distinct_per_text, mix, numbered
 
 NEAR = 8              # following sets that a posting pairs with
 POSTING_BLOCK = 512   # postings that are ordered together, about
@@ -42,7 +42,7 @@ def _sets(docs: DataFrame, n: int, num: int, den: int, lower: bool, key: str, te
     salt = numbered(2, 77)
 
     def hashes(part: pd.DataFrame):
-        batch = Batch(part["text"], lower=lower)
+        batch = Batch(part["text"], LOWER if lower else None)
         h, _, owner = batch.windows(n, short=True)
         h, owner = distinct_per_text(h, owner)
         return (h, owner), h

@@ -24,3 +24,28 @@ def op5(spark, sf_dir):
     from sitecorpus.llm.substring_dedup import remove_repeats
     rest = remove_repeats(_table(spark, sf_dir, "documents"))
     return rest.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op10_token_counts")
+def op10(spark, sf_dir):
+    import public_tokenizers
+    from sitecorpus.llm.token_counts import count_tokens
+    return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register("op3_toxicity")
+def op3(spark, sf_dir):
+    from sitecorpus.llm.folds import held_out
+    from sitecorpus.llm.toxicity import fit_fold, score_toxicity
+    docs = _table(spark, sf_dir, "documents")
+    machine = fit_fold(docs, _table(spark, sf_dir, "labels"))
+    return score_toxicity(docs.withColumn("held_out", held_out("doc_id")), machine, keep=["held_out"])
+
+
+@register("op4_language_id")
+def op4(spark, sf_dir):
+    from sitecorpus.llm.folds import held_out
+    from sitecorpus.llm.language_id import fit_fold, identify
+    docs = _table(spark, sf_dir, "documents")
+    found = identify(docs.withColumn("held_out", held_out("doc_id")), fit_fold(docs), keep=["held_out"])
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans"))

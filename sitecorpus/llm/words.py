@@ -16,7 +16,10 @@ import numpy as np
 BASE = np.uint64(0x9E3779B97F4A7C13)          # odd, 3 modulo 8
 WINDOW_BASE = np.uint64(0xD1342543DE82EF9B)   # odd, 3 modulo 8
 BLOCK = 1 << 20                               # bytes hashed at once
-_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+#: Byte tables: A-Z to a-z; that, and every other ASCII byte but letters (and digits) to a space.
+LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in LOWER)
+ALNUM = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in LOWER)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -75,8 +78,9 @@ def _blocks(raw: np.ndarray):
         at = end
 
 
-def word_hashes(raw: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end (exclusive) and 64-bit hash of each word of the bytes."""
+def word_hashes(raw: np.ndarray, seed: int = 0, head: int = 0) -> tuple[np.ndarray, ...]:
+    """Start, end (exclusive) and 64-bit hash of each word of the bytes, and the hash of its first
+    ``head`` bytes."""
     table, out = _table(seed), []
     for offset, block in _blocks(raw):
         sep = _SEPARATOR[block]
@@ -92,25 +96,27 @@ def word_hashes(raw: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray,
         total = np.empty(len(block) + 1, np.uint64)
         total[0] = 0
         np.cumsum(table[block] * up[:len(block)], out=total[1:])
-        out.append((start + offset, end + offset, mix((total[end] - total[start]) * down[start])))
+        short = np.minimum(end, start + head)
+        out.append((start + offset, end + offset, mix((total[end] - total[start]) * down[start]),
+                    mix((total[short] - total[start]) * down[start])))
     if not out:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 class Batch:
     """The words of a batch of texts: ``hash`` of every word in order, and ``first``, the index
-    of each text's first word (with the total at the end)."""
+    of each text's first word (with the total at the end). ``table`` maps the bytes first."""
 
-    def __init__(self, texts, lower: bool = False, seed: int = 0):
+    def __init__(self, texts, table: bytes | None = None, seed: int = 0, head: int = 0):
         raws = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-        if lower:
-            raws = [r.translate(_LOWER) for r in raws]
+        if table:
+            raws = [r.translate(table) for r in raws]
         self.raws = raws
         self.offsets = np.zeros(len(raws) + 1, np.int64)
         np.cumsum([len(r) + 1 for r in raws], out=self.offsets[1:])
         self.raw = np.frombuffer(b"\n".join([*raws, b""]), np.uint8)
-        self.start, self.end, self.hash = word_hashes(self.raw, seed)
+        self.start, self.end, self.hash, self.head = word_hashes(self.raw, seed, head)
         self.first = np.searchsorted(self.start, self.offsets)
 
     @property
