@@ -49,3 +49,25 @@ def op4(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     found = identify(docs.withColumn("held_out", held_out("doc_id")), fit_fold(docs), keep=["held_out"])
     return found.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+@register("op2_secret_scans", sql.SECRET_SCANS)
+def op2(spark, sf_dir):
+    from sitecorpus.llm.secret_scans import digest, find_secrets
+    found, _ = find_secrets(_table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", *[count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+                        F.sha2(digest(F.col("spans")), 256).alias("base_sha256"), digest(F.col("spans")).alias("spans"))
+
+
+@register("op6_document_fingerprints")
+def op6(spark, sf_dir):
+    from sitecorpus.llm.fingerprints import compare_with_edits
+    return compare_with_edits(_table(spark, sf_dir, "documents"))
+
+
+@register("op7_source_mixing", sql.SOURCE_MIXING)
+def op7(spark, sf_dir):
+    from sitecorpus.llm.source_mixing import mix
+    return mix(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))

@@ -37,3 +37,30 @@ SELECT w.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::B
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)
 """
+
+_ASSIGN = (r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|"""
+           r"""[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def _kind(kind: str, rank: int, pattern: str, group: int, least: int) -> str:
+    return rf"""
+{kind}_m AS (SELECT doc_id, regexp_split_to_array(t, '{pattern}') AS gaps, regexp_extract_all(t, '{pattern}') AS hits,
+             regexp_extract_all(t, '{pattern}', {group}) AS part FROM d WHERE regexp_matches(t, '{pattern}')),
+{kind}_p AS (SELECT doc_id, unnest(range(1, len(hits) + 1)) AS i, gaps, hits, part FROM {kind}_m),
+{kind}_s AS (SELECT doc_id, '{kind}' AS kind, {rank} AS rank,
+             list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1],
+             lambda x: length(x))), 0) AS s, length(hits[i]) AS n FROM {kind}_p WHERE length(part[i]) >= {least})"""
+
+
+SECRET_SCANS = "WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)," + ",".join((
+    _kind("assign", 0, _ASSIGN, 1, 12), _kind("access", 1, "AKIA[A-Z0-9]+", 0, 18), _kind("hex", 2, "[0-9a-f]+", 0, 16))) + """,
+u AS (SELECT * FROM assign_s UNION ALL SELECT * FROM access_s UNION ALL SELECT * FROM hex_s),
+g AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS k,
+      count(*) FILTER (kind = 'hex') AS h,
+      string_agg(kind || ':' || s::BIGINT || ':' || (s + n)::BIGINT, ',' ORDER BY s, rank) AS spans FROM u GROUP BY doc_id)
+SELECT d.doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(h, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (doc_id)
+"""
+
+SOURCE_MIXING = None
