@@ -71,3 +71,9 @@ def op7(spark, sf_dir):
     from sitecorpus.llm.source_mixing import mix
     return mix(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@register("op8_nearest_neighbours")
+def op8(spark, sf_dir):
+    from sitecorpus.llm.ann import nearest
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
