@@ -48,6 +48,16 @@ def unpack(data: bytes) -> np.ndarray:
     return np.cumsum(steps)
 
 
+def _small(totals: np.ndarray) -> bytes:
+    """Totals in four bytes each if they fit, after a byte that tells."""
+    kind = np.uint32 if totals.max(initial=0) < 1 << 32 else np.int64
+    return bytes([np.dtype(kind).itemsize]) + totals.astype(kind).tobytes()
+
+
+def _large(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint32 if data[0] == 4 else np.int64, offset=1)
+
+
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
 
@@ -99,7 +109,7 @@ def with_counts(chunks: DataFrame, size: int, hashes: Callable, receive: Callabl
         for end, k, chunk, fragment in zip(ends, rows["n"], rows["chunk"], rows["fragment"], strict=True):
             own = total[end - k:end]
             out.append((int(chunk), int(fragment), int(k), np.packbits(own > 1).tobytes(),
-                        own[own > 1].tobytes() if totals else b""))
+                        _small(own[own > 1]) if totals else b""))
         return pd.DataFrame(out, columns=["chunk", "fragment", "n", "bits", "totals"])
 
     def take(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
@@ -114,8 +124,7 @@ def with_counts(chunks: DataFrame, size: int, hashes: Callable, receive: Callabl
         total = None
         if totals:
             total = np.ones(len(h), np.int64)
-            total[repeated] = np.concatenate(
-                [np.empty(0, np.int64), *(np.frombuffer(x, np.int64) for x in answers["totals"])])
+            total[repeated] = np.concatenate([np.empty(0, np.int64), *map(_large, answers["totals"])])
         return receive(rows, state, h, repeated, total)
 
     sent = chunks.groupBy("chunk").applyInPandas(

@@ -26,7 +26,7 @@ from sitecorpus.llm.hash_counts import chunked, text_bytes, with_counts
 from sitecorpus.llm.stored import store
 from sitecorpus.llm.words import LOWER, Batch, distinct_per_text, mix, numbered
 
-NEAR = 8              # following sets that a posting pairs with
+NEAR = 4              # following sets that a posting pairs with
 POSTING_BLOCK = 512   # postings that are ordered together, about
 BLOCK_GRAMS = 1 << 17  # n-grams of the sets in a block, about
 N_FRAGMENTS = 8

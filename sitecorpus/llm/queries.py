@@ -77,3 +77,15 @@ def op7(spark, sf_dir):
 def op8(spark, sf_dir):
     from sitecorpus.llm.ann import nearest
     return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@register("op9_sentencepiece_sampling")
+def op9(spark, sf_dir):
+    import public_tokenizers
+    from sitecorpus.llm.piece_sampling import decode, encode
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = _table(spark, sf_dir, "documents")
+    rows = encode(docs, path, keep=["text"]).select("doc_id", "text", F.posexplode("samples").alias("sample", "s"))
+    return decode(rows.select("*", "s.*"), path, "ids", "decoded").select(
+        "doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"), "log_p", "perturbed", "inclusion",
+        F.xxhash64("ids").alias("ids_hash"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
