@@ -79,7 +79,7 @@ class Vocabulary:
 
     def edges(self, code: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
         """Start, end, piece (-1: bytes of one character) and weight of all edges over concatenated
-        words; ``end`` is where each character's word ends. Sorted by start."""
+        words; ``end`` is where each character's word ends. By start, long ones first."""
         letter = self.letter[code].astype(np.int64)
         at, state, found, length = np.arange(len(code)), np.zeros(len(code), np.int64), [], 0
         while len(at):
@@ -98,14 +98,14 @@ class Vocabulary:
                 found.append((lone, lone + 1, np.full(len(lone), -1), self.byte_weight * size))
             more = at + length < end[at]
             at, state = at[more], state[more]
-        start, to, piece, weight = (np.concatenate(x) for x in zip(*found, strict=True))
+        start, to, piece, weight = (np.concatenate(x) for x in zip(*found[::-1], strict=True))
         order = np.argsort(start, kind="stable")
         return start[order], to[order], piece[order].astype(np.int32), weight[order]
 
 
 class Lattices:
     """Lattices of words in flat arrays. Node i of a word is before its i-th character; each node's
-    edges are consecutive, likely ones first, with their log-probability given the node and the
+    edges are consecutive, long ones first (a draw then looks at few), with their log-probability given the node and the
     running sum of the probabilities."""
 
     def __init__(self, vocabulary: Vocabulary):
@@ -150,8 +150,6 @@ class Lattices:
             reps = np.diff(np.concatenate((head, [len(e)])))
             rest[start[e][head] + word[e][head]] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, reps)), head))
         p = np.exp(weight + rest[to + word] - rest[start + word])
-        order = np.lexsort((-p, start))  # likely edges first: a draw looks at few
-        to, piece, word, p = to[order], piece[order], word[order], p[order]
         head = np.flatnonzero(np.diff(start, prepend=-1))
         reps = np.diff(np.concatenate((head, [len(start)])))
         total = np.cumsum(p)
@@ -162,13 +160,14 @@ class Lattices:
         edge_of, fan = np.zeros(len(rest), np.int64), np.zeros(len(rest), np.int32)
         edge_of[start[head] + word[head]] = head + self.n_edges
         fan[start[head] + word[head]] = reps
-        new = (run, start + word + self.nodes, to + word + self.nodes, piece, np.log(p), last, edge_of, fan,
-               np.where(piece < 0, code[start], 0))
+        spelled = np.where(piece < 0, -1 - code[start], piece).astype(np.int32)
+        new = (run, (start + word + self.nodes).astype(np.int32), (to + word + self.nodes).astype(np.int32),
+               spelled, np.log(p), last, edge_of, fan)
         self.number.update(zip(words, (first[:-1] + np.arange(len(words)) + self.nodes).tolist()))
         self.nodes += len(last)
         self.n_edges += len(start)
         self.arrays = tuple(map(np.concatenate, zip(self.arrays, new, strict=True))) if self.arrays else new
-        self.run, self.start, self.to, self.piece, self.log_p, self.last, self.edge_of, self.fan, self.code = self.arrays
+        self.run, self.start, self.to, self.piece, self.log_p, self.last, self.edge_of, self.fan = self.arrays
 
     def draw(self, node: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Edges of a path from each node to the end of its word, and how many; ``seed`` gives the
@@ -246,20 +245,13 @@ class Sampler:
         queue, taken, start, shut, shut_p = [], [], 0, (), 0.0
         while True:
             log_p = lat.log_p[path]
-            before = np.cumsum(log_p) - log_p
             taken.append((path, float(log_p.sum()), float(value)))
             # split what is left of the set that this path was the best of
-            other = -np.expm1(log_p[start:])
-            if shut:
-                other[0] -= shut_p
-            lone = lat.fan[lat.start[path[start:]]] <= 1
-            if shut:
-                lone[0] = lat.fan[lat.start[path[start]]] <= len(shut) + 1
-            with np.errstate(divide="ignore"):
-                size = np.where(lone | (other <= 1e-15), -np.inf, before[start:] + np.log(np.maximum(other, 1e-300)))
+            size = self._rest(path[start:], log_p[start:], float(log_p[:start].sum()), len(shut), shut_p)
             u = _uniform(salt[3 * len(taken)] + mix(np.arange(len(size), dtype=np.uint64)))
-            perturbed = size - np.log(np.exp(np.minimum(size - value, 700)) - np.log(u))
-            perturbed[~np.isfinite(size)] = -np.inf
+            perturbed = np.full(len(size), -np.inf)
+            some = np.isfinite(size)
+            perturbed[some] = size[some] - np.log(np.exp(np.minimum(size[some] - value, 700)) - np.log(u[some]))
             top = np.argpartition(-perturbed, min(self.k, len(size) - 1))[:self.k + 1]
             for t in top[np.isfinite(perturbed[top])]:
                 there = (*shut, path[start]) if t == 0 else (path[start + t],)
@@ -275,6 +267,27 @@ class Sampler:
                      inclusion=float(-np.expm1(-np.exp(min(log_p - bound, 700)))) if queue else 1.0)
                 for path, log_p, value in taken]
 
+    def _rest(self, path, log_p, before: float, n_shut: int, shut_p: float) -> np.ndarray:
+        """Log-probability of the segmentations that share the edges before each place and differ
+        there, from the first place to the last that can be among the k + 1 taken next: -log u lies
+        between 2**-54 and 38, so a set of exp(-42) times another's probability stays behind it."""
+        lat, before, n = self.lattices, before + np.cumsum(log_p) - log_p, 256
+        while True:
+            other = -np.expm1(log_p[:n])
+            fan = lat.fan[lat.start[path[:n]]].copy()
+            other[0] -= shut_p
+            fan[0] -= n_shut
+            some = (fan > 1) & (other > 1e-15)
+            size = np.full(len(other), -np.inf)
+            size[some] = before[:n][some] + np.log(other[some])
+            if n >= len(path):
+                return size
+            bound = np.partition(size, -self.k - 1)[-self.k - 1] - 42
+            need = int(np.searchsorted(-before, -bound, "right")) if np.isfinite(bound) else 2 * n
+            if need <= n:
+                return size
+            n = need
+
     def _leave(self, path, ends, at, shut, node, salt) -> tuple[np.ndarray, np.ndarray]:
         """A path that shares the edges before ``at``, takes there none of ``shut``, and goes on
         at random; and where its words end."""
@@ -297,7 +310,7 @@ class Sampler:
             return ids
         out, last = [], 0
         for i in lone:
-            letter = chr(int(self.lattices.code[path[i]])).encode("utf-8", "surrogatepass")
+            letter = chr(-1 - int(ids[i])).encode("utf-8", "surrogatepass")
             out += [ids[last:i], self.vocabulary.byte_ids[list(letter)]]
             last = i + 1
         return np.concatenate([*out, ids[last:]]).astype(np.int32)
