@@ -30,7 +30,7 @@ NEAR = 4              # following sets that a posting pairs with
 POSTING_BLOCK = 512   # postings that are ordered together, about
 BLOCK_GRAMS = 1 << 17  # n-grams of the sets in a block, about
 N_FRAGMENTS = 8
-NODES = "row long, doc_id string, text_key long, n_shingles long, set_id string, rare int, grams array<long>"
+NODES = "row long, doc_id string, row_key long, n_shingles long, set_id string, rare int, grams array<long>"
 
 
 def _sets(docs: DataFrame, n: int, num: int, den: int, lower: bool, key: str, text: str) -> DataFrame:
@@ -38,7 +38,7 @@ def _sets(docs: DataFrame, n: int, num: int, den: int, lower: bool, key: str, te
     the prefix has) only where a link to another document is possible."""
     size = text_bytes(docs, text)
     chunks = chunked(docs, [F.col(key).cast("string").alias("doc_id"), F.col(text).alias("text"),
-                            F.xxhash64(text).alias("text_key")], [key, text], size)
+                            F.xxhash64(key, text).alias("row_key")], [key, text], size)
     salt = numbered(2, 77)
 
     def hashes(part: pd.DataFrame):
@@ -56,7 +56,7 @@ def _sets(docs: DataFrame, n: int, num: int, den: int, lower: bool, key: str, te
         shared = np.bincount(owner[repeated[at]], minlength=docs_n)
         need = -(-num * size_of // den)
         out = []
-        for i, (doc, tk) in enumerate(zip(part["doc_id"], part["text_key"], strict=True)):
+        for i, (doc, tk) in enumerate(zip(part["doc_id"], part["row_key"], strict=True)):
             a, b = first[i], first[i + 1]
             grams, rare, set_id = None, None, None
             if size_of[i] and shared[i] >= need[i]:
@@ -67,7 +67,7 @@ def _sets(docs: DataFrame, n: int, num: int, den: int, lower: bool, key: str, te
                 grams = own[np.lexsort((own, t))].view(np.int64)
                 rare = int(shared[i] - need[i] + 1)
             out.append((int(part["chunk"].iat[0]) << 32 | i, doc, tk, int(size_of[i]), set_id, rare, grams))
-        return pd.DataFrame(out, columns=["row", "doc_id", "text_key", "n_shingles", "set_id", "rare", "grams"]
+        return pd.DataFrame(out, columns=["row", "doc_id", "row_key", "n_shingles", "set_id", "rare", "grams"]
                             ).astype({"rare": "Int32"})
 
     sets = with_counts(chunks, size, hashes, receive, NODES, totals=True)
@@ -172,8 +172,8 @@ def jaccard_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, lower:
                     key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles (size of its set of ``n``-word shingles;
     a shorter text is one shingle), component_id (smallest doc_id reachable by links), ``kept``
-    (true for one row of each component) and ``text_key`` (a hash that tells rows of one doc_id
-    apart). Two documents link when the Jaccard similarity of their sets is ``threshold`` (two
+    (true for one row of each component) and ``row_key`` (a hash of key and text, the
+    same for repeated rows only). Two documents link when the Jaccard similarity of their sets is ``threshold`` (two
     decimals) or more.
 
     A text without words (or null) has an empty set, links with nothing and is kept. Rows with a
@@ -201,4 +201,4 @@ def jaccard_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, lower:
     out = sets.drop("grams").join(classes, "set_id", "left")
     return out.select("doc_id", "n_shingles",
                       F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-                      (F.col("set_id").isNull() | (F.col("best") == F.col("row"))).alias("kept"), "text_key")
+                      (F.col("set_id").isNull() | (F.col("best") == F.col("row"))).alias("kept"), "row_key")

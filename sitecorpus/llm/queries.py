@@ -89,3 +89,11 @@ def op9(spark, sf_dir):
     return decode(rows.select("*", "s.*"), path, "ids", "decoded").select(
         "doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"), "log_p", "perturbed", "inclusion",
         F.xxhash64("ids").alias("ids_hash"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
+@register("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir).select(
+        "doc_id", "source", F.size("samples").alias("n_samples"),
+        F.aggregate("samples", F.lit(0).cast("long"), lambda n, s: n + F.size(s["ids"])).alias("n_pieces"))

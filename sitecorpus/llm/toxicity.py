@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sitecorpus.llm.folds import by_value, held_out
 from sitecorpus.llm.words import ALNUM, Batch, distinct_per_text
@@ -128,6 +128,17 @@ def fit(rows: DataFrame, shares: dict[int, float], key: str = "doc_id", text: st
     return machine
 
 
+def scorer(spark: SparkSession, machine: Machine):
+    """The machine's score of a text column."""
+    model = spark.sparkContext.broadcast(machine)
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.value.score(texts))
+
+    return score
+
+
 def score_toxicity(docs: DataFrame, machine: Machine, key: str = "doc_id", text: str = "text",
                    keep: list[str] | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, the ``keep`` columns, score (0 to 1) and predicted
@@ -135,12 +146,7 @@ def score_toxicity(docs: DataFrame, machine: Machine, key: str = "doc_id", text:
 
     A null or empty text has no terms and gets the constant term's score. Repeated rows and null
     keys stay; other columns are ignored; an empty table gives an empty result."""
-    model = docs.sparkSession.sparkContext.broadcast(machine)
-
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.value.score(texts))
-
+    score = scorer(docs.sparkSession, machine)
     out = docs.select(F.col(key).alias("doc_id"), *(keep or []), score(text).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
