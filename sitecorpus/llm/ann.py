@@ -35,6 +35,9 @@ def _near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
+    """Up to k centroids, whatever the order of the rows."""
+    if not x.shape[1]:
+        return np.zeros((1, 0))
     x = x[np.lexsort(x.T)]
     distinct = np.unique(x, axis=0)
     centers = distinct[np.random.default_rng(5).permutation(len(distinct))[:k]]

@@ -157,7 +157,8 @@ def fit(rows: DataFrame, lang: str = "lang", text: str = "text") -> Model:
                 slots = np.bincount(_trigrams(batch), minlength=SLOTS)
                 words = np.bincount(_scripts(batch), minlength=len(SCRIPTS))
                 seen[name] = seen.get(name, 0) + np.concatenate((slots, words))
-        yield pd.DataFrame({"lang": list(seen), "counts": [c.astype(np.int64).tobytes() for c in seen.values()]})
+        if seen:
+            yield pd.DataFrame({"lang": list(seen), "counts": [c.astype(np.int64).tobytes() for c in seen.values()]})
 
     def add(part):
         total = sum(np.frombuffer(c, np.int64) for c in part["counts"])

@@ -220,6 +220,8 @@ class Sampler:
         lat = self.lattices
         words = [_WORD.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         count = np.array([len(w) for w in words])
+        if not count.any():
+            return [[dict(ids=np.empty(0, np.int32), log_p=0.0, perturbed=0.0, inclusion=1.0)] for _ in texts]
         node = lat.of([w for ws in words for w in ws])
         first = np.concatenate(([0], np.cumsum(count)))
         base = mix(keys.astype(np.uint64) ^ mix(np.full(len(keys), self.seed)))

@@ -26,6 +26,12 @@ def n_words(text: str) -> Column:
         parts - F.when(trimmed.rlike(r"[\x20\x09-\x0D]\z"), 1).otherwise(0)).cast("long")
 
 
+def _draw(seed: int, key: Column) -> Column:
+    """A number from 0 to below 1: the first 52 bits of an MD5 hash."""
+    digest = F.md5(F.concat_ws(":", F.lit(seed), key).cast("binary"))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+
+
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
     """(source, source_size, target) for (source, source_size), one row per source.
 
@@ -61,12 +67,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOS
     source of such texts alone has target 0 and gives no copies. Repeated rows are drawn alike; a
     null key is drawn by its text. An empty table gives an empty result."""
     rows = docs.select(F.col(key).alias("doc_id"), *(keep or []), F.col(source).alias("source"), n_words(text).alias("size"),
-                       F.xxhash64(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.col(text))).alias("draw"))
+                       _draw(seed, F.coalesce(F.col(key).cast("string"), F.col(text))).alias("draw"))
     if not keep:
         rows = store(rows, "mix-sizes")  # narrow: the texts are read once
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     rates = store(targets(sizes, weights, most), "mix-targets").withColumnRenamed("source", "of")
     out = rows.join(rates, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(most))).otherwise(0.0)
-    part = F.pmod(F.col("draw"), F.lit(1 << 52)) / F.lit(float(1 << 52))
-    return out.withColumn("copies", (F.floor(rate) + (part < rate - F.floor(rate)).cast("long"))).drop("draw")
+    return out.withColumn("copies", (F.floor(rate) + (F.col("draw") < rate - F.floor(rate)).cast("long"))).drop("draw")

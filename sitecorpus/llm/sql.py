@@ -63,4 +63,18 @@ SELECT d.doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesc
 FROM d LEFT JOIN g USING (doc_id)
 """
 
-SOURCE_MIXING = None
+SOURCE_MIXING = rf"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS n, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
+      WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END::DOUBLE AS w FROM d GROUP BY source),
+edge AS (SELECT a.source, 3.0 * a.n / a.w AS r, sum(least(3.0 * b.n, 3.0 * a.n / a.w * b.w)) AS given
+         FROM s a, s b GROUP BY a.source, a.n, a.w),
+held AS (SELECT coalesce(max(r), -1) AS r FROM edge WHERE given <= (SELECT sum(n) FROM s)),
+level AS (SELECT (SELECT sum(n) FROM s) - coalesce(sum(3.0 * n) FILTER (3.0 * n / w <= r), 0) AS remains,
+                 sum(w) FILTER (3.0 * n / w > r) AS weight FROM s, held),
+t AS (SELECT source, n, least(3.0 * n, coalesce(remains / weight * w, 3.0 * n))::DOUBLE AS target FROM s, level),
+r AS (SELECT *, CASE WHEN n > 0 THEN least(target / n, 3.0) ELSE 0 END AS rate FROM t)
+SELECT d.doc_id, d.size, r.n AS source_size, r.target, d.size * (floor(rate)::BIGINT + CASE WHEN
+       ('0x' || substr(md5('20:' || d.doc_id), 1, 13))::BIGINT / 4503599627370496.0 < rate - floor(rate) THEN 1 ELSE 0 END) AS taken
+FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
+"""
