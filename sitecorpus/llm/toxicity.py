@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sitecorpus.llm.folds import by_value, held_out
-from sitecorpus.llm.words import ALNUM, Batch, distinct_per_text
+from sitecorpus.llm.words import ALNUM, Batch, distinct_per_text, in_parts
 
 BITS, HEAD, FACTORS = 18, 4, 6
 MAX_ROWS = 8_000    # labelled rows the model is fitted on, about
@@ -28,14 +28,20 @@ MAX_SLOTS = 4_096
 EPOCHS, RATE, PENALTY = 12, 0.2, 1e-4
 
 
-def slots(texts) -> tuple[np.ndarray, np.ndarray, int]:
-    """Distinct (slot, text) pairs of the texts, by text, and how many texts there are."""
-    batch = Batch(texts, ALNUM, head=HEAD)
-    owner = np.repeat(np.arange(len(batch.raws)), batch.n_words)
-    shift = np.uint64(64 - BITS)
-    slot = np.concatenate((batch.hash >> shift, (batch.head ^ np.uint64(0x5555 << 44)) >> shift))
-    slot, owner = distinct_per_text(slot.astype(np.int64), np.concatenate((owner, owner)))
-    return slot, owner, len(batch.raws)
+def slots(texts, place: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (slot, text) pairs of the texts, by text; with ``place``, of the slots that have
+    one. A few texts at a time, so memory does not follow the batch."""
+    shift, found = np.uint64(64 - BITS), []
+    for at, part in in_parts(texts):
+        batch = Batch(part, ALNUM, head=HEAD)
+        owner = np.repeat(np.arange(len(part), dtype=np.int32), batch.n_words)
+        for h in (batch.hash >> shift, (batch.head ^ np.uint64(0x5555 << 44)) >> shift):
+            slot = h.astype(np.int32)
+            kept = slice(None) if place is None else np.flatnonzero(place[slot] > 0)
+            found.append((slot[kept], owner[kept] + at))
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return distinct_per_text(*(np.concatenate(x).astype(np.int64) for x in zip(*found, strict=True)))
 
 
 class Machine:
@@ -85,8 +91,7 @@ class Machine:
                 self.v -= RATE / 4 * dv / np.sqrt(gv)
 
     def score(self, texts) -> np.ndarray:
-        slot, owner, n = slots(texts)
-        z, _ = self.sums(*self.active(slot, owner), n)
+        z, _ = self.sums(*self.active(*slots(texts, self.place)), len(texts))
         return 1 / (1 + np.exp(-np.clip(z + self.prior, -30, 30)))
 
 
@@ -98,8 +103,8 @@ def fit(rows: DataFrame, shares: dict[int, float], key: str = "doc_id", text: st
 
     def terms(parts):
         for part in parts:
-            slot, owner, n = slots(part[text])
-            first = np.searchsorted(owner, np.arange(n + 1))
+            slot, owner = slots(part[text])
+            first = np.searchsorted(owner, np.arange(len(part) + 1))
             yield pd.DataFrame({"label": part[label].to_numpy(), "order": part[key].astype(str),
                                 "slots": [slot[a:b].astype(np.int32).tobytes()
                                           for a, b in zip(first, first[1:])]})

@@ -143,6 +143,18 @@ class Batch:
         return h, at, owner
 
 
+def in_parts(texts, size: int = 1 << 20):
+    """Consecutive texts of about ``size`` characters together (one longer text is a part of its
+    own), with the first one's number."""
+    texts = list(texts)
+    at = total = 0
+    for i, text in enumerate(texts):
+        total += len(text or "")
+        if total >= size or i + 1 == len(texts):
+            yield at, texts[at:i + 1]
+            at, total = i + 1, 0
+
+
 def distinct_per_text(h: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct (text, hash) pairs, by text and then hash."""
     order = np.lexsort((h, owner))
