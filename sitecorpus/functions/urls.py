@@ -11,6 +11,11 @@ from pyspark.sql import Column, functions as F
 # scheme, authority, path (query and fragment excluded)
 URL_RX = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)"
 
+_H, _V4 = "[0-9A-Fa-f]{1,4}", r"(?:\d{1,3}\.){3}\d{1,3}"
+# Eight groups, or fewer around one "::", the last two possibly as IPv4; or "v<hex>.<text>".
+BRACKETED = (rf"^(?:(?:{_H}:){{6}}(?:{_H}:{_H}|{_V4})|(?=(?:[^:]*:){{2,7}}[^:]*$)(?!.*::.*::)(?!.*:::)"
+             rf"(?:{_H}(?::{_H})*)?::(?:(?:{_H}:)*(?:{_H}|{_V4}))?)(?:%.+)?$|^v[0-9A-Fa-f]+\..+$")
+
 # Schemes whose last path segment carries ";params" that urlparse splits off.
 PARAM_SCHEMES = ["", "ftp", "hdl", "prospero", "http", "imap", "https", "shttp", "rtsp",
                  "rtspu", "sip", "sips", "mms", "sftp", "tel"]
@@ -20,8 +25,14 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _clean(u: Column) -> Column:
+    """As Python's urlparse reads it: without leading control characters and spaces, and without
+    tabs and line breaks anywhere."""
+    return F.regexp_replace(F.regexp_replace(u, r"[\t\r\n]", ""), r"^[\x00-\x20]+", "")
+
+
 def url_parts(col) -> tuple[Column, Column, Column]:
-    u = _c(col)
+    u = _clean(_c(col))
     return (F.lower(F.regexp_extract(u, URL_RX, 1)), F.regexp_extract(u, URL_RX, 2),
             F.regexp_extract(u, URL_RX, 3))
 
@@ -46,13 +57,19 @@ def url_filename(col) -> Column:
 
 
 def url_error(col) -> Column:
-    """``bad_url`` when the authority has an unbalanced IPv6 bracket (urlparse raises)."""
+    """``bad_url`` where urlparse raises: an unbalanced bracket in the authority, or brackets that
+    hold no IPv6 address (or v-form address)."""
     _, netloc, _ = url_parts(col)
     lb, rb = netloc.contains("["), netloc.contains("]")
-    return F.when(lb != rb, F.lit("bad_url"))
+    inner = F.regexp_extract(netloc, r"\[([^\]]*)", 1)
+    return F.when((lb != rb) | (lb & ~inner.rlike(BRACKETED)), F.lit("bad_url"))
 
 
 # DuckDB twins for oracle SQL.
+def sql_clean_url(expr: str) -> str:
+    return f"regexp_replace(regexp_replace({expr}, '[\\t\\r\\n]', '', 'g'), '^[\\x00-\\x20]+', '')"
+
+
 def sql_domain(expr: str) -> str:
     return f"replace(regexp_extract({expr}, '{URL_RX}', 2), 'www.', '')"
 

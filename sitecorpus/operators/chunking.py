@@ -48,9 +48,11 @@ def token_count(col) -> Column:
 
 def parents(df: DataFrame, text_col: str = "text", max_parent_tokens: int | None = None) -> DataFrame:
     """Full-document parents: ``parent_text`` and ``n_tokens``; with ``max_parent_tokens``
-    the parent is cut into windows the way :func:`children` cuts (no overlap)."""
+    each line of it is cut into windows the way :func:`children` cuts (no overlap), one parent
+    each, numbered by ``seg_no`` and ``piece_no``."""
     if max_parent_tokens is not None:
-        return children(df, text_col, sep="\n", max_tokens=max_parent_tokens, overlap=0)
+        return children(df, text_col, sep="\n", max_tokens=max_parent_tokens, overlap=0).select(
+            "doc_id", "seg_no", "piece_no", F.col("text").alias("parent_text"), "n_tokens")
     return df.select("*", F.col(text_col).alias("parent_text"),
                      token_count(F.col(text_col)).alias("n_tokens"))
 

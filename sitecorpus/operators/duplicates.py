@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from sitecorpus.functions.text import slug
-from sitecorpus.plans.sizing import broadcast_if_small
 
 
 def with_title_key(df: DataFrame, meta_col: str = "meta", stem_col: str = "stem",
@@ -35,19 +34,17 @@ def with_title_key(df: DataFrame, meta_col: str = "meta", stem_col: str = "stem"
     return out.withColumn("error", err)
 
 
-def latest_pages(df: DataFrame, key: str = "filename", order: str = "url_index",
-                 max_broadcast_rows: int | None = None) -> DataFrame:
+def latest_pages(df: DataFrame, key: str = "filename", order: str = "url_index") -> DataFrame:
     """For each ``key`` keep only the row with the greatest ``order`` (later writes win).
 
     Only the narrow (key, order) pairs are aggregated (partial aggregation before the
-    shuffle); the keys that collide — usually few — are joined back, broadcast after a size
-    check, so the wide page rows are not shuffled.
+    shuffle); the keys that collide — usually few — are joined back (broadcast by Spark when
+    they are small in bytes, so the wide page rows are then not shuffled).
     """
     collisions = (df.groupBy(key)
                   .agg(F.max(order).alias("_keep"), F.count(F.lit(1)).alias("_n"))
                   .filter("_n > 1").select(key, "_keep"))
-    kw = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
-    joined = df.join(broadcast_if_small(collisions, **kw), key, "left")
+    joined = df.join(collisions, key, "left")
     return (joined.filter(F.col("_keep").isNull() | (F.col(order) == F.col("_keep")))
             .drop("_keep"))
 
@@ -78,14 +75,14 @@ def route_duplicates(df: DataFrame, key: str = "title_key", keep: str = "none",
                      stats: DataFrame | None = None, by: list[str] | tuple = ()) -> DataFrame:
     """Add ``is_duplicate`` and ``folder`` to every page.
 
-    The stats side (one row per repeated title) is broadcast after a size check; beyond the
-    bound it is a shuffle join where AQE splits a heavy title's partition. No window over
-    the title is used, so a heavy title never lands whole on one task.
+    The stats side has one row per repeated title: Spark broadcasts it when it is small in
+    bytes and otherwise splits a heavy title's partition. No window over the title is used, so
+    a heavy title never lands whole on one task.
     """
     if stats is None:
         stats = duplicate_titles(df, key=key, keep=keep, order=order, tie=tie, by=by)
     cols = [*by, "title", "folder"] + ([f"keep_{order}", f"keep_{tie}"] if keep == "first" else [])
-    side = broadcast_if_small(stats.select(*cols).withColumnRenamed("title", "_tk"))
+    side = stats.select(*cols).withColumnRenamed("title", "_tk")
     cond = df[key] == side["_tk"]
     for b in by:
         side = side.withColumnRenamed(b, f"_by_{b}")
@@ -114,7 +111,6 @@ def route_increment(retained: DataFrame, batch: DataFrame, run_col: str = "run",
     A new page replaces a retained one with the same file name first; later runs win, then
     later positions."""
     both = retained.unionByName(batch, allowMissingColumns=True)
-    both = both.withColumn("_seq", F.col(run_col).cast("long") * F.lit(10 ** 12)
-                           + F.col(order).cast("long"))
+    both = both.withColumn("_seq", F.struct(F.col(run_col), F.col(order)))
     latest = latest_pages(both, key=key, order="_seq").drop("_seq")
     return route_duplicates(latest, key=title_col)

@@ -9,8 +9,20 @@ from sitecorpus.functions.text import (
 )
 
 TITLE_RX = r"(?is)<title[^>]*>(.*?)</title>"
-DESCRIPTION_RX = (r"(?is)<meta\s[^>]*name\s*=\s*[\"']description[\"'][^>]*"
-                  r"content\s*=\s*[\"']([^\"']*)[\"']")
+# A meta tag as a whole: quoted values may hold ">" or the other quote.
+META_RX = r"""(?is)<meta\b(?:[^>"']|"[^"]*"|'[^']*')*>"""
+
+
+def _attribute_rx(name: str) -> str:
+    """The value of an attribute of a tag: group 1 in double quotes, 2 in single ones, 3 bare."""
+    return (r"""(?is)^(?:[^"'=]|=\s*"[^"]*"|=\s*'[^']*'|=\s*[^\s"'>]+)*?\s%s\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""" % name)
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    rx = _attribute_rx(name)
+    return F.concat(*[F.regexp_extract(tag, rx, i) for i in (1, 2, 3)])
+
+
 LANG_RX = r"(?is)<html\b[^>]*?\slang\s*=\s*[\"']?([^\"'\s>]+)"
 
 # The five XML entities, decoded natively (&amp; last).
@@ -21,21 +33,30 @@ XML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
 def decode_entities(col: Column) -> Column:
     """HTML entity decoding (named HTML 4 entities and numeric references) on the JVM via
     commons-text, which ships with Spark; no Python round trip."""
+    # &apos; is an XML entity, not one of HTML 4: it is spelled as a number first
     return F.call_function("java_method", F.lit("org.apache.commons.text.StringEscapeUtils"),
-                           F.lit("unescapeHtml4"), col)
+                           F.lit("unescapeHtml4"), F.replace(col, F.lit("&apos;"), F.lit("&#39;")))
+
+
+def description(html: Column) -> Column:
+    """Content of the first meta tag named ``description``: attributes in any order, in double,
+    single or no quotes; "" without one."""
+    tags = F.filter(F.regexp_extract_all(html, F.lit(META_RX), F.lit(0)),
+                    lambda t: F.lower(_attribute(t, "name")) == "description")
+    return F.coalesce(_attribute(F.get(tags, F.lit(0)), "content"), F.lit(""))
 
 
 def extract_page_metadata(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """Add ``title``, ``description``, ``language`` (``""`` when absent) from the HTML."""
     h = F.col(html_col)
 
-    def field(rx):
-        return collapse_spaces(decode_entities(F.regexp_extract(h, rx, 1)))
+    def field(raw):
+        return collapse_spaces(decode_entities(raw))
 
     return pages.select(
         "*",
-        field(TITLE_RX).alias("title"),
-        field(DESCRIPTION_RX).alias("description"),
+        field(F.regexp_extract(h, TITLE_RX, 1)).alias("title"),
+        field(description(h)).alias("description"),
         F.regexp_extract(h, LANG_RX, 1).alias("language"),
     )
 

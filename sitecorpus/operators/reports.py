@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from sitecorpus.plans.sizing import broadcast_if_small
-
 PROGRESS_BUCKET = 100_000
 
 
@@ -65,7 +63,7 @@ def progress(outcomes: DataFrame, key: str = "crawl_id", order: str = "url_index
     w = Window.partitionBy(key, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     running = rows.select(key, order, "_b", F.count(F.lit(1)).over(w).alias("_n"),
                           F.sum("_ok").over(w).alias("_s"))
-    joined = running.join(broadcast_if_small(offsets), [key, "_b"])
+    joined = running.join(offsets, [key, "_b"])
     processed = F.col("_n") + F.col("_n0")
     ok = (F.col("_s") + F.col("_s0")).cast("long")
     return joined.select(key, order, processed.alias("processed"), ok.alias("successful"),
@@ -82,19 +80,6 @@ def within_budget(attempts: DataFrame, seconds: int, key: str = "crawl_id",
     if seconds <= 0:
         return attempts
     starts = attempts.groupBy(key).agg(F.min(start_col).alias("_t0"))
-    joined = attempts.join(broadcast_if_small(starts), key)
+    joined = attempts.join(starts, key)
     within = F.timestamp_diff("MICROSECOND", F.col("_t0"), F.col(start_col)) <= seconds * 1_000_000
     return joined.filter(within).drop("_t0")
-
-
-def summary_text(row, generated_at: str) -> str:
-    """Text of the summary report for one collected summary row (a small, bounded row)."""
-    total = row["total_urls"]
-    lines = ["# Crawl Summary Report", f"Generated: {generated_at}",
-             f"Total URLs processed: {total}", f"Successful: {row['successful']}",
-             f"Failed: {row['failed']}"]
-    if total:
-        lines.append(f"Success rate: {row['success_rate']:.1f}%")
-    else:
-        lines.append("Success rate: N/A (duplicates-only mode)")
-    return "\n".join(lines) + "\n"

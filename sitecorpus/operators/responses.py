@@ -120,20 +120,26 @@ def resolve_attempts(attempts: DataFrame, max_retries: int = 2,
     attempt decides. A cached-snapshot warning on the decider (unless ``accept_cached``)
     hands the decision to the single refetch.
 
-    Bodies are reduced to two flags before the shuffle; the group-by on ``url`` moves
-    narrow rows only, and the deciding body is joined back on (url, kind, seq).
+    A URL without a usable fetch (refetches only, or every ``seq`` beyond the limit) fails with
+    ``no_attempts``.
+
+    Bodies are reduced to two flags before anything is shuffled: numbering and the group-by on
+    ``url`` move narrow rows, and only the deciding body is joined back, on (url, kind) and the
+    numbering columns (``order`` must tell a URL's attempts of one kind apart).
     """
     limit = max_retries + 1
-    if order is not None:
-        attempts = number_attempts(attempts, limit, order)
+    place = list(order) if order is not None else ["seq"]
     valid, cached = response_flags(F.col("_v"))
     retryable = (F.coalesce(F.col("status") >= 400, F.lit(False))
                  | F.coalesce(F.col("error").isin(RETRYABLE_ERRORS), F.lit(False)))
     narrow = attempts.withColumn("_v", F.try_parse_json(F.col("body"))).select(
-        "url", "kind", "seq", "status", "error", valid.alias("valid"), cached.alias("cached"),
+        "url", "kind", *place, "status", "error", valid.alias("valid"), cached.alias("cached"),
         retryable.alias("retryable"))
+    if order is not None:
+        narrow = number_attempts(narrow, limit, order)
+    narrow = narrow.withColumn("place", F.struct(*place))
     fetch = (F.col("kind") == "fetch") & (F.col("seq") <= limit)
-    info = F.struct("seq", "status", "error", "valid", "cached")
+    info = F.struct("seq", "status", "error", "valid", "cached", "place")
     agg = narrow.groupBy("url").agg(
         F.min(F.when(fetch & ~F.col("retryable"), info)).alias("dec"),
         F.max(F.when(fetch, info)).alias("last"),
@@ -149,7 +155,7 @@ def resolve_attempts(attempts: DataFrame, max_retries: int = 2,
                   .when(~ref["valid"], F.lit("invalid_json"))
                   .when(ref["cached"], F.lit("still_cached")))
     reason = (F.when(F.lit(limit < 1), F.lit("no_attempts"))
-              .when(dec.isNull(), last_reason)
+              .when(dec.isNull(), F.coalesce(last_reason, F.lit("no_attempts")))
               .when(dec["error"].isNotNull(), F.lit("unhandled"))
               .when(~dec["valid"], F.lit("invalid_json"))
               .when(needs_refetch, ref_reason))
@@ -161,15 +167,16 @@ def resolve_attempts(attempts: DataFrame, max_retries: int = 2,
         "url", reason.isNull().alias("ok"), reason.alias("reason"),
         n_att.cast("int").alias("n_attempts"),
         F.when(from_ref, ref["seq"]).otherwise(dec["seq"]).alias("decided_seq"),
-        from_ref.alias("from_refetch"))
+        from_ref.alias("from_refetch"),
+        F.when(from_ref, ref["place"]).otherwise(dec["place"]).alias("_place"))
     if not with_body:
-        return out
+        return out.drop("_place")
     bodies = attempts.select(F.col("url").alias("_b_url"), F.col("kind").alias("_b_kind"),
-                             F.col("seq").alias("_b_seq"), F.col("body"))
+                             F.struct(*place).alias("_b_place"), F.col("body"))
     keyed = out.withColumn("_kind", F.when(F.col("from_refetch"), F.lit("refetch"))
                            .otherwise(F.lit("fetch")))
     joined = keyed.join(bodies, (F.col("url") == F.col("_b_url")) & (F.col("_kind") == F.col("_b_kind"))
-                        & (F.col("decided_seq") == F.col("_b_seq")) & F.col("ok"), "left")
+                        & (F.col("_place") == F.col("_b_place")) & F.col("ok"), "left")
     return joined.select("url", "ok", "reason", "n_attempts", "decided_seq", "from_refetch", "body")
 
 

@@ -1,12 +1,15 @@
 """Batch retrieval of a query table against a corpus: vector (cosine), keyword (TF-IDF
 cosine) and weighted hybrid scores, score threshold and top-k.
 
-Vector search is exact and blocked: queries and corpus are cut into blocks, every (query
-block, corpus block) pair is one ``cogroup().applyInPandas`` task doing one matrix product,
-and each task emits only its per-query top-k. No task sees more than two blocks and no
-all-pairs table is ever materialised. Keyword scores come from term postings joins whose
-query-term side is broadcast after a size check (so a heavy term is streamed, not shuffled
-onto one task).
+Search is exact and blocked. Documents lie in blocks by a hash of their id; a block holds its
+documents' vectors and their weights for the terms that any query has. Every (query block, document
+block) pair is one ``cogroup().applyInPandas`` task, which scores strips of queries against the
+block (one matrix product, and one pass over the postings of the queries' terms), fuses both scores
+and emits only each query's best ``k``. No table of (query, document) pairs exists and no task sees
+more than two blocks.
+
+Scores are ranked and compared at ``TIE_DIGITS`` digits: sums of the same terms in another order
+differ beyond them, so equal documents stay ties, which go to the lower id.
 """
 
 from __future__ import annotations
@@ -17,121 +20,30 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sitecorpus.plans.sizing import broadcast_if_small, materialize
+from sitecorpus.plans.sizing import materialize
 
 TERM_RX = r"[\p{L}\p{N}]+"
-SCORE_DIGITS = 6
-DEFAULT_BLOCK_ROWS = 8192
-
-
-def tokens(col) -> Column:
-    """Lower-cased letter/digit runs as an array."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.regexp_extract_all(F.lower(c), F.lit(TERM_RX), 0)
+TIE_DIGITS = 12
+BLOCK_DOCS = 4096
+BLOCK_QUERIES = 4096
+STRIP = 256
+TERMS = "array<struct<t:bigint,w:double>>"
+SCORED = "query_id long, doc_id long, vector_score double, keyword_score double, score double"
 
 
 def term_rows(df: DataFrame, id_col: str, id_alias: str, text_col: str) -> DataFrame:
     """``(id, term)`` rows, one per token occurrence: the lower-cased text is split on runs
-    of non-letter/digit characters and the empty edge pieces are dropped (the same terms as
-    :func:`tokens`, without materialising every regex match)."""
+    of non-letter/digit characters and the empty edge pieces are dropped."""
     parts = F.split(F.lower(F.col(text_col)), r"[^\p{L}\p{N}]+")
     return (df.select(F.col(id_col).alias(id_alias), F.explode(parts).alias("term"))
             .filter(F.col("term") != ""))
 
 
-# ---- vector ---------------------------------------------------------------------------------
-
-def _topk_block(k: int, qid: str, cid: str):
-    def fn(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or c.empty:
-            return pd.DataFrame({"query_id": pd.Series([], dtype="int64"),
-                                 "doc_id": pd.Series([], dtype="int64"),
-                                 "vector_score": pd.Series([], dtype="float64")})
-        c = c.sort_values(cid, kind="stable")
-        Q = np.vstack(q["q_vec"].to_numpy()).astype(np.float64)
-        C = np.vstack(c["c_vec"].to_numpy()).astype(np.float64)
-        qn = np.linalg.norm(Q, axis=1)
-        cn = np.linalg.norm(C, axis=1)
-        denom = np.outer(qn, cn)
-        with np.errstate(invalid="ignore", divide="ignore"):
-            S = np.where(denom > 0, (Q @ C.T) / denom, 0.0)
-        S = np.round(S, SCORE_DIGITS)
-        kk = min(k, S.shape[1])
-        kth = -np.partition(-S, kk - 1, axis=1)[:, kk - 1]
-        ids = c[cid].to_numpy()
-        out_q, out_c, out_s = [], [], []
-        for i, query in enumerate(q[qid].to_numpy()):
-            cand = np.nonzero(S[i] >= kth[i])[0]
-            order = cand[np.argsort(-S[i, cand], kind="stable")][:kk]
-            out_q.extend([query] * len(order))
-            out_c.extend(ids[order])
-            out_s.extend(S[i, order])
-        return pd.DataFrame({"query_id": np.asarray(out_q, dtype="int64"),
-                             "doc_id": np.asarray(out_c, dtype="int64"),
-                             "vector_score": np.asarray(out_s, dtype="float64")})
-    return fn
-
-
-def vector_top_k(queries: DataFrame, corpus: DataFrame, k: int = 2,
-                 query_id: str = "query_id", doc_id: str = "doc_id", vec: str = "embedding",
-                 block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """Exact cosine top-k per query: ``query_id, doc_id, vector_score, rank``. A zero
-    vector scores 0. Ties go to the lower ``doc_id``."""
-    nq = queries.count()
-    nc = corpus.count()
-    qb = max(1, math.ceil(nq / block_rows))
-    cb = max(1, math.ceil(nc / block_rows))
-    q = queries.select(F.col(query_id).alias("qid"), F.col(vec).alias("q_vec"),
-                       F.pmod(F.xxhash64(query_id), F.lit(qb)).alias("qb"),
-                       F.explode(F.sequence(F.lit(0), F.lit(cb - 1))).alias("cb"))
-    c = corpus.select(F.col(doc_id).alias("cid"), F.col(vec).alias("c_vec"),
-                      F.pmod(F.xxhash64(doc_id), F.lit(cb)).alias("cb"),
-                      F.explode(F.sequence(F.lit(0), F.lit(qb - 1))).alias("qb"))
-    per_block = q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInPandas(
-        _topk_block(k, "qid", "cid"), "query_id long, doc_id long, vector_score double")
-    return top_k(per_block, k, score="vector_score")
-
-
-def _norm(v: Column) -> Column:
-    return F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
-
-
-def _dot(a: Column, b: Column) -> Column:
-    """Dot product in double precision. (Unrolling it into one arithmetic expression per
-    dimension generates methods too large for the JIT, which runs slower.)"""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")),
-                       F.lit(0.0), lambda acc, x: acc + x)
-
-
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine of two float arrays in double precision; 0 when either norm is 0."""
-    na, nb = _norm(a), _norm(b)
-    return F.when((na > 0) & (nb > 0), _dot(a, b) / (na * nb)).otherwise(F.lit(0.0))
-
-
-def vector_scores(pairs: DataFrame, queries: DataFrame, corpus: DataFrame,
-                  query_id: str = "query_id", doc_id: str = "doc_id",
-                  vec: str = "embedding") -> DataFrame:
-    """Cosine for given (query_id, doc_id) pairs (0 when either side has no vector). Norms
-    are computed once per vector, before the pairs are formed."""
-    qv = queries.select(F.col(query_id).alias("query_id"), F.col(vec).alias("_qv"),
-                        _norm(F.col(vec)).alias("_qn"))
-    cv = corpus.select(F.col(doc_id).alias("doc_id"), F.col(vec).alias("_cv"),
-                       _norm(F.col(vec)).alias("_cn"))
-    j = pairs.join(qv, "query_id", "left").join(cv, "doc_id", "left")
-    ok = F.col("_qv").isNotNull() & F.col("_cv").isNotNull() & (F.col("_qn") > 0) & (F.col("_cn") > 0)
-    score = F.when(ok, _dot(F.col("_qv"), F.col("_cv")) / (F.col("_qn") * F.col("_cn"))) \
-        .otherwise(F.lit(0.0))
-    return j.select("query_id", "doc_id", F.round(score, SCORE_DIGITS).alias("vector_score"))
-
-
-# ---- keyword --------------------------------------------------------------------------------
-
 def keyword_index(docs: DataFrame, doc_id: str = "doc_id", doc_text: str = "text"):
     """Term index of the corpus: ``tf (term, doc_id, tf)`` written once to the shared folder
     (tokenizing happens once), plus ``idf (term, idf)`` with ``idf = ln(1 + N / df)`` and
-    ``norms (doc_id, dn)`` with ``dn = sqrt(sum((tf * idf)^2))`` derived from it. All three
-    are query-independent; materialize idf and norms too when many query sets reuse them."""
+    ``norms (doc_id, dn)`` with ``dn = sqrt(sum((tf * idf)^2))`` derived from it. A term has one
+    row per document, so even a stop word is a small share of the joined rows."""
     tf = (term_rows(docs, doc_id, "doc_id", doc_text)
           .groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf")))
     tf = materialize(tf, "term-counts")
@@ -139,53 +51,144 @@ def keyword_index(docs: DataFrame, doc_id: str = "doc_id", doc_text: str = "text
     idf = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
         "term", F.log(1.0 + F.lit(float(n_docs)) / F.col("df")).alias("idf"))
     w = F.col("tf") * F.col("idf")
-    # the vocabulary grows with the corpus: a plain join here, which AQE turns into a
-    # broadcast at run time when the idf table turns out small
     norms = tf.join(idf, "term").groupBy("doc_id").agg(F.sqrt(F.sum(w * w)).alias("dn"))
     return tf, idf, norms
 
 
-def keyword_scores(queries: DataFrame, docs: DataFrame | None = None, query_id: str = "query_id",
-                   query_text: str = "text", doc_id: str = "doc_id", doc_text: str = "text",
-                   index=None) -> DataFrame:
-    """TF-IDF cosine in [0, 1] for every (query, document) sharing at least one term:
-    ``query_id, doc_id, keyword_score``. Terms are lower-cased letter/digit runs; query
-    terms absent from the corpus weigh nothing.
-
-    Only the query terms are looked up: their weights (one row per query term) are broadcast
-    after a size check and the term counts stream through that join, so the postings of a
-    heavy term are never shuffled onto one task."""
-    tf, idf, norms = index if index is not None else keyword_index(docs, doc_id, doc_text)
-    q_terms = (term_rows(queries, query_id, "query_id", query_text)
-               .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf")))
-    qw = q_terms.join(idf, "term").select(
-        "query_id", "term", "idf", (F.col("qtf") * F.col("idf")).alias("qw"))
-    qw = broadcast_if_small(qw)
-    qnorm = qw.groupBy("query_id").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qn"))
-    dots = (tf.join(qw, "term").groupBy("query_id", "doc_id")
-            .agg(F.sum(F.col("tf") * F.col("idf") * F.col("qw")).alias("dot")))
-    scored = dots.join(broadcast_if_small(qnorm), "query_id").join(norms, "doc_id")
-    return scored.select("query_id", "doc_id", F.round(
-        F.col("dot") / (F.col("qn") * F.col("dn")), SCORE_DIGITS).alias("keyword_score"))
-
-
-# ---- fusion, threshold, top-k -----------------------------------------------------------------
-
-def hybrid_scores(vec: DataFrame, kw: DataFrame, weight: float = 0.7) -> DataFrame:
-    """``score = round(w, 2) * vector + round(1 - w, 2) * keyword``; a missing side counts
-    0. Inputs are (query_id, doc_id) score tables over the same candidate set."""
+def _weighted_terms(rows: DataFrame, key: str) -> DataFrame:
+    """``key, terms`` from (key, term, w): one row per key, a term as its hash, by hash."""
+    return rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(
+        F.xxhash64("term").alias("t"), "w"))).alias("terms"))
+
+
+def _keyword_sides(queries: DataFrame, docs: DataFrame, index) -> tuple[DataFrame, DataFrame]:
+    """Unit term weights of the queries (query_id, terms) and of the documents (doc_id, terms);
+    documents keep only terms that some query has, and only documents with such a term appear.
+    Query terms absent from the corpus weigh nothing."""
+    tf, idf, norms = index if index is not None else keyword_index(docs)
+    counts = (term_rows(queries, "query_id", "query_id", "text")
+              .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("n")))
+    asked = materialize(counts.join(idf, "term").select(
+        "query_id", "term", "idf", (F.col("n") * F.col("idf")).alias("w")), "query-terms")
+    length = asked.groupBy("query_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("qn"))
+    q = _weighted_terms(asked.join(length, "query_id").withColumn("w", F.col("w") / F.col("qn")), "query_id")
+    held = (tf.join(asked.select("term", "idf").distinct(), "term").join(norms, "doc_id")
+            .select("doc_id", "term", (F.col("tf") * F.col("idf") / F.col("dn")).alias("w")))
+    return q, _weighted_terms(held, "doc_id")
+
+
+def _unit(vectors: pd.Series, width: int) -> np.ndarray:
+    """Rows of length 1; a zero or missing vector is a row of zeros."""
+    out = np.zeros((len(vectors), width))
+    for i, v in enumerate(vectors):
+        if v is not None:
+            out[i] = v
+    norm = np.linalg.norm(out, axis=1, keepdims=True)
+    return np.divide(out, norm, out=np.zeros_like(out), where=norm > 0)
+
+
+def _postings(terms: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Term, row and weight of every entry, by term."""
+    sizes = [0 if x is None else len(x) for x in terms]
+    entries = [e for x in terms if x is not None for e in x]
+    t = np.array([e["t"] for e in entries], np.int64)
+    w = np.array([e["w"] for e in entries], np.float64)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(t, kind="stable")
+    return t[order], row[order], w[order]
+
+
+def _scorer(weight: float, k: int | None, threshold: float | None, only_matches: bool):
+    def score(q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(q) and len(d):
+            d = d.sort_values("doc_id", kind="stable")
+            ids = d["doc_id"].to_numpy()
+            width = max((len(v) for side in (q, d) for v in side["vec"] if v is not None), default=0)
+            docs = _unit(d["vec"], width)
+            term, row, w = _postings(d["terms"])
+            for at in range(0, len(q), STRIP):
+                part = q.iloc[at:at + STRIP]
+                vector = _unit(part["vec"], width) @ docs.T
+                keyword = np.zeros(vector.shape)
+                for i, terms in enumerate(part["terms"]):
+                    for e in terms if terms is not None else ():
+                        a, b = np.searchsorted(term, e["t"], "left"), np.searchsorted(term, e["t"], "right")
+                        keyword[i, row[a:b]] += e["w"] * w[a:b]
+                fused = np.round(weight * vector + (1 - weight) * keyword, TIE_DIGITS)
+                keep = keyword > 0 if only_matches else np.ones(fused.shape, bool)
+                if threshold is not None:
+                    keep &= fused >= threshold
+                for i, query in enumerate(part["query_id"].to_numpy()):
+                    pick = np.flatnonzero(keep[i])
+                    if k is not None and len(pick) > k:
+                        edge = np.partition(fused[i, pick], len(pick) - k)[len(pick) - k]
+                        pick = pick[fused[i, pick] >= edge]
+                    pick = pick[np.argsort(-fused[i, pick], kind="stable")][:k]
+                    out.append(pd.DataFrame({"query_id": query, "doc_id": ids[pick], "vector_score": vector[i, pick],
+                                             "keyword_score": keyword[i, pick], "score": fused[i, pick]}))
+        return pd.concat(out) if out else pd.DataFrame(
+            {c: np.empty(0, t) for c, t in (("query_id", np.int64), ("doc_id", np.int64), ("vector_score", float),
+                                            ("keyword_score", float), ("score", float))})
+    return score
+
+
+def _each(n: int) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+
+def score_blocks(queries: DataFrame, docs: DataFrame, weight: float, k: int | None,
+                 threshold: float | None = None, only_matches: bool = False) -> DataFrame:
+    """Best ``k`` documents (all, with None) of each query and document block:
+    ``query_id, doc_id, vector_score, keyword_score, score``. ``queries`` are (query_id, vec,
+    terms), ``docs`` (doc_id, vec, terms); a missing side of either counts 0."""
+    qb = max(1, math.ceil(queries.count() / BLOCK_QUERIES))
+    db = max(1, math.ceil(docs.count() / BLOCK_DOCS))
+    q = queries.select("query_id", "vec", "terms", F.pmod(F.xxhash64("query_id"), F.lit(qb)).alias("qb"),
+                       _each(db).alias("db"))
+    d = docs.select("doc_id", "vec", "terms", F.pmod(F.xxhash64("doc_id"), F.lit(db)).alias("db"),
+                    _each(qb).alias("qb"))
+    d = d.toDF(*d.columns)
+    return q.groupBy("qb", "db").cogroup(d.groupBy("qb", "db")).applyInPandas(
+        _scorer(weight, k, threshold, only_matches), SCORED)
+
+
+def _none(kind: str) -> Column:
+    return F.lit(None).cast(kind)
+
+
+def vector_top_k(queries: DataFrame, corpus: DataFrame, k: int = 2, query_id: str = "query_id",
+                 doc_id: str = "doc_id", vec: str = "embedding") -> DataFrame:
+    """Exact cosine top-k per query: ``query_id, doc_id, vector_score, rank``. A zero vector
+    scores 0, rows without a vector take no part. Ties go to the lower ``doc_id``."""
+    def side(df, key, name):
+        return df.filter(F.col(vec).isNotNull()).select(
+            F.col(key).alias(name), F.col(vec).cast("array<double>").alias("vec"), _none(TERMS).alias("terms"))
+    found = score_blocks(side(queries, query_id, "query_id"), side(corpus, doc_id, "doc_id"), 1.0, k)
+    return top_k(found, k).select("query_id", "doc_id", "vector_score", "rank")
+
+
+def keyword_top_k(queries: DataFrame, docs: DataFrame, k: int = 2, index=None) -> DataFrame:
+    """TF-IDF cosine in [0, 1], top-k per query among the documents that share a term with it:
+    ``query_id, doc_id, keyword_score, rank``. Terms are lower-cased letter/digit runs."""
+    q, d = _keyword_sides(queries, docs, index)
+    found = score_blocks(q.withColumn("vec", _none("array<double>")), d.withColumn("vec", _none("array<double>")), 0.0, k, only_matches=True)
+    return top_k(found, k).select("query_id", "doc_id", "keyword_score", "rank")
+
+
+def hybrid_scores(queries: DataFrame, docs: DataFrame, vectors: DataFrame, weight: float = 0.7,
+                  k: int | None = 2, threshold: float | None = None, index=None) -> DataFrame:
+    """``score = w * vector + (1 - w) * keyword`` with ``w`` rounded to two digits, for each query
+    the best ``k`` of every document block that reach the threshold. A document or query without a
+    vector or without common terms counts 0 there."""
     if not 0.0 <= weight <= 1.0:
         raise ValueError("weight must lie in [0, 1]")
-    wv, wk = round(weight, 2), round(1.0 - weight, 2)
-    j = vec.join(kw, ["query_id", "doc_id"], "full")
-    v = F.coalesce(F.col("vector_score"), F.lit(0.0))
-    k = F.coalesce(F.col("keyword_score"), F.lit(0.0))
-    # weights times 6-digit scores: computed exactly in decimal, then rounded half-up
-    dec = "decimal(18,6)"
-    fused = (F.lit(wv).cast("decimal(4,2)") * v.cast(dec)
-             + F.lit(wk).cast("decimal(4,2)") * k.cast(dec))
-    return j.select("query_id", "doc_id", v.alias("vector_score"), k.alias("keyword_score"),
-                    F.round(fused, SCORE_DIGITS).cast("double").alias("score"))
+    qt, dt = _keyword_sides(queries, docs, index)
+    q = queries.select("query_id", F.col("embedding").cast("array<double>").alias("vec")).join(qt, "query_id", "left")
+    ids = docs.select("doc_id").unionByName(vectors.select("doc_id")).distinct()
+    v = vectors.select("doc_id", F.col("embedding").cast("array<double>").alias("vec"))
+    d = ids.join(dt, "doc_id", "left").join(v, "doc_id", "left")
+    return score_blocks(q, materialize(d, "search-docs"), round(weight, 2), k, threshold)
 
 
 def above(df: DataFrame, threshold: float = 0.7, enabled: bool = True,
@@ -205,22 +208,13 @@ def retrieve(queries: DataFrame, docs: DataFrame, vectors: DataFrame, method: st
              k: int = 2, weight: float = 0.7, threshold: float = 0.7,
              threshold_enabled: bool = True) -> DataFrame:
     """Semantic, keyword or hybrid retrieval. ``queries``: query_id, text, embedding;
-    ``docs``: doc_id, text; ``vectors``: doc_id, embedding.
-
-    Hybrid candidates are exact for the top-k: every keyword match plus the vector top-k
-    (a document outside both is beaten by at least k others, keyword scores being >= 0)."""
+    ``docs``: doc_id, text; ``vectors``: doc_id, embedding. Null embeddings are allowed."""
     if method not in ("semantic", "keyword", "hybrid"):
         raise ValueError("method must be semantic, keyword or hybrid")
     if method == "semantic" or (method == "hybrid" and weight >= 1.0):
-        res = vector_top_k(queries, vectors, k).select(
-            "query_id", "doc_id", F.col("vector_score").alias("score"))
+        res = vector_top_k(queries, vectors, k).select("query_id", "doc_id", F.col("vector_score").alias("score"))
     elif method == "keyword" or (method == "hybrid" and weight <= 0.0):
-        res = keyword_scores(queries, docs).withColumnRenamed("keyword_score", "score")
+        res = keyword_top_k(queries, docs, k).select("query_id", "doc_id", F.col("keyword_score").alias("score"))
     else:
-        # keyword scores feed both the candidate set and the fusion: written once
-        kw = materialize(keyword_scores(queries, docs), "keyword-scores")
-        vt = vector_top_k(queries, vectors, k).select("query_id", "doc_id")
-        cands = kw.select("query_id", "doc_id").unionByName(vt).distinct()
-        vs = vector_scores(cands, queries, vectors)
-        res = hybrid_scores(vs, kw, weight)
+        res = hybrid_scores(queries, docs, vectors, weight, k, threshold if threshold_enabled else None)
     return top_k(above(res, threshold, threshold_enabled), k)

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sitecorpus.functions.text import is_blank
-from sitecorpus.plans.sizing import broadcast_if_small
 
 # Metadata fields the importer needs, with their types.
 REQUIRED_FIELDS = [("source_url", "string"), ("domain", "string"), ("crawl_date", "time"),
@@ -31,7 +30,9 @@ def read_document_listing(pages: DataFrame) -> DataFrame:
     whose body cannot be read empties the whole listing, as the original loader discards
     its cache on an error. Rows need a non-empty name and id. The page table is small (one
     row per 100 documents, bodies parsed once), so the bound is one aggregate."""
-    parsed = pages.withColumn("_j", F.from_json("body", LISTING_SCHEMA))
+    v = F.try_parse_json("body")
+    readable = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    parsed = pages.select("*", F.from_json("body", LISTING_SCHEMA).alias("_j"), readable.alias("_ok"))
     ok = F.col("status") == 200
     # one-row aggregate: the last page to read (a scalar, collected)
     b = parsed.agg(
@@ -41,8 +42,7 @@ def read_document_listing(pages: DataFrame) -> DataFrame:
     last = min(x for x in ((b.stop_excl - 1) if b.stop_excl is not None else None,
                            b.stop_incl, 2 ** 62) if x is not None)
     in_range = parsed.filter(F.col("page") <= last)
-    broken = in_range.filter(ok & F.col("_j").isNull() & F.col("body").isNotNull()).limit(1).count()
-    if broken:
+    if in_range.filter(ok & ~F.col("_ok")).head(1):
         in_range = in_range.filter(F.lit(False))
     rows = in_range.select("page", F.posexplode("_j.data").alias("pos", "d"))
     return rows.select("page", (F.col("pos") + 1).cast("long").alias("pos"), F.col("d.name").alias("name"),
@@ -112,10 +112,9 @@ def reconcile_registry(existing: DataFrame, include_language: bool = True) -> Da
 
 def assign_metadata(docs: DataFrame, registry: DataFrame, doc_key: str = "filename") -> DataFrame:
     """One row per (document, registered frontmatter key): ``field_id, name, value, ord``
-    in frontmatter order; values print as text, YAML null as ``None``. The registry (one
-    row per field) is broadcast after a size check."""
+    in frontmatter order; values print as text, YAML null as ``None``."""
     entries = docs.select(doc_key, F.posexplode(F.map_entries("meta")).alias("ord", "e"))
-    reg = broadcast_if_small(registry.select("name", "field_id"), max_rows=100_000)
+    reg = registry.select("name", "field_id")
     return entries.join(reg, F.col("e.key") == reg["name"]).select(
         doc_key, "field_id", "name", F.coalesce(F.col("e.value"), F.lit("None")).alias("value"),
         (F.col("ord") + 1).alias("ord"))

@@ -24,7 +24,7 @@ from sitecorpus.plans.crawl import page_records
 from sitecorpus.plans.sizing import materialize
 from sitecorpus.session import shared_path
 from sitecorpus.sinks.files import export_markdown_now, write_routed
-from sitecorpus.sources.corpus import read_markdown_corpus
+from sitecorpus.sources.corpus import read_exported_corpus
 
 # Capture time written into every record by the registered queries (Unix seconds); the
 # library takes it as an argument instead of reading the clock.
@@ -50,20 +50,19 @@ def export_corpus(spark: SparkSession, sf_dir: str, out: str | None = None):
     return out, export_markdown_now(latest, out)
 
 
-def analyze_corpus(spark: SparkSession, path: str, keep: str = "none"):
-    """Duplicate analysis over a stored corpus: (routed records, duplicate stats).
+def analyze_corpus(files: DataFrame, keep: str = "none"):
+    """Duplicate analysis over the files of a stored corpus: (routed records, duplicate stats).
 
     Unreadable files (bad UTF-8, bad YAML, empty block) are left out as the original tool
     skips them; a non-mapping block is reported in ``error``."""
-    files = read_markdown_corpus(spark, path)
     parsed = parse_frontmatter(split_frontmatter(files))
     readable = parsed.filter(F.col("error").isNull() & F.col("fm_error").isNull()
                              & (F.col("yaml_kind") != "null"))
     keyed = with_title_key(readable.withColumn("url_index", F.lit(0)), meta_col="meta",
                            stem_col="stem")
-    # parsed once, read by the size check, the stats and the routing
-    keyed = materialize(keyed, "parsed-corpus")
-    stats = duplicate_titles(keyed, keep=keep)
+    # the statistics need names and titles only: those are written, not the texts
+    narrow = materialize(keyed.select("filename", "title_key", "url_index"), "corpus-titles")
+    stats = duplicate_titles(narrow, keep=keep)
     routed = route_duplicates(keyed, keep=keep, stats=stats)
     return routed, stats
 
@@ -124,52 +123,45 @@ def q_fields(spark, sf_dir):
 
 @register("frontmatter_roundtrip")
 def q_roundtrip(spark, sf_dir):
-    """Lint over the documents: first line as title, second as description."""
+    """Lint over the documents' whole texts: the first line as title, all of the rest, line breaks
+    included, as description."""
     docs = table(spark, sf_dir, "documents")
-    lines = F.split(F.col("text"), "\n")
-    recs = docs.select("doc_id", py_strip(F.try_element_at(lines, F.lit(1))).alias("title"),
+    rest = F.regexp_extract("text", r"(?s)^[^\n]*\n(.*)$", 1)
+    recs = docs.select("doc_id", py_strip(F.substring_index("text", "\n", 1)).alias("title"),
                        F.concat(F.lit("doc://"), F.col("source"), F.lit("/"),
                                 F.col("doc_id").cast("string")).alias("url_source"),
-                       F.col("source").alias("domain"),
-                       py_strip(F.coalesce(F.get(lines, 1), F.lit(""))).alias("description"))
+                       F.col("source").alias("domain"), rest.alias("description"))
     return lint_frontmatter(recs)
 
 
 @register("read_corpus", f"""
-  SELECT filename, regexp_replace(filename, '\\.md$', '') AS stem, length(text) AS n_chars
+  SELECT filename, regexp_replace(filename, '\\.md$', '') AS stem, text AS raw
   FROM ({_LATEST_RENDERED_SQL}) l""")
 def q_read_corpus(spark, sf_dir):
-    out, _ = export_corpus(spark, sf_dir)
-    return read_markdown_corpus(spark, out).select(
-        "filename", "stem", F.length("raw").cast("long").alias("n_chars"))
+    _, manifest = export_corpus(spark, sf_dir)
+    return read_exported_corpus(manifest).select("filename", "stem", "raw")
 
 
 @register("export_markdown", f"""
-  SELECT filename, octet_length(encode(text)) AS bytes FROM ({_LATEST_RENDERED_SQL}) l""")
+  SELECT filename, octet_length(encode(text)) AS bytes, NULL::VARCHAR AS error FROM ({_LATEST_RENDERED_SQL}) l""")
 def q_export(spark, sf_dir):
     _, manifest = export_corpus(spark, sf_dir)
-    return manifest.select("filename", "bytes")
+    return manifest.select("filename", "bytes", "error")
 
 
 @register("duplicates_only", _CORPUS_STATS_SQL)
 def q_duplicates_only(spark, sf_dir):
-    out, _ = export_corpus(spark, sf_dir)
-    _, stats = analyze_corpus(spark, out)
+    _, manifest = export_corpus(spark, sf_dir)
+    _, stats = analyze_corpus(read_exported_corpus(manifest))
     return stats.select("title", "total_files", "moved_files", "folder")
 
 
 @register("write_routed", f"""
-  SELECT s.folder, count(*) AS n_files
-  FROM ({_LATEST_RENDERED_SQL}) l LEFT JOIN ({_CORPUS_STATS_SQL}) s ON l.title = s.title
-  GROUP BY s.folder""")
+  SELECT l.filename, l.text AS raw, s.title IS NOT NULL AS routed, s.folder
+  FROM ({_LATEST_RENDERED_SQL}) l LEFT JOIN ({_CORPUS_STATS_SQL}) s ON l.title = s.title""")
 def q_write_routed(spark, sf_dir):
-    out, _ = export_corpus(spark, sf_dir)
-    routed, _ = analyze_corpus(spark, out)
+    out, manifest = export_corpus(spark, sf_dir)
+    routed, _ = analyze_corpus(read_exported_corpus(manifest))
     dest = out + "_routed"
-    write_routed(routed.select("filename", "title_key", "raw", "is_duplicate", "folder"), dest)
-    main = spark.read.parquet(os.path.join(dest, "main")).select(F.lit(None).cast("string").alias("folder"))
-    dups = (spark.read.schema("filename string, title_key string, raw string, "
-                              "is_duplicate boolean, folder string")
-            .option("basePath", os.path.join(dest, "duplicates"))
-            .parquet(os.path.join(dest, "duplicates")).select("folder"))
-    return main.unionByName(dups).groupBy("folder").agg(F.count(F.lit(1)).alias("n_files"))
+    write_routed(routed.select("filename", "raw", "is_duplicate", "folder"), dest)
+    return spark.read.parquet(dest).select("filename", "raw", F.col("routed").cast("boolean").alias("routed"), "folder")

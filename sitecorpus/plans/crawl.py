@@ -107,34 +107,3 @@ def q_route(spark, sf_dir):
   ORDER BY total_files DESC, title""")
 def q_breakdown(spark, sf_dir):
     return duplicate_breakdown(crawl_duplicates(spark, sf_dir))
-
-
-# ---- markdown body (reader's markdown response): Python parser, rows-only checks ----------
-
-from sitecorpus.operators.markdown import clean_html  # noqa: E402
-
-# Fixed value: the removal list used by the registered queries (navigation, ads, footer).
-REMOVE_SELECTORS = ".ad,nav,footer"
-
-
-@register("remove_selectors")
-def q_remove_selectors(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
-    return clean_html(pages, remove=REMOVE_SELECTORS).select("page_id", "markdown")
-
-
-@register("drop_images")
-def q_drop_images(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
-    md = clean_html(pages).select("page_id", "markdown")
-    return md.select("page_id", F.col("markdown").contains("![").alias("has_image"),
-                     F.length("markdown").alias("n_chars"))
-
-
-@register("html_to_markdown")
-def q_html_to_markdown(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    md = clean_html(pages)
-    return md.select("page_id", "url",
-                     F.regexp_extract("markdown", r"(?m)^# (.*)$", 1).alias("heading"),
-                     "markdown")

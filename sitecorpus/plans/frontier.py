@@ -202,7 +202,10 @@ def q_seed_dispatch(spark, sf_dir):
 
 
 @register("url_slice", f"""
-  SELECT file AS seed, pos AS url_index, url FROM ({_SITEMAP_SQL}) s WHERE pos >= {START_INDEX}""")
+  WITH s AS ({_SITEMAP_SQL})
+  SELECT file AS seed, pos AS url_index, url, NULL::VARCHAR AS error FROM s WHERE pos >= {START_INDEX}
+  UNION ALL SELECT file, max(pos), NULL, 'start_index_exceeds_total' FROM s GROUP BY file
+  HAVING max(pos) < {START_INDEX}""")
 def q_url_slice(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     files = sitemap_files(pages)

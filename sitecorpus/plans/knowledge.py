@@ -38,9 +38,9 @@ def corpus_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = parse_frontmatter(split_frontmatter(files))
     docs = importable(docs)
     docs = docs.withColumn("doc_name", document_name(F.col("meta"), F.col("stem")))
-    # The corpus feeds the listing, the registry and the plan: write it once to the shared
-    # folder instead of re-running the page extraction in every branch.
-    return materialize(docs, "corpus-docs")
+    # The corpus feeds the listing, the registry and the plan: its names, metadata and status
+    # are written once to the shared folder, without the texts.
+    return materialize(docs.drop("raw", "body", "fm_block"), "corpus-docs")
 
 
 def previous_import(docs: DataFrame) -> DataFrame:

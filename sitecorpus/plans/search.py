@@ -16,10 +16,9 @@ from sitecorpus.operators.chunking import (
     sql_token_count,
 )
 from sitecorpus.operators.retrieval import (
-    TERM_RX, above, hybrid_scores, keyword_scores, retrieve, top_k, vector_scores, vector_top_k,
+    TERM_RX, TIE_DIGITS, hybrid_scores, keyword_top_k, retrieve, top_k, vector_top_k,
 )
 from sitecorpus.plans.catalog import register, table
-from sitecorpus.plans.sizing import materialize
 
 K_VECTOR = 2
 K_REPORT = 10
@@ -44,13 +43,13 @@ def _vectors(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
 
 
-def _hybrid(spark, sf_dir) -> DataFrame:
-    q, d, v = _queries(spark, sf_dir), _docs(spark, sf_dir), _vectors(spark, sf_dir)
-    # keyword scores feed both the candidate set and the fusion: written once
-    kw = materialize(keyword_scores(q, d), "keyword-scores")
-    vt = vector_top_k(q.filter(F.col("embedding").isNotNull()), v, K_VECTOR).select("query_id", "doc_id")
-    cands = kw.select("query_id", "doc_id").unionByName(vt).distinct()
-    return hybrid_scores(vector_scores(cands, q, v), kw, WEIGHT)
+def _hybrid(spark, sf_dir, k=None, threshold=None) -> DataFrame:
+    return hybrid_scores(_queries(spark, sf_dir), _docs(spark, sf_dir), _vectors(spark, sf_dir), WEIGHT, k, threshold)
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    """Scores at six digits, for the output only."""
+    return df.select(*[F.round(c, 6).alias(c) if c.endswith("score") else F.col(c) for c in df.columns])
 
 
 # ---- SQL twins -------------------------------------------------------------------------------
@@ -61,11 +60,11 @@ _COS = """CASE WHEN sqrt(list_dot_product(a::DOUBLE[], a::DOUBLE[])) > 0 AND sqr
   THEN list_dot_product(a::DOUBLE[], b::DOUBLE[]) / (sqrt(list_dot_product(a::DOUBLE[], a::DOUBLE[])) * sqrt(list_dot_product(b::DOUBLE[], b::DOUBLE[])))
   ELSE 0.0 END"""
 _VEC_SQL = f"""
-  SELECT query_id, doc_id, vector_score, rank FROM (
-    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY vector_score DESC, doc_id) AS rank
+  SELECT query_id, doc_id, round(s, 6) AS vector_score, rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(s, {TIE_DIGITS}) DESC, doc_id) AS rank
     FROM (
       SELECT q.vec_id AS query_id, c.vec_id AS doc_id,
-             round({_COS.replace('a::', 'q.embedding::').replace('b::', 'c.embedding::')}, 6) AS vector_score
+             {_COS.replace('a::', 'q.embedding::').replace('b::', 'c.embedding::')} AS s
       FROM embeddings q, embeddings c) s) r
   WHERE rank <= {K_VECTOR}"""
 _TOK = "unnest(regexp_extract_all(lower(text), " + sql_lit(TERM_RX) + "))"
@@ -79,34 +78,31 @@ _KW_SQL = f"""
   qw AS (SELECT query_id, qt.term, qtf * idf AS qw FROM qt JOIN idf ON qt.term = idf.term),
   qn AS (SELECT query_id, sqrt(sum(qw * qw)) AS qn FROM qw GROUP BY query_id),
   dots AS (SELECT query_id, doc_id, sum(w * qw) AS dot FROM dw JOIN qw ON dw.term = qw.term GROUP BY query_id, doc_id)
-  SELECT dots.query_id, dots.doc_id, round(dot / (qn * dn), 6) AS keyword_score
+  SELECT dots.query_id, dots.doc_id, dot / (qn * dn) AS keyword_score
   FROM dots JOIN qn ON dots.query_id = qn.query_id JOIN dn ON dots.doc_id = dn.doc_id"""
 _HYB_SQL = f"""
   WITH kw AS ({_KW_SQL}),
   q AS (SELECT b.item_id AS query_id, e.embedding FROM benchmark b LEFT JOIN embeddings e ON b.item_id = e.vec_id),
-  vt AS (
-    SELECT query_id, doc_id FROM (
-      SELECT q.query_id, c.vec_id AS doc_id,
-             round({_COS.replace('a::', 'q.embedding::').replace('b::', 'c.embedding::')}, 6) AS s
-      FROM q, embeddings c WHERE q.embedding IS NOT NULL) x
-    QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY s DESC, doc_id) <= {K_VECTOR}),
-  cands AS (SELECT query_id, doc_id FROM kw UNION SELECT query_id, doc_id FROM vt),
+  ids AS (SELECT doc_id FROM documents UNION SELECT vec_id FROM embeddings),
   vs AS (
-    SELECT cands.query_id, cands.doc_id,
-           round(CASE WHEN q.embedding IS NULL OR c.embedding IS NULL THEN 0.0
-                      ELSE {_COS.replace('a::', 'q.embedding::').replace('b::', 'c.embedding::')} END, 6) AS vector_score
-    FROM cands LEFT JOIN q ON cands.query_id = q.query_id LEFT JOIN embeddings c ON cands.doc_id = c.vec_id)
+    SELECT q.query_id, ids.doc_id,
+           CASE WHEN q.embedding IS NULL OR c.embedding IS NULL THEN 0.0
+                ELSE {_COS.replace('a::', 'q.embedding::').replace('b::', 'c.embedding::')} END AS vector_score
+    FROM q CROSS JOIN ids LEFT JOIN embeddings c ON ids.doc_id = c.vec_id)
   SELECT vs.query_id, vs.doc_id, vs.vector_score, coalesce(kw.keyword_score, 0.0) AS keyword_score,
-         CAST(round(CAST({round(WEIGHT, 2)} AS DECIMAL(4,2)) * CAST(vs.vector_score AS DECIMAL(18,6))
-               + CAST({round(1 - WEIGHT, 2)} AS DECIMAL(4,2)) * CAST(coalesce(kw.keyword_score, 0.0) AS DECIMAL(18,6)), 6) AS DOUBLE) AS score
+         round({round(WEIGHT, 2)}::DOUBLE * vs.vector_score
+               + {round(1 - WEIGHT, 2)}::DOUBLE * coalesce(kw.keyword_score, 0.0), {TIE_DIGITS}) AS score
   FROM vs LEFT JOIN kw ON vs.query_id = kw.query_id AND vs.doc_id = kw.doc_id"""
 
 
 def _sql_topk(inner: str, k: int, score: str = "score") -> str:
-    return f"""SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY {score} DESC, doc_id) AS rank
+    return f"""SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round({score}, {TIE_DIGITS}) DESC, doc_id) AS rank
   FROM ({inner}) t QUALIFY rank <= {k}"""
 
 
+_HYB_OUT = "query_id, doc_id, round(vector_score, 6) AS vector_score, round(keyword_score, 6) AS keyword_score, round(score, 6) AS score"
+
+
 # ---- queries --------------------------------------------------------------------------------
 
 @register("normalize_spaces", f"SELECT doc_id, {_PRE} AS text FROM documents")
@@ -139,29 +135,30 @@ def q_children(spark, sf_dir):
 @register("vector_score", _VEC_SQL)
 def q_vector(spark, sf_dir):
     emb = table(spark, sf_dir, "embeddings")
-    return vector_top_k(emb.select(F.col("vec_id").alias("query_id"), "embedding"),
-                        emb.select(F.col("vec_id").alias("doc_id"), "embedding"), K_VECTOR)
+    return _rounded(vector_top_k(emb.select(F.col("vec_id").alias("query_id"), "embedding"),
+                                 emb.select(F.col("vec_id").alias("doc_id"), "embedding"), K_VECTOR))
 
 
-@register("keyword_score", _sql_topk(_KW_SQL, K_REPORT, "keyword_score"))
+@register("keyword_score", f"""SELECT query_id, doc_id, round(keyword_score, 6) AS keyword_score, rank
+  FROM ({_sql_topk(_KW_SQL, K_REPORT, "keyword_score")}) k""")
 def q_keyword(spark, sf_dir):
-    kw = keyword_scores(_queries(spark, sf_dir), _docs(spark, sf_dir))
-    return top_k(kw, K_REPORT, score="keyword_score")
+    return _rounded(keyword_top_k(_queries(spark, sf_dir), _docs(spark, sf_dir), K_REPORT))
 
 
-@register("hybrid_score", _sql_topk(_HYB_SQL, K_REPORT))
+@register("hybrid_score", f"SELECT {_HYB_OUT}, rank FROM ({_sql_topk(_HYB_SQL, K_REPORT)}) h")
 def q_hybrid(spark, sf_dir):
-    return top_k(_hybrid(spark, sf_dir), K_REPORT)
+    return _rounded(top_k(_hybrid(spark, sf_dir, K_REPORT), K_REPORT))
 
 
-@register("score_threshold", f"SELECT * FROM ({_HYB_SQL}) h WHERE score >= {REPORT_THRESHOLD}")
+@register("score_threshold", f"SELECT {_HYB_OUT} FROM ({_HYB_SQL}) h WHERE score >= {REPORT_THRESHOLD}")
 def q_threshold(spark, sf_dir):
-    return above(_hybrid(spark, sf_dir), REPORT_THRESHOLD)
+    """Every document that reaches the threshold, however many."""
+    return _rounded(_hybrid(spark, sf_dir, None, REPORT_THRESHOLD))
 
 
-@register("top_k", f"""SELECT query_id, doc_id, score, rank FROM ({_sql_topk(
+@register("top_k", f"""SELECT query_id, doc_id, round(score, 6) AS score, rank FROM ({_sql_topk(
     f"SELECT query_id, doc_id, score FROM ({_HYB_SQL}) h WHERE score >= {THRESHOLD}", K_FINAL)}) r""")
 def q_top_k(spark, sf_dir):
     res = retrieve(_queries(spark, sf_dir), _docs(spark, sf_dir), _vectors(spark, sf_dir),
                    method="hybrid", k=K_FINAL, weight=WEIGHT, threshold=THRESHOLD)
-    return res.select("query_id", "doc_id", "score", "rank")
+    return _rounded(res.select("query_id", "doc_id", "score", "rank"))

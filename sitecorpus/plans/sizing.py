@@ -1,56 +1,22 @@
-"""Size-checked broadcast.
+"""Written intermediates.
 
-A side is broadcast only after its row count has been measured against a bound; beyond the
-bound the plain (shuffle) join is kept and AQE may still split skewed partitions.
+Joins are left to Spark: adaptive execution broadcasts a side by its measured bytes and splits
+skewed partitions, so no operator counts rows to choose a plan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import uuid
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+from pyspark.sql import DataFrame
 
-# Sides persisted for a size check; released by release_pinned() (a released side is simply
-# recomputed if a plan still needs it, so releasing never changes results).
-_PINNED: list[DataFrame] = []
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Persist ``df`` (so it is computed once), count it, and mark it for broadcast when it
-    holds at most ``max_rows`` rows. A persisted block lost with an executor is recomputed
-    from lineage."""
-    small = df.persist()
-    n = small.count()
-    if n <= max_rows:
-        _PINNED.append(small)
-        return F.broadcast(small)
-    small.unpersist()  # too big to broadcast: do not pin it, the shuffle join reads df
-    return df
-
-
-def release_pinned() -> None:
-    """Unpersist every side cached by :func:`broadcast_if_small` so far."""
-    while _PINNED:
-        _PINNED.pop().unpersist()
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least ``min_partitions`` (default: the cluster's default
-    parallelism) when its scan yields fewer partitions, so per-row text work (regex over
-    HTML, tokenizing) uses every core. On large inputs the scan already yields more
-    partitions and nothing is shuffled."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+from sitecorpus.session import shared_path
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back: cuts the
     lineage (a lost executor re-reads files instead of recomputing) and lets several
     branches share one computation. Columnar files are much cheaper than RDD checkpoints."""
-    import uuid
-    from sitecorpus.session import shared_path
     path = shared_path(df.sparkSession, "tables", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -21,17 +22,19 @@ DEFAULT_CONF = {
 }
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "sitecorpus", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library defaults.
 
-    On a cluster ``master`` stays None so spark-submit decides; tests pass ``local[N]``.
+    On a cluster ``master`` and ``shuffle_partitions`` stay None so spark-submit decides; tests
+    pass ``local[N]`` and a few partitions.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -45,7 +48,8 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names it; only when it is unset (local tests) is a scratch folder made.
+    The cluster names it; where it is unset, a scratch folder is made in local mode only
+    (one process), and a cluster is refused: its executors do not share such a folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,19 +57,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="sitecorpus-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A path below the shared checkpoint folder (for written intermediate tables and
-    exported files). A ``file:`` URI is returned as a plain path so executor-side Python
-    writers (the markdown export) see the same folder as Spark's readers."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = "/" + base[len("file:"):].lstrip("/")
-    return os.path.join(base, *parts)
+    """A path below the shared checkpoint folder, as Spark names it."""
+    return os.path.join(ensure_checkpoint_dir(spark), *parts)
+
+
+def posix_path(path: str) -> str:
+    """The plain path of a ``file:`` URI or plain path, for writers in Python; any other store is
+    refused (``open`` would make a local folder named after its scheme)."""
+    if path.startswith("file:"):
+        return "/" + path[len("file:"):].lstrip("/")
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path):
+        raise ValueError(f"not a path that Python can write to: {path}")
+    return path
 
 
 _SHIPPED: set = set()
@@ -83,7 +94,7 @@ def ship_package(spark: SparkSession) -> None:
     root = os.path.dirname(pkg_dir)
     base = ensure_checkpoint_dir(spark)
     if base.startswith("file:") or base.startswith("/"):
-        folder = os.path.join(shared_path(spark, "py"), key)
+        folder = os.path.join(posix_path(shared_path(spark, "py")), key)
         os.makedirs(folder, exist_ok=True)
     else:  # a non-POSIX shared store: build the zip on the driver, Spark ships it
         folder = tempfile.mkdtemp(prefix="sitecorpus-py-")

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import os
-
 import logging
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -21,7 +20,9 @@ def read_markdown_corpus(spark: SparkSession, path: str) -> DataFrame:
     Sub-folders (such as ``duplicates/``) are not read. Bytes that are not valid UTF-8 give
     ``raw = null`` and ``error = 'invalid_utf8'``. Note: Spark's file listing skips
     zero-byte files, which the original tool would have kept as empty records (they are
-    skipped later as blank anyway).
+    skipped later as blank anyway), takes names that begin with ``_`` or ``.`` for hidden files,
+    and refuses names with ``:``. A corpus written by ``export_markdown`` is therefore read from its
+    manifest, see :func:`read_exported_corpus`.
     """
     parts = [p for p in path.replace("\\", "/").split("/") if p]
     if "duplicates" in parts:
@@ -39,6 +40,22 @@ def read_markdown_corpus(spark: SparkSession, path: str) -> DataFrame:
     return markdown_records(files)
 
 
+def read_exported_corpus(manifest: DataFrame) -> DataFrame:
+    """The records of :func:`read_markdown_corpus` for the files that a manifest of
+    ``export_markdown`` lists, whatever their names; names without a file are left out. The folder
+    is one that all executors mount."""
+    def load(batches):
+        for pdf in batches:
+            contents = []
+            for path in pdf["path"]:
+                with open(path, "rb") as fh:
+                    contents.append(fh.read())
+            yield pd.DataFrame({"path": pdf["path"], "content": contents})
+
+    written = manifest.filter(F.col("error").isNull()).select("path")
+    return markdown_records(written.mapInPandas(load, "path string, content binary"))
+
+
 def read_markdown_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     """Streaming twin of :func:`read_markdown_corpus`: new ``*.md`` files as they land."""
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
@@ -58,7 +75,3 @@ def markdown_records(files: DataFrame) -> DataFrame:
         "path", name.alias("filename"), stem.alias("stem"), raw.alias("raw"),
         F.when(~valid, F.lit("invalid_utf8")).alias("error"),
     )
-
-
-def corpus_exists(path: str) -> bool:
-    return os.path.isdir(path)

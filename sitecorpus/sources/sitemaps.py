@@ -8,6 +8,7 @@ URLs / 50 MB), parsing is map-only, and the output is one row per URL.
 
 from __future__ import annotations
 
+import io
 import xml.etree.ElementTree as ET
 
 import pandas as pd
@@ -18,19 +19,27 @@ SITEMAP_NS = "http://www.sitemaps.org/schemas/sitemap/0.9"
 FRONTIER_SCHEMA = "file string, pos long, url string"
 
 
-def _urls_of(xml_text):
-    if xml_text is None:
-        return []
+def _locations(data) -> list[str]:
+    """Addresses of a sitemap given as bytes (any encoding the document declares) or text, read
+    tag by tag; a file that is not well-formed has none."""
+    raw = data.encode("utf-8") if isinstance(data, str) else bytes(data or b"")
+    entry, address = (f"{{{SITEMAP_NS}}}{name}" for name in ("url", "loc"))
+    found, open_entries, seen = [], 0, False
     try:
-        root = ET.fromstring(xml_text.encode("utf-8"))
-    except Exception:  # malformed file: no URLs, the job goes on
+        for event, tag in ET.iterparse(io.BytesIO(raw), ("start", "end")):
+            if event == "start":
+                if tag.tag == entry:
+                    open_entries, seen = open_entries + 1, False
+            elif tag.tag == address and open_entries and not seen:
+                seen = True
+                if tag.text:
+                    found.append(tag.text.strip())
+            elif tag.tag == entry:
+                open_entries -= 1
+                tag.clear()
+    except (ET.ParseError, ValueError, LookupError):
         return []
-    out = []
-    for node in root.findall(f".//{{{SITEMAP_NS}}}url"):
-        loc = node.find(f"{{{SITEMAP_NS}}}loc")
-        if loc is not None and loc.text:
-            out.append(loc.text.strip())
-    return out
+    return found
 
 
 def parse_sitemaps(files: DataFrame, file_col: str = "file", xml_col: str = "xml") -> DataFrame:
@@ -39,7 +48,7 @@ def parse_sitemaps(files: DataFrame, file_col: str = "file", xml_col: str = "xml
         for pdf in batches:
             files_, pos, urls = [], [], []
             for f, x in zip(pdf[file_col], pdf[xml_col]):
-                for i, u in enumerate(_urls_of(x), 1):
+                for i, u in enumerate(_locations(x), 1):
                     files_.append(f)
                     pos.append(i)
                     urls.append(u)
@@ -51,9 +60,10 @@ def parse_sitemaps(files: DataFrame, file_col: str = "file", xml_col: str = "xml
 
 
 def read_sitemaps(spark: SparkSession, path: str) -> DataFrame:
-    """Parse every sitemap file under ``path`` (one file per row, whole text)."""
-    files = (spark.read.option("wholetext", "true").text(path)
-             .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("xml")))
+    """Parse every sitemap file under ``path``, one file per row, as bytes: the XML parser reads
+    the encoding that the file declares."""
+    files = spark.read.format("binaryFile").load(path).select(
+        F.col("path").alias("file"), F.col("content").alias("xml"))
     return parse_sitemaps(files)
 
 
@@ -76,10 +86,16 @@ def expand_seeds(seeds: DataFrame, sitemaps: DataFrame, seed_col: str = "seed")
 
 
 def slice_frontier(frontier: DataFrame, start_index: int = 1) -> DataFrame:
-    """Resume at the 1-based ``start_index`` of each seed, keeping the global numbering."""
+    """Resume at the 1-based ``start_index`` of each seed, keeping the global numbering:
+    ``seed, url_index, url, error``. A seed with fewer URLs than that is refused: one row without
+    a URL, whose error is ``start_index_exceeds_total``."""
     if start_index < 1:
         raise ValueError(f"start_index must be >= 1, got {start_index}")
-    return frontier.filter(F.col("url_index") >= start_index)
+    kept = frontier.filter(F.col("url_index") >= start_index).select(
+        "seed", "url_index", "url", F.lit(None).cast("string").alias("error"))
+    refused = slice_errors(frontier, start_index).select(
+        "seed", F.col("total_urls").alias("url_index"), F.lit(None).cast("string").alias("url"), "error")
+    return kept.unionByName(refused)
 
 
 def slice_errors(frontier: DataFrame, start_index: int) -> DataFrame:

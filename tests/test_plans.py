@@ -33,12 +33,23 @@ def test_routing_has_no_window_and_no_html_shuffle(spark):
     assert all("html" not in cols for cols in inputs)
 
 
-def test_metadata_assignment_broadcasts_registry(spark):
-    docs = spark.createDataFrame([("f", {"title": "t", "domain": "d"})],
-                                 "filename string, meta map<string,string>")
-    reg = spark.createDataFrame([("domain", "1")], "name string, field_id string")
-    plan = _formatted(assign_metadata(docs, reg))
-    assert "BroadcastHashJoin" in plan
+def test_attempt_bodies_move_for_deciders_only(spark):
+    from sitecorpus.operators.responses import resolve_attempts
+    from sitecorpus.plans.frontier import ATTEMPT_ORDER, event_attempts
+    attempts = event_attempts(table(spark, SF_SMALL, "events"))
+    narrow = _formatted(resolve_attempts(attempts, 2, with_body=False, order=ATTEMPT_ORDER))
+    assert all("body" not in cols for cols in _keyed_exchange_inputs(narrow))
+    whole = _keyed_exchange_inputs(_formatted(resolve_attempts(attempts, 2, order=ATTEMPT_ORDER)))
+    assert sum("body" in cols for cols in whole) <= 1  # the join with the deciding rows
+
+
+def test_no_row_count_switches():
+    """No join is chosen by counting rows, and nothing is broadcast by hand outside llm."""
+    for folder, _, names in os.walk(os.path.join(ROOT, "sitecorpus")):
+        for name in names:
+            if name.endswith(".py") and "llm" not in folder:
+                src = open(os.path.join(folder, name), encoding="utf-8").read()
+                assert "broadcast(" not in src and "max_rows" not in src, name
 
 
 def test_operator_modules_do_not_collect():

@@ -1,19 +1,28 @@
-"""Retrieval rules (FIXTURES.md): zero vector, threshold, ties, weights."""
+"""Retrieval rules (FIXTURES.md): zero vector, missing vector, threshold, ties, weights, blocks."""
 
 import pytest
 
-from sitecorpus.operators.retrieval import (
-    above, hybrid_scores, keyword_scores, top_k, vector_top_k,
-)
+from sitecorpus.operators import retrieval
+from sitecorpus.operators.retrieval import above, hybrid_scores, keyword_top_k, retrieve, top_k, vector_top_k
 
+Q = "query_id long, text string, embedding array<float>"
 
-def test_vector_zero_and_ties(spark):
-    q = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0])], "query_id long, embedding array<float>")
-    c = spark.createDataFrame([(10, [1.0, 0.0]), (5, [2.0, 0.0]), (7, [0.0, 1.0])],
+
+def _tables(spark):
+    docs = spark.createDataFrame([(1, "red apple"), (2, "green apple pie"), (3, "blue sky"), (4, "blue sky")],
+                                 "doc_id long, text string")
+    vectors = spark.createDataFrame([(1, [1.0, 0.0]), (3, [0.0, 1.0]), (9, [1.0, 1.0]), (4, None)],
+                                    "doc_id long, embedding array<float>")
+    return docs, vectors
+
+
+def test_vector_zero_ties_and_missing(spark):
+    q = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None)], "query_id long, embedding array<float>")
+    c = spark.createDataFrame([(10, [1.0, 0.0]), (5, [2.0, 0.0]), (7, [0.0, 1.0]), (1, None)],
                               "doc_id long, embedding array<float>")
     got = {(r.query_id, r.rank): (r.doc_id, r.vector_score) for r in vector_top_k(q, c, k=2).collect()}
     assert got[(1, 1)] == (5, 1.0) and got[(1, 2)] == (10, 1.0)
-    assert got[(2, 1)][1] == 0.0
+    assert got[(2, 1)] == (5, 0.0) and (3, 1) not in got
 
 
 def test_threshold_inclusive_and_disabled(spark):
@@ -21,22 +30,55 @@ def test_threshold_inclusive_and_disabled(spark):
     assert above(df, 0.7).count() == 1 and above(df, 0.7, enabled=False).count() == 2
 
 
-def test_hybrid_weight(spark):
-    v = spark.createDataFrame([(1, 1, 0.8)], "query_id long, doc_id long, vector_score double")
-    k = spark.createDataFrame([(1, 1, 0.5)], "query_id long, doc_id long, keyword_score double")
-    assert hybrid_scores(v, k, 0.7).first().score == pytest.approx(0.71)
+def test_hybrid_weight_and_missing_sides(spark):
+    docs, vectors = _tables(spark)
+    q = spark.createDataFrame([(1, "apple", [1.0, 0.0]), (2, "sky", None), (3, "nothing", [0.0, 1.0])], Q)
+    got = {(r.query_id, r.doc_id): r for r in hybrid_scores(q, docs, vectors, 0.7, None).collect()}
+    assert len(got) == 3 * 5  # four documents and a vector without one
+    r = got[(1, 1)]
+    assert r.score == pytest.approx(0.7 * r.vector_score + 0.3 * r.keyword_score) and r.vector_score == pytest.approx(1)
+    assert got[(2, 3)].vector_score == 0 and got[(2, 3)].keyword_score > 0
+    assert got[(3, 3)].score == pytest.approx(0.7) and got[(3, 1)].score == 0
     with pytest.raises(ValueError):
-        hybrid_scores(v, k, 1.2)
+        hybrid_scores(q, docs, vectors, 1.2)
+
+
+@pytest.mark.parametrize("method, weight", [("hybrid", 0.7), ("hybrid", 1.0), ("hybrid", 0.0), ("semantic", 0.5), ("keyword", 0.5)])
+def test_retrieve_with_a_query_that_lacks_a_vector(spark, method, weight):
+    docs, vectors = _tables(spark)
+    q = spark.createDataFrame([(1, "apple", [1.0, 0.0]), (2, "sky", None)], Q)
+    got = [(r.query_id, r["rank"], r.doc_id) for r in
+           retrieve(q, docs, vectors, method, 2, weight, threshold_enabled=False).collect()]
+    assert (1, 1, 1) in got
+    if method == "keyword" or (method, weight) == ("hybrid", 0.0):
+        assert (2, 1, 3) in got and (2, 2, 4) in got  # equal texts: ties to the lower id
 
 
 def test_keyword_scores_range(spark):
-    docs = spark.createDataFrame([(1, "red apple"), (2, "green apple pie"), (3, "blue sky")],
-                                 "doc_id long, text string")
-    q = spark.createDataFrame([(1, "Apple pie")], "query_id long, text string")
-    s = {r.doc_id: r.keyword_score for r in keyword_scores(q, docs).collect()}
+    docs, _ = _tables(spark)
+    q = spark.createDataFrame([(1, "Apple pie", None)], Q)
+    s = {r.doc_id: r.keyword_score for r in keyword_top_k(q, docs, 10).collect()}
     assert set(s) == {1, 2} and all(0 < x <= 1 for x in s.values()) and s[2] > s[1]
 
 
+def test_blocks_do_not_change_results(spark, monkeypatch):
+    docs, vectors = _tables(spark)
+    q = spark.createDataFrame([(i, t, [float(i), 1.0]) for i, t in enumerate(["apple", "sky pie", "red blue"])], Q)
+    whole = sorted(top_k(hybrid_scores(q, docs, vectors, 0.4, 3), 3).collect())
+    for name in ("BLOCK_DOCS", "BLOCK_QUERIES", "STRIP"):
+        monkeypatch.setattr(retrieval, name, 2)
+    assert sorted(top_k(hybrid_scores(q, docs, vectors, 0.4, 3), 3).collect()) == whole
+
+
+def test_only_pruned_pairs_are_shuffled(spark):
+    docs, vectors = _tables(spark)
+    q = spark.createDataFrame([(1, "apple", [1.0, 0.0])], Q)
+    plan = top_k(hybrid_scores(q, docs, vectors, 0.7, 2), 2)._jdf.queryExecution().executedPlan().toString()
+    for line in plan.split("\n"):  # keyed by query and document: never; by query: after the limit of a block
+        assert not ("Exchange" in line and "query_id" in line and "doc_id" in line)
+    assert "WindowGroupLimit" in plan
+
+
 def test_top_k_plans_partial_limit(spark):
     df = spark.createDataFrame([(1, i, float(i)) for i in range(10)], "query_id long, doc_id long, score double")
     out = top_k(df, 2)
