@@ -27,22 +27,30 @@ from sitecorpus.plans.corpus import CRAWL_DATE, _LATEST_RENDERED_SQL, _DOC_SQL,
 PAGE_IDS_PER_LISTING_PAGE = 200
 
 
-def corpus_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Retained corpus as the importer sees it: one row per file with parsed frontmatter."""
+def corpus_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retained corpus as files: one row per file with its text."""
     latest = latest_pages(rendered_pages(spark, sf_dir))
     keyed = with_title_key(latest, title_col="title", stem_col="filename")
     kept = route_duplicates(keyed).filter(~F.col("is_duplicate"))
-    files = kept.select("page_id", "url", "filename", F.col("filename").alias("path"),
+    return kept.select("page_id", "url", "filename", F.col("filename").alias("path"),
                         F.regexp_replace("filename", r"\.md$", "").alias("stem"),
                         F.col("text").alias("raw"), F.lit(None).cast("string").alias("error"))
-    docs = parse_frontmatter(split_frontmatter(files))
-    docs = importable(docs)
-    docs = docs.withColumn("doc_name", document_name(F.col("meta"), F.col("stem")))
+
+
+def corpus_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retained corpus as the importer sees it: one row per file with parsed frontmatter."""
+    docs = import_docs(corpus_files(spark, sf_dir))
     # The corpus feeds the listing, the registry and the plan: its names, metadata and status
     # are written once to the shared folder, without the texts.
     return materialize(docs.drop("raw", "body", "fm_block"), "corpus-docs")
 
 
+def import_docs(files: DataFrame) -> DataFrame:
+    """Files of a corpus with their frontmatter, ``import_status`` and document name."""
+    docs = importable(parse_frontmatter(split_frontmatter(files)))
+    return docs.withColumn("doc_name", document_name(F.col("meta"), F.col("stem")))
+
+
 def previous_import(docs: DataFrame) -> DataFrame:
     scheme, _, _ = url_parts(F.col("url"))
     return docs.filter(scheme == "http").select(

@@ -1,17 +1,19 @@
 """Streaming twins: live progress equals the batch summary; the corpus stream's state is
 the same after a restart on the same checkpoint."""
 
+import collections
 import os
+import random
 import uuid
 
 
 from conftest import SF_SMALL
 from sitecorpus.operators.reports import crawl_summary
 from sitecorpus.plans.catalog import table
-from sitecorpus.plans.corpus import export_corpus
 from sitecorpus.plans.frontier import event_outcomes
 from sitecorpus.session import shared_path
 from sitecorpus.sources.corpus import read_markdown_stream
+from sitecorpus.streaming import live
 from sitecorpus.streaming.live import run_to_table, stream_corpus, stream_progress
 
 
@@ -19,30 +21,56 @@ def test_progress_stream_equals_batch(spark):
     events = table(spark, SF_SMALL, "events")
     stream = (spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
               .parquet(SF_SMALL))
-    name = "t_" + uuid.uuid4().hex[:8]
-    live = run_to_table(spark, stream_progress(event_outcomes(stream)), name,
-                        shared_path(spark, "streams", name))
+    now = run_to_table(spark, stream_progress(event_outcomes(stream)),
+                        shared_path(spark, "streams", uuid.uuid4().hex))
     batch = crawl_summary(event_outcomes(events))
-    got = {r.crawl_id: (r.processed, r.successful) for r in live.collect()}
+    got = {r.crawl_id: (r.processed, r.successful) for r in now.collect()}
     want = {r.crawl_id: (r.total_urls, r.successful) for r in batch.collect()}
     assert got == want
 
 
-def test_corpus_stream_restart_keeps_state(spark):
-    out, _ = export_corpus(spark, SF_SMALL)
+def _expected(batches):
+    """Retained names and titles after runs of (filename, title) pages, as plain Python."""
+    kept = {}
+    for pages in batches:
+        union = {**kept, **dict(pages)}
+        counts = collections.Counter(union.values())
+        kept = {f: t for f, t in union.items() if counts[t] == 1}
+    return kept
+
+
+def test_corpus_stream_over_many_batches(spark, tmp_path, monkeypatch):
+    """Same state as full recomputation, with compactions, restarts and pages saved again."""
+    monkeypatch.setattr(live, "COMPACT_EVERY", 2)
+    rng, src = random.Random(4), tmp_path / "pages"
+    state = shared_path(spark, "corpus-stream-test", uuid.uuid4().hex)
+    batches, last = [], None
+    for run in range(6):
+        pages = [(f"p{rng.randrange(30)}.md", f"T{rng.randrange(40)}") for _ in range(10)]
+        pages = list(dict(pages).items())
+        folder = src / f"run{run}"
+        folder.mkdir(parents=True)
+        for name, title in pages:
+            (folder / name).write_text(f'---\ntitle: "{title}"\n---\n\nrun {run}')
+        batches.append(pages)
+        files = read_markdown_stream(spark, f"{src}/*", files_per_batch=1000)
+        _, last = stream_corpus(files, state, os.path.join(state, "_checkpoint"))
+        want = _expected(batches)
+        got = {r.filename: r.title_key for r in live.corpus_index(spark, state, last).collect()}
+        assert got == want, run
+    view = {r.filename: r.raw for r in live.corpus_view(spark, state, last).collect()}
+    assert view.keys() == want.keys() and all("run " in x for x in view.values())
+    _, again = stream_corpus(read_markdown_stream(spark, f"{src}/*"), state, os.path.join(state, "_checkpoint"))
+    assert again is None  # nothing new
+
+
+def test_streams_leave_no_cached_blocks(spark, tmp_path):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    (tmp_path / "a.md").write_text('---\ntitle: "T"\n---\n\nx')
     state = shared_path(spark, "corpus-stream-test", uuid.uuid4().hex)
-    ckpt = os.path.join(state, "_checkpoint")
-    stream_corpus(read_markdown_stream(spark, out, files_per_batch=20), state, ckpt)
-    batches = sorted(int(d) for d in os.listdir(os.path.join(state, "index")) if d.isdigit())
-    assert len(batches) >= 2
-    first = sorted(map(tuple, spark.read.parquet(os.path.join(state, "index", str(batches[-1]))).collect()))
-    stream_corpus(read_markdown_stream(spark, out, files_per_batch=20), state, ckpt)
-    again = sorted(map(tuple, spark.read.parquet(os.path.join(state, "index", str(batches[-1]))).collect()))
-    assert first == again
-    names = [r[0] for r in first]
-    assert len(names) == len(set(names))
-    keys = [r[1] for r in first]
-    assert len(keys) == len(set(keys))
+    for _ in range(2):
+        stream_corpus(read_markdown_stream(spark, str(tmp_path)), state, os.path.join(state, "_checkpoint"))
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
 
 
 def test_stream_outcomes_equal_batch(spark, tmp_path):
@@ -56,8 +84,7 @@ def test_stream_outcomes_equal_batch(spark, tmp_path):
     src = str(tmp_path / "attempts")
     att.drop("event_id").write.parquet(src)
     stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
-    name = "o_" + uuid.uuid4().hex[:8]
-    live = run_to_table(spark, stream_outcomes(stream), name, shared_path(spark, "streams", name))
+    now = run_to_table(spark, stream_outcomes(stream), shared_path(spark, "streams", uuid.uuid4().hex))
     batch = resolve_attempts(spark.read.parquet(src), with_body=False)
     cols = ["url", "ok", "reason", "n_attempts", "from_refetch"]
-    assert sorted(map(tuple, live.select(cols).collect())) == sorted(map(tuple, batch.select(cols).collect()))
+    assert sorted(map(tuple, now.select(cols).collect())) == sorted(map(tuple, batch.select(cols).collect()))
