@@ -26,25 +26,33 @@ FRAGMENT_BYTES = 12 << 20    # text behind the hashes of a fragment, about
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Ascending unsigned integers as differences of the fewest whole bytes."""
+    """Ascending unsigned integers as differences of so many whole bytes that few are longer; those
+    are listed apart. Layout: width, first value, number of long ones, their places and values, the
+    differences."""
     if not len(values):
         return b""
-    steps = np.diff(values, prepend=np.uint64(0))
-    width = max(1, (int(steps[1:].max(initial=0)).bit_length() + 7) // 8)
-    head = values[:1].tobytes()
-    rest = np.ascontiguousarray(steps[1:]).view(np.uint8).reshape(-1, 8)[:, :width]
-    return bytes([width]) + head + rest.tobytes()
+    steps = np.diff(values)
+    width = 1
+    while np.count_nonzero(steps >> np.uint64(8 * width)) * 32 > len(steps):
+        width += 1
+    long = np.flatnonzero(steps >> np.uint64(8 * width)) if width < 8 else np.empty(0, np.int64)
+    low = np.ascontiguousarray(steps).view(np.uint8).reshape(-1, 8)[:, :width]
+    return b"".join((bytes([width]), values[:1].tobytes(), np.uint64(len(long)).tobytes(),
+                     long.astype(np.uint64).tobytes(), steps[long].tobytes(), low.tobytes()))
 
 
 def unpack(data: bytes) -> np.ndarray:
     if not data:
         return np.empty(0, np.uint64)
-    width = data[0]
-    rest = np.frombuffer(data, np.uint8, offset=9).reshape(-1, width)
-    steps = np.zeros((len(rest) + 1, 8), np.uint8)
-    steps[1:, :width] = rest
+    width, first = data[0], np.frombuffer(data, np.uint64, 1, 1)
+    n = int(np.frombuffer(data, np.uint64, 1, 9)[0])
+    long, values = np.frombuffer(data, np.uint64, n, 17), np.frombuffer(data, np.uint64, n, 17 + 8 * n)
+    low = np.frombuffer(data, np.uint8, offset=17 + 16 * n).reshape(-1, width)
+    steps = np.zeros((len(low) + 1, 8), np.uint8)
+    steps[1:, :width] = low
     steps = steps.view(np.uint64).ravel()
-    steps[0] = np.frombuffer(data, np.uint64, 1, 1)[0]
+    steps[0] = first[0]
+    steps[1:][long.astype(np.int64)] = values
     return np.cumsum(steps)
 
 

@@ -184,8 +184,7 @@ def jaccard_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, lower:
     groups = store(sets.filter("set_id is not null").groupBy("set_id").agg(
         F.min("row").alias("row"), F.min("doc_id").alias("low"),
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best")), "ngram-groups")
-    nodes = store(sets.join(groups.select("row"), "row", "left_semi").select(
-        "row", "n_shingles", "rare", "grams"), "ngram-nodes")
+    nodes = sets.select("row", "n_shingles", "rare", "grams").join(groups.select("row"), "row", "left_semi")
     postings = store(nodes.select(F.col("row").alias("node"), F.col("n_shingles").alias("n"), F.explode(
         F.slice("grams", F.lit(1), F.col("rare"))).alias("gram")), "ngram-postings")
     sizes = store(postings.groupBy("gram").agg(F.count("*").alias("m")).filter("m > 1"), "ngram-sizes")

@@ -15,7 +15,8 @@ the queue is the threshold t that gives each member its inclusion score 1 - exp(
 
 All randomness is a hash of the seed, the row's key and the place, so it does not depend on
 partitions or batches. Pieces never cross the start of a word (they hold the word mark only at their
-start), so lattices are built once per word and a worker keeps a bounded number of them.
+start), so lattices are built once per word and a worker keeps a bounded number of them. The texts
+of a batch are searched in step, so that the paths of all are drawn together.
 """
 
 from __future__ import annotations
@@ -25,17 +26,18 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from sitecorpus.llm.words import mix, numbered
+from sitecorpus.llm.words import in_parts, mix, numbered
 
 MARK = "▁"          # stands for a space
 SHARPNESS = 1.0
 SAMPLES = 2
 SEED = 9
-KEEP_EDGES = 3_000_000   # of the lattices that a worker keeps
+KEEP_EDGES = 2_500_000   # of the lattices that a worker keeps
 KEEP_LENGTH = 64         # characters of a word it keeps
-BATCH_CHARS = 1_500_000  # text that is sampled at once, about
+BATCH_CHARS = 600_000  # text that is sampled at once, about
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 SAMPLE = "struct<ids:array<int>,log_p:double,perturbed:double,inclusion:double>"
 
@@ -149,7 +151,8 @@ class Lattices:
             top = np.maximum.reduceat(x, head)
             reps = np.diff(np.concatenate((head, [len(e)])))
             rest[start[e][head] + word[e][head]] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, reps)), head))
-        p = np.exp(weight + rest[to + word] - rest[start + word])
+        log_p = weight + rest[to + word] - rest[start + word]
+        p = np.exp(log_p)
         head = np.flatnonzero(np.diff(start, prepend=-1))
         reps = np.diff(np.concatenate((head, [len(start)])))
         total = np.cumsum(p)
@@ -162,7 +165,7 @@ class Lattices:
         fan[start[head] + word[head]] = reps
         spelled = np.where(piece < 0, -1 - code[start], piece).astype(np.int32)
         new = (run, (start + word + self.nodes).astype(np.int32), (to + word + self.nodes).astype(np.int32),
-               spelled, np.log(p), last, edge_of, fan)
+               spelled, log_p, last, edge_of, fan)
         self.number.update(zip(words, (first[:-1] + np.arange(len(words)) + self.nodes).tolist()))
         self.nodes += len(last)
         self.n_edges += len(start)
@@ -207,13 +210,9 @@ class Sampler:
 
     def texts(self, keys: np.ndarray, texts: list[str]) -> list[list[dict]]:
         """The samples of each text, by falling perturbed value."""
-        out, group, size = [], [], 0
-        for i, text in enumerate(texts):
-            group.append(i)
-            size += len(text or "")
-            if size >= BATCH_CHARS or i + 1 == len(texts):
-                out += self._batch(keys[group], [texts[j] or "" for j in group])
-                group, size = [], 0
+        out = []
+        for at, part in in_parts(texts, BATCH_CHARS):
+            out += self._batch(keys[at:at + len(part)], [t or "" for t in part])
         return out
 
     def _batch(self, keys: np.ndarray, texts: list[str]) -> list[list[dict]]:
@@ -230,18 +229,33 @@ class Sampler:
         edges, n = lat.draw(node, word_seed)
         ends = np.concatenate(([0], np.cumsum(n)))
         cut = ends[first]
-        out = []
-        for i, text in enumerate(texts):
-            if not count[i]:
-                out.append([dict(ids=np.empty(0, np.int32), log_p=0.0, perturbed=0.0, inclusion=1.0)])
-                continue
+        out: list = [[dict(ids=np.empty(0, np.int32), log_p=0.0, perturbed=0.0, inclusion=1.0)] for _ in texts]
+        running = []
+        for i in np.flatnonzero(count):
             a, b = first[i], first[i + 1]
-            out.append(self._search(base[i], node[a:b], edges[cut[i]:cut[i + 1]], ends[a:b + 1] - ends[a]))
+            running.append((i, self._search(base[i], node[a:b], edges[cut[i]:cut[i + 1]], ends[a:b + 1] - ends[a])))
+        answers = [None] * len(running)
+        while running:
+            asked = []
+            for (i, search), answer in zip(running, answers, strict=True):
+                try:
+                    asked.append((i, search, *search.send(answer)))
+                except StopIteration as done:
+                    out[i] = done.value
+            running = [(i, search) for i, search, _, _ in asked]
+            if running:
+                sizes = np.cumsum([len(nodes) for _, _, nodes, _ in asked])
+                edges, n = lat.draw(*(np.concatenate(x) for x in list(zip(*asked, strict=True))[2:]))
+                ends = np.concatenate(([0], np.cumsum(n)))
+                answers = [(edges[ends[b - len(nodes)]:ends[b]], n[b - len(nodes):b])
+                           for (_, _, nodes, _), b in zip(asked, sizes, strict=True)]
         return out
 
-    def _search(self, seed: np.uint64, node: np.ndarray, path: np.ndarray, ends: np.ndarray) -> list[dict]:
+    def _search(self, seed: np.uint64, node: np.ndarray, path: np.ndarray, ends: np.ndarray):
         """Perturbed A* over one text's lattice. A queue entry is (perturbed value, path that it
-        leaves, place where it leaves it, edges already excluded there, their probability)."""
+        leaves, place where it leaves it, edges already excluded there, their probability). A
+        generator that yields the (nodes, seeds) to draw from, takes (edges, edges per node), and
+        returns the samples."""
         lat, salt = self.lattices, seed + numbered(3 * self.k + 3, 31)
         value = -np.log(-np.log(_uniform(salt[:1])[0]))
         queue, taken, start, shut, shut_p = [], [], 0, (), 0.0
@@ -263,7 +277,7 @@ class Sampler:
             if not queue or len(taken) == self.k:
                 break
             value, which, start, shut, shut_p, ends = queue.pop(0)
-            path, ends = self._leave(taken[which][0], ends, start, shut, node, salt[3 * len(taken) + 1:])
+            path, ends = yield from self._leave(taken[which][0], ends, start, shut, node, salt[3 * len(taken) + 1:])
         bound = queue[0][0] if queue else -np.inf
         return [dict(ids=self._ids(path), log_p=log_p, perturbed=value,
                      inclusion=float(-np.expm1(-np.exp(min(log_p - bound, 700)))) if queue else 1.0)
@@ -290,7 +304,7 @@ class Sampler:
                 return size
             n = need
 
-    def _leave(self, path, ends, at, shut, node, salt) -> tuple[np.ndarray, np.ndarray]:
+    def _leave(self, path, ends, at, shut, node, salt):
         """A path that shares the edges before ``at``, takes there none of ``shut``, and goes on
         at random; and where its words end."""
         lat = self.lattices
@@ -301,7 +315,7 @@ class Sampler:
         edge = edges[min(np.searchsorted(run, _uniform(salt[:1])[0] * run[-1]), len(edges) - 1)]
         word = int(np.searchsorted(ends, at, "right")) - 1
         starts = np.concatenate(([lat.to[edge]], node[word + 1:]))
-        more, n = lat.draw(starts, salt[1] + mix(np.arange(len(starts), dtype=np.uint64)))
+        more, n = yield starts, salt[1] + mix(np.arange(len(starts), dtype=np.uint64))
         new = np.concatenate((path[:at], [edge], more))
         return new, np.concatenate((ends[:word + 1], at + 1 + np.cumsum(n)))
 
@@ -333,12 +347,33 @@ def encode(docs: DataFrame, path: str, k: int = SAMPLES, sharpness: float = SHAR
     repeated ones) get the same samples; a null key is seeded as one. Other columns are ignored; an
     empty table gives an empty result. ``path`` names the model on every worker."""
 
-    @F.pandas_udf(f"array<{SAMPLE}>")
-    def sample(keys: pd.Series, texts: pd.Series) -> pd.Series:
-        return pd.Series(sampler(path, sharpness, k, seed).texts(keys.to_numpy(np.int64), list(texts)))
+    rows = docs.select(F.xxhash64(F.col(key)).alias("_seed"), F.col(text).alias("_text"),
+                       F.col(key).alias("doc_id"), *(keep or []))
+    schema = T.StructType(rows.schema.fields[2:]).add("samples", T._parse_datatype_string(f"array<{SAMPLE}>"))
+
+    def sample(batches):
+        for batch in batches:
+            keys, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            for at, part in in_parts(texts, BATCH_CHARS):  # results leave the worker part by part
+                found = sampler(path, sharpness, k, seed).texts(keys[at:at + len(part)], part)
+                passed = batch.slice(at, len(part)).columns[2:]
+                yield pa.RecordBatch.from_arrays([*passed, _arrow(found)], names=schema.names)
+
+    return rows.mapInArrow(sample, schema)
+
+
+def _arrow(samples: list[list[dict]]) -> pa.Array:
+    """The samples of some texts as an Arrow array."""
+    flat = [s for x in samples for s in x]
+
+    def bounds(sizes):
+        return pa.array(np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))).astype(np.int32))
 
-    return docs.select(F.col(key).alias("doc_id"), *(keep or []),
-                       sample(F.xxhash64(F.col(key)), F.col(text)).alias("samples"))
+    ids = pa.ListArray.from_arrays(bounds([len(s["ids"]) for s in flat]), pa.array(
+        np.concatenate([np.empty(0, np.int32), *(s["ids"] for s in flat)]).astype(np.int32)))
+    numbers = [pa.array([s[name] for s in flat], pa.float64()) for name in ("log_p", "perturbed", "inclusion")]
+    each = pa.StructArray.from_arrays([ids, *numbers], names=["ids", "log_p", "perturbed", "inclusion"])
+    return pa.ListArray.from_arrays(bounds([len(x) for x in samples]), each)
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "text") -> DataFrame:
