@@ -66,10 +66,6 @@ def url_error(col) -> Column:
 
 
 # DuckDB twins for oracle SQL.
-def sql_clean_url(expr: str) -> str:
-    return f"regexp_replace(regexp_replace({expr}, '[\\t\\r\\n]', '', 'g'), '^[\\x00-\\x20]+', '')"
-
-
 def sql_domain(expr: str) -> str:
     return f"replace(regexp_extract({expr}, '{URL_RX}', 2), 'www.', '')"
 

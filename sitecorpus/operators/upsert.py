@@ -51,14 +51,16 @@ def read_document_listing(pages: DataFrame) -> DataFrame:
 
 
 def read_field_registry(responses: DataFrame) -> DataFrame:
-    """Registry responses ``status, body`` → ``name, field_id, type``; a later entry with
-    the same name replaces an earlier one; non-200 responses give nothing."""
+    """Registry responses ``status, body`` (and ``page``, if there are several) → ``name, field_id,
+    type``; a later entry with the same name, by page and place, replaces an earlier one; non-200
+    responses give nothing."""
+    page = F.col("page") if "page" in responses.columns else F.lit(0)
     entries = (responses.filter(F.col("status") == 200)
-               .select(F.posexplode(F.from_json("body", REGISTRY_SCHEMA)["doc_metadata"])
+               .select(page.alias("page"), F.posexplode(F.from_json("body", REGISTRY_SCHEMA)["doc_metadata"])
                        .alias("pos", "f")))
     return entries.groupBy(F.col("f.name").alias("name")).agg(
         F.max_by(F.struct(F.col("f.id").alias("field_id"), F.col("f.type").alias("type")),
-                 F.col("pos")).alias("v")).select("name", "v.field_id", "v.type")
+                 F.struct("page", "pos")).alias("v")).select("name", "v.field_id", "v.type")
 
 
 def importable(docs: DataFrame, body_col: str = "body") -> DataFrame:
@@ -130,13 +132,14 @@ def plan_upsert(docs: DataFrame, existing: DataFrame, skip_existing: bool = Fals
                 name_col: str = "doc_name") -> DataFrame:
     """Per importable document: ``action`` create / replace / skip, ``old_id`` and the
     ``new_id``. Lookups see only the listing taken before the import, so two incoming
-    documents with the same new name are both created."""
+    documents with the same new name are both created. A replacement gets an id of its own, made
+    from the replaced one."""
     ex = existing.select(F.col("name").alias("_name"), F.col("id").alias("old_id"))
     joined = docs.join(ex, docs[name_col] == ex["_name"], "left").drop("_name")
     action = (F.when(F.col("old_id").isNull(), F.lit("create"))
               .when(F.lit(skip_existing), F.lit("skip")).otherwise(F.lit("replace")))
-    new_id = F.when(action == "skip", F.col("old_id")).otherwise(
-        document_id(F.col(name_col), F.col("filename")))
+    new_id = F.when(action == "skip", F.col("old_id")).otherwise(document_id(
+        F.col(name_col), F.concat_ws("|", "filename", "old_id")))
     return joined.withColumn("action", action).withColumn("new_id", new_id)
 
 

@@ -237,7 +237,8 @@ def q_fetch_outcome(spark, sf_dir):
 
 
 @register("cached_refetch", f"""
-  SELECT url, ok, reason FROM ({_OUTCOME_SQL}) o
+  SELECT url, ok, reason, CASE WHEN ok THEN (SELECT body FROM ({_ATTEMPT_SQL}) a
+         WHERE a.url = o.url AND a.kind = 'refetch' AND a.seq = 1) END AS body FROM ({_OUTCOME_SQL}) o
   WHERE from_refetch OR reason IN ('no_refetch', 'refetch_http_error', 'still_cached')
      OR (reason = 'invalid_json' AND from_refetch)""")
 def q_cached_refetch(spark, sf_dir):
@@ -245,7 +246,7 @@ def q_cached_refetch(spark, sf_dir):
     out = resolve_attempts(att, MAX_RETRIES, with_body=True, order=ATTEMPT_ORDER)
     return out.filter(F.col("from_refetch") | F.col("reason").isin(
         "no_refetch", "refetch_http_error", "still_cached", "refetch_error")).select(
-        "url", "ok", "reason")
+        "url", "ok", "reason", "body")
 
 
 def _envelopes(spark, sf_dir):

@@ -103,16 +103,20 @@ _LISTING_SQL = f"""
          row_number() OVER (PARTITION BY page_id // 200 ORDER BY page_id) AS pos,
          doc_name AS name, {_DOCID} AS id
   FROM ({_DOCS_SQL}) d WHERE lower(regexp_extract(url, {sql_lit(URL_RX)}, 1)) = 'http'"""
-_EXISTING_FIELDS_SQL = """
+_EXISTING_FIELDS_SQL = f"""
   SELECT name, left(sha256('field|' || name), 32) AS field_id,
          CASE WHEN name = 'crawl_date' THEN 'time' ELSE 'string' END AS type
-  FROM (SELECT unnest(['title', 'source_url', 'domain', 'crawl_date', 'description']) AS name) k"""
+  FROM (SELECT DISTINCT unnest(regexp_extract_all(split_part(text, chr(10) || '---' || chr(10), 1), '([a-z_]+): "', 1)) AS name
+        FROM ({_LATEST_RENDERED_SQL}) l JOIN ({_DOCS_SQL}) d USING (page_id)
+        WHERE lower(regexp_extract(d.url, {sql_lit(URL_RX)}, 1)) = 'http') k WHERE name <> 'language'"""
 _REGISTRY_SQL = f"""
   SELECT name, field_id, type, 'existing' AS action FROM ({_EXISTING_FIELDS_SQL}) e
-  UNION ALL SELECT 'language', left(sha256('field|language'), 32), 'string', 'create'"""
+  UNION ALL SELECT name, left(sha256('field|' || name), 32), type, 'create'
+  FROM (VALUES ('source_url', 'string'), ('domain', 'string'), ('crawl_date', 'time'), ('description', 'string'),
+        ('language', 'string')) r(name, type) WHERE name NOT IN (SELECT name FROM ({_EXISTING_FIELDS_SQL}) e)"""
 _PLAN_SQL = f"""
   SELECT d.filename, d.doc_name, CASE WHEN l.id IS NULL THEN 'create' ELSE 'replace' END AS action,
-         l.id AS old_id, {_DOCID.replace('doc_name', 'd.doc_name').replace('filename', 'd.filename')} AS new_id
+         l.id AS old_id, left(sha256('doc|' || d.doc_name || '|' || d.filename || coalesce('|' || l.id, '')), 32) AS new_id
   FROM ({_DOCS_SQL}) d LEFT JOIN ({_LISTING_SQL}) l ON d.doc_name = l.name"""
 
 
@@ -165,10 +169,10 @@ def q_existing_lookup(spark, sf_dir):
     return existing_documents(read_document_listing(listing_responses(corpus_docs(spark, sf_dir))))
 
 
-@register("upsert_plan", f"SELECT filename, doc_name, action, old_id FROM ({_PLAN_SQL}) p")
+@register("upsert_plan", f"SELECT filename, doc_name, action, old_id, new_id FROM ({_PLAN_SQL}) p")
 def q_upsert_plan(spark, sf_dir):
     _, _, plan = import_plan(spark, sf_dir)
-    return plan.select("filename", "doc_name", "action", "old_id")
+    return plan.select("filename", "doc_name", "action", "old_id", "new_id")
 
 
 @register("upsert_apply", f"""

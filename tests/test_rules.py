@@ -156,3 +156,51 @@ def test_later_runs_win_at_any_position(spark):
     kept = spark.createDataFrame([("f", 5 * 10 ** 12, "old", 1), ("g", 1, "g", 1)], schema)
     new = spark.createDataFrame([("f", 1, "new", 2)], schema)
     assert {(r.filename, r.title_key) for r in route_increment(kept, new).collect()} == {("f", "new"), ("g", "g")}
+
+
+def test_import_of_a_damaged_folder(spark):
+    from sitecorpus.plans.jobs import import_folder
+    raws = {"good.md": '---\ntitle: "T"\ncrawl_date: "5"\ndomain: "d"\n---\n\nbody', "new.md": "no block, title from the name",
+            "blank.md": '---\ntitle: "B"\n---\n\n \u00a0\n', "null.md": "---\n\n---\n\nbody", "list.md": "---\n- a\n---\n\nbody",
+            "bad.md": "---\ntitle: [a\n---\n\nbody", "title.md": "---\ntitle:\n---\n\nbody", "bytes.md": None}
+    files = spark.createDataFrame([("/c/" + k, k, k[:-3], v, None if v is not None else "invalid_utf8") for k, v in raws.items()],
+                                  "path string, filename string, stem string, raw string, error string")
+    listing = spark.createDataFrame([(1, 200, '{"data": [{"id": "old", "name": "T (5)"}], "has_more": false}')], "page int, status int, body string")
+    registry = spark.createDataFrame([(1, 200, '{"doc_metadata": [{"id": "f1", "name": "domain", "type": "string"}]}'),
+                                      (2, 200, '{"doc_metadata": [{"id": "f2", "name": "domain", "type": "string"}]}')],
+                                     "page int, status int, body string")
+    job = import_folder(files, listing, registry)
+    got = {r.filename: (r.import_status, r.action) for r in job.plan.collect()}
+    assert got == {"good.md": (None, "replace"), "new.md": (None, "create"), "blank.md": ("blank", None), "null.md": ("empty_frontmatter", None),
+                   "list.md": ("not_mapping", None), "bad.md": ("unreadable", None), "title.md": ("bad_title", None), "bytes.md": ("unreadable", None)}
+    assert sorted(r.path for r in job.failed.collect()) == [f"/c/{x}.md" for x in ("bad", "blank", "bytes", "list", "null", "title")]
+    assert tuple(job.summary.first()) == (2, 6)
+    state = {r.name: r.id for r in job.state.collect()}
+    assert state.keys() == {"T (5)", "new ()"} and state["T (5)"] != "old"
+    assert {(r.name, r.field_id) for r in job.metadata.collect() if r.name == "domain"} == {("domain", "f2")}
+    skipped = import_folder(files, listing, registry, skip_existing=True)
+    assert {r.filename: r.action for r in skipped.plan.collect()}["good.md"] == "skip"
+    assert {r.name: r.id for r in skipped.state.collect()}["T (5)"] == "old"
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_crawl_from_seeds_to_reports(spark, exact):
+    from sitecorpus.plans.jobs import crawl
+    seeds = spark.createDataFrame([("http://e.com/map.xml",), ("http://e.com/lone",)], "seed string")
+    urls = ["http://e.com/a", "http://e.com/a?q=2", "http://e.com/b", "http://e.com/c", "http://e.com/never", "http://e.com/json"]
+    maps = spark.createDataFrame([("http://e.com/map.xml", i + 1, u) for i, u in enumerate(urls)], "file string, pos long, url string")
+    body = '{"data": {"title": "%s", "content": "text of %s", "description": "one\\ntwo"}}'
+    rows = [(urls[0], "fetch", 1, 500, None, None), (urls[0], "fetch", 2, 200, None, body % ("Old", "a")), (urls[1], "fetch", 1, 200, None, body % ("Same", "a2")),
+            (urls[2], "fetch", 1, 200, None, body % ("Same", "b")), (urls[3], "fetch", 1, 200, None, body % ("Own", "c")),
+            (urls[5], "fetch", 1, 200, None, "not json"), ("http://e.com/lone", "fetch", 1, 200, None, body % ("Lone", "l"))]
+    job = crawl(seeds, maps, spark.createDataFrame(rows, A), 7, exact_envelope=exact)
+    assert {r.url: r.reason for r in job.outcomes.collect() if not r.ok} == {urls[4]: "no_attempts", urls[5]: "invalid_json"}
+    pages = {r.filename: r for r in job.pages.collect()}
+    assert {f: r.is_duplicate for f, r in pages.items()} == {"e.com_a.md": True, "e.com_b.md": True, "e.com_c.md": False, "e.com_lone.md": False}
+    assert pages["e.com_a.md"].url == urls[1] and pages["e.com_a.md"].text.startswith('---\ntitle: "Same"\n')
+    assert ("two" in pages["e.com_c.md"].description) == (not exact)  # a header line keeps one line
+    summary = job.summary.first()
+    assert (summary.total_urls, summary.successful, summary.failed, summary.duplicate_files) == (7, 5, 2, 2)
+    refused = crawl(seeds, maps, spark.createDataFrame(rows, A), 7, start_index=6)
+    assert [r.error for r in refused.frontier.collect() if r.url is None] == ["start_index_exceeds_total"]
+    assert [r.url for r in refused.outcomes.collect()] == [urls[5]]
