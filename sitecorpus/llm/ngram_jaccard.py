@@ -9,10 +9,11 @@ Method: vertical partitioning. The order of all n-gram hashes is cut into fragme
 3. Within an n-gram's postings, ordered by size, each set is paired with the next ``NEAR``. For
    each pair the overlap is counted in every fragment separately and summed, then compared with
    the threshold exactly. Links give connected components.
-4. What is left are pairs further apart in long postings, of sets in different components. They
+4. What is left are pairs further apart in a posting, of sets in different components. In postings
+   of up to ``SHORT`` sets they are listed and verified like the near ones. In longer ones they
    are compared in blocks (the smaller components against everything), again fragment by
-   fragment; each block returns one link per set and component. No pair table of a group is
-   built, and no pair that could join two components is left out.
+   fragment; each block returns one link per set and component. So the pairs listed stay in
+   proportion to the postings, and no pair that could join two components is left out.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from sitecorpus.llm.stored import store
 from sitecorpus.llm.words import LOWER, Batch, distinct_per_text, mix, numbered
 
 NEAR = 4              # following sets that a posting pairs with
+SHORT = 64            # sets of a posting whose open pairs are listed, at most
 POSTING_BLOCK = 512   # postings that are ordered together, about
 BLOCK_GRAMS = 1 << 17  # n-grams of the sets in a block, about
 N_FRAGMENTS = 8
@@ -95,6 +97,19 @@ def _near_pairs(postings: DataFrame, sizes: DataFrame, num: int, den: int) -> Da
     return pairs.select(F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b")).distinct()
 
 
+def _open_pairs(postings: DataFrame, sizes: DataFrame, roots: DataFrame, num: int, den: int) -> DataFrame:
+    """Distinct pairs (a < b) of sets of different components that share a short posting."""
+    short = postings.join(sizes.filter(f"m > {NEAR + 1} AND m <= {SHORT}").select("gram"), "gram")
+    placed = short.join(roots.withColumnRenamed("row", "node"), "node", "left").select(
+        "gram", F.struct("node", "n", F.coalesce("root", "node").alias("root")).alias("s"))
+    sets = placed.groupBy("gram").agg(F.collect_list("s").alias("s")).filter(
+        F.size(F.array_distinct(F.col("s.root"))) > 1)
+    pairs = sets.select("s", F.explode("s").alias("a")).select("a", F.explode(F.filter(
+        "s", lambda b: (b["node"] > F.col("a.node")) & (b["root"] != F.col("a.root"))
+        & (b["n"] * den >= F.col("a.n") * num) & (F.col("a.n") * den >= b["n"] * num))).alias("b"))
+    return pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+
+
 def _links(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs over the threshold: overlaps per fragment, summed."""
     cut = nodes.select(F.col("row").alias("node"), F.col("n_shingles").alias("n"), F.posexplode(F.transform(
@@ -133,8 +148,8 @@ def _overlaps(left: list, right: list) -> np.ndarray:
 
 def _far_links(postings: DataFrame, sizes: DataFrame, nodes: DataFrame, roots: DataFrame,
                num: int, den: int) -> DataFrame:
-    """Links between sets of different components in postings longer than NEAR + 1."""
-    long = postings.join(sizes.filter(F.col("m") > NEAR + 1), "gram").drop("m")
+    """Links between sets of different components in postings longer than SHORT."""
+    long = postings.join(sizes.filter(F.col("m") > SHORT), "gram").drop("m")
     placed = store(long.join(roots.withColumnRenamed("row", "node"), "node", "left")
                    .withColumn("root", F.coalesce("root", "node")), "ngram-long")
     parts = placed.groupBy("gram", "root").agg(F.count("*").alias("c"), F.sum("n").alias("w"))
@@ -184,15 +199,19 @@ def jaccard_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, lower:
     groups = store(sets.filter("set_id is not null").groupBy("set_id").agg(
         F.min("row").alias("row"), F.min("doc_id").alias("low"),
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best")), "ngram-groups")
-    nodes = sets.select("row", "n_shingles", "rare", "grams").join(groups.select("row"), "row", "left_semi")
+    nodes = store(sets.select("row", "n_shingles", "rare", "grams").join(groups.select("row"), "row", "left_semi"),
+                  "ngram-nodes")
     postings = store(nodes.select(F.col("row").alias("node"), F.col("n_shingles").alias("n"), F.explode(
         F.slice("grams", F.lit(1), F.col("rare"))).alias("gram")), "ngram-postings")
     sizes = store(postings.groupBy("gram").agg(F.count("*").alias("m")).filter("m > 1"), "ngram-sizes")
     links = store(_links(_near_pairs(postings, sizes, num, den), nodes, num, den), "ngram-links")
     roots = components(links).withColumnRenamed("node", "row")
-    far = store(_far_links(postings, sizes, nodes, roots, num, den), "ngram-far")
-    if far.head(1):
-        roots = components(links.unionByName(far)).withColumnRenamed("node", "row")
+    for rest in (lambda: _links(_open_pairs(postings, sizes, roots, num, den), nodes, num, den),
+                 lambda: _far_links(postings, sizes, nodes, roots, num, den)):
+        more = store(rest(), "ngram-more")
+        if more.head(1):
+            links = links.unionByName(more)
+            roots = components(links).withColumnRenamed("node", "row")
     placed = store(groups.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row")), "ngram-placed")
     whole = placed.groupBy("root").agg(F.min("low").alias("component_id"), F.min("best").alias("best"))
     classes = placed.select("set_id", "root").join(whole, "root").select(

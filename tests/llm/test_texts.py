@@ -95,10 +95,11 @@ def test_ngram_classes(docs, n, threshold):
     assert sum(r.kept for r in got) == len({w[2] for w in want if w[0] is not None}) + 2  # two rows without key
 
 
-def test_ngram_chain_in_long_postings(spark):
-    """More near copies than a posting's near pairs: far links join the components."""
+@pytest.mark.parametrize("copies", [30, 80])
+def test_ngram_chain_in_long_postings(spark, copies):
+    """More near copies than a posting's near pairs: open pairs and far links join the components."""
     rng, rows = np.random.default_rng(5), []
-    for i in range(80):
+    for i in range(copies):
         rows.append((i, edited(BASE, rng.choice(200, rng.integers(0, 9), replace=False)), None))
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_classes(df, 3, 0.9).collect()}
