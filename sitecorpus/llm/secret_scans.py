@@ -20,20 +20,24 @@ from sitecorpus.llm.stored import store
 
 @dataclasses.dataclass(frozen=True)
 class Rule:
-    """``pattern`` finds matches; one counts if ``part`` (its group) has ``least`` characters."""
+    """``pattern`` finds matches; one counts if ``part`` (its group) has ``least`` characters.
+    ``hint`` is a pattern found in every text that has a counting match (``pattern`` itself, if none
+    is given): other texts are not cut up."""
 
     kind: str
     version: int
     pattern: str
     part: int
     least: int
+    hint: str | None = None
 
 
 #: The base rules (fixed values), in the order in which kinds are listed.
 RULES = (
-    Rule("assign", 1, r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
-    Rule("access", 1, r"AKIA[A-Z0-9]+", 0, 18),
-    Rule("hex", 1, r"[0-9a-f]+", 0, 16),
+    Rule("assign", 1, r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12,
+         r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{12}"""),
+    Rule("access", 1, r"AKIA[A-Z0-9]+", 0, 18, r"AKIA[A-Z0-9]{14}"),
+    Rule("hex", 1, r"[0-9a-f]+", 0, 16, r"[0-9a-f]{16}"),
 )
 SPANS = "array<struct<start:int,end:int>>"
 
@@ -52,15 +56,7 @@ def _spans(text: Column, rule: Rule) -> Column:
         F.when(m["part"] >= rule.least, F.concat(s["spans"], F.array(F.struct(
             (s["at"] + m["gap"]).alias("start"), (s["at"] + m["gap"] + m["all"]).alias("end")))))
         .otherwise(s["spans"]).alias("spans")))
-    return F.when(text.rlike(_hint(rule)), walked["spans"]).otherwise(F.array().cast(SPANS))
-
-
-def _hint(rule: Rule) -> str:
-    """A pattern that any counted match contains, so that most texts are read once."""
-    if rule.part:
-        return rule.pattern.removesuffix("+)") + "{%d})" % rule.least
-    head, last = rule.pattern.removesuffix("+").rsplit("[", 1)
-    return f"{head}[{last}{{{rule.least - len(head)}}}"
+    return F.when(text.rlike(rule.hint or rule.pattern), walked["spans"]).otherwise(F.array().cast(SPANS))
 
 
 def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
