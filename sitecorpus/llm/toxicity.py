@@ -2,14 +2,16 @@
 
 Terms are a text's distinct words (letters and digits, ASCII lower case) and the first ``HEAD``
 bytes of each word, hashed into 2**BITS slots. The score of a text that has the terms i is
-sigmoid(b + sum w_i + sum_{i<j} <v_i, v_j>), the pair sum computed per factor as half of
-(sum v)**2 - sum v**2, so a pair such as an insult with a group mention counts although no pair
-is listed.
+sigmoid(b + sum w_i + sum_{i<j} <v_i, v_j> / sqrt(n)) for its n terms, the pair sum computed per
+factor as half of (sum v)**2 - sum v**2, so a pair such as an insult with a group mention counts
+although no pair is listed.
 
 The model is fitted on a bounded sample of labelled rows (about ``MAX_ROWS``, half of them toxic
-if there are so many), chosen by a hash of the key: slots whose share differs clearly between
-the labels are kept, and their weights and factors are learned with Adagrad, the only step on the
-driver. Scoring runs over all rows in Arrow batches.
+if there are so many), chosen by a hash of the key. Every slot that a sample text holds has a
+weight and factors, whatever its share in the labels: a word that tells nothing alone can tell in a
+pair. They are learned with Adagrad, which shrinks a weight, or the factors of a slot together,
+towards zero (2**BITS slots at most, 15 MB), the only step on the driver. Scoring runs over all rows
+in Arrow batches.
 """
 
 from __future__ import annotations
@@ -23,9 +25,8 @@ from sitecorpus.llm.words import ALNUM, Batch, distinct_per_text, in_parts
 
 BITS, HEAD, FACTORS = 18, 4, 6
 MAX_ROWS = 8_000    # labelled rows the model is fitted on, about
-CLEAR = 4.0         # standard errors by which a kept slot's share differs between the labels
-MAX_SLOTS = 4_096
-EPOCHS, RATE, PENALTY = 12, 0.2, 1e-4
+EPOCHS, MEAN_OF = 30, 10  # passes over the sample; the model is the mean after the last of them
+RATE, PENALTY = (1.0, 0.05), (2e-4, 3e-4)  # of the weights and of the factors
 
 
 def slots(texts, place: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -45,54 +46,66 @@ def slots(texts, place: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarra
 
 
 class Machine:
-    """Weights of the kept slots; position 0 is the constant term, every text has it."""
+    """Weights of the slots in the sample; position 0 is the constant term, every text has it."""
 
     def __init__(self, kept: np.ndarray, prior: float):
         self.place = np.full(1 << BITS, -1, np.int32)
         self.place[kept] = np.arange(1, len(kept) + 1)
         self.prior = prior
         self.w = np.zeros(len(kept) + 1)
-        self.v = np.random.default_rng(7).normal(0, 0.05, (len(kept) + 1, FACTORS))
+        self.v = np.random.default_rng(7).normal(0, 0.02, (len(kept) + 1, FACTORS))
         self.v[0] = 0
 
     def active(self, slot: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         i = self.place[slot]
         return i[i > 0], owner[i > 0]
 
-    def sums(self, i: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """The log-odds and the factor sums of n texts."""
-        total = np.stack([np.bincount(owner, self.v[i, f], n) for f in range(FACTORS)], 1)
-        pairs = (total ** 2).sum(1) - np.bincount(owner, (self.v[i] ** 2).sum(1), n)
-        return self.w[0] + np.bincount(owner, self.w[i], n) + pairs / 2, total
+    def sums(self, i: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The log-odds, the factor sums and the weight of a pair in n texts."""
+        v = self.v[i]
+        total = np.stack([np.bincount(owner, v[:, f], n) for f in range(FACTORS)], 1)
+        pairs = (total ** 2).sum(1) - np.bincount(owner, (v ** 2).sum(1), n)
+        share = 1 / np.sqrt(np.maximum(np.bincount(owner, minlength=n), 1))
+        return self.w[0] + np.bincount(owner, self.w[i], n) + share * pairs / 2, total, share
 
     def fit(self, i: np.ndarray, owner: np.ndarray, labels: np.ndarray) -> None:
         n = len(labels)
         first = np.searchsorted(owner, np.arange(n + 1))
-        gw, gv = np.full_like(self.w, 1e-6), np.full_like(self.v, 1e-6)
+        gw, gv = np.full_like(self.w, 1e-4), np.full_like(self.v, 3e-3)
         rng = np.random.default_rng(11)
-        for _ in range(EPOCHS):
+        mean_w, mean_v = np.zeros_like(self.w), np.zeros_like(self.v)
+        for epoch in range(EPOCHS):
             order = rng.permutation(n)
             for at in range(0, n, 128):
                 rows = order[at:at + 128]
                 sizes = first[rows + 1] - first[rows]
                 own = np.repeat(np.arange(len(rows)), sizes)
                 own_i = i[np.repeat(first[rows] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
-                z, total = self.sums(own_i, own, len(rows))
-                error = (1 / (1 + np.exp(-z)) - labels[rows]) / len(rows)
-                dw = np.bincount(own_i, error[own], len(self.w)) + PENALTY * self.w
+                z, total, share = self.sums(own_i, own, len(rows))
+                error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[rows]) / len(rows)
+                dw = np.bincount(own_i, error[own], len(self.w))
                 dw[0] = error.sum()
-                dv = PENALTY * self.v
-                part = error[own][:, None] * (total[own] - self.v[own_i])
+                dv = np.empty_like(self.v)
+                part = (error * share)[own][:, None] * (total[own] - self.v[own_i])
                 for f in range(FACTORS):
-                    dv[:, f] += np.bincount(own_i, part[:, f], len(self.w))
+                    dv[:, f] = np.bincount(own_i, part[:, f], len(self.w))
                 gw += dw ** 2
                 gv += dv ** 2
-                self.w -= RATE * dw / np.sqrt(gw)
-                self.v -= RATE / 4 * dv / np.sqrt(gv)
+                self.w -= RATE[0] * dw / np.sqrt(gw)
+                self.v -= RATE[1] * dv / np.sqrt(gv)
+                less = RATE[0] * PENALTY[0] / np.sqrt(gw[1:])
+                self.w[1:] = np.sign(self.w[1:]) * np.maximum(np.abs(self.w[1:]) - less, 0)
+                size = np.sqrt((self.v ** 2).sum(1))
+                less = RATE[1] * PENALTY[1] / np.sqrt(gv.mean(1))
+                self.v *= np.maximum(1 - less / np.maximum(size, 1e-12), 0)[:, None]
+            if epoch >= EPOCHS - MEAN_OF:
+                mean_w += self.w / MEAN_OF
+                mean_v += self.v / MEAN_OF
+        self.w, self.v = mean_w, mean_v
 
     def score(self, texts) -> np.ndarray:
-        z, _ = self.sums(*self.active(*slots(texts, self.place)), len(texts))
-        return 1 / (1 + np.exp(-np.clip(z + self.prior, -30, 30)))
+        z = [self.sums(*self.active(*slots(part, self.place)), len(part))[0] for _, part in in_parts(texts)]
+        return 1 / (1 + np.exp(-np.clip(np.concatenate([np.empty(0), *z]) + self.prior, -30, 30)))
 
 
 def fit(rows: DataFrame, shares: dict[int, float], key: str = "doc_id", text: str = "text",
@@ -121,14 +134,8 @@ def fit(rows: DataFrame, shares: dict[int, float], key: str = "doc_id", text: st
         return machine
     slot = np.concatenate(parts).astype(np.int64)
     owner = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
-    c1 = np.bincount(slot[labels[owner] == 1], minlength=1 << BITS)
-    c0 = np.bincount(slot[labels[owner] == 0], minlength=1 << BITS)
-    p = (c1 + c0 + 1) / (len(labels) + 2)
-    z = (c1 / n1 - c0 / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0))
-    kept = np.flatnonzero(np.abs(z) >= CLEAR)
-    kept = np.sort(kept[np.argsort(-np.abs(z[kept]), kind="stable")][:MAX_SLOTS])
     # The sample holds the labels in other shares than the rows: correct the odds for that.
-    machine = Machine(kept, float(np.log(shares[1] / shares[0]) - np.log(n1 / n0)))
+    machine = Machine(np.unique(slot), float(np.log(shares[1] / shares[0]) - np.log(n1 / n0)))
     machine.fit(*machine.active(slot, owner), labels)
     return machine
 

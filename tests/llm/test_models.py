@@ -64,6 +64,21 @@ def test_pairs_of_terms_count(spark):
     assert np.mean([got[i] == t for i, _, t in rows if i in got]) > 0.98
 
 
+def test_pairs_of_balanced_words_count(spark):
+    """Each word is as frequent in toxic as in clean texts; only the pair tells."""
+    rng, rows = random.Random(5), []
+    for i in range(5000):
+        a, b = (i // 2) % 2, i % 2
+        text = [f"{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{k}" for k in (rng.randrange(3000) for _ in range(60))]
+        text += ["fools" if a else "trees", "neighbours" if b else "rivers"]
+        rng.shuffle(text)
+        rows.append((i, " ".join(text), int(a == b)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    machine = fit_toxic(df, df.drop("text"))
+    got = {r.doc_id: r.predicted for r in score_toxicity(df, machine).filter(held_out("doc_id")).collect()}
+    assert np.mean([got[i] == t for i, _, t in rows if i in got]) > 0.98
+
+
 def test_toxicity_without_labels(spark, odd):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.predicted for r in score_toxicity(odd, fit_toxic(odd, none)).collect()} == {0}
