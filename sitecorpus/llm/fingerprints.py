@@ -52,12 +52,13 @@ def anchors(text: Column, k: int = K) -> Column:
 
 def with_sketch(rows: DataFrame, text: str, out: str, k: int = K, most: int = MOST) -> DataFrame:
     """``out``: the ``most`` smallest distinct hashes of the chosen windows, ascending. A text of
-    fewer than ``k`` words has one, of its whole sequence; one without words has none."""
+    fewer than ``k`` words, or without a chosen window, has one, of its whole sequence; one without
+    words has none."""
     rows = rows.withColumn("_h", _hashes(F.coalesce(F.col(text), F.lit(""))))
     h = F.col("_h")
     full = F.transform(_starts(h, k), lambda i: F.xxhash64(*[F.element_at(h, (i + j).cast("int")) for j in range(k)]))
     short = F.when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(F.array().cast("array<bigint>"))
-    picked = F.when(F.size(h) >= k, full).otherwise(short)
+    picked = F.when((F.size(h) >= k) & (F.size(full) > 0), full).otherwise(short)
     return rows.withColumn(out, F.slice(F.array_sort(F.array_distinct(picked)), 1, most)).drop("_h")
 
 

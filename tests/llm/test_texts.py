@@ -269,3 +269,12 @@ def test_words_across_blocks(monkeypatch):
     raw = np.frombuffer(b" ab ab\n", np.uint8)
     start, end, h, _ = word_hashes(raw)
     assert start.tolist() == [1, 4] and end.tolist() == [3, 6] and h[0] == h[1]
+
+
+def test_three_words_in_every_order_of_hashes(spark):
+    """One window, which is not chosen where its middle hash is the smallest."""
+    texts = [" ".join(p) for p in itertools.permutations(["alpha", "beta", "gamma"])]
+    df = spark.createDataFrame([*enumerate(texts), (6, "")], "doc_id long, text string")
+    rows = {r.doc_id: r for r in compare_with_edits(df).collect()}
+    assert len({r.fingerprint for r in rows.values()}) == 7 and rows[6].fingerprint == ""
+    assert {r.near_next for r in rows.values()} == {0}
