@@ -3,11 +3,11 @@
 Method: the symbols are words. A window of ``K`` words is a closed syncmer if the smallest hash of
 its ``K`` inner one-word substrings is that of its first or last word; whether it is chosen depends
 on the window alone, so equal passages choose equal anchors wherever they stand. The fingerprint
-is the sorted hashes of the distinct chosen windows, reduced to the ``MOST`` smallest (a bottom-k
-sketch, bounded for any length). ``anchors`` also gives their places, for positional matching.
+is all anchors of the text, (place, hash) in order of place, whatever its length.
 
-The likeness of two fingerprints is the share of common hashes among the smallest of their union:
-the Jaccard similarity of the chosen windows, exact below ``MOST`` and an estimate above.
+Two texts are matched by position: of the anchors of one hash, the first of one text belongs to the
+first of the other, and so on. The likeness of two texts is the share of the words inside anchors
+that lie inside matched ones, over both texts.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ from sitecorpus.llm.stored import store
 RANGE_BYTES = 8 << 20  # text in a range of keys, about
 MOST_CUTS = 1_000
 K = 3
-MOST = 64
 
 
 def _words(text: Column) -> Column:
@@ -43,35 +42,76 @@ def _starts(h: Column, k: int) -> Column:
     return F.filter(F.sequence(F.lit(1), F.size(h) - (k - 1)), chosen)
 
 
-def anchors(text: Column, k: int = K) -> Column:
-    """(at, hash) of the chosen windows; ``at`` counts words from 0. None below ``k`` words."""
-    h = _hashes(text)
-    return F.when(F.size(h) >= k, F.transform(_starts(h, k), lambda i: F.struct(
-        (i - 1).cast("int").alias("at"), F.xxhash64(*[F.element_at(h, (i + j).cast("int")) for j in range(k)]).alias("hash"))))
-
-
-def with_sketch(rows: DataFrame, text: str, out: str, k: int = K, most: int = MOST) -> DataFrame:
-    """``out``: the ``most`` smallest distinct hashes of the chosen windows, ascending. A text of
-    fewer than ``k`` words, or without a chosen window, has one, of its whole sequence; one without
-    words has none."""
-    rows = rows.withColumn("_h", _hashes(F.coalesce(F.col(text), F.lit(""))))
-    h = F.col("_h")
-    full = F.transform(_starts(h, k), lambda i: F.xxhash64(*[F.element_at(h, (i + j).cast("int")) for j in range(k)]))
-    short = F.when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(F.array().cast("array<bigint>"))
-    picked = F.when((F.size(h) >= k) & (F.size(full) > 0), full).otherwise(short)
-    return rows.withColumn(out, F.slice(F.array_sort(F.array_distinct(picked)), 1, most)).drop("_h")
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once for a row, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def fingerprint(sketch: Column) -> Column:
-    """The sketch as text: 16 hexadecimal digits for each hash."""
-    return F.array_join(F.transform(sketch, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
-
-
-def likeness(a: Column, b: Column, most: int = MOST) -> Column:
-    """0 to 1; two texts without words are alike."""
-    joint = F.slice(F.array_sort(F.array_union(a, b)), 1, most)
-    common = F.size(F.array_intersect(F.array_intersect(a, b), joint))
-    return F.when(F.size(joint) == 0, 1.0).otherwise(common / F.size(joint))
+def anchors(text: Column, k: int = K) -> Column:
+    """(at, hash) of the chosen windows in order; ``at`` counts words from 0. A text of fewer than
+    ``k`` words, or without a chosen window, has one anchor, of its whole sequence; one without
+    words (or null) has none."""
+    def of(h):
+        found = F.transform(_starts(h, k), lambda i: F.struct((i - 1).cast("int").alias("at"), F.xxhash64(
+            *[F.element_at(h, (i + j).cast("int")) for j in range(k)]).alias("hash")))
+        whole = F.array(F.struct(F.lit(0).alias("at"), F.xxhash64(h).alias("hash")))
+        none = F.array().cast("array<struct<at:int,hash:bigint>>")
+        long = _let(found, lambda x: F.when(F.size(x) > 0, x).otherwise(whole))
+        return F.when(F.size(h) >= k, long).when(F.size(h) > 0, whole).otherwise(none)
+    return _let(_hashes(F.coalesce(text, F.lit(""))), of)
+
+
+def fingerprint(found: Column) -> Column:
+    """The anchors as text: 8 hexadecimal digits of the place and 16 of the hash for each."""
+    return F.lower(F.array_join(F.transform(found, lambda x: F.concat(
+        F.lpad(F.hex(x["at"]), 8, "0"), F.lpad(F.hex(x["hash"]), 16, "0"))), ""))
+
+
+def matches(a: Column, b: Column) -> Column:
+    """(a, b): the places of the matched anchors. The anchors of both texts are sorted by hash, text
+    and place; a run is those of one hash in one text, and two runs of a hash are paired in order."""
+    def tagged(found, side):
+        return F.transform(found, lambda x: F.struct(
+            x["hash"].alias("hash"), F.lit(side).alias("side"), x["at"].alias("at")))
+
+    def of_sorted(s):
+        def at(i):
+            return F.element_at(s, i.cast("int"))
+
+        def first(i):
+            return (i == 1) | (at(F.greatest(i - 1, F.lit(1)))["hash"] != at(i)["hash"]) | (
+                at(F.greatest(i - 1, F.lit(1)))["side"] != at(i)["side"])
+
+        def of_runs(runs):  # starts of the runs, and the place after the last
+            def paired(j):
+                one, two = F.element_at(runs, j), F.element_at(runs, j + 1)
+                n = F.least(two - one, F.element_at(runs, j + 2) - two)
+                return F.when((at(one)["side"] == 0) & (at(one)["hash"] == at(two)["hash"]), F.transform(
+                    F.sequence(F.lit(0), n - 1),
+                    lambda q: F.struct(at(one + q)["at"].alias("a"), at(two + q)["at"].alias("b"))))
+            pairs = F.transform(F.sequence(F.lit(1), F.size(runs) - 2), paired)
+            none = F.array().cast("array<struct<a:int,b:int>>")
+            return F.when(F.size(runs) >= 3, F.flatten(F.filter(pairs, lambda p: p.isNotNull()))).otherwise(none)
+
+        starts = F.filter(F.sequence(F.lit(1), F.size(s)), first)
+        return F.when(F.size(s) > 0, _let(F.concat(starts, F.array(F.size(s) + 1)), of_runs))
+    found = _let(F.sort_array(F.concat(tagged(a, 0), tagged(b, 1))), of_sorted)
+    return F.coalesce(found, F.array().cast("array<struct<a:int,b:int>>"))
+
+
+def _covered(places: Column, k: int) -> Column:
+    """The number of words in windows of ``k`` at the places."""
+    return _let(F.sort_array(places), lambda p: F.when(F.size(p) == 0, 0).otherwise(F.aggregate(
+        F.sequence(F.lit(1), F.size(p)), F.lit(0), lambda n, i: n + F.when(i == F.size(p), k).otherwise(
+            F.least(F.lit(k), F.element_at(p, F.least(i + 1, F.size(p))) - F.element_at(p, i))))))
+
+
+def likeness(a: Column, b: Column, k: int = K) -> Column:
+    """0 to 1, from the anchors of two texts; two texts without words are alike. A text shorter than
+    a window has one anchor, which counts as a whole window."""
+    whole = _covered(a["at"], k) + _covered(b["at"], k)
+    common = _let(matches(a, b), lambda m: _covered(m["a"], k) + _covered(m["b"], k))
+    return _let(whole, lambda n: F.when(n == 0, 1.0).otherwise(common / n))
 
 
 def _range_of(docs: DataFrame, key: str, size: int) -> Column:
@@ -93,8 +133,8 @@ def _range_of(docs: DataFrame, key: str, size: int) -> Column:
     return F.when(F.col(key).isNull(), -1).otherwise(i * parts + inner).cast("long")
 
 
-def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = K, most: int = MOST) -> DataFrame:
-    """(doc_id, text, sketch, next_text, next_sketch): each row with the one of the next greater
+def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, text, next_text): each row with the one of the next greater
     key; after the last comes the first.
 
     Rows are dealt by ranges of the key, each sorted by a window. The last row of a range needs the
@@ -117,14 +157,11 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int =
             lambda x: x["place"].isNotNull())).alias("at"))
     dealt = sent.select("doc_id", "text", "at.place", "at.extra", F.col("at.order").alias("order")).repartition("place")
     window = Window.partitionBy("place").orderBy("extra", "order")
-    return (with_sketch(dealt, "text", "sketch", k, most)
-            .select("doc_id", "text", "sketch", "extra", F.lead("text").over(window).alias("next_text"),
-                    F.lead("sketch").over(window).alias("next_sketch"))
+    return (dealt.select("doc_id", "text", "extra", F.lead("text").over(window).alias("next_text"))
             .filter("not extra").drop("extra"))
 
 
-def compare_with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = K,
-                       most: int = MOST) -> DataFrame:
+def compare_with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = K) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_chars (code points), edited_sha256, fingerprint,
     edited_fingerprint, near_edited, near_next. The edited text has the last floor(n_chars / 2) code
     points replaced by the first as many (or all) of the next document.
@@ -132,15 +169,18 @@ def compare_with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text",
     A null text is empty: its fingerprint is "", like another empty one's with likeness 1. A single
     row is its own next. Repeated rows stay (each is next to the other); other columns are ignored;
     an empty table gives an empty result."""
-    rows = with_next(docs, key, text, k, most).withColumn("n_chars", F.length("text").cast("long"))
+    rows = with_next(docs, key, text).withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    rows = rows.select("doc_id", "n_chars", "sketch", "next_sketch", F.concat(
-        F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - half),
-        F.substring(F.col("next_text"), F.lit(1), half)).alias("edited"))
-    rows = with_sketch(rows, "edited", "edited_sketch", k, most)
-    return rows.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint(F.col("sketch")).alias("fingerprint"),
-        fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch"), most).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch"), most).alias("near_next"))
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - half),
+                      F.substring(F.col("next_text"), F.lit(1), half))
+
+    def compared(x):
+        return F.struct(
+            F.sha2(x["edited"], 256).alias("edited_sha256"),
+            fingerprint(x["own"]).alias("fingerprint"), fingerprint(x["new"]).alias("edited_fingerprint"),
+            likeness(x["own"], x["new"], k).alias("near_edited"), likeness(x["own"], x["next"], k).alias("near_next"))
+
+    found = _let(edited, lambda e: _let(F.struct(
+        e.alias("edited"), anchors(F.col("text"), k).alias("own"), anchors(e, k).alias("new"),
+        anchors(F.col("next_text"), k).alias("next")), compared))
+    return rows.select("doc_id", "n_chars", found.alias("found")).select("doc_id", "n_chars", "found.*")

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sitecorpus.llm.fingerprints import compare_with_edits
+from sitecorpus.llm.fingerprints import anchors, compare_with_edits
 from sitecorpus.llm.ngram_jaccard import _overlaps, jaccard_classes
 from sitecorpus.llm.secret_scans import RULES, Ledger, digest, find_secrets, redact, update
 from sitecorpus.llm.source_mixing import mix, targets
@@ -278,3 +278,37 @@ def test_three_words_in_every_order_of_hashes(spark):
     rows = {r.doc_id: r for r in compare_with_edits(df).collect()}
     assert len({r.fingerprint for r in rows.values()}) == 7 and rows[6].fingerprint == ""
     assert {r.near_next for r in rows.values()} == {0}
+
+
+def positional(a, b, k=3):
+    """The share of words inside matched anchors, by plain Python."""
+    def cover(places):
+        return len({i + j for i in places for j in range(k)})
+
+    by = collections.defaultdict(lambda: ([], []))
+    for side, found in enumerate((a, b)):
+        for x in found:
+            by[x["hash"]][side].append(x["at"])
+    pairs = [p for one, two in by.values() for p in zip(one, two)]
+    whole = cover([x["at"] for x in a]) + cover([x["at"] for x in b])
+    return (cover([p[0] for p in pairs]) + cover([p[1] for p in pairs])) / whole if whole else 1
+
+
+def test_likeness_of_long_texts_by_all_anchors(spark):
+    """Neighbours of thousands of words that share a passage of 100, repeated words, odd rows."""
+    shared = words(100, 7)
+    texts = [" ".join(words(9_000, 20, 5000) + shared), " ".join(shared + words(12_000, 21, 5000)), "a b a b " * 40, "a b a " * 30,
+             "", "one", " ".join(words(500, 22, 6)), " ".join(words(700, 23, 6)), None, "x y z", "y x z"]
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in compare_with_edits(df).collect()}
+    plain = [t or "" for t in texts]
+    after = plain[1:] + plain[:1]
+    new = [t[:len(t) - len(t) // 2] + n[:len(t) // 2] for t, n in zip(plain, after)]
+    every = spark.createDataFrame([*enumerate(plain + new)], "id long, text string")
+    found = {r.id: r.found for r in every.select("id", anchors(F.col("text")).alias("found")).collect()}
+    for i in range(len(texts)):
+        j = (i + 1) % len(texts)
+        assert got[i].near_next == pytest.approx(positional(found[i], found[j]))
+        assert got[i].near_edited == pytest.approx(positional(found[i], found[len(texts) + i]))
+        assert got[i].fingerprint == "".join(f"{x['at']:08x}{x['hash'] % (1 << 64):016x}" for x in found[i])
+    assert got[0].near_next > 0 and len(found[0]) > 4_000
