@@ -35,13 +35,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, similarity 0.8 or more): the one
-    with the smallest doc_id, once."""
+    with the smallest doc_id, once. Documents without words are near nothing: all stay."""
     _ready(spark)
-    kept = ngram_jaccard.jaccard_classes(docs, n=5, threshold=0.8).filter("kept").select("row_key")
-    rows = docs.select(F.struct("*").alias("whole"), F.xxhash64("doc_id", "text").alias("row_key"))
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = (ngram_jaccard.jaccard_classes(docs, n=5, threshold=0.8)
+            .filter("kept AND n_shingles > 0").select("row_key"))
+    rows = docs.filter(worded).select(F.struct("*").alias("whole"), F.xxhash64("doc_id", "text").alias("row_key"))
     first = Window.partitionBy("row_key").orderBy("row_key")
-    return (rows.join(kept, "row_key", "left_semi").withColumn("n", F.row_number().over(first))
+    ones = (rows.join(kept, "row_key", "left_semi").withColumn("n", F.row_number().over(first))
             .filter("n = 1").select("whole.*"))
+    return ones.union(docs.filter(~worded))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

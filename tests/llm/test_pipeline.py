@@ -111,3 +111,13 @@ def test_empty_table(spark, folder, tmp_path):
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, folder)
         assert docs.count() == 0, name
+
+
+def test_rows_without_words_stay(spark):
+    """Rows without words are near nothing, also if key and text are those of another row."""
+    from sitecorpus.llm.pipeline import one_per_group
+    rows = [(None, None, "a"), (None, None, "b"), (1, " \t", "a"), (1, " \t", "a"), (2, "", "a"), (2, "", "c"),
+            (3, "same words here", "a"), (3, "same words here", "a"), (4, "same words here", "b"), (5, " ", "a"), (5, " ", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = sorted((tuple(r) for r in one_per_group(spark, df, "").collect()), key=str)
+    assert got == sorted([*rows[:6], rows[6], rows[9]], key=str)
