@@ -97,3 +97,12 @@ def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir).select(
         "doc_id", "source", F.size("samples").alias("n_samples"),
         F.aggregate("samples", F.lit(0).cast("long"), lambda n, s: n + F.size(s["ids"])).alias("n_pieces"))
+
+
+@register("op11_best_fit_packing")
+def op11(spark, sf_dir):
+    import public_tokenizers
+    from sitecorpus.llm.packing import pack
+    from sitecorpus.llm.token_ids import token_pieces
+    pieces = token_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pack(pieces, 2048)
