@@ -106,3 +106,53 @@ def op11(spark, sf_dir):
     from sitecorpus.llm.token_ids import token_pieces
     pieces = token_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pack(pieces, 2048)
+
+
+@register("op13_merkle_manifest", sql.MERKLE_MANIFEST)
+def op13(spark, sf_dir):
+    """Every fifth document's text is tampered with (A-Z lower-cased) before its proof is folded."""
+    import string
+    from sitecorpus.llm.merkle import folded, leaf, manifest, siblings
+    docs = _table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    leaves = docs.select("source", "doc_id", leaf(*fields, F.col("text")).alias("leaf"),
+                         F.when(tampered, leaf(*fields, lower)).alias("altered"))
+    found = manifest(leaves, carry=["altered"])
+    end = folded(F.coalesce("altered", "leaf"), F.col("proof"))
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings(F.col("proof")), 256).alias("proof_sha256"),
+                        end.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` as op12's contract wants them searched: where h = crc32 of doc_id leaves 0 modulo 10, the words
+    from a = g % n on repeat the p words there (g = h div 10, p = 1 + (n - a) div (3 + g % 8))."""
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    rows = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    h, n = F.col("h"), F.size(words)
+    g = F.floor(h / 10)
+    a = (g % n).cast("int")
+    p = (F.floor((n - a) / (3 + g % 8)) + 1).cast("int")
+    again = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    text = F.array_join(F.slice(F.concat(F.slice(words, F.lit(1), a), again), F.lit(1), n), " ")
+    return rows.select("doc_id", F.when((h % 10 == 0) & (n > 0), text).otherwise(F.col("text")).alias("text"))
+
+
+@register("op12_periodic_runs")
+def op12(spark, sf_dir):
+    from sitecorpus.llm.periodic_runs import collapse_runs
+    found = collapse_runs(_with_repeats(_table(spark, sf_dir, "documents")))
+    less = lambda a, b: (F.when(a < b, -1).when(a > b, 1).otherwise(0))
+
+    def order(a, b):  # greatest length / period first, then start, then period
+        power = less(b["length"] * a["period"], a["length"] * b["period"])
+        start = less(a["start"], b["start"])
+        return F.when(power != 0, power).when(start != 0, start).otherwise(less(a["period"], b["period"]))
+    best = F.get(F.array_sort("runs", order), F.lit(0))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+                        F.sha2(text, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")

@@ -78,3 +78,58 @@ SELECT d.doc_id, d.size, r.n AS source_size, r.target, d.size * (floor(rate)::BI
        ('0x' || substr(md5('20:' || d.doc_id), 1, 13))::BIGINT / 4503599627370496.0 < rate - floor(rate) THEN 1 ELSE 0 END) AS taken
 FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 """
+
+
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of ASCII text, bit by bit (polynomial 0xEDB88320)."""
+    bits = "list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    codes = f"list_transform(string_split({text}, ''), lambda z: ord(z)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {bits}), 4294967295)"
+
+
+def _field(column: str) -> str:
+    return f"coalesce(strlen({column}::VARCHAR) || ':' || {column}::VARCHAR, '-')"
+
+
+def _tree(name: str, levels: int) -> str:
+    """Levels of the trees of ``name``0 (grp, idx, n, h), and each node's siblings to the left and right."""
+    out = []
+    for k in range(levels):
+        out.append(f"""
+{name}{k + 1} AS (SELECT grp, idx // 16 AS idx, max((n + 15) // 16) AS n, sha256(string_agg(h, '' ORDER BY idx)) AS h
+        FROM {name}{k} WHERE n > 1 GROUP BY grp, idx // 16)""")
+    for k in range(levels):
+        out.append(f"""
+{name}p{k} AS (SELECT a.grp, a.idx, coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS l,
+        coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS r
+        FROM {name}{k} a JOIN {name}{k} b ON a.grp = b.grp AND a.idx // 16 = b.idx // 16 WHERE a.n > 1 GROUP BY a.grp, a.idx)""")
+    return ",".join(out)
+
+
+def _climb(start: str, name: str, levels: int, grp: str, at: str) -> str:
+    """Fold ``start`` (with proof, fold) up the trees of ``name``."""
+    out, before = [], start
+    for k in range(levels):
+        out.append(f"""
+{name}f{k} AS (SELECT f.* EXCLUDE (proof, fold), proof || coalesce(p.l || p.r, '') AS proof,
+        CASE WHEN p.idx IS NULL THEN fold ELSE sha256(p.l || fold || p.r) END AS fold
+        FROM {before} f LEFT JOIN {name}p{k} p ON p.grp = f.{grp} AND p.idx = f.{at} // {16 ** k})""")
+        before = f"{name}f{k}"
+    return ",".join(out)
+
+
+_LEAF = "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars")) + " || {text})"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+MERKLE_MANIFEST = f"""
+WITH d AS (SELECT doc_id, coalesce('1' || source, '0') AS grp, {_LEAF.format(text=_field("text"))} AS leaf,
+     {_LEAF.format(text=_field(_LOWER))} AS low, coalesce({_crc32("doc_id::VARCHAR")} % 5 = 0, false) AS hit FROM documents),
+o AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY grp) AS n FROM d),
+s0 AS (SELECT grp, pos AS idx, n, leaf AS h FROM o),{_tree("s", 6)},
+sub AS (SELECT grp, h FROM ({" UNION ALL ".join(f"SELECT grp, h FROM s{k} WHERE n = 1" for k in range(7))}) x),
+t0 AS (SELECT 'all' AS grp, row_number() OVER (ORDER BY grp) - 1 AS idx, count(*) OVER () AS n, h, grp AS sg FROM sub),{_tree("t", 4)},
+top AS ({" UNION ALL ".join(f"SELECT h AS root FROM t{k} WHERE n = 1" for k in range(5))}),
+start AS (SELECT o.doc_id, o.grp, o.pos, o.leaf, sub.h AS subroot, t0.grp AS tg, t0.idx AS tat, '' AS proof,
+          CASE WHEN hit THEN low ELSE leaf END AS fold FROM o JOIN sub ON o.grp = sub.grp JOIN t0 ON t0.sg = o.grp),{
+_climb("start", "s", 6, "grp", "pos")},{_climb("sf5", "t", 4, "tg", "tat")}
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = root AS verified FROM tf3, top
+"""
