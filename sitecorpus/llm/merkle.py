@@ -96,7 +96,7 @@ def butterfly(blocks: DataFrame, fanout: int = FANOUT) -> DataFrame:
     and ``node``, now the group's root, for blocks (group, block, n, node) numbered from 0 to n - 1."""
     deepest = blocks.agg(F.max("n")).first()[0] or 1
     powers = F.array(*[F.lit(fanout ** k).cast("long") for k in range(64) if fanout ** k < 1 << 60])
-    below = F.element_at(F.filter(powers, lambda p: p < F.col("n")), -1)  # null for a lone block
+    below = F.array_max(F.filter(powers, lambda p: p < F.col("n")))  # null for a lone block
     full = F.ceil(F.col("n") / below) * below
     ghost = F.col("n") + F.col("block")
     state = blocks.select("group", "n", "node", "block", F.explode(F.when(

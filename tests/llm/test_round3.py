@@ -109,7 +109,8 @@ def test_pack_odd_rows_hot_length_and_empty(spark):
     odd = [r for r in got if r.length not in range(1, 11)]
     assert odd and all(r.sequence_id is None and r.offset is None for r in odd)
     fit = [r for r in got if r.sequence_id is not None]
-    assert check_packed(fit, 10) <= 1.1 * sum(r.length for r in fit) / 10 + 1
+    least = max(sum(r.length for r in fit) / 10, sum(r.length > 5 for r in fit))  # no two of these fit together
+    assert check_packed(fit, 10) <= 1.05 * least + 1
     nulls = spark.createDataFrame([(None,), (3,), (3,)], "length int")
     assert sorted(str(r.sequence_id) for r in pack(nulls, 10).collect()) == ["0", "0", "None"]
     assert pack(rows.limit(0), 10).collect() == []
