@@ -35,7 +35,7 @@ MARK = "▁"          # stands for a space
 SHARPNESS = 1.0
 SAMPLES = 2
 SEED = 9
-KEEP_EDGES = 2_500_000   # of the lattices that a worker keeps
+KEEP_EDGES = 1_500_000   # of the lattices that a worker keeps, while it works on a partition
 KEEP_LENGTH = 64         # characters of a word it keeps
 BATCH_CHARS = 600_000  # text that is sampled at once, about
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -116,13 +116,26 @@ class Lattices:
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.nodes, self.n_edges, self.arrays = 0, 0, None
+        self.nodes = self.n_edges = 0
+        self.held: dict[str, np.ndarray] = {}
+
+    def _append(self, size: int, **new: np.ndarray) -> None:
+        """Put the new entries behind the first ``size`` of each array, which grows by doubling."""
+        for name, values in new.items():
+            held, total = self.held.get(name), size + len(values)
+            if held is None or len(held) < total:
+                more = np.empty(max(total, 1 << 16, 2 * size), values.dtype)
+                if size:
+                    more[:size] = held[:size]
+                self.held[name] = held = more
+            held[size:total] = values
+            setattr(self, name, held[:total])
 
     def of(self, words: list[str]) -> np.ndarray:
         """The first node of each word's lattice, which it adds if it is new."""
         if self.n_edges > KEEP_EDGES:
             self.clear()
-        new = sorted({w for w in words if w not in self.number})
+        new = [w for w in dict.fromkeys(words) if w not in self.number]
         long = [w for w in new if len(w) > KEEP_LENGTH]
         if new:
             self._add(new)
@@ -164,13 +177,12 @@ class Lattices:
         edge_of[start[head] + word[head]] = head + self.n_edges
         fan[start[head] + word[head]] = reps
         spelled = np.where(piece < 0, -1 - code[start], piece).astype(np.int32)
-        new = (run, (start + word + self.nodes).astype(np.int32), (to + word + self.nodes).astype(np.int32),
-               spelled, log_p, last, edge_of, fan)
+        self._append(self.n_edges, run=run, start=(start + word + self.nodes).astype(np.int32),
+                     to=(to + word + self.nodes).astype(np.int32), piece=spelled, log_p=log_p)
+        self._append(self.nodes, last=last, edge_of=edge_of.astype(np.int32), fan=fan)
         self.number.update(zip(words, (first[:-1] + np.arange(len(words)) + self.nodes).tolist()))
         self.nodes += len(last)
         self.n_edges += len(start)
-        self.arrays = tuple(map(np.concatenate, zip(self.arrays, new, strict=True))) if self.arrays else new
-        self.run, self.start, self.to, self.piece, self.log_p, self.last, self.edge_of, self.fan = self.arrays
 
     def draw(self, node: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Edges of a path from each node to the end of its word, and how many; ``seed`` gives the
@@ -207,6 +219,14 @@ class Sampler:
         self.vocabulary = Vocabulary(path, sharpness)
         self.lattices = Lattices(self.vocabulary)
         self.k, self.seed = k, np.uint64(seed)
+        self.salt = numbered(3 * k + 3, 31)
+        self.mixed = np.empty(0, np.uint64)
+
+    def places(self, n: int) -> np.ndarray:
+        """The hashes of 0 to n - 1."""
+        if len(self.mixed) < n:
+            self.mixed = mix(np.arange(max(n, 2 * len(self.mixed), 1 << 12), dtype=np.uint64))
+        return self.mixed[:n]
 
     def texts(self, keys: np.ndarray, texts: list[str]) -> list[list[dict]]:
         """The samples of each text, by falling perturbed value."""
@@ -224,8 +244,8 @@ class Sampler:
         node = lat.of([w for ws in words for w in ws])
         first = np.concatenate(([0], np.cumsum(count)))
         base = mix(keys.astype(np.uint64) ^ mix(np.full(len(keys), self.seed)))
-        word_seed = np.repeat(base, count) + mix(np.arange(first[-1]).astype(np.uint64)
-                                                 - np.repeat(first[:-1], count).astype(np.uint64))
+        place = np.arange(first[-1]) - np.repeat(first[:-1], count)
+        word_seed = np.repeat(base, count) + self.places(int(count.max()))[place]
         edges, n = lat.draw(node, word_seed)
         ends = np.concatenate(([0], np.cumsum(n)))
         cut = ends[first]
@@ -256,7 +276,7 @@ class Sampler:
         leaves, place where it leaves it, edges already excluded there, their probability). A
         generator that yields the (nodes, seeds) to draw from, takes (edges, edges per node), and
         returns the samples."""
-        lat, salt = self.lattices, seed + numbered(3 * self.k + 3, 31)
+        lat, salt = self.lattices, seed + self.salt
         value = -np.log(-np.log(_uniform(salt[:1])[0]))
         queue, taken, start, shut, shut_p = [], [], 0, (), 0.0
         while True:
@@ -264,7 +284,7 @@ class Sampler:
             taken.append((path, float(log_p.sum()), float(value)))
             # split what is left of the set that this path was the best of
             size = self._rest(path[start:], log_p[start:], float(log_p[:start].sum()), len(shut), shut_p)
-            u = _uniform(salt[3 * len(taken)] + mix(np.arange(len(size), dtype=np.uint64)))
+            u = _uniform(salt[3 * len(taken)] + self.places(len(size)))
             perturbed = np.full(len(size), -np.inf)
             some = np.isfinite(size)
             perturbed[some] = size[some] - np.log(np.exp(np.minimum(size[some] - value, 700)) - np.log(u[some]))
@@ -315,7 +335,7 @@ class Sampler:
         edge = edges[min(np.searchsorted(run, _uniform(salt[:1])[0] * run[-1]), len(edges) - 1)]
         word = int(np.searchsorted(ends, at, "right")) - 1
         starts = np.concatenate(([lat.to[edge]], node[word + 1:]))
-        more, n = yield starts, salt[1] + mix(np.arange(len(starts), dtype=np.uint64))
+        more, n = yield starts, salt[1] + self.places(len(starts))
         new = np.concatenate((path[:at], [edge], more))
         return new, np.concatenate((ends[:word + 1], at + 1 + np.cumsum(n)))
 
