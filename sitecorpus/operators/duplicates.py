@@ -35,18 +35,24 @@ def with_title_key(df: DataFrame, meta_col: str = "meta", stem_col: str = "stem"
 
 
 def latest_pages(df: DataFrame, key: str = "filename", order: str = "url_index") -> DataFrame:
-    """For each ``key`` keep only the row with the greatest ``order`` (later writes win).
+    """For each ``key`` keep only the row with the greatest ``order`` (later writes win); among rows tied
+    on both the one with the greatest hash of all columns, and of rows equal in every column one. Rows without
+    a key all stay.
 
-    Only the narrow (key, order) pairs are aggregated (partial aggregation before the
+    Only narrow rows (key, order, hash) are aggregated (partial aggregation before the
     shuffle); the keys that collide — usually few — are joined back (broadcast by Spark when
     they are small in bytes, so the wide page rows are then not shuffled).
     """
-    collisions = (df.groupBy(key)
-                  .agg(F.max(order).alias("_keep"), F.count(F.lit(1)).alias("_n"))
-                  .filter("_n > 1").select(key, "_keep"))
-    joined = df.join(collisions, key, "left")
-    return (joined.filter(F.col("_keep").isNull() | (F.col(order) == F.col("_keep")))
-            .drop("_keep"))
+    mark = F.xxhash64(*[F.col(c) for c in df.columns if not df.schema[c].dataType.typeName() in ("map", "variant")])
+    marked = df.withColumn("_mark", mark)
+    each = marked.groupBy(key, F.struct(F.col(order), F.col("_mark")).alias("_last")).agg(F.count(F.lit(1)).alias("_n"))
+    collisions = (each.groupBy(key).agg(F.max(F.struct("_last", "_n")).alias("_top"), F.sum("_n").alias("_all"))
+                  .filter("_all > 1").select(F.col(key).alias("_key"), "_top._last", (F.col("_top._n") > 1).alias("_again")))
+    joined = marked.join(collisions, marked[key] == F.col("_key"), "left")
+    last = F.col("_last").isNull() | (F.struct(F.col(order), F.col("_mark")) == F.col("_last"))
+    kept = joined.filter(last)
+    once = kept.filter(~F.coalesce("_again", F.lit(False))).select(df.columns)
+    return once.union(kept.filter("_again").dropDuplicates(["_key"]).select(df.columns))
 
 
 def duplicate_titles(df: DataFrame, key: str = "title_key", keep: str = "none",

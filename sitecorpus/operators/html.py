@@ -9,18 +9,22 @@ from sitecorpus.functions.text import (
 )
 
 TITLE_RX = r"(?is)<title[^>]*>(.*?)</title>"
-# A meta tag as a whole: quoted values may hold ">" or the other quote.
-META_RX = r"""(?is)<meta\b(?:[^>"']|"[^"]*"|'[^']*')*>"""
-
-
-def _attribute_rx(name: str) -> str:
-    """The value of an attribute of a tag: group 1 in double quotes, 2 in single ones, 3 bare."""
-    return (r"""(?is)^(?:[^"'=]|=\s*"[^"]*"|=\s*'[^']*'|=\s*[^\s"'>]+)*?\s%s\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""" % name)
+# A meta tag as a whole: quoted values may hold ">" or the other quote. Possessive runs keep the matcher
+# from recursing once a character and from going back over a tag that is never closed; a second
+# "<meta" outside quotes ends the attempt, so open tags are not scanned to the end of the page each.
+META_RX = r"""(?is)<meta\b(?:[^<>"']++|<(?!meta\b)|"[^"]*+"|'[^']*+')*+>"""
+# One step through a tag: a stray quoted string, or a name (group 1) and perhaps its value in double
+# quotes (2), single quotes (3) or none (4).
+ATTRIBUTE_RX = r"""(?is)"[^"]*+"|'[^']*+'|([^\s"'>=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?+"""
+# The same rules for a matcher that runs in linear time (no possessive runs, no look-ahead).
+SQL_META_RX = r"""(?is)<meta\b(?:[^>"']|"[^"]*"|'[^']*')*>"""
 
 
 def _attribute(tag: Column, name: str) -> Column:
-    rx = _attribute_rx(name)
-    return F.concat(*[F.regexp_extract(tag, rx, i) for i in (1, 2, 3)])
+    """The value of the tag's first attribute of that name; null without one."""
+    names, *values = [F.regexp_extract_all(tag, F.lit(ATTRIBUTE_RX), F.lit(i)) for i in (1, 2, 3, 4)]
+    at = F.array_position(F.transform(names, F.lower), F.lit(name)).cast("int")
+    return F.when(at > 0, F.concat(*[F.get(v, at - 1) for v in values]))
 
 
 LANG_RX = r"(?is)<html\b[^>]*?\slang\s*=\s*[\"']?([^\"'\s>]+)"
@@ -69,6 +73,18 @@ def sql_title(html_expr: str = "html") -> str:
     return sql_collapse_spaces(raw)
 
 
+def sql_description(html_expr: str = "html") -> str:
+    """DuckDB twin of the description rule, one look for each attribute."""
+    def attribute(tag, name):
+        rx = (r"""(?is)^(?:[^"'=]|=\s*"[^"]*"|=\s*'[^']*'|=\s*[^\s"'>]+)*?\s%s\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""" % name)
+        return " || ".join(f"regexp_extract({tag}, {sql_lit(rx)}, {i})" for i in (1, 2, 3))
+    tags = f"list_filter(regexp_extract_all({html_expr}, {sql_lit(SQL_META_RX)}), lambda t: lower({attribute('t', 'name')}) = 'description')"
+    raw = f"coalesce({attribute(f'({tags})[1]', 'content')}, '')"
+    for ent, ch in XML_ENTITIES:
+        raw = f"replace({raw}, {sql_lit(ent)}, {sql_lit(ch)})"
+    return sql_collapse_spaces(raw)
+
+
 def sql_language(html_expr: str = "html") -> str:
     return f"regexp_extract({html_expr}, {sql_lit(LANG_RX)}, 1)"
 

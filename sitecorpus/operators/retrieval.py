@@ -1,12 +1,17 @@
 """Batch retrieval of a query table against a corpus: vector (cosine), keyword (TF-IDF
 cosine) and weighted hybrid scores, score threshold and top-k.
 
-Search is exact and blocked. Documents lie in blocks by a hash of their id; a block holds its
-documents' vectors and their weights for the terms that any query has. Every (query block, document
-block) pair is one ``cogroup().applyInPandas`` task, which scores strips of queries against the
-block (one matrix product, and one pass over the postings of the queries' terms), fuses both scores
-and emits only each query's best ``k``. No table of (query, document) pairs exists and no task sees
-more than two blocks.
+Search is exact, blocked and pruned. Documents lie in blocks of like ones: by the nearest of some
+pivot vectors or, without a vector, by their heaviest term. A block is one written row of flat
+arrays: ids, unit vectors, and postings by term with the heaviest first. Its head is small: centre and
+radius of its vectors and the greatest weight of each term. No document of a block can score above
+
+    w * (query . centre + radius) + (1 - w) * sum over terms of (query weight * greatest weight),
+
+its bound for that query. Each query is first scored against the block with its best bound; its
+k-th score there is a floor for its k-th score overall, so blocks whose bound lies below it (or below
+the threshold) are skipped and never meet the query. Only (query, block) pairs that are left are joined, and only each block's best
+``k`` leave its task. No table of (query, document) pairs exists.
 
 Scores are ranked and compared at ``TIE_DIGITS`` digits: sums of the same terms in another order
 differ beyond them, so equal documents stay ties, which go to the lower id.
@@ -24,11 +29,17 @@ from sitecorpus.plans.sizing import materialize
 
 TERM_RX = r"[\p{L}\p{N}]+"
 TIE_DIGITS = 12
-BLOCK_DOCS = 4096
-BLOCK_QUERIES = 4096
+MARGIN = 1e-9         # by which a bound may be too low for rounding
+BLOCK_DOCS = 4096     # documents of a block, about
+BLOCK_QUERIES = 4096  # queries that meet a block in one task, about
+BLOCK_HEADS = 64      # heads that meet queries in one task, about (a head has up to some 50,000 terms)
+MAX_PIVOTS = 1024     # pivot vectors, collected to the driver
 STRIP = 256
 TERMS = "array<struct<t:bigint,w:double>>"
 SCORED = "query_id long, doc_id long, vector_score double, keyword_score double, score double"
+PAIR = "query_id long, block long, bound double"
+BLOCK = ("block long, n long, dim long, ids binary, vectors binary, term binary, first binary, row binary, "
+         "weight binary, centre binary, radius double, greatest binary")
 
 
 def term_rows(df: DataFrame, id_col: str, id_alias: str, text_col: str) -> DataFrame:
@@ -78,43 +89,144 @@ def _keyword_sides(queries: DataFrame, docs: DataFrame, index) -> tuple[DataFram
 
 
 def _unit(vectors: pd.Series, width: int) -> np.ndarray:
-    """Rows of length 1; a zero or missing vector is a row of zeros."""
-    out = np.zeros((len(vectors), width))
+    """The first ``width`` components of rows of length 1; a zero or missing vector is a row of zeros."""
+    out = np.zeros((len(vectors), max([width, *(len(v) for v in vectors if v is not None)])))
     for i, v in enumerate(vectors):
         if v is not None:
-            out[i] = v
+            out[i, :len(v)] = v
     norm = np.linalg.norm(out, axis=1, keepdims=True)
-    return np.divide(out, norm, out=np.zeros_like(out), where=norm > 0)
-
-
-def _postings(terms: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Term, row and weight of every entry, by term."""
-    sizes = [0 if x is None else len(x) for x in terms]
-    entries = [e for x in terms if x is not None for e in x]
-    t = np.array([e["t"] for e in entries], np.int64)
-    w = np.array([e["w"] for e in entries], np.float64)
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    order = np.argsort(t, kind="stable")
-    return t[order], row[order], w[order]
+    return np.divide(out, norm, out=np.zeros_like(out), where=norm > 0)[:, :width]
+
+
+def _flat(columns: pd.Series, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of array cells one after the other, and each one's row."""
+    cells = [np.empty(0, kind) if c is None else np.asarray(c, kind) for c in columns]
+    return (np.concatenate(cells) if cells else np.empty(0, kind)), np.repeat(np.arange(len(cells)), [len(c) for c in cells])
+
+
+def _packed(key: tuple, d: pd.DataFrame) -> pd.DataFrame:
+    """One block's row from its documents (doc_id, vec, t, w)."""
+    d = d.sort_values("doc_id", kind="stable")
+    dim = max((len(v) for v in d["vec"] if v is not None), default=0)
+    vectors = _unit(d["vec"], dim)
+    (term, row), (weight, _) = _flat(d["t"], np.int64), _flat(d["w"], np.float64)
+    order = np.lexsort((row, -weight, term))  # by term, the heaviest first
+    term, row, weight = term[order], row[order].astype(np.int32), weight[order]
+    first = np.flatnonzero(np.diff(term, prepend=term[:1] - 1)) if len(term) else np.empty(0, np.int64)
+    centre = vectors.mean(axis=0)
+    radius = float(np.sqrt(((vectors - centre) ** 2).sum(axis=1).max()))
+    return pd.DataFrame([{
+        "block": key[0], "n": len(d), "dim": dim, "ids": d["doc_id"].to_numpy(np.int64).tobytes(), "vectors": vectors.tobytes(),
+        "term": term[first].tobytes(), "first": np.append(first, len(term)).astype(np.int64).tobytes(), "row": row.tobytes(),
+        "weight": weight.tobytes(), "centre": centre.tobytes(), "radius": radius, "greatest": weight[first].tobytes()}])
+
+
+def blocks_of(docs: DataFrame) -> DataFrame:
+    """The corpus as blocks (written): ``docs`` are (doc_id, vec, terms), either side may be null.
+    Like documents share a block; a group too large for one is dealt to several by a hash of the id."""
+    spark = docs.sparkSession
+    n = docs.count()
+    many = min(MAX_PIVOTS, max(1, math.ceil(n / BLOCK_DOCS)))
+    sample = (docs.filter("vec IS NOT NULL").orderBy(F.xxhash64("doc_id")).limit(many).select("vec").collect())
+    dim = max((len(r[0]) for r in sample), default=0)
+    pivots = _unit(pd.Series([r[0] for r in sample], dtype=object), dim)
+
+    @F.pandas_udf("long")
+    def nearest(vec: pd.Series, other: pd.Series) -> pd.Series:
+        out = other.to_numpy(np.int64) + many
+        for a in range(0, len(vec), STRIP):
+            part = vec.iloc[a:a + STRIP]
+            out[a:a + STRIP] = np.where([v is None for v in part], out[a:a + STRIP], (_unit(part, dim) @ pivots.T).argmax(axis=1))
+        return pd.Series(out)
+
+    heaviest = F.array_max(F.transform("terms", lambda e: F.struct(e["w"], e["t"])))["t"]
+    other = F.coalesce(F.pmod(heaviest, F.lit(many)), F.lit(many).cast("long"))
+    if len(sample):
+        kind = nearest("vec", other)
+    else:
+        kind = other + many
+    rows = docs.select("doc_id", "vec", F.col("terms.t").alias("t"), F.col("terms.w").alias("w"), kind.alias("kind"))
+    sizes = sorted((r[0], r[1]) for r in rows.groupBy("kind").count().collect())  # 2 * MAX_PIVOTS + 1 at most
+    parts, at = [], 0
+    for group, size in sizes:
+        parts.append((group, at, max(1, math.ceil(size / BLOCK_DOCS))))
+        at += parts[-1][2]
+    place = spark.createDataFrame(parts, "kind long, at long, parts long")
+    dealt = rows.join(F.broadcast(place), "kind").withColumn("block", F.col("at") + F.pmod(F.xxhash64("doc_id"), F.col("parts")))
+    return materialize(dealt.groupBy("block").applyInPandas(_packed, BLOCK), "search-blocks")
+
+
+def _query_terms(queries: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query row, term and weight of all terms of some queries."""
+    (t, owner), (w, _) = _flat(queries["t"], np.int64), _flat(queries["w"], np.float64)
+    return owner, t, w
+
+
+def _found(sorted_terms: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and end of each asked term's stretch."""
+    return np.searchsorted(sorted_terms, asked, "left"), np.searchsorted(sorted_terms, asked, "right")
+
+
+def _bounds(q: pd.DataFrame, h: pd.DataFrame, weight: float) -> np.ndarray:
+    """The bound of each query (row) for each head (column)."""
+    dim = int(h["dim"].max())
+    centres = np.zeros((len(h), dim))
+    for i, c in enumerate(h["centre"]):
+        c = np.frombuffer(c)
+        centres[i, :len(c)] = c
+    vectors = _unit(q["vec"], dim)
+    some = np.any(vectors != 0, axis=1)[:, None]
+    vector = np.where(some, np.minimum(vectors @ centres.T + h["radius"].to_numpy(), 1.0), 0.0)
+    terms = [np.frombuffer(t, np.int64) for t in h["term"]]
+    term = np.concatenate(terms)
+    block = np.repeat(np.arange(len(h)), [len(t) for t in terms])
+    greatest = np.concatenate([np.frombuffer(g) for g in h["greatest"]])
+    order = np.argsort(term, kind="stable")
+    term, block, greatest = term[order], block[order], greatest[order]
+    keyword = np.zeros((len(q), len(h)))
+    owner, asked, w = _query_terms(q)
+    for i, a, b, x in zip(owner, *_found(term, asked), w, strict=True):
+        keyword[i, block[a:b]] += x * greatest[a:b]  # a term is once in a block
+    return weight * vector + (1 - weight) * keyword
+
+
+def _pairs(weight: float, least: float, matches: bool, seeds: bool):
+    """Of the queries and heads that meet: each query's best block, or all others whose bound reaches
+    the query's floor."""
+    def pairs(q: pd.DataFrame, h: pd.DataFrame) -> pd.DataFrame:
+        if not len(q) or not len(h):
+            return pd.DataFrame({"query_id": np.empty(0, np.int64), "block": np.empty(0, np.int64), "bound": np.empty(0)})
+        h = h.sort_values("block", kind="stable")
+        bound = _bounds(q, h, weight)
+        able = bound > 0 if matches else np.ones(bound.shape, bool)
+        able &= bound >= least - MARGIN
+        best = np.zeros(bound.shape, bool)
+        best[np.arange(len(q)), bound.argmax(axis=1)] = True
+        able &= best if seeds else ~best & (bound >= q["floor"].to_numpy()[:, None] - MARGIN)
+        i, j = np.nonzero(able)
+        return pd.DataFrame({"query_id": q["query_id"].to_numpy()[i], "block": h["block"].to_numpy()[j], "bound": bound[i, j]})
+    return pairs
 
 
 def _scorer(weight: float, k: int | None, threshold: float | None, only_matches: bool):
     def score(q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(q) and len(d):
-            d = d.sort_values("doc_id", kind="stable")
-            ids = d["doc_id"].to_numpy()
-            width = max((len(v) for side in (q, d) for v in side["vec"] if v is not None), default=0)
-            docs = _unit(d["vec"], width)
-            term, row, w = _postings(d["terms"])
+            block = d.iloc[0]
+            ids, n, dim = np.frombuffer(block["ids"], np.int64), int(block["n"]), int(block["dim"])
+            docs = np.frombuffer(block["vectors"]).reshape(n, dim)
+            term, first = np.frombuffer(block["term"], np.int64), np.frombuffer(block["first"], np.int64)
+            row, w = np.frombuffer(block["row"], np.int32), np.frombuffer(block["weight"])
             for at in range(0, len(q), STRIP):
                 part = q.iloc[at:at + STRIP]
-                vector = _unit(part["vec"], width) @ docs.T
+                vector = _unit(part["vec"], dim) @ docs.T
                 keyword = np.zeros(vector.shape)
-                for i, terms in enumerate(part["terms"]):
-                    for e in terms if terms is not None else ():
-                        a, b = np.searchsorted(term, e["t"], "left"), np.searchsorted(term, e["t"], "right")
-                        keyword[i, row[a:b]] += e["w"] * w[a:b]
+                owner, asked, x = _query_terms(part)
+                place = np.minimum(np.searchsorted(term, asked), max(len(term) - 1, 0))
+                hit = term[place] == asked if len(term) else np.zeros(len(asked), bool)
+                for i, p, weighs in zip(owner[hit].tolist(), place[hit].tolist(), x[hit].tolist(), strict=True):
+                    a, b = first[p], first[p + 1]
+                    keyword[i, row[a:b]] += weighs * w[a:b]
                 fused = np.round(weight * vector + (1 - weight) * keyword, TIE_DIGITS)
                 keep = keyword > 0 if only_matches else np.ones(fused.shape, bool)
                 if threshold is not None:
@@ -125,11 +237,9 @@ def _scorer(weight: float, k: int | None, threshold: float | None, only_matches:
                         edge = np.partition(fused[i, pick], len(pick) - k)[len(pick) - k]
                         pick = pick[fused[i, pick] >= edge]
                     pick = pick[np.argsort(-fused[i, pick], kind="stable")][:k]
-                    out.append(pd.DataFrame({"query_id": query, "doc_id": ids[pick], "vector_score": vector[i, pick],
-                                             "keyword_score": keyword[i, pick], "score": fused[i, pick]}))
-        return pd.concat(out) if out else pd.DataFrame(
-            {c: np.empty(0, t) for c, t in (("query_id", np.int64), ("doc_id", np.int64), ("vector_score", float),
-                                            ("keyword_score", float), ("score", float))})
+                    out.append((np.full(len(pick), query), ids[pick], vector[i, pick], keyword[i, pick], fused[i, pick]))
+        columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.empty(0, t) for t in (np.int64, np.int64, float, float, float)]
+        return pd.DataFrame(dict(zip(("query_id", "doc_id", "vector_score", "keyword_score", "score"), columns, strict=True)))
     return score
 
 
@@ -137,20 +247,53 @@ def _each(n: int) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
 
 
+class Search:
+    """One search: the queries against the blocks, in two steps (see the module's text). ``seeds`` and
+    ``rest`` are the (query, block) pairs that are scored; every other pair is skipped."""
+
+    def __init__(self, queries: DataFrame, blocks: DataFrame, weight: float, k: int | None,
+                 threshold: float | None = None, only_matches: bool = False):
+        self.args = weight, k, threshold, only_matches
+        self.blocks, self.n_blocks = blocks, blocks.count()
+        self.groups = max(1, math.ceil(queries.count() / BLOCK_QUERIES))
+        self.queries = queries.select("query_id", "vec", F.col("terms.t").alias("t"), F.col("terms.w").alias("w"),
+                                      F.pmod(F.xxhash64("query_id"), F.lit(self.groups)).alias("qb"))
+        self.seeds = materialize(self._meet(self.queries, True), "search-seeds")
+        first = materialize(self._score(self.seeds), "search-first")
+        if k is None:
+            floor = self.queries.withColumn("floor", F.lit(float("-inf")))
+        else:
+            rank = Window.partitionBy("query_id").orderBy(F.col("score").desc())
+            kth = first.withColumn("r", F.row_number().over(rank)).filter(F.col("r") == k).select("query_id", F.col("score").alias("floor"))
+            floor = self.queries.join(kth, "query_id", "left").fillna(float("-inf"), ["floor"])
+        self.rest = materialize(self._meet(floor, False), "search-pairs")
+        self.found = first.unionByName(self._score(self.rest))
+
+    def _meet(self, queries: DataFrame, seeds: bool) -> DataFrame:
+        weight, _, threshold, matches = self.args
+        chunks = max(1, math.ceil(self.n_blocks / BLOCK_HEADS))
+        heads = self.blocks.select("block", "dim", "term", "centre", "radius", "greatest",
+                                   F.pmod("block", F.lit(chunks)).alias("hb"), _each(self.groups).alias("qb"))
+        heads = heads.toDF(*heads.columns)
+        q = queries.withColumn("hb", _each(chunks))
+        least = threshold if threshold is not None else float("-inf")
+        return q.groupBy("qb", "hb").cogroup(heads.groupBy("qb", "hb")).applyInPandas(_pairs(weight, least, matches, seeds), PAIR)
+
+    def _score(self, pairs: DataFrame) -> DataFrame:
+        asked = pairs.select("query_id", "block").join(self.queries, "query_id")
+        met = asked.select("block", "qb").distinct()
+        held = self.blocks.select("block", "n", "dim", "ids", "vectors", "term", "first", "row", "weight").join(met, "block")
+        held = held.toDF(*held.columns)
+        return asked.groupBy("block", "qb").cogroup(held.groupBy("block", "qb")).applyInPandas(_scorer(*self.args), SCORED)
+
+
 def score_blocks(queries: DataFrame, docs: DataFrame, weight: float, k: int | None,
                  threshold: float | None = None, only_matches: bool = False) -> DataFrame:
-    """Best ``k`` documents (all, with None) of each query and document block:
+    """Best ``k`` documents (all, with None) of each query and every block that can hold one of its best:
     ``query_id, doc_id, vector_score, keyword_score, score``. ``queries`` are (query_id, vec,
     terms), ``docs`` (doc_id, vec, terms); a missing side of either counts 0."""
-    qb = max(1, math.ceil(queries.count() / BLOCK_QUERIES))
-    db = max(1, math.ceil(docs.count() / BLOCK_DOCS))
-    q = queries.select("query_id", "vec", "terms", F.pmod(F.xxhash64("query_id"), F.lit(qb)).alias("qb"),
-                       _each(db).alias("db"))
-    d = docs.select("doc_id", "vec", "terms", F.pmod(F.xxhash64("doc_id"), F.lit(db)).alias("db"),
-                    _each(qb).alias("qb"))
-    d = d.toDF(*d.columns)
-    return q.groupBy("qb", "db").cogroup(d.groupBy("qb", "db")).applyInPandas(
-        _scorer(weight, k, threshold, only_matches), SCORED)
+    return Search(materialize(queries, "search-queries"), blocks_of(materialize(docs, "search-docs")),
+                  weight, k, threshold, only_matches).found
 
 
 def _none(kind: str) -> Column:
@@ -188,7 +331,7 @@ def hybrid_scores(queries: DataFrame, docs: DataFrame, vectors: DataFrame, weigh
     ids = docs.select("doc_id").unionByName(vectors.select("doc_id")).distinct()
     v = vectors.select("doc_id", F.col("embedding").cast("array<double>").alias("vec"))
     d = ids.join(dt, "doc_id", "left").join(v, "doc_id", "left")
-    return score_blocks(q, materialize(d, "search-docs"), round(weight, 2), k, threshold)
+    return score_blocks(q, d, round(weight, 2), k, threshold)
 
 
 def above(df: DataFrame, threshold: float = 0.7, enabled: bool = True,

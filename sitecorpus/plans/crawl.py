@@ -14,7 +14,7 @@ from sitecorpus.functions.urls import sql_domain, sql_filename, url_domain, url_
 from sitecorpus.operators.duplicates import (
     duplicate_breakdown, duplicate_titles, latest_pages, route_duplicates, with_title_key,
 )
-from sitecorpus.operators.html import extract_page_metadata, sql_language, sql_title
+from sitecorpus.operators.html import extract_page_metadata, sql_description, sql_language, sql_title
 from sitecorpus.functions.text import slug
 from sitecorpus.plans.catalog import register, table
 
@@ -64,11 +64,33 @@ def q_url_filename(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", url_filename("url").alias("filename"))
 
 
+# Stand-in input: the pages of the tables carry no description, so each gets a meta tag made of its address,
+# written in one of the ways that pages write it (see FIXTURES.md).
+_TAGS = ["<meta name=\"description\" content=\"{u} &amp; it''s > all\">", "<META CONTENT=''say \"{u}\"'' NAME=''Description''/>",
+         "<meta property=og:title content=no><meta content={p} name=description>", "<meta name=\"keywords\" content=\"description\">",
+         "<meta  data-x=\"name=description\"\n name = \"description\"\n content = \" {u}\n  twice \">"]
+
+
+def _described_sql() -> str:
+    cases = " ".join(f"WHEN {i} THEN replace(replace('{t}', '{{u}}', url), '{{p}}', 'p' || page_id)" for i, t in enumerate(_TAGS)).replace("\n", "' || chr(10) || '")
+    return f"SELECT page_id, url, replace(html, '<head>', '<head>' || CASE page_id % {len(_TAGS)} {cases} END) AS html FROM pages"
+
+
+def described_pages(pages: DataFrame) -> DataFrame:
+    """``pages`` with a description tag in the head."""
+    tag = F.lit(None).cast("string")
+    for i, t in enumerate(_TAGS):
+        text = F.replace(F.replace(F.lit(t.replace("''", "'")), F.lit("{u}"), F.col("url")),
+                         F.lit("{p}"), F.concat(F.lit("p"), F.col("page_id").cast("string")))
+        tag = F.when(F.col("page_id") % len(_TAGS) == i, text).otherwise(tag)
+    return pages.withColumn("html", F.replace("html", F.lit("<head>"), F.concat(F.lit("<head>"), tag)))
+
+
 @register("page_metadata", f"""
-  SELECT page_id, {sql_title('html')} AS title, '' AS description,
-         {sql_language('html')} AS language FROM pages""")
+  SELECT page_id, {sql_title('html')} AS title, {sql_description('html')} AS description,
+         {sql_language('html')} AS language FROM ({_described_sql()}) p""")
 def q_page_metadata(spark, sf_dir):
-    return (extract_page_metadata(table(spark, sf_dir, "pages"))
+    return (extract_page_metadata(described_pages(table(spark, sf_dir, "pages")))
             .select("page_id", "title", "description", "language"))
 
 

@@ -71,3 +71,12 @@ def test_increment_title_comes_back(spark):
     batch = _pages(spark, [("x3", "X", 2), ("k", "K2", 3)]).withColumn("run", F.lit(2))
     out = {r.filename: (r.title_key, r.is_duplicate) for r in route_increment(retained, batch).collect()}
     assert out == {"x3": ("X", False), "k": ("K2", False)}
+
+
+def test_ties_on_name_and_position_leave_one_row(spark):
+    rows = [("a", "X", 1), ("a", "Y", 1), ("a", "Z", 0), ("b", "P", 2), ("b", "P", 2), ("b", "P", 2), ("c", "Q", 3), (None, "R", 1), (None, "R", 1)]
+    df = spark.createDataFrame(rows, "filename string, title string, url_index long").withColumn("meta", F.create_map(F.lit("k"), "title"))
+    got = [latest_pages(df.repartition(n)).collect() for n in (1, 3, 5)]
+    for some in got:
+        assert sorted(str(r.filename) for r in some) == ["None", "None", "a", "b", "c"]
+        assert [r.title for r in some if r.filename == "a"] == [r.title for r in got[0] if r.filename == "a"] != ["Z"]

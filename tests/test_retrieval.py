@@ -1,5 +1,6 @@
 """Retrieval rules (FIXTURES.md): zero vector, missing vector, threshold, ties, weights, blocks."""
 
+import numpy as np
 import pytest
 
 from sitecorpus.operators import retrieval
@@ -65,7 +66,7 @@ def test_blocks_do_not_change_results(spark, monkeypatch):
     docs, vectors = _tables(spark)
     q = spark.createDataFrame([(i, t, [float(i), 1.0]) for i, t in enumerate(["apple", "sky pie", "red blue"])], Q)
     whole = sorted(top_k(hybrid_scores(q, docs, vectors, 0.4, 3), 3).collect())
-    for name in ("BLOCK_DOCS", "BLOCK_QUERIES", "STRIP"):
+    for name in ("BLOCK_DOCS", "BLOCK_QUERIES", "STRIP", "BLOCK_HEADS"):
         monkeypatch.setattr(retrieval, name, 2)
     assert sorted(top_k(hybrid_scores(q, docs, vectors, 0.4, 3), 3).collect()) == whole
 
@@ -79,6 +80,75 @@ def test_only_pruned_pairs_are_shuffled(spark):
     assert "WindowGroupLimit" in plan
 
 
+def _plain(queries, docs, weight, k):
+    """(query, doc, score) of the best k by brute force over (vec or None, {term: weight}) entries."""
+    def unit(v):
+        n = np.linalg.norm(v) if v is not None else 0
+        return np.asarray(v) / n if n else np.zeros(8)
+    out = []
+    for q, (qv, qt) in queries.items():
+        scores = [(-round(weight * float(unit(qv) @ unit(dv)) + (1 - weight) * sum(w * dt.get(t, 0) for t, w in qt.items()), 12), d)
+                  for d, (dv, dt) in docs.items()]
+        out += [(q, d, -s) for s, d in sorted(scores)[:k]]
+    return out
+
+
+@pytest.mark.parametrize("weight", [1.0, 0.0, 0.6])
+def test_skipped_blocks_change_nothing(spark, monkeypatch, weight):
+    """On clustered documents most (query, block) pairs are skipped, and the rows are those of brute force."""
+    monkeypatch.setattr(retrieval, "BLOCK_DOCS", 20)
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(25, 8))
+
+    def entry(c, i):
+        vec = None if i % 37 == 5 else [0.0] * 8 if i % 53 == 7 else (centres[c] + rng.normal(size=8) * 0.03).tolist()
+        terms = {int(t): float(w) for t, w in zip([1000 + c, 2000 + c, *rng.integers(0, 5, 2)], [0.7, 0.6, 0.2, 0.1])}
+        return vec, ({} if i % 41 == 3 else terms)
+    docs = {i: entry(int(rng.integers(25)), i) for i in range(1000)}
+    docs |= {2000 + i: docs[8] for i in range(60)}  # ties over several blocks
+    queries = {i: entry(i % 25, i + 1) for i in range(40)}
+
+    def table(entries, key):
+        rows = [(i, v, [(t, w) for t, w in sorted(ts.items())] or None) for i, (v, ts) in entries.items()]
+        return spark.createDataFrame(rows, f"{key} long, vec array<double>, terms {retrieval.TERMS}")
+    blocks = retrieval.blocks_of(table(docs, "doc_id"))
+    search = retrieval.Search(table(queries, "query_id"), blocks, weight, 5)
+    got = sorted((r.query_id, r.doc_id, r.score) for r in top_k(search.found, 5).collect())
+    want = sorted(_plain(queries, docs, weight, 5))
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert [g[2] for g in got] == pytest.approx([w[2] for w in want], abs=1e-9)
+    met, every = search.seeds.count() + search.rest.count(), len(queries) * blocks.count()
+    assert every > 1500 and met < 0.4 * every
+    pairs = [(r.query_id, r.block) for r in search.seeds.unionByName(search.rest).collect()]
+    assert len(set(pairs)) == len(pairs)
+
+
+def test_bounds_hold_and_thresholds_skip(spark, monkeypatch):
+    monkeypatch.setattr(retrieval, "BLOCK_DOCS", 10)
+    rng = np.random.default_rng(4)
+    docs = spark.createDataFrame([(i, rng.normal(size=4).tolist(), [(int(t), 0.5) for t in set(rng.integers(0, 30, 3).tolist())]) for i in range(200)],
+                                 f"doc_id long, vec array<double>, terms {retrieval.TERMS}")
+    q = spark.createDataFrame([(i, rng.normal(size=4).tolist(), [(int(t), 0.6) for t in set(rng.integers(0, 30, 2).tolist())]) for i in range(12)],
+                              f"query_id long, vec array<double>, terms {retrieval.TERMS}")
+    blocks = retrieval.blocks_of(docs)
+    place = {int(d): b.block for b in blocks.collect() for d in np.frombuffer(b.ids, np.int64)}
+    assert sorted(place) == list(range(200))
+    every = retrieval.Search(q, blocks, 0.5, None)
+    bound = {(r.query_id, r.block): r.bound for r in every.seeds.unionByName(every.rest).collect()}
+    assert len(bound) == 12 * blocks.count()
+    rows = every.found.collect()
+    assert len(rows) == 12 * 200 and all(r.score <= bound[r.query_id, place[r.doc_id]] + 1e-9 for r in rows)
+    some = retrieval.Search(q, blocks, 0.5, None, threshold=0.45)
+    assert sorted((r.query_id, r.doc_id) for r in some.found.collect()) == sorted((r.query_id, r.doc_id) for r in rows if r.score >= 0.45)
+    assert some.seeds.count() + some.rest.count() < len(bound)
+
+
+def test_no_documents_and_no_queries(spark):
+    none = spark.createDataFrame([], "doc_id long, embedding array<float>")
+    q = spark.createDataFrame([(1, [1.0])], "query_id long, embedding array<float>")
+    assert vector_top_k(q, none).collect() == [] and vector_top_k(q.limit(0), none).collect() == []
+
+
 def test_top_k_plans_partial_limit(spark):
     df = spark.createDataFrame([(1, i, float(i)) for i in range(10)], "query_id long, doc_id long, score double")
     out = top_k(df, 2)

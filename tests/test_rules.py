@@ -120,13 +120,32 @@ def test_start_beyond_the_last_url_is_refused(spark):
     ('<meta name="description" content="It\'s here">', "It's here"), ("<meta content='a > b' name='description'/>", "a > b"),
     ("<META NAME=description CONTENT=plain>", "plain"), ('<meta name="keywords" content="k"><meta name="description" content="d">', "d"),
     ('<meta name="description">', ""), ('<meta property="name=description" content="x">', ""), ("", ""),
-    ('<meta name="description" content="a &apos;b&apos; &amp; c">', "a 'b' & c")])
+    ('<meta name="description" content="a &apos;b&apos; &amp; c">', "a 'b' & c"),
+    ('<meta charset=utf-8 name = "description"\n content =\'a "b" <meta x>\'>', 'a "b" <meta x>'),
+    ('<meta <meta name="description" content="after an open tag">', "after an open tag"),
+    ('<meta content="one" content="two" name="description">', "one"), ('<meta "stray name=x" name=description content=a/b/>', "a/b/"),
+    ('<meta name="description" content>', ""), ("<metadata name=description content=x>", "")])
 def test_description(spark, tag, want):
     df = spark.createDataFrame([(f"<html><head><title>It&apos;s</title>{tag}</head></html>",)], "html string")
     row = extract_page_metadata(df).first()
     assert (row.description, row.title) == (want, "It's")
 
 
+MB = 1 << 20
+
+
+@pytest.mark.parametrize("tag, want", [
+    (f'<meta name="description" content="{"x" * MB}">', "x" * MB), (f"<meta name=description content={'y' * MB}>", "y" * MB),
+    (f"<meta {'bare ' * (MB // 5)}name=description content=z>", "z"), (f"<meta {'=' * MB}", ""), ("<meta " * (MB // 6), ""),
+    (f'<meta name="description" content="{"open " * (MB // 5)}', ""), (f"<meta {'a=b ' * (MB // 4)}>", ""), ("<meta" + "'" * MB, ""),
+    (f"<meta{' ' * MB}>", ""), (f'<meta {chr(34)}{"<meta " * (MB // 6)}{chr(34)} name=description content=q>', "q"),
+    (f'{"<title>" * 20000}<meta name="description" content="d">', "d")], ids=range(11))
+def test_huge_open_and_bare_tags(spark, tag, want):
+    """A megabyte of any of these ends neither the JVM nor the test's patience."""
+    df = spark.createDataFrame([(f"<html><head>{tag}</head></html>",)], "html string")
+    assert extract_page_metadata(df).first().description == want
+
+
 URLS = [" http://a.com/x", "\x01\x02 http://a.com/x y", "http://a.com/x\ty\n", "http://[::1]/x", "http://[::1]:80/x", "http://[bad]/x", "http://[/x",
         "http://a]/x", "http://u@[fe80::1%25eth0]/x", "http://[1:2:3:4:5:6:7:8]/x", "http://[1:2:3]/x", "http://[v1.a]/x", "http://[::1.2.3.4]/",
         "http://x[::1]/", "http://[1::2::3]/", "http://[12345::]/", "http://[::1]x/", "http://[1:2:3:4:5:6:1.2.3.4]/"]
