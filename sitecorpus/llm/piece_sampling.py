@@ -27,6 +27,7 @@ import re
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from sitecorpus.llm.words import in_parts, mix, numbered
@@ -38,6 +39,7 @@ SEED = 9
 KEEP_EDGES = 1_500_000   # of the lattices that a worker keeps, while it works on a partition
 KEEP_LENGTH = 64         # characters of a word it keeps
 BATCH_CHARS = 600_000  # text that is sampled at once, about
+DECODE_ROWS = 64       # rows that are decoded at once
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 SAMPLE = "struct<ids:array<int>,log_p:double,perturbed:double,inclusion:double>"
 
@@ -61,6 +63,9 @@ class Vocabulary:
         for b, i in enumerate(self.byte_ids.tolist()):
             if i != sp.unk_id():
                 self.spelled[i] = bytes([b])
+        self.spelled_size = np.array([len(x) for x in self.spelled])
+        self.spelled_at = np.cumsum(self.spelled_size) - self.spelled_size
+        self.spelled_bytes = np.frombuffer(b"".join(self.spelled), np.uint8)
         letters = sorted({c for i in own for c in self.pieces[i]})
         self.width = len(letters) + 1
         self.letter = np.zeros(0x110000, np.int32)
@@ -79,6 +84,17 @@ class Vocabulary:
         self.next = np.array([step[k] for k in self.keys.tolist()], np.int64)
         self.final, self.weight = np.array(final), np.array(weight)
 
+    def decoded(self, rows) -> list[str | None]:
+        """The texts of some rows' ids: all pieces' bytes are put together at once."""
+        sizes = np.array([0 if x is None else len(x) for x in rows])
+        ids = np.concatenate([np.empty(0, np.int64), *(x for x in rows if x is not None)]).astype(np.int64)
+        size = self.spelled_size[ids]
+        stop = np.cumsum(size)
+        raw = self.spelled_bytes[np.repeat(self.spelled_at[ids] - (stop - size), size) + np.arange(int(size.sum()))].tobytes()
+        ends = np.concatenate(([0], stop))[np.concatenate(([0], np.cumsum(sizes)))].tolist()
+        return [None if x is None else raw[a:b].decode("utf-8", "replace").replace(MARK, " ")[1:]
+                for x, a, b in zip(rows, ends, ends[1:])]
+
     def edges(self, code: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
         """Start, end, piece (-1: bytes of one character) and weight of all edges over concatenated
         words; ``end`` is where each character's word ends. By start, long ones first."""
@@ -116,9 +132,31 @@ class Lattices:
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
+        self.again: set[str] = set()  # words that were asked for after they were added
         self.nodes = self.n_edges = 0
         self.held: dict[str, np.ndarray] = {}
 
+    def _forget(self) -> None:
+        """Keep the words that came again, unless they fill half of the store; drop the rest."""
+        words = [w for w in self.number if w in self.again]
+        node = np.array([self.number[w] for w in words], np.int64)
+        size = np.array([len(w) + 1 for w in words], np.int64)
+        old = np.repeat(node - np.cumsum(size) + size, size) + np.arange(int(size.sum()))  # kept nodes, in order
+        fan, last, first = self.fan[old].copy(), self.last[old].copy(), self.edge_of[old]
+        if 2 * int(fan.sum()) > KEEP_EDGES:
+            self.clear()
+            return
+        edges = np.cumsum(fan) - fan
+        edge = np.repeat(first - edges, fan) + np.arange(int(fan.sum()))
+        moved = np.zeros(self.nodes, np.int32)
+        moved[old] = np.arange(len(old))
+        kept = dict(run=self.run[edge], start=moved[self.start[edge]], to=moved[self.to[edge]], piece=self.piece[edge], log_p=self.log_p[edge])
+        self.clear()
+        self._append(0, **kept)
+        self._append(0, last=last, edge_of=edges.astype(np.int32), fan=fan)
+        self.number = dict(zip(words, (np.cumsum(size) - size).tolist()))
+        self.nodes, self.n_edges = len(old), len(edge)
+
     def _append(self, size: int, **new: np.ndarray) -> None:
         """Put the new entries behind the first ``size`` of each array, which grows by doubling."""
         for name, values in new.items():
@@ -133,9 +171,11 @@ class Lattices:
 
     def of(self, words: list[str]) -> np.ndarray:
         """The first node of each word's lattice, which it adds if it is new."""
+        asked = dict.fromkeys(words)
         if self.n_edges > KEEP_EDGES:
-            self.clear()
-        new = [w for w in dict.fromkeys(words) if w not in self.number]
+            self._forget()
+        new = [w for w in asked if w not in self.number]
+        self.again.update(asked.keys() & self.number.keys())
         long = [w for w in new if len(w) > KEEP_LENGTH]
         if new:
             self._add(new)
@@ -372,16 +412,30 @@ def encode(docs: DataFrame, path: str, k: int = SAMPLES, sharpness: float = SHAR
     schema = T.StructType(rows.schema.fields[2:]).add("samples", T._parse_datatype_string(f"array<{SAMPLE}>"))
 
     def sample(batches):
-        for batch in batches:
-            keys, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-            for at, part in in_parts(texts, BATCH_CHARS):  # results leave the worker part by part
-                found = sampler(path, sharpness, k, seed).texts(keys[at:at + len(part)], part)
-                passed = batch.slice(at, len(part)).columns[2:]
-                yield pa.RecordBatch.from_arrays([*passed, _arrow(found)], names=schema.names)
+        engine = sampler(path, sharpness, k, seed)
+        try:
+            for batch in batches:
+                sizes = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+                for at, n in _stretches(sizes, BATCH_CHARS):  # texts become Python's, and results leave the worker, part by part
+                    part = batch.slice(at, n)
+                    found = engine.texts(part.column(0).to_numpy(), part.column(1).to_pylist())
+                    yield pa.RecordBatch.from_arrays([*part.columns[2:], _arrow(found)], names=schema.names)
+        finally:
+            engine.lattices.clear()  # a worker holds no lattices for the tasks after
 
     return rows.mapInArrow(sample, schema)
 
 
+def _stretches(sizes: np.ndarray, most: int):
+    """First and number of consecutive rows of about ``most`` characters together."""
+    at = total = 0
+    for i, n in enumerate(sizes.tolist()):
+        total += n
+        if total >= most or i + 1 == len(sizes):
+            yield at, i + 1 - at
+            at, total = i + 1, 0
+
+
 def _arrow(samples: list[list[dict]]) -> pa.Array:
     """The samples of some texts as an Arrow array."""
     flat = [s for x in samples for s in x]
@@ -404,9 +458,9 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "text") -> D
     @F.pandas_udf("string")
     def join(column: pd.Series) -> pd.Series:
         vocabulary = sampler(path, SHARPNESS, 1, 0).vocabulary
-        spelled = vocabulary.spelled
-        return pd.Series([None if x is None else
-                          b"".join(map(spelled.__getitem__, x.tolist())).decode("utf-8", "replace").replace(MARK, " ")[1:]
-                          for x in column])
+        out = []
+        for at in range(0, len(column), DECODE_ROWS):
+            out += vocabulary.decoded(column.iloc[at:at + DECODE_ROWS])
+        return pd.Series(out, dtype=object)
 
     return rows.withColumn(out, join(ids))

@@ -84,11 +84,11 @@ def op9(spark, sf_dir):
     import public_tokenizers
     from sitecorpus.llm.piece_sampling import decode, encode
     path = public_tokenizers.path("piece_bpe_32k.model")
-    docs = _table(spark, sf_dir, "documents")
-    rows = encode(docs, path, keep=["text"]).select("doc_id", "text", F.posexplode("samples").alias("sample", "s"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"))
+    rows = encode(docs, path, keep=["sha"]).select("doc_id", "sha", F.posexplode("samples").alias("sample", "s"))
     return decode(rows.select("*", "s.*"), path, "ids", "decoded").select(
         "doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"), "log_p", "perturbed", "inclusion",
-        F.xxhash64("ids").alias("ids_hash"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+        F.xxhash64("ids").alias("ids_hash"), (F.sha2("decoded", 256) == F.col("sha")).alias("round_trip"))
 
 
 @register("pipeline")
