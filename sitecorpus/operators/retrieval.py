@@ -121,39 +121,50 @@ def _packed(key: tuple, d: pd.DataFrame) -> pd.DataFrame:
         "weight": weight.tobytes(), "centre": centre.tobytes(), "radius": radius, "greatest": weight[first].tobytes()}])
 
 
-def blocks_of(docs: DataFrame) -> DataFrame:
-    """The corpus as blocks (written): ``docs`` are (doc_id, vec, terms), either side may be null.
-    Like documents share a block; a group too large for one is dealt to several by a hash of the id."""
-    spark = docs.sparkSession
+def blocks_of(docs: DataFrame) -> tuple[DataFrame, int]:
+    """The corpus as blocks (written), and how many numbers they have. ``docs`` are (doc_id, vec,
+    terms), either side may be null. Like documents share a block; a group too large for one is
+    dealt to several by a hash of the id."""
     n = docs.count()
     many = min(MAX_PIVOTS, max(1, math.ceil(n / BLOCK_DOCS)))
-    sample = (docs.filter("vec IS NOT NULL").orderBy(F.xxhash64("doc_id")).limit(many).select("vec").collect())
-    dim = max((len(r[0]) for r in sample), default=0)
+    rows = docs.select("doc_id", "vec", F.col("terms.t").alias("t"), F.col("terms.w").alias("w"), _kind(docs, many).alias("kind"))
+    if many == 1:  # all fit into one block
+        dealt, at = rows.withColumn("block", F.lit(0).cast("long")), 1
+    else:
+        rows = materialize(rows, "search-kinds")
+        sizes = sorted((r[0], r[1]) for r in rows.groupBy("kind").count().collect())  # 2 * MAX_PIVOTS + 1 at most
+        parts, at = [], 0
+        for group, size in sizes:
+            parts.append((group, at, math.ceil(size / BLOCK_DOCS)))
+            at += parts[-1][2]
+        place = docs.sparkSession.createDataFrame(parts, "kind long, at long, parts long")
+        dealt = rows.join(F.broadcast(place), "kind").withColumn(
+            "block", F.col("at") + F.pmod(F.xxhash64("doc_id"), F.col("parts")))
+    return materialize(dealt.groupBy("block").applyInPandas(_packed, BLOCK), "search-blocks"), at
+
+
+def _kind(docs: DataFrame, many: int) -> Column:
+    """Below ``many``: the nearest of that many pivot vectors, which are the documents' with the least hashes of
+    their ids. From there on, without a vector: by the heaviest term."""
+    heaviest = F.array_max(F.transform("terms", lambda e: F.struct(e["w"], e["t"])))["t"]
+    other = F.coalesce(F.pmod(heaviest, F.lit(many)), F.lit(many).cast("long")) + many
+    if many == 1:
+        return other
+    sample = docs.filter("vec IS NOT NULL").orderBy(F.xxhash64("doc_id")).limit(many).select("vec").collect()
+    if not sample:
+        return other
+    dim = max(len(r[0]) for r in sample)
     pivots = _unit(pd.Series([r[0] for r in sample], dtype=object), dim)
 
     @F.pandas_udf("long")
     def nearest(vec: pd.Series, other: pd.Series) -> pd.Series:
-        out = other.to_numpy(np.int64) + many
+        out = other.to_numpy(np.int64, copy=True)
         for a in range(0, len(vec), STRIP):
             part = vec.iloc[a:a + STRIP]
-            out[a:a + STRIP] = np.where([v is None for v in part], out[a:a + STRIP], (_unit(part, dim) @ pivots.T).argmax(axis=1))
+            found = (_unit(part, dim) @ pivots.T).argmax(axis=1)
+            out[a:a + STRIP] = np.where([v is None for v in part], out[a:a + STRIP], found)
         return pd.Series(out)
-
-    heaviest = F.array_max(F.transform("terms", lambda e: F.struct(e["w"], e["t"])))["t"]
-    other = F.coalesce(F.pmod(heaviest, F.lit(many)), F.lit(many).cast("long"))
-    if len(sample):
-        kind = nearest("vec", other)
-    else:
-        kind = other + many
-    rows = docs.select("doc_id", "vec", F.col("terms.t").alias("t"), F.col("terms.w").alias("w"), kind.alias("kind"))
-    sizes = sorted((r[0], r[1]) for r in rows.groupBy("kind").count().collect())  # 2 * MAX_PIVOTS + 1 at most
-    parts, at = [], 0
-    for group, size in sizes:
-        parts.append((group, at, max(1, math.ceil(size / BLOCK_DOCS))))
-        at += parts[-1][2]
-    place = spark.createDataFrame(parts, "kind long, at long, parts long")
-    dealt = rows.join(F.broadcast(place), "kind").withColumn("block", F.col("at") + F.pmod(F.xxhash64("doc_id"), F.col("parts")))
-    return materialize(dealt.groupBy("block").applyInPandas(_packed, BLOCK), "search-blocks")
+    return nearest("vec", other)
 
 
 def _query_terms(queries: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -251,14 +262,17 @@ class Search:
     """One search: the queries against the blocks, in two steps (see the module's text). ``seeds`` and
     ``rest`` are the (query, block) pairs that are scored; every other pair is skipped."""
 
-    def __init__(self, queries: DataFrame, blocks: DataFrame, weight: float, k: int | None,
+    def __init__(self, queries: DataFrame, blocks: tuple[DataFrame, int], weight: float, k: int | None,
                  threshold: float | None = None, only_matches: bool = False):
         self.args = weight, k, threshold, only_matches
-        self.blocks, self.n_blocks = blocks, blocks.count()
+        self.blocks, self.n_blocks = blocks
         self.groups = max(1, math.ceil(queries.count() / BLOCK_QUERIES))
         self.queries = queries.select("query_id", "vec", F.col("terms.t").alias("t"), F.col("terms.w").alias("w"),
                                       F.pmod(F.xxhash64("query_id"), F.lit(self.groups)).alias("qb"))
-        self.seeds = materialize(self._meet(self.queries, True), "search-seeds")
+        self.seeds = self._meet(self.queries, True)
+        if self.n_blocks == 1:  # every query's best block is the only one
+            self.rest, self.found = self.seeds.limit(0), self._score(self.seeds)
+            return
         first = materialize(self._score(self.seeds), "search-first")
         if k is None:
             floor = self.queries.withColumn("floor", F.lit(float("-inf")))
@@ -266,7 +280,7 @@ class Search:
             rank = Window.partitionBy("query_id").orderBy(F.col("score").desc())
             kth = first.withColumn("r", F.row_number().over(rank)).filter(F.col("r") == k).select("query_id", F.col("score").alias("floor"))
             floor = self.queries.join(kth, "query_id", "left").fillna(float("-inf"), ["floor"])
-        self.rest = materialize(self._meet(floor, False), "search-pairs")
+        self.rest = self._meet(floor, False)
         self.found = first.unionByName(self._score(self.rest))
 
     def _meet(self, queries: DataFrame, seeds: bool) -> DataFrame:

@@ -117,7 +117,7 @@ def test_skipped_blocks_change_nothing(spark, monkeypatch, weight):
     want = sorted(_plain(queries, docs, weight, 5))
     assert [g[:2] for g in got] == [w[:2] for w in want]
     assert [g[2] for g in got] == pytest.approx([w[2] for w in want], abs=1e-9)
-    met, every = search.seeds.count() + search.rest.count(), len(queries) * blocks.count()
+    met, every = search.seeds.count() + search.rest.count(), len(queries) * blocks[0].count()
     assert every > 1500 and met < 0.4 * every
     pairs = [(r.query_id, r.block) for r in search.seeds.unionByName(search.rest).collect()]
     assert len(set(pairs)) == len(pairs)
@@ -131,11 +131,11 @@ def test_bounds_hold_and_thresholds_skip(spark, monkeypatch):
     q = spark.createDataFrame([(i, rng.normal(size=4).tolist(), [(int(t), 0.6) for t in set(rng.integers(0, 30, 2).tolist())]) for i in range(12)],
                               f"query_id long, vec array<double>, terms {retrieval.TERMS}")
     blocks = retrieval.blocks_of(docs)
-    place = {int(d): b.block for b in blocks.collect() for d in np.frombuffer(b.ids, np.int64)}
+    place = {int(d): b.block for b in blocks[0].collect() for d in np.frombuffer(b.ids, np.int64)}
     assert sorted(place) == list(range(200))
     every = retrieval.Search(q, blocks, 0.5, None)
     bound = {(r.query_id, r.block): r.bound for r in every.seeds.unionByName(every.rest).collect()}
-    assert len(bound) == 12 * blocks.count()
+    assert len(bound) == 12 * blocks[0].count()
     rows = every.found.collect()
     assert len(rows) == 12 * 200 and all(r.score <= bound[r.query_id, place[r.doc_id]] + 1e-9 for r in rows)
     some = retrieval.Search(q, blocks, 0.5, None, threshold=0.45)
