@@ -25,7 +25,6 @@ import functools
 import re
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -36,18 +35,18 @@ MARK = "▁"          # stands for a space
 SHARPNESS = 1.0
 SAMPLES = 2
 SEED = 9
-KEEP_EDGES = 1_500_000   # of the lattices that a worker keeps, while it works on a partition
+KEEP_EDGES = 1_000_000   # of the lattices that a worker keeps, while it works on a partition
 KEEP_LENGTH = 64         # characters of a word it keeps
-BATCH_CHARS = 600_000  # text that is sampled at once, about
+BATCH_CHARS = 400_000  # text that is sampled at once, about
 DECODE_ROWS = 64       # rows that are decoded at once
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 SAMPLE = "struct<ids:array<int>,log_p:double,perturbed:double,inclusion:double>"
 
 
-class Vocabulary:
-    """Pieces as a trie in sorted arrays."""
+class Spelling:
+    """Pieces and the bytes that each stands for."""
 
-    def __init__(self, path: str, sharpness: float):
+    def __init__(self, path: str):
         import sentencepiece
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         n = sp.vocab_size()
@@ -56,16 +55,34 @@ class Vocabulary:
         for i in range(n):
             if sp.is_byte(i):
                 self.byte_ids[int(self.pieces[i][1:-1], 16)] = i
+        spelled = [p.encode() for p in self.pieces]
+        for b, i in enumerate(self.byte_ids.tolist()):
+            if i != sp.unk_id():
+                spelled[i] = bytes([b])
+        self.size = np.array([len(x) for x in spelled])
+        self.at = np.cumsum(self.size) - self.size
+        self.bytes = np.frombuffer(b"".join(spelled), np.uint8)
+        self.model = sp
+
+    def decoded(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """The texts of rows of ids, which end at ``bounds``: all pieces' bytes are put together at once."""
+        size = self.size[ids]
+        stop = np.cumsum(size)
+        raw = self.bytes[np.repeat(self.at[ids] - (stop - size), size) + np.arange(int(size.sum()))].tobytes()
+        ends = np.concatenate(([0], stop))[bounds].tolist()
+        return [raw[a:b].decode("utf-8", "replace").replace(MARK, " ")[1:] for a, b in zip(ends, ends[1:])]
+
+
+class Vocabulary:
+    """Pieces as a trie in sorted arrays."""
+
+    def __init__(self, path: str, sharpness: float):
+        spelling = Spelling(path)
+        sp, self.pieces, self.byte_ids = spelling.model, spelling.pieces, spelling.byte_ids
+        n = len(self.pieces)
         own = [i for i in range(n) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
         rank = {i: r for r, i in enumerate(sorted(own, key=lambda i: (-sp.get_score(i), i)))}
         self.byte_weight = -sharpness * np.log(2 + len(own))
-        self.spelled = [p.encode() for p in self.pieces]
-        for b, i in enumerate(self.byte_ids.tolist()):
-            if i != sp.unk_id():
-                self.spelled[i] = bytes([b])
-        self.spelled_size = np.array([len(x) for x in self.spelled])
-        self.spelled_at = np.cumsum(self.spelled_size) - self.spelled_size
-        self.spelled_bytes = np.frombuffer(b"".join(self.spelled), np.uint8)
         letters = sorted({c for i in own for c in self.pieces[i]})
         self.width = len(letters) + 1
         self.letter = np.zeros(0x110000, np.int32)
@@ -84,17 +101,6 @@ class Vocabulary:
         self.next = np.array([step[k] for k in self.keys.tolist()], np.int64)
         self.final, self.weight = np.array(final), np.array(weight)
 
-    def decoded(self, rows) -> list[str | None]:
-        """The texts of some rows' ids: all pieces' bytes are put together at once."""
-        sizes = np.array([0 if x is None else len(x) for x in rows])
-        ids = np.concatenate([np.empty(0, np.int64), *(x for x in rows if x is not None)]).astype(np.int64)
-        size = self.spelled_size[ids]
-        stop = np.cumsum(size)
-        raw = self.spelled_bytes[np.repeat(self.spelled_at[ids] - (stop - size), size) + np.arange(int(size.sum()))].tobytes()
-        ends = np.concatenate(([0], stop))[np.concatenate(([0], np.cumsum(sizes)))].tolist()
-        return [None if x is None else raw[a:b].decode("utf-8", "replace").replace(MARK, " ")[1:]
-                for x, a, b in zip(rows, ends, ends[1:])]
-
     def edges(self, code: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
         """Start, end, piece (-1: bytes of one character) and weight of all edges over concatenated
         words; ``end`` is where each character's word ends. By start, long ones first."""
@@ -162,7 +168,7 @@ class Lattices:
         for name, values in new.items():
             held, total = self.held.get(name), size + len(values)
             if held is None or len(held) < total:
-                more = np.empty(max(total, 1 << 16, 2 * size), values.dtype)
+                more = np.empty(max(total, 1 << 16, size + size // 4), values.dtype)
                 if size:
                     more[:size] = held[:size]
                 self.held[name] = held = more
@@ -450,17 +456,30 @@ def _arrow(samples: list[list[dict]]) -> pa.Array:
     return pa.ListArray.from_arrays(bounds([len(x) for x in samples]), each)
 
 
+@functools.cache
+def spelling(path: str) -> Spelling:
+    return Spelling(path)
+
+
 def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "text") -> DataFrame:
     """``rows`` with ``out``, the text of the piece ids: pieces in order, runs of byte pieces read
     as UTF-8, marks as spaces, without the first one (the encoder puts it before every text). Null
-    ids give null; the mark itself in an encoded text comes back as a space."""
-
-    @F.pandas_udf("string")
-    def join(column: pd.Series) -> pd.Series:
-        vocabulary = sampler(path, SHARPNESS, 1, 0).vocabulary
-        out = []
-        for at in range(0, len(column), DECODE_ROWS):
-            out += vocabulary.decoded(column.iloc[at:at + DECODE_ROWS])
-        return pd.Series(out, dtype=object)
-
-    return rows.withColumn(out, join(ids))
+    ids give null; the mark itself in an encoded text comes back as a space. A column named ``out`` is
+    replaced."""
+    kept = [c for c in rows.columns if c != out]
+    rows = rows.select(kept)
+    schema = T.StructType(list(rows.schema.fields)).add(out, "string")
+
+    def join(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, DECODE_ROWS):  # texts leave the worker part by part
+                part = batch.slice(at, DECODE_ROWS)
+                column = part.column(kept.index(ids))
+                sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+                bounds = np.concatenate(([0], np.cumsum(sizes)))
+                texts = spelling(path).decoded(column.flatten().to_numpy(zero_copy_only=False), bounds)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(texts, pa.string(), mask=column.is_null().to_numpy(zero_copy_only=False))],
+                    names=schema.names)
+
+    return rows.mapInArrow(join, schema)

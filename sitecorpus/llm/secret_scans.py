@@ -6,14 +6,14 @@ ledger, reads one copy of each such blob, appends to the ledger, and findings ar
 every path and version that has the blob. Copies and unchanged versions are scanned once.
 
 Positions come from cutting a text at a rule's matches: the pieces' and matches' lengths, summed
-up, are the spans (code points, end exclusive), leftmost and non-overlapping for each rule.
+up by a window, are the spans (code points, end exclusive), leftmost and non-overlapping for each rule.
 """
 
 from __future__ import annotations
 
 import dataclasses
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sitecorpus.llm.stored import store
 
@@ -39,33 +39,40 @@ RULES = (
     Rule("access", 1, r"AKIA[A-Z0-9]+", 0, 18, r"AKIA[A-Z0-9]{14}"),
     Rule("hex", 1, r"[0-9a-f]+", 0, 16, r"[0-9a-f]{16}"),
 )
-SPANS = "array<struct<start:int,end:int>>"
+BLOCK = 1024  # characters of a block of a text that is redacted
+GROUP = 64    # spans of a text that are redacted together
+#: A rule's version as a blob's list of rules to scan names it.
+NAME = "{r.kind}:{r.version}"
 
 
-def _spans(text: Column, rule: Rule) -> Column:
-    """The rule's spans in a text, ascending. Texts without any long enough match skip the cutting."""
-    found, parts = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), F.split(text, rule.pattern, -1)
+def _matches(text: Column, rule: Rule) -> Column:
+    """For each match of the rule: the characters before it since the match before, its own, and those of its
+    ``part``. Texts without any long enough match skip the cutting."""
+    found, gaps = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), F.split(text, rule.pattern, -1)
     values = found if rule.part == 0 else F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.part))
-    lengths = F.zip_with(F.transform(found, F.length), F.transform(values, F.length),
-                         lambda a, b: F.struct(a.alias("all"), b.alias("part")))
-    cut = F.zip_with(F.transform(F.slice(parts, F.lit(1), F.size(lengths)), F.length), lengths,
-                     lambda gap, m: F.struct(gap.alias("gap"), m["all"].alias("all"), m["part"].alias("part")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
-    walked = F.aggregate(cut, start, lambda s, m: F.struct(
-        (s["at"] + m["gap"] + m["all"]).alias("at"),
-        F.when(m["part"] >= rule.least, F.concat(s["spans"], F.array(F.struct(
-            (s["at"] + m["gap"]).alias("start"), (s["at"] + m["gap"] + m["all"]).alias("end")))))
-        .otherwise(s["spans"]).alias("spans")))
-    return F.when(text.rlike(rule.hint or rule.pattern), walked["spans"]).otherwise(F.array().cast(SPANS))
+    lengths = F.arrays_zip(F.transform(F.slice(gaps, F.lit(1), F.size(found)), F.length).alias("gap"),
+                           F.transform(found, F.length).alias("all"), F.transform(values, F.length).alias("part"))
+    return F.when(text.rlike(rule.hint or rule.pattern), lengths)
 
 
 def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """(blob, kind, version, start, end) of every secret in (blob, text)."""
-    found = F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"),
-                               _spans(F.col("text"), r).alias("spans")) for r in rules])
-    each = blobs.select("blob", F.explode(found).alias("f"))
-    return each.select("blob", "f.kind", "f.version", F.explode("f.spans").alias("s")).select(
-        "blob", "kind", "version", "s.start", "s.end")
+    """(blob, kind, version, start, end) of every secret in (blob, text, todo); each text is read under the
+    rules that its ``todo`` names (``kind:version``) and no others.
+
+    A match's place is the sum of the lengths before it, by a window over the blob's matches under the
+    rule, so the work is linear in a text however many matches it has."""
+    found = F.array(*[F.struct(F.lit(i).alias("rule"), F.when(
+        F.array_contains("todo", NAME.format(r=r)), _matches(F.col("text"), r)).alias("matches")) for i, r in enumerate(rules)])
+    each = blobs.select("blob", F.monotonically_increasing_id().alias("copy"), F.explode(found).alias("f"))
+    rows = each.select("blob", "copy", "f.rule", F.posexplode("f.matches").alias("n", "m")).select("blob", "copy", "rule", "n", "m.*")
+    upto = Window.partitionBy("blob", "copy", "rule").orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = rows.withColumn("end", F.sum(F.col("gap") + F.col("all")).over(upto).cast("int"))
+    of = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (i, r.least)])
+    names = F.create_map(*[y for i, r in enumerate(rules) for y in (F.lit(i), F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version")))])
+    name = F.element_at(names, F.col("rule"))
+    return placed.filter(F.col("part") >= F.element_at(of, F.col("rule"))).select(
+        "blob", name["kind"].alias("kind"), name["version"].alias("version"),
+        (F.col("end") - F.col("all")).alias("start"), "end")
 
 
 @dataclasses.dataclass
@@ -81,38 +88,34 @@ def address(versions: DataFrame, text: str = "text") -> Column:
     return F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
 
 
+def unseen_pairs(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES, key: str = "doc_id",
+                 text: str = "text") -> DataFrame:
+    """(blob, key, todo): the blobs of ``versions`` that some rule version has not scanned, the smallest key of
+    a row that has it, and the rule versions (``kind:version``) that have not."""
+    wanted = versions.groupBy(address(versions, text).alias("blob")).agg(
+        F.min(F.struct(F.col(key).isNull().alias("no_key"), F.col(key).alias("key"))).alias("at"))
+    every = F.array(*[F.lit(NAME.format(r=r)) for r in rules])
+    if ledger.scanned is None:
+        return wanted.select("blob", "at.key", every.alias("todo"))
+    done = ledger.scanned.groupBy("blob").agg(F.collect_set(F.concat_ws(":", "kind", F.col("version").cast("string"))).alias("done"))
+    left = F.array_except(every, F.coalesce("done", F.array().cast("array<string>")))
+    return wanted.join(done, "blob", "left").select("blob", "at.key", left.alias("todo")).filter(F.size("todo") > 0)
+
+
 def update(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES, key: str = "doc_id",
            text: str = "text") -> Ledger:
-    """The ledger after scanning what it lacks of ``versions``. A blob is read from one row that
-    has it (the smallest key), whatever the number of copies."""
-    wanted = store(versions.groupBy(address(versions, text).alias("blob")).agg(
-        F.min(F.struct(F.col(key).isNull().alias("no_key"), F.col(key).alias("key"))).alias("at")), "blobs")
-    todo = []
-    for rule in rules:
-        unseen = wanted
-        if ledger.scanned is not None:
-            done = ledger.scanned.filter((F.col("kind") == rule.kind) & (F.col("version") == rule.version))
-            unseen = wanted.join(done, "blob", "left_anti")
-        todo.append(unseen.select("blob", "at.key", F.lit(rule.kind).alias("kind"), F.lit(rule.version).alias("version")))
-    pairs = todo[0]
-    for more in todo[1:]:
-        pairs = pairs.unionByName(more)
-    if ledger.scanned is not None:
-        pairs = store(pairs, "blob-todo")
-        rows = pairs.select("blob", "key").distinct()
-    else:
-        rows = wanted.select("blob", "at.key")
+    """The ledger after scanning the (blob, rule version) pairs of ``versions`` that it lacks. A blob is read
+    from one row that has it (the smallest key), whatever the number of copies."""
+    pairs = store(unseen_pairs(versions, ledger, rules, key, text), "blob-todo")
     texts = versions.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    one = (texts.join(rows.hint("shuffle_hash"), texts["key"].eqNullSafe(rows["key"]))
-           .filter(F.col("blob") == F.sha2("text", 256)).select("blob", "text"))
-    found = scan(one, rules)
-    if ledger.scanned is not None:
-        found = found.join(pairs.select("blob", "kind", "version"), ["blob", "kind", "version"], "left_semi")
-    found = store(found.distinct(), "findings")  # repeated rows give a blob more than once
-    pairs = pairs.select("blob", "kind", "version")
+    one = (texts.join(pairs.hint("shuffle_hash"), texts["key"].eqNullSafe(pairs["key"]))
+           .filter(F.col("blob") == F.sha2("text", 256)).select("blob", "text", "todo"))
+    found = store(scan(one, rules).distinct(), "findings")  # repeated rows give a blob more than once
+    done = pairs.select("blob", F.explode("todo").alias("r")).select(
+        "blob", F.split("r", ":")[0].alias("kind"), F.split("r", ":")[1].cast("int").alias("version"))
     if ledger.scanned is None:
-        return Ledger(pairs, found)
-    return Ledger(store(ledger.scanned.unionByName(pairs), "scanned"),
+        return Ledger(done, found)
+    return Ledger(store(ledger.scanned.unionByName(done), "scanned"),
                   store(ledger.findings.unionByName(found), "findings"))
 
 
@@ -135,7 +138,8 @@ def find_secrets(versions: DataFrame, ledger: Ledger | None = None, rules: tuple
     A null text is an empty blob. Repeated rows and null keys stay; an empty table gives an empty
     result; other columns are ignored. A text's findings are held in one row."""
     ledger = update(versions, ledger or Ledger(), rules, key, text)
-    found = by_blob(ledger, rules)
+    # written, so that the copies of one blob can be split over tasks in the join
+    found = store(by_blob(ledger, rules), "blob-spans")
     out = versions.select(F.col(key), *(keep or []), address(versions, text).alias("blob")).join(found, "blob", "left")
     none = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>")
     return out.select(key, *(keep or []), "blob", F.coalesce("spans", none).alias("spans")), ledger
@@ -147,11 +151,30 @@ def digest(spans: Column) -> Column:
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with each maximal run of overlapping spans replaced by the mark."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    walked = F.aggregate(spans, start, lambda s, x: F.struct(
-        F.greatest(s["at"], x["end"]).alias("at"),
-        F.when(x["start"] >= s["at"], F.concat(s["out"], F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit(mark)))
-        .otherwise(s["out"]).alias("out")))
-    return F.when(F.size(spans) == 0, text).otherwise(
-        F.concat(walked["out"], F.substring(text, walked["at"] + 1, F.length(text) - walked["at"])))
+    """The text with each maximal run of overlapping spans replaced by the mark. ``spans`` ascend by
+    start. Spans are taken ``GROUP`` at a time, with the farthest end of all before them, and the text in
+    blocks of ``BLOCK`` characters, so a span costs what lies between it and the one before."""
+    def between(blocks, a, b):
+        i, j = F.floor(a / BLOCK).cast("int"), F.floor(b / BLOCK).cast("int")
+        first, last = F.coalesce(F.get(blocks, i), F.lit("")), F.coalesce(F.get(blocks, j), F.lit(""))
+        return F.when(i == j, F.substring(first, a % BLOCK + 1, b - a)).otherwise(F.concat(
+            F.substring(first, a % BLOCK + 1, F.lit(BLOCK)), F.array_join(F.slice(blocks, i + 2, F.greatest(j - i - 1, F.lit(0))), ""),
+            F.substring(last, F.lit(1), b % BLOCK)))
+
+    def farthest(some):
+        return F.coalesce(F.array_max(F.transform(some, lambda x: x["end"])), F.lit(0))
+
+    def piece(s, x, ahead):
+        return F.when(x["start"] >= ahead, F.concat(between(s["blocks"], ahead, x["start"]), F.lit(mark))).otherwise("")
+
+    def cut(s):
+        groups = F.transform(s["groups"], lambda g, k: F.array_join(F.transform(g, lambda x, i: piece(
+            s, x, F.greatest(F.get(s["ahead"], k), farthest(F.slice(g, F.lit(1), i))))), ""))
+        return F.concat(F.array_join(groups, ""), between(s["blocks"], F.element_at(s["ahead"], -1), s["n"]))
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    groups = F.transform(F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / GROUP).cast("int")),
+                         lambda k: F.slice(spans, k * GROUP + 1, GROUP))
+    ahead = F.aggregate(F.transform(groups, farthest), F.array(F.lit(0)), lambda out, e: F.concat(
+        out, F.array(F.greatest(F.element_at(out, -1), e))))
+    whole = F.array(F.struct(blocks.alias("blocks"), groups.alias("groups"), ahead.alias("ahead"), F.length(text).alias("n")))
+    return F.when(F.size(spans) == 0, text).otherwise(F.get(F.transform(whole, cut), F.lit(0)))

@@ -5,6 +5,7 @@ import collections
 import hashlib
 import itertools
 import re
+import time
 
 import numpy as np
 import pytest
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sitecorpus.llm.fingerprints import anchors, compare_with_edits
 from sitecorpus.llm.ngram_jaccard import _overlaps, jaccard_classes
-from sitecorpus.llm.secret_scans import RULES, Ledger, digest, find_secrets, redact, update
+from sitecorpus.llm.secret_scans import RULES, Ledger, digest, find_secrets, redact, scan, unseen_pairs, update
 from sitecorpus.llm.source_mixing import mix, targets
 from sitecorpus.llm.substring_dedup import remove_repeats
 from sitecorpus.llm.words import Batch, word_hashes
@@ -176,6 +177,38 @@ def test_ledger_scans_only_what_is_new(spark, docs):
     assert again.scanned.count() == ledger.scanned.count()
 
 
+def test_only_unseen_pairs_are_scanned(spark, docs):
+    """A new rule version and new texts: each blob is read under exactly the rule versions it lacks."""
+    first = update(docs.filter("doc_id <= 16"), Ledger())
+    newer = (*RULES[:2], type(RULES[2])("hex", 2, "[0-9a-f]+", 0, 18))
+    todo = {r.blob: sorted(r.todo) for r in unseen_pairs(docs, first, newer).collect()}
+    sha = lambda t: hashlib.sha256((t or "").encode()).hexdigest()
+    known = {sha(t) for d, t, _ in ROWS if d is not None and d <= 16}
+    assert todo == {sha(t): ["hex:2"] if sha(t) in known else ["access:1", "assign:1", "hex:2"] for _, t, _ in ROWS}
+    blobs = spark.createDataFrame([("a", KEY, ["hex:1"]), ("b", KEY, ["assign:1", "access:1"]), ("c", KEY, [])],
+                                  "blob string, text string, todo array<string>")
+    kinds = collections.defaultdict(set)
+    for r in scan(blobs).collect():
+        kinds[r.blob].add(r.kind)
+    assert kinds == {"a": {"hex"}, "b": {"assign", "access"}}
+
+
+def test_secrets_of_a_text_with_very_many_matches(spark):
+    """A megabyte of short matches takes seconds: places and redaction are linear in the text."""
+    many = " ".join(f"{i:020x}" if i % 50 == 0 else f"{i:06x}" for i in range(140_000)) + ' token = "0123456789abcdef0123"'
+    rows = spark.createDataFrame([(1, many), (2, "é" * 3000 + " " + "f" * 20 + "漢" * 1500)], "doc_id long, text string")
+    began = time.monotonic()
+    got = {r.doc_id: r for r in find_secrets(rows, keep=["text"])[0].select(
+        "*", redact(F.col("text"), F.col("spans")).alias("clean")).collect()}
+    assert time.monotonic() - began < 60
+    assert [(a, k, b) for a, _, k, b in map(tuple, got[1].spans)] == [(a, k, b) for a, _, k, b in found(many)]
+    want, at = [], 0
+    for a, _, _, b in found(many):
+        want += [many[at:a], "[SECRET]"] if a >= at else []
+        at = max(at, b)
+    assert got[1].clean == "".join(want) + many[at:] and got[2].clean == "é" * 3000 + " [SECRET]" + "漢" * 1500
+
+
 def test_fingerprints(docs):
     rows = compare_with_edits(docs).collect()
     assert len(rows) == len(ROWS)
