@@ -129,14 +129,34 @@ def resolve_attempts(attempts: DataFrame, max_retries: int = 2,
     """
     limit = max_retries + 1
     place = list(order) if order is not None else ["seq"]
+    narrow = narrow_attempts(attempts, place)
+    if order is not None:
+        narrow = number_attempts(narrow, limit, order)
+    out = settle(narrow, max_retries, accept_cached, place)
+    if not with_body:
+        return out.drop("_place")
+    bodies = attempts.select(F.col("url").alias("_b_url"), F.col("kind").alias("_b_kind"),
+                             F.struct(*place).alias("_b_place"), F.col("body"))
+    keyed = out.withColumn("_kind", F.when(F.col("from_refetch"), F.lit("refetch"))
+                           .otherwise(F.lit("fetch")))
+    joined = keyed.join(bodies, (F.col("url") == F.col("_b_url")) & (F.col("_kind") == F.col("_b_kind"))
+                        & (F.col("_place") == F.col("_b_place")) & F.col("ok"), "left")
+    return joined.select("url", "ok", "reason", "n_attempts", "decided_seq", "from_refetch", "body")
+
+
+def narrow_attempts(attempts: DataFrame, place: list[str]) -> DataFrame:
+    """Attempts with two flags in place of their bodies, and whether each is tried again."""
     valid, cached = response_flags(F.col("_v"))
     retryable = (F.coalesce(F.col("status") >= 400, F.lit(False))
                  | F.coalesce(F.col("error").isin(RETRYABLE_ERRORS), F.lit(False)))
-    narrow = attempts.withColumn("_v", F.try_parse_json(F.col("body"))).select(
+    return attempts.withColumn("_v", F.try_parse_json(F.col("body"))).select(
         "url", "kind", *place, "status", "error", valid.alias("valid"), cached.alias("cached"),
         retryable.alias("retryable"))
-    if order is not None:
-        narrow = number_attempts(narrow, limit, order)
+
+
+def settle(narrow: DataFrame, max_retries: int, accept_cached: bool, place: list[str]) -> DataFrame:
+    """The outcome of each URL from its numbered narrow attempts, and the ``_place`` of the one that decides."""
+    limit = max_retries + 1
     narrow = narrow.withColumn("place", F.struct(*place))
     fetch = (F.col("kind") == "fetch") & (F.col("seq") <= limit)
     info = F.struct("seq", "status", "error", "valid", "cached", "place")
@@ -163,21 +183,12 @@ def resolve_attempts(attempts: DataFrame, max_retries: int = 2,
              .otherwise(dec["seq"]))
     from_ref = F.coalesce(dec.isNotNull() & dec["valid"] & dec["error"].isNull()
                           & needs_refetch, F.lit(False))
-    out = agg.select(
+    return agg.select(
         "url", reason.isNull().alias("ok"), reason.alias("reason"),
         n_att.cast("int").alias("n_attempts"),
         F.when(from_ref, ref["seq"]).otherwise(dec["seq"]).alias("decided_seq"),
         from_ref.alias("from_refetch"),
         F.when(from_ref, ref["place"]).otherwise(dec["place"]).alias("_place"))
-    if not with_body:
-        return out.drop("_place")
-    bodies = attempts.select(F.col("url").alias("_b_url"), F.col("kind").alias("_b_kind"),
-                             F.struct(*place).alias("_b_place"), F.col("body"))
-    keyed = out.withColumn("_kind", F.when(F.col("from_refetch"), F.lit("refetch"))
-                           .otherwise(F.lit("fetch")))
-    joined = keyed.join(bodies, (F.col("url") == F.col("_b_url")) & (F.col("_kind") == F.col("_b_kind"))
-                        & (F.col("_place") == F.col("_b_place")) & F.col("ok"), "left")
-    return joined.select("url", "ok", "reason", "n_attempts", "decided_seq", "from_refetch", "body")
 
 
 def format_envelope(df: DataFrame, out_col: str = "envelope") -> DataFrame:

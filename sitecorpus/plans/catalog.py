@@ -41,4 +41,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_all() -> None:
     """Import every plan module so that its queries are registered."""
-    from sitecorpus.plans import corpus, crawl, frontier, jobs, knowledge, live, search  # noqa: F401
+    from sitecorpus.plans import corpus, crawl, frontier, jobs, knowledge, live, published, search  # noqa: F401

@@ -6,15 +6,17 @@ import os
 import random
 import uuid
 
+import pandas as pd
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from sitecorpus.operators.reports import crawl_summary
 from sitecorpus.plans.catalog import table
 from sitecorpus.plans.frontier import event_outcomes
 from sitecorpus.session import shared_path
-from sitecorpus.sources.corpus import read_markdown_stream
-from sitecorpus.streaming import live
-from sitecorpus.streaming.live import run_to_table, stream_corpus, stream_progress
+from sitecorpus.sources.corpus import read_markdown_corpus, read_markdown_stream
+from sitecorpus.streaming.keyed import state_rows
+from sitecorpus.streaming.live import corpus_index, corpus_view, run_to_table, stream_corpus, stream_progress
 
 
 def test_progress_stream_equals_batch(spark):
@@ -39,52 +41,109 @@ def _expected(batches):
     return kept
 
 
-def test_corpus_stream_over_many_batches(spark, tmp_path, monkeypatch):
-    """Same state as full recomputation, with compactions, restarts and pages saved again."""
-    monkeypatch.setattr(live, "COMPACT_EVERY", 2)
+def _save(src, run, pages):
+    folder = src / f"run={run}"
+    folder.mkdir(parents=True, exist_ok=True)
+    for name, title in pages:
+        (folder / name).write_text(f'---\ntitle: "{title}"\n---\n\nrun {run}' if title else f"---\ntitle:\n---\n\nrun {run}")
+
+
+def test_corpus_stream_over_runs_micro_batches_and_restarts(spark, tmp_path):
+    """After every run the same pages as full recomputation; runs in one and in several micro-batches, each
+    start on the checkpoint of the one before."""
     rng, src = random.Random(4), tmp_path / "pages"
-    state = shared_path(spark, "corpus-stream-test", uuid.uuid4().hex)
-    batches, last = [], None
-    for run in range(6):
-        pages = [(f"p{rng.randrange(30)}.md", f"T{rng.randrange(40)}") for _ in range(10)]
+    state = os.path.join(shared_path(spark, "corpus-stream-test", uuid.uuid4().hex), "_checkpoint")
+    batches, want = [], {}
+    for run in range(4):
+        pages = [(f"p{rng.randrange(30)}.md", f"T{rng.randrange(25)}" if rng.random() < 0.9 else "") for _ in range(14)]
         pages = list(dict(pages).items())
-        folder = src / f"run{run}"
-        folder.mkdir(parents=True)
-        for name, title in pages:
-            (folder / name).write_text(f'---\ntitle: "{title}"\n---\n\nrun {run}')
-        batches.append(pages)
-        files = read_markdown_stream(spark, f"{src}/*", files_per_batch=1000)
-        _, last = stream_corpus(files, state, os.path.join(state, "_checkpoint"))
+        _save(src, run, pages)
+        batches.append([(f, t or f"null of {f}") for f, t in pages])
+        last = stream_corpus(read_markdown_stream(spark, f"{src}/*", files_per_batch=1000 if run % 2 else 3), state)
         want = _expected(batches)
-        got = {r.filename: r.title_key for r in live.corpus_index(spark, state, last).collect()}
+        got = {r.filename: r.title_key or f"null of {r.filename}" for r in corpus_index(spark, state).collect()}
         assert got == want, run
-    view = {r.filename: r.raw for r in live.corpus_view(spark, state, last).collect()}
-    assert view.keys() == want.keys() and all("run " in x for x in view.values())
-    _, again = stream_corpus(read_markdown_stream(spark, f"{src}/*"), state, os.path.join(state, "_checkpoint"))
-    assert again is None  # nothing new
+    view = {r.filename: r.raw for r in corpus_view(read_markdown_corpus(spark, f"{src}/*"), state).collect()}
+    newest = {f: run for run, pages in enumerate(batches) for f, _ in pages}
+    assert view.keys() == want.keys() and all(x.endswith(f"run {newest[f]}") for f, x in view.items())
+    assert last >= 5  # several micro-batches a run
+    assert stream_corpus(read_markdown_stream(spark, f"{src}/*"), state) is None  # nothing new
+
+
+def test_title_states_run_by_run():
+    """The states alone, without a stream: a run in any split gives the outcome of the whole run."""
+    from sitecorpus.streaming.keyed import PageNames, TitleGroups
+
+    class Value:
+        def __init__(self):
+            self.v = None
+
+        def exists(self):
+            return self.v is not None
+
+        def get(self):
+            return self.v
+
+        def update(self, v):
+            self.v = v
+
+    def feed(kind, states, key, frame):
+        one = kind()
+        one.state = states.setdefault(key, Value())
+        return list(one.handleInputRows((key,), iter([frame]), None))
+
+    rng = random.Random(9)
+    for _ in range(150):
+        names, titles, kept, n_archived = {}, {}, {}, 0
+        for run in range(4):
+            pages = {f"p{rng.randrange(8)}": f"T{rng.randrange(5)}" for _ in range(rng.randrange(1, 9))}
+            union = {**kept, **pages}
+            counts = collections.Counter(union.values())
+            kept = {f: t for f, t in union.items() if counts[t] == 1}
+            n_archived += len(union) - len(kept)
+            rows = list(pages.items())
+            rng.shuffle(rows)
+            cut = rng.randrange(len(rows) + 1)
+            for part in (rows[:cut], rows[cut:]):
+                events = []
+                for f, t in part:
+                    frame = pd.DataFrame({"run": [run], "path": [f"{run}/{f}"], "title_key": [t]})
+                    events += [e for out in feed(PageNames, names, f, frame) for e in out.to_dict("records")]
+                for g in {e["group"] for e in events}:
+                    feed(TitleGroups, titles, g, pd.DataFrame([e for e in events if e["group"] == g]))
+            alone = {}
+            for g, v in titles.items():
+                title, _, base, _, gone, n, new, _, _ = v.get()
+                members = (base is not None and not gone) + n
+                if members == 1:
+                    alone[new if n else base] = title
+            assert alone == kept
 
 
 def test_streams_leave_no_cached_blocks(spark, tmp_path):
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
-    (tmp_path / "a.md").write_text('---\ntitle: "T"\n---\n\nx')
-    state = shared_path(spark, "corpus-stream-test", uuid.uuid4().hex)
+    _save(tmp_path, 0, [("a.md", "T")])
+    state = os.path.join(shared_path(spark, "corpus-stream-test", uuid.uuid4().hex), "_checkpoint")
     for _ in range(2):
-        stream_corpus(read_markdown_stream(spark, str(tmp_path)), state, os.path.join(state, "_checkpoint"))
+        stream_corpus(read_markdown_stream(spark, f"{tmp_path}/*"), state)
     assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
+    assert [tuple(r) for r in corpus_index(spark, state).select("filename", "title_key").collect()] == [("a.md", "T")]
 
 
-def test_stream_outcomes_equal_batch(spark, tmp_path):
+def test_stream_outcomes_equal_batch_in_any_order(spark, tmp_path):
+    """Raw attempts (not numbered) in several micro-batches and two starts, ordered against time."""
     from sitecorpus.operators.responses import resolve_attempts
     from sitecorpus.plans.frontier import ATTEMPT_ORDER, event_attempts
-    from sitecorpus.operators.responses import number_attempts
     from sitecorpus.streaming.live import stream_outcomes
 
-    # captured attempts (numbered once, as the capture records them) land as parquet files
-    att = number_attempts(event_attempts(table(spark, SF_SMALL, "events")), 3, ATTEMPT_ORDER)
-    src = str(tmp_path / "attempts")
-    att.drop("event_id").write.parquet(src)
-    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
-    now = run_to_table(spark, stream_outcomes(stream), shared_path(spark, "streams", uuid.uuid4().hex))
-    batch = resolve_attempts(spark.read.parquet(src), with_body=False)
-    cols = ["url", "ok", "reason", "n_attempts", "from_refetch"]
-    assert sorted(map(tuple, now.select(cols).collect())) == sorted(map(tuple, batch.select(cols).collect()))
+    att = event_attempts(table(spark, SF_SMALL, "events")).withColumn("late", -F.pmod("event_id", F.lit(5)))
+    src, state = str(tmp_path / "attempts"), shared_path(spark, "streams", uuid.uuid4().hex)
+    cols, place = ["url", "ok", "reason", "n_attempts", "decided_seq", "from_refetch"], list(ATTEMPT_ORDER)
+    for part in (F.col("late") < -2, F.col("late") >= -2):
+        att.filter(part).drop("late").repartition(3).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 2).parquet(src)
+        now = stream_outcomes(stream, state, order=ATTEMPT_ORDER)
+        batch = resolve_attempts(spark.read.parquet(src), with_body=False, order=ATTEMPT_ORDER)
+        assert sorted(map(str, now.select(cols).collect())) == sorted(map(str, batch.select(cols).collect()))
+    held = state_rows(spark, state, "attempts").select(F.size("attempts").alias("n")).collect()
+    assert place and max(r.n for r in held) <= 6  # three of each kind, however many arrived
