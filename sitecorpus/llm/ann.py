@@ -118,7 +118,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, probe: float = PR
     by Euclidean distance and then smaller id; a query's own id is no candidate.
 
     Rows with a null key and vectors that are null, zero, of another length than most, or hold a
-    null or non-finite component take no part. Repeated rows of one id count once. With fewer
+    null or non-finite component take no part. Rows of one id count as one, with the least of their vectors
+    (by components in order), which asks if any of them does. With fewer
     candidates than ``k`` all of the visited cells are returned, and for so few rows all cells are
     visited. An empty table, or one without queries, gives an empty result; other columns are
     ignored."""
@@ -130,8 +131,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, probe: float = PR
     lengths = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").head(1)
     if not lengths:
         return spark.createDataFrame([], schema)
-    rows = rows.filter(F.size("v") == lengths[0]["n"])
-    total = lengths[0]["count"]
+    rows = rows.filter(F.size("v") == lengths[0]["n"]).groupBy("vec_id").agg(F.min("v").alias("v"), F.max("asks").alias("asks"))
+    rows = store(rows, "ann-rows")
+    total = rows.count()
     share = min(1.0, sample_rows / total)
     sample = _matrix(rows.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) <= share * (1 << 30))
                      .select("v").limit(2 * sample_rows).toPandas()["v"])
@@ -161,7 +163,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, probe: float = PR
             yield pd.DataFrame(out, columns=["query_id", "first", "sub", "seconds", "v"])
 
     n_second = len(books.second)
-    asked = (indexed.filter("asks").dropDuplicates(["vec_id"]).select("vec_id", "v")
+    asked = (indexed.filter("asks").select("vec_id", "v")
              .mapInPandas(send, "query_id long, first int, sub int, seconds binary, v array<double>")
              .withColumn("group", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int")))
     first = F.floor(F.col("cell") / n_second).cast("int")
@@ -173,7 +175,6 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, probe: float = PR
     def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(a) and len(b):
-            b = b.drop_duplicates("vec_id")
             v, ids, second = _matrix(b["v"]), b["vec_id"].to_numpy(), b["second"].to_numpy()
             for at in range(0, len(a), 512):
                 q = a.iloc[at:at + 512]

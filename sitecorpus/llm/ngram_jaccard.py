@@ -183,12 +183,44 @@ def _far_links(postings: DataFrame, sizes: DataFrame, nodes: DataFrame, roots: D
             .applyInPandas(compare, "a long, b long").distinct())
 
 
+def _link_counts(placed: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """(row, links): how many rows each representative's set links with that have another set. Linked sets
+    are of one component, so the sets of a component are compared in blocks, each pair of blocks once, their
+    overlaps summed over the fragments of the order; a pair of blocks gives a number per set, not pairs.
+    ``placed`` has (row, root, copies)."""
+    sets = nodes.select("row", F.col("n_shingles").alias("n"), "grams").join(placed.select("row", "root", "copies"), "row")
+    per = (placed.join(nodes.select("row", F.size("grams").alias("w")), "row").groupBy("root")
+           .agg(F.sum("w").alias("w"), F.count("*").alias("m")).filter("m > 1")
+           .select("root", F.ceil(F.greatest(F.col("w") / F.lit(BLOCK_GRAMS), F.col("m") / F.lit(1024))).cast("int").alias("k")))
+    dealt = store(sets.join(per, "root").withColumn("block", F.pmod(F.xxhash64("row"), F.col("k")).cast("int")), "ngram-members")
+    cols = ["root", "row", "n", "copies", "grams"]
+    left = dealt.select(*cols, F.col("block").alias("i"), F.explode(F.sequence("block", F.col("k") - 1)).alias("j"))
+    right = dealt.select(*cols, F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"))
+    right = right.toDF(*right.columns)  # columns of its own for the cogroup
+
+    def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if a.empty or b.empty:
+            return pd.DataFrame({"row": np.empty(0, np.int64), "links": np.empty(0, np.int64)})
+        o = _overlaps(list(a["grams"]), list(b["grams"]))
+        total = a["n"].to_numpy()[:, None] + b["n"].to_numpy()[None, :] - o
+        linked = (o * den >= total * num) & (a["row"].to_numpy()[:, None] != b["row"].to_numpy()[None, :])
+        rows, links = [a["row"].to_numpy()], [linked.astype(np.int64) @ b["copies"].to_numpy(np.int64)]
+        if a["i"].iat[0] != a["j"].iat[0]:  # else both sides are the same sets
+            rows.append(b["row"].to_numpy())
+            links.append(linked.T.astype(np.int64) @ a["copies"].to_numpy(np.int64))
+        return pd.DataFrame({"row": np.concatenate(rows), "links": np.concatenate(links)})
+
+    found = left.groupBy("root", "i", "j").cogroup(right.groupBy("root", "i", "j")).applyInPandas(compare, "row long, links long")
+    return found.groupBy("row").agg(F.sum("links").alias("links"))
+
+
 def jaccard_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, lower: bool = True,
-                    key: str = "doc_id", text: str = "text") -> DataFrame:
+                    key: str = "doc_id", text: str = "text", count_links: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles (size of its set of ``n``-word shingles;
     a shorter text is one shingle), component_id (smallest doc_id reachable by links), ``kept``
     (true for one row of each component) and ``row_key`` (a hash of key and text, the
-    same for repeated rows only). Two documents link when the Jaccard similarity of their sets is ``threshold`` (two
+    same for repeated rows only); with ``count_links`` also ``n_links``, the number of other rows that the row
+    links with. Two documents link when the Jaccard similarity of their sets is ``threshold`` (two
     decimals) or more.
 
     A text without words (or null) has an empty set, links with nothing and is kept. Rows with a
@@ -197,7 +229,7 @@ def jaccard_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, lower:
     num, den = round(threshold * 100), 100
     sets = _sets(docs, n, num, den, lower, key, text)
     groups = store(sets.filter("set_id is not null").groupBy("set_id").agg(
-        F.min("row").alias("row"), F.min("doc_id").alias("low"),
+        F.min("row").alias("row"), F.min("doc_id").alias("low"), F.count("*").alias("copies"),
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best")), "ngram-groups")
     nodes = store(sets.select("row", "n_shingles", "rare", "grams").join(groups.select("row"), "row", "left_semi"),
                   "ngram-nodes")
@@ -214,9 +246,15 @@ def jaccard_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, lower:
             roots = components(links).withColumnRenamed("node", "row")
     placed = store(groups.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row")), "ngram-placed")
     whole = placed.groupBy("root").agg(F.min("low").alias("component_id"), F.min("best").alias("best"))
-    classes = placed.select("set_id", "root").join(whole, "root").select(
-        "set_id", "component_id", F.col("best.row").alias("best"))
+    links = F.lit(None).cast("long")
+    if count_links:
+        counted = store(_link_counts(placed, nodes, num, den), "ngram-link-counts")
+        placed = placed.join(counted, "row", "left")
+        links = F.col("copies") - 1 + F.coalesce("links", F.lit(0))
+    classes = placed.select("set_id", "root", links.alias("n_links")).join(whole, "root").select(
+        "set_id", "component_id", F.col("best.row").alias("best"), "n_links")
     out = sets.drop("grams").join(classes, "set_id", "left")
-    return out.select("doc_id", "n_shingles",
+    number = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if count_links else []
+    return out.select("doc_id", "n_shingles", *number,
                       F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
                       (F.col("set_id").isNull() | (F.col("best") == F.col("row"))).alias("kept"), "row_key")

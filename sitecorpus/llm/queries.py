@@ -15,8 +15,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @register("op1_ngram_jaccard_join", sql.NGRAM_JACCARD)
 def op1(spark, sf_dir):
     from sitecorpus.llm.ngram_jaccard import jaccard_classes
-    classes = jaccard_classes(_table(spark, sf_dir, "documents"), n=3, threshold=0.9)
-    return classes.select("doc_id", "n_shingles", "component_id")
+    classes = jaccard_classes(_table(spark, sf_dir, "documents"), n=3, threshold=0.9, count_links=True)
+    return classes.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 @register("op5_substring_dedup", sql.SUBSTRING_DEDUP)

@@ -19,8 +19,11 @@ pairs AS (SELECT a.id AS a, b.id AS b FROM e a JOIN e b USING (gram) WHERE a.id
 links AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
 reach(id, r) AS (SELECT id, id FROM heads UNION SELECT reach.id, links.b FROM reach JOIN links ON links.a = reach.r),
 roots AS (SELECT id, min(r) AS root FROM reach GROUP BY id),
-placed AS (SELECT unnest(members) AS doc_id, root FROM heads JOIN roots USING (id))
-SELECT sets.doc_id, sets.n::BIGINT AS n_shingles, coalesce(placed.root, sets.doc_id) AS component_id
+counts AS (SELECT links.a AS id, sum(len(o.members)) AS c FROM links JOIN heads o ON o.id = links.b GROUP BY links.a),
+placed AS (SELECT unnest(members) AS doc_id, root, len(members) - 1 + coalesce(c, 0) AS n_links
+           FROM heads JOIN roots USING (id) LEFT JOIN counts USING (id))
+SELECT sets.doc_id, sets.n::BIGINT AS n_shingles, coalesce(placed.root, sets.doc_id) AS component_id,
+       coalesce(placed.n_links, 0)::BIGINT AS n_links
 FROM sets LEFT JOIN placed USING (doc_id)
 """
 

@@ -167,9 +167,10 @@ def fit_fold(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str
              text: str = "text", max_rows: int = MAX_ROWS) -> Machine:
     """A machine fitted on about ``max_rows`` rows of the training fold. Labels are sampled before
     the texts are read, so the join broadcasts that sample alone. A key with several labels counts
-    as 1 if any is; null keys and labels are left out."""
+    as 1 if any is, one with several texts gives the least of them; null keys and labels are left out."""
     marks = (labels.filter(F.col(key).isNotNull() & F.col(label).isin(0, 1) & ~held_out(key))
              .groupBy(key).agg(F.max(label).cast("int").alias(label)))
     shares = {r[0]: r[1] for r in marks.groupBy(label).count().collect()}
     sample = by_value(marks, label, max_rows // 2, key)
-    return fit(docs.select(key, text).join(F.broadcast(sample), key), shares, key, text, label)
+    rows = docs.select(key, text).join(F.broadcast(sample), key).groupBy(key, label).agg(F.min(text).alias(text))
+    return fit(rows, shares, key, text, label)

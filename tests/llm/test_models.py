@@ -79,6 +79,29 @@ def test_pairs_of_balanced_words_count(spark):
     assert np.mean([got[i] == t for i, _, t in rows if i in got]) > 0.98
 
 
+def test_log_odds_are_the_sum_over_all_pairs():
+    """The machine's closed form against an explicit double loop over the terms of each text."""
+    from sitecorpus.llm.toxicity import Machine, slots
+    rng, texts = np.random.default_rng(6), ["one two three", "two two nine", "", None, "x " * 50 + "y z", "unseen words only"]
+    machine = Machine(np.unique(slots(texts[:5])[0]), 0.25)
+    machine.w, machine.v = rng.normal(size=machine.w.shape), rng.normal(size=machine.v.shape)
+    want = []
+    for text in texts:
+        at = machine.active(*slots([text], machine.place))[0].tolist()
+        z = machine.w[0] + sum(machine.w[i] for i in at)
+        pairs = sum(float(machine.v[i] @ machine.v[j]) for n, i in enumerate(at) for j in at[n + 1:])
+        want.append(1 / (1 + math.exp(-(z + pairs / math.sqrt(max(len(at), 1)) + 0.25))))
+    assert np.allclose(machine.score(texts), want)
+
+
+def test_repeated_keys_give_one_text_to_the_fit(spark):
+    rows = [(i, f"{'bad' if i % 2 else 'good'} text {i}", i % 2) for i in range(200)]
+    one = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    many = one.unionByName(spark.createDataFrame([(7, f"zz later {k}", 1) for k in range(300)], one.schema))
+    a, b = fit_toxic(one, one.drop("text")), fit_toxic(many, one.drop("text"))
+    assert np.allclose(a.w, b.w) and np.allclose(a.v, b.v)
+
+
 def test_toxicity_without_labels(spark, odd):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.predicted for r in score_toxicity(odd, fit_toxic(odd, none)).collect()} == {0}
@@ -97,6 +120,29 @@ def test_language_of_held_out_rows(tables, odd):
     assert identify(odd.limit(0), model).count() == 0
 
 
+def test_paths_equal_plain_viterbi(spark, tables):
+    """The vectorised search against a loop over words and languages, on mixed and odd texts."""
+    from sitecorpus.llm.language_id import SWITCH
+    from sitecorpus.llm.words import LETTERS, Batch
+    model = fit_fold(tables[0])
+    texts = [r.text[:400] for r in tables[0].orderBy("doc_id").limit(12).collect() if r.text]
+    mixed = [" ".join(a.split()[:9] + b.split()[:7] + a.split()[9:14]) for a, b in zip(texts, texts[::-1])]
+    batch = Batch([*texts, *mixed, "", None, "漢字 x", "one"], LETTERS)
+    emitted, label = model.emissions(batch).astype(np.float64), model.paths(batch)
+    for a, b in zip(batch.first, batch.first[1:]):
+        score, steps = [0.0] * len(model.languages), []
+        for t in range(a, b):
+            top = max(range(len(score)), key=lambda k: (score[k], -k))
+            steps.append([k if score[k] >= score[top] - SWITCH else top for k in range(len(score))])
+            score = [max(score[k], score[top] - SWITCH) + float(emitted[t, k]) for k in range(len(score))]
+        if a < b:
+            k, want = max(range(len(score)), key=lambda k: (score[k], -k)), []
+            for step in reversed(steps):
+                want.append(k)
+                k = step[k]
+            assert label[a:b].tolist() == want[::-1]
+
+
 def test_spans_of_mixed_text(spark):
     a, b = "the quick brown fox jumps over the lazy dog and runs away", "der schnelle braune fuchs springt über den faulen hund"
     c = "быстрая лиса прыгает через собаку"
@@ -239,6 +285,20 @@ def test_search_is_exact_if_all_cells_are_visited(spark):
         assert [i for _, i in got[q]] == [i for _, i in want[q]] and np.allclose([s for s, _ in got[q]], [s for s, _ in want[q]])
 
 
+def test_rows_of_one_id_count_as_one(spark):
+    """With the least of their vectors, whether it asks or is found; no id comes twice."""
+    rng = np.random.default_rng(8)
+    rows = [(i % 300, [float(x) for x in rng.normal(size=6)]) for i in range(2400)]
+    least = {}
+    for i, v in rows:
+        least[i] = min(v, least.get(i, v))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = collections.defaultdict(list)
+    for r in nearest(df, F.col("vec_id") % 100 == 0, probe=1.0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert {q: ids for q, ids in got.items()} == {q: [i for _, i in near] for q, near in brute(list(least.items()), 10).items()}
+
+
 def test_search_recall(spark):
     df = spark.read.parquet(f"{SF}/embeddings.parquet")
     rows = [(r.vec_id, r.embedding) for r in df.collect()]

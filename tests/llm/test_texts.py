@@ -107,6 +107,25 @@ def test_ngram_chain_in_long_postings(spark, copies):
     assert got == set(classes(rows, 3, 90))
 
 
+@pytest.mark.parametrize("copies", [5, 50, 400])
+def test_every_link_is_counted(spark, monkeypatch, copies):
+    """Links of groups of near copies, repeated rows and texts without a partner, against all pairs."""
+    from sitecorpus.llm import ngram_jaccard
+    monkeypatch.setattr(ngram_jaccard, "BLOCK_GRAMS", 4000)  # several blocks a component
+    rng = np.random.default_rng(copies)
+    texts = [edited(BASE[:120], rng.choice(120, rng.integers(0, 5), replace=False)) for _ in range(copies)]
+    texts += [texts[0]] * 3 + [texts[0].upper(), None, "", "one two", "one  two", " ".join(words(50, 77))]
+    rows = [(i, t, None) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.n_links for r in jaccard_classes(df, 3, 0.9, count_links=True).collect()}
+    sets = []
+    for t in texts:
+        w = WORD.findall((t or "").lower())
+        sets.append({tuple(w[i:i + 3]) for i in range(len(w) - 2)} or ({tuple(w)} if w else set()))
+    want = {i: sum(1 for j, b in enumerate(sets) if i != j and a and b and 100 * len(a & b) >= 90 * len(a | b)) for i, a in enumerate(sets)}
+    assert got == want and max(want.values()) >= 4
+
+
 def test_overlaps_in_fragments():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 5000, n)) for n in (1, 40, 900, 3000)]
