@@ -20,6 +20,13 @@ def crawl_summary(outcomes: DataFrame, dup_stats: DataFrame | None = None,
         F.count(F.lit(1)).alias("total_urls"),
         F.count(F.when(F.col("ok"), 1)).alias("successful"),
         F.count(F.when(~F.col("ok"), 1)).alias("failed"))
+    return summary_of_counts(base, dup_stats, retained, key)
+
+
+def summary_of_counts(base: DataFrame, dup_stats: DataFrame | None = None, retained: DataFrame | None = None,
+                      key: str = "crawl_id") -> DataFrame:
+    """:func:`crawl_summary` from counts per crawl (``total_urls, successful, failed``), for example those
+    gathered while the outcomes were written (:mod:`sitecorpus.operators.metrics`)."""
     out = base.withColumn("success_rate", F.when(
         F.col("total_urls") > 0, F.col("successful") / F.col("total_urls") * 100.0))
     if dup_stats is not None:

@@ -11,7 +11,8 @@ from sitecorpus.functions.text import sql_slug, sql_strip
 from sitecorpus.functions.urls import url_domain, url_error, url_filename
 from sitecorpus.operators.duplicates import duplicate_titles, latest_pages, route_duplicates, with_title_key
 from sitecorpus.operators.frontmatter import render_pages
-from sitecorpus.operators.reports import crawl_summary, failed_urls, within_budget
+from sitecorpus.operators.metrics import ObservedOutcomes
+from sitecorpus.operators.reports import failed_urls, summary_of_counts, within_budget
 from sitecorpus.operators.responses import format_envelope, parse_envelope, parse_responses, resolve_attempts
 from sitecorpus.operators.upsert import (
     apply_upsert, assign_metadata, existing_documents, failed_imports, import_summary, plan_upsert,
@@ -25,6 +26,7 @@ from sitecorpus.plans.knowledge import (
     _DOCS_SQL, _DOCID, _LISTING_SQL, corpus_files, import_docs, listing_responses, registry_responses,
 )
 from sitecorpus.plans.sizing import materialize
+from sitecorpus.sources.bucketed import by_part_of_the_key, store_bucketed
 from sitecorpus.sources.sitemaps import expand_seeds, parse_sitemaps, slice_frontier
 
 
@@ -50,6 +52,8 @@ def crawl(seeds: DataFrame, sitemaps: DataFrame, attempts: DataFrame, crawl_date
     status, error, body, started_at). A URL without attempts fails with ``no_attempts``, one whose
     body cannot be read with that error. With a budget, URLs whose first attempt started later are
     not processed; ``outcomes`` has the processed ones, so its count is the number processed.
+    Attempts that are stored bucketed by URL (``store_bucketed``) are numbered, settled and joined to their
+    bodies without an exchange; the summary's counts are taken while the pages are written.
     ``exact_envelope`` passes the fields through the text envelope, line by line, as the original
     tool does (a field then keeps its last line only)."""
     frontier = slice_frontier(expand_seeds(seeds, sitemaps), start_index)
@@ -61,7 +65,10 @@ def crawl(seeds: DataFrame, sitemaps: DataFrame, attempts: DataFrame, crawl_date
     joined = urls.join(settled, "url", "left").withColumn("bad", url_error("url"))
     read = parse_responses(joined, include_language).withColumnRenamed("error", "body_error")
     reason = F.coalesce("bad", F.when(F.col("ok").isNull(), F.lit("no_attempts")), "reason", "body_error")
-    pages = materialize(read.withColumn("reason", reason).withColumn("ok", F.col("reason").isNull()).drop("body"), "crawl-pages")
+    settled_pages = read.withColumns({"reason": reason, "crawl_id": F.lit(0).cast("long")}).withColumn("ok", F.col("reason").isNull())
+    counted = ObservedOutcomes(settled_pages.drop("body"), [0])  # the summary's counts fill while the pages are written
+    with by_part_of_the_key(seeds.sparkSession):
+        pages = materialize(counted.rows, "crawl-pages")
     outcomes = pages.select("seed", "url_index", "url", "ok", "reason", "n_attempts")
     fields = pages.filter("ok")
     if exact_envelope:
@@ -79,7 +86,7 @@ def crawl(seeds: DataFrame, sitemaps: DataFrame, attempts: DataFrame, crawl_date
     stats = duplicate_titles(keyed, keep=keep, order="place")
     routed = route_duplicates(keyed, keep=keep, order="place", stats=stats)
     whole = outcomes.withColumn("crawl_id", F.lit(0).cast("long"))
-    summary = crawl_summary(whole, stats.withColumn("crawl_id", F.lit(0).cast("long")))
+    summary = summary_of_counts(counted.counts(), stats.withColumn("crawl_id", F.lit(0).cast("long")))
     return Crawl(frontier, outcomes, routed, stats, summary, failed_urls(whole))
 
 
@@ -125,6 +132,9 @@ _SEEN_SQL = f"""
   QUALIFY row_number() OVER (PARTITION BY p.filename ORDER BY s.file DESC, s.pos DESC) = 1"""
 
 
+BUCKETS = 16  # of the captured attempts of the registered query
+
+
 def page_attempts(pages: DataFrame) -> DataFrame:
     """Fetches of the pages: every third page answers 503 once before it answers."""
     bodies = page_responses(pages)
@@ -143,7 +153,8 @@ def q_crawl_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sitemaps crawled: tracking links answer a cached snapshot and fail."""
     pages = table(spark, sf_dir, "pages")
     files = sitemap_files(pages)
-    job = crawl(files.select(F.col("file").alias("seed")), parse_sitemaps(files), page_attempts(pages), CRAWL_DATE)
+    captured = store_bucketed(page_attempts(pages), "url", BUCKETS, "attempts")
+    job = crawl(files.select(F.col("file").alias("seed")), parse_sitemaps(files), captured, CRAWL_DATE)
     return job.pages.select("filename", "url", "title", "is_duplicate", "folder")
 
 
