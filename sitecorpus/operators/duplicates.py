@@ -7,7 +7,7 @@ big to broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from sitecorpus.functions.text import slug
 
@@ -36,24 +36,25 @@ def with_title_key(df: DataFrame, meta_col: str = "meta", stem_col: str = "stem"
 
 def latest_pages(df: DataFrame, key: str = "filename", order: str = "url_index") -> DataFrame:
     """For each ``key`` keep only the row with the greatest ``order`` (later writes win); of rows tied on
-    both, the one with the least hash of all columns (any one, if they are equal in all). Rows without a
-    key all stay.
+    both, the one with the least hash of all columns (rows equal in every column are one page and all
+    stay). Rows without a key all stay.
 
-    Only the narrow (key, order) pairs are aggregated (partial aggregation before the
-    shuffle); the keys that collide — usually few — are joined back (broadcast by Spark when
-    they are small in bytes, so the wide page rows are then not shuffled). Only tied rows are shuffled whole;
-    without ties Spark finds that side of the join empty and drops the branch.
+    Only narrow rows are aggregated (partial aggregation before the shuffle): (key, order), and for the
+    tied (key, hash). The keys that collide — usually few — are joined back (broadcast by Spark when
+    they are small in bytes, so the wide page rows are then not shuffled).
     """
+    mark = F.xxhash64(*[F.col(c) for c in df.columns if df.schema[c].dataType.typeName() not in ("map", "variant")])
     each = df.groupBy(key, order).agg(F.count(F.lit(1)).alias("_n"))
     top = (each.groupBy(key).agg(F.max(F.struct(F.col(order).alias("_keep"), "_n")).alias("_top"), F.sum("_n").alias("_all"))
            .filter("_all > 1").select(F.col(key).alias("_key"), "_top._keep", "_top._n"))
-    joined = df.join(top, F.col(key) == F.col("_key"), "left")
-    once = joined.filter(F.col("_keep").isNull() | ((F.col(order) == F.col("_keep")) & (F.col("_n") == 1)))
-    tied = df.join(top.filter("_n > 1"), (F.col(key) == F.col("_key")) & (F.col(order) == F.col("_keep")))
-    hashed = [c for c in df.columns if df.schema[c].dataType.typeName() not in ("map", "variant")]
-    least = Window.partitionBy("_key").orderBy(F.xxhash64(*hashed))
-    one = tied.withColumn("_r", F.row_number().over(least)).filter("_r = 1")
-    return once.select(df.columns).union(one.select(df.columns))
+    # without ties Spark finds this join empty and drops the branch
+    ties = top.filter("_n > 1").select(F.col("_key").alias("_tied"), F.col("_keep").alias("_last"))
+    marks = (df.join(ties, (F.col(key) == F.col("_tied")) & (F.col(order) == F.col("_last")))
+             .select("_tied", mark.alias("_mark")).groupBy("_tied").agg(F.min("_mark").alias("_mark")))
+    collisions = top.join(marks, F.col("_key") == F.col("_tied"), "left").select("_key", "_keep", "_mark")
+    joined = df.join(collisions, F.col(key) == F.col("_key"), "left")
+    last = (F.col(order) == F.col("_keep")) & (F.col("_mark").isNull() | (mark == F.col("_mark")))
+    return joined.filter(F.col("_keep").isNull() | last).select(df.columns)
 
 
 def duplicate_titles(df: DataFrame, key: str = "title_key", keep: str = "none",

@@ -132,14 +132,12 @@ def blocks_of(docs: DataFrame) -> tuple[DataFrame, int]:
         dealt, at = rows.withColumn("block", F.lit(0).cast("long")), 1
     else:
         rows = materialize(rows, "search-kinds")
-        sizes = sorted((r[0], r[1]) for r in rows.groupBy("kind").count().collect())  # 2 * MAX_PIVOTS + 1 at most
-        parts, at = [], 0
-        for group, size in sizes:
-            parts.append((group, at, math.ceil(size / BLOCK_DOCS)))
-            at += parts[-1][2]
-        place = docs.sparkSession.createDataFrame(parts, "kind long, at long, parts long")
-        dealt = rows.join(F.broadcast(place), "kind").withColumn(
-            "block", F.col("at") + F.pmod(F.xxhash64("doc_id"), F.col("parts")))
+        # 2 * MAX_PIVOTS + 1 kinds at most, so the window without a partition is over few rows
+        upto = Window.orderBy("kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        place = materialize(rows.groupBy("kind").agg(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS).alias("parts"))
+                            .withColumn("at", F.sum("parts").over(upto) - F.col("parts")), "search-places")
+        at = place.agg(F.sum("parts")).first()[0] or 1
+        dealt = rows.join(place, "kind").withColumn("block", F.col("at") + F.pmod(F.xxhash64("doc_id"), F.col("parts")))
     return materialize(dealt.groupBy("block").applyInPandas(_packed, BLOCK), "search-blocks"), at
 
 
@@ -150,11 +148,12 @@ def _kind(docs: DataFrame, many: int) -> Column:
     other = F.coalesce(F.pmod(heaviest, F.lit(many)), F.lit(many).cast("long")) + many
     if many == 1:
         return other
-    sample = docs.filter("vec IS NOT NULL").orderBy(F.xxhash64("doc_id")).limit(many).select("vec").collect()
+    least = docs.filter("vec IS NOT NULL").orderBy(F.xxhash64("doc_id")).limit(many)
+    sample = least.agg(F.collect_list("vec")).first()[0]  # MAX_PIVOTS vectors at most
     if not sample:
         return other
-    dim = max(len(r[0]) for r in sample)
-    pivots = _unit(pd.Series([r[0] for r in sample], dtype=object), dim)
+    dim = max(map(len, sample))
+    pivots = _unit(pd.Series(sample, dtype=object), dim)
 
     @F.pandas_udf("long")
     def nearest(vec: pd.Series, other: pd.Series) -> pd.Series:

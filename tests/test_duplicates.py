@@ -74,7 +74,7 @@ def test_increment_title_comes_back(spark):
 
 
 def test_ties_on_name_and_position_leave_one_row(spark):
-    rows = [("a", "X", 1), ("a", "Y", 1), ("a", "Z", 0), ("b", "P", 2), ("b", "P", 2), ("b", "P", 2), ("c", "Q", 3), (None, "R", 1), (None, "R", 1)]
+    rows = [("a", "X", 1), ("a", "Y", 1), ("a", "Z", 0), ("b", "P", 2), ("b", "P2", 2), ("b", "P3", 2), ("c", "Q", 3), (None, "R", 1), (None, "R", 1)]
     df = spark.createDataFrame(rows, "filename string, title string, url_index long").withColumn("meta", F.create_map(F.lit("k"), "title"))
     got = [latest_pages(df.repartition(n)).collect() for n in (1, 3, 5)]
     for some in got:
