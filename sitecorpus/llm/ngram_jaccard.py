@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from sitecorpus.llm.components import components
 from sitecorpus.llm.hash_counts import chunked, text_bytes, with_counts
 from sitecorpus.llm.stored import store
-from sitecorpus.llm.words import LOWER, Batch, distinct_per_text, mix, numbered
+from sitecorpus.llm.words import LOWER, Batch, distinct_per_text, give_back, mix, numbered
 
 NEAR = 4              # following sets that a posting pairs with
 SHORT = 64            # sets of a posting whose open pairs are listed, at most
@@ -47,6 +47,8 @@ def _sets(docs: DataFrame, n: int, num: int, den: int, lower: bool, key: str, te
         batch = Batch(part["text"], LOWER if lower else None)
         h, _, owner = batch.windows(n, short=True)
         h, owner = distinct_per_text(h, owner)
+        del batch
+        give_back()
         return (h, owner), h
 
     def receive(part, state, distinct, repeated, totals):
@@ -69,6 +71,7 @@ def _sets(docs: DataFrame, n: int, num: int, den: int, lower: bool, key: str, te
                 grams = own[np.lexsort((own, t))].view(np.int64)
                 rare = int(shared[i] - need[i] + 1)
             out.append((int(part["chunk"].iat[0]) << 32 | i, doc, tk, int(size_of[i]), set_id, rare, grams))
+        give_back()
         return pd.DataFrame(out, columns=["row", "doc_id", "row_key", "n_shingles", "set_id", "rare", "grams"]
                             ).astype({"rare": "Int32"})
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from sitecorpus.llm.words import in_parts, mix, numbered
+from sitecorpus.llm.words import give_back, in_parts, mix, numbered
 
 MARK = "▁"          # stands for a space
 SHARPNESS = 1.0
@@ -426,8 +426,11 @@ def encode(docs: DataFrame, path: str, k: int = SAMPLES, sharpness: float = SHAR
                     part = batch.slice(at, n)
                     found = engine.texts(part.column(0).to_numpy(), part.column(1).to_pylist())
                     yield pa.RecordBatch.from_arrays([*part.columns[2:], _arrow(found)], names=schema.names)
+                    del found, part
+                    give_back()
         finally:
             engine.lattices.clear()  # a worker holds no lattices for the tasks after
+            give_back()
 
     return rows.mapInArrow(sample, schema)
 

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sitecorpus.llm.folds import by_value, held_out
-from sitecorpus.llm.words import ALNUM, Batch, distinct_per_text, in_parts
+from sitecorpus.llm.words import ALNUM, Batch, distinct_per_text, give_back, in_parts
 
 BITS, HEAD, FACTORS = 18, 4, 6
 MAX_ROWS = 8_000    # labelled rows the model is fitted on, about
@@ -146,7 +146,9 @@ def scorer(spark: SparkSession, machine: Machine):
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.value.score(texts))
+        found = pd.Series(model.value.score(texts))
+        give_back()
+        return found
 
     return score
 

@@ -22,6 +22,17 @@ LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in LOWER)
 ALNUM = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in LOWER)
 
 
+def give_back() -> None:
+    """Return freed memory to the system, so that a worker waits for its next task with little."""
+    import ctypes
+
+    import pyarrow
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective scrambling of unsigned 64-bit integers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
