@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sitecorpus.llm.components import components
+from sitecorpus.llm.components import components, extended
 from sitecorpus.llm.hash_counts import chunked, text_bytes, with_counts
 from sitecorpus.llm.stored import store
 from sitecorpus.llm.words import LOWER, Batch, distinct_per_text, give_back, mix, numbered
@@ -114,8 +114,12 @@ def _open_pairs(postings: DataFrame, sizes: DataFrame, roots: DataFrame, num: in
 
 
 def _links(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs over the threshold: overlaps per fragment, summed."""
-    cut = nodes.select(F.col("row").alias("node"), F.col("n_shingles").alias("n"), F.posexplode(F.transform(
+    """The pairs over the threshold: overlaps per fragment, summed. Only sets of some pair are cut and dealt."""
+    pairs = store(pairs, "ngram-pairs")
+    if not pairs.head(1):
+        return pairs
+    some = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+    cut = nodes.join(some, "row", "left_semi").select(F.col("row").alias("node"), F.col("n_shingles").alias("n"), F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(N_FRAGMENTS - 1)),
         lambda f: F.filter("grams", lambda g: _fragment(g) == f))).alias("fragment", "part"))
     one = cut.select(F.col("node").alias("a"), F.col("n").alias("na"), "fragment", F.col("part").alias("pa"))
@@ -245,8 +249,7 @@ def jaccard_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, lower:
                  lambda: _far_links(postings, sizes, nodes, roots, num, den)):
         more = store(rest(), "ngram-more")
         if more.head(1):
-            links = links.unionByName(more)
-            roots = components(links).withColumnRenamed("node", "row")
+            roots = extended(roots.withColumnRenamed("row", "node"), more).withColumnRenamed("node", "row")
     placed = store(groups.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row")), "ngram-placed")
     whole = placed.groupBy("root").agg(F.min("low").alias("component_id"), F.min("best").alias("best"))
     links = F.lit(None).cast("long")
