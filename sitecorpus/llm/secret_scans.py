@@ -55,6 +55,14 @@ def _matches(text: Column, rule: Rule) -> Column:
     return F.when(text.rlike(rule.hint or rule.pattern), lengths)
 
 
+def _hinted(text: Column, rules: tuple[Rule, ...]) -> Column:
+    """Whether a text can hold a secret at all."""
+    hits = F.lit(False)
+    for r in rules:
+        hits |= text.rlike(r.hint or r.pattern)
+    return hits
+
+
 def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(blob, kind, version, start, end) of every secret in (blob, text, todo); each text is read under the
     rules that its ``todo`` names (``kind:version``) and no others.
@@ -105,9 +113,12 @@ def unseen_pairs(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] =
 def update(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES, key: str = "doc_id",
            text: str = "text") -> Ledger:
     """The ledger after scanning the (blob, rule version) pairs of ``versions`` that it lacks. A blob is read
-    from one row that has it (the smallest key), whatever the number of copies."""
+    from one row that has it (the smallest key), whatever the number of copies. With nothing scanned yet, texts
+    that no rule's hint is found in are told apart where they lie and are not sent to the join."""
     pairs = store(unseen_pairs(versions, ledger, rules, key, text), "blob-todo")
     texts = versions.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    if ledger.scanned is None:
+        texts = texts.filter(_hinted(F.col("text"), rules))
     one = (texts.join(pairs.hint("shuffle_hash"), texts["key"].eqNullSafe(pairs["key"]))
            .filter(F.col("blob") == F.sha2("text", 256)).select("blob", "text", "todo"))
     found = store(scan(one, rules).distinct(), "findings")  # repeated rows give a blob more than once
@@ -137,11 +148,20 @@ def find_secrets(versions: DataFrame, ledger: Ledger | None = None, rules: tuple
 
     A null text is an empty blob. Repeated rows and null keys stay; an empty table gives an empty
     result; other columns are ignored. A text's findings are held in one row."""
+    first = ledger is None or ledger.scanned is None
     ledger = update(versions, ledger or Ledger(), rules, key, text)
     # written, so that the copies of one blob can be split over tasks in the join
     found = store(by_blob(ledger, rules), "blob-spans")
-    out = versions.select(F.col(key), *(keep or []), address(versions, text).alias("blob")).join(found, "blob", "left")
     none = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>")
+
+    def addressed(rows):
+        return rows.select(F.col(key), *(keep or []), address(rows, text).alias("blob"))
+    if first:  # all findings are of the rules at hand: only texts with a hint are joined to them
+        hint = _hinted(F.coalesce(F.col(text), F.lit("")), rules)
+        out = addressed(versions.filter(hint)).join(found, "blob", "left").unionByName(
+            addressed(versions.filter(~hint)).withColumn("spans", none))
+    else:
+        out = addressed(versions).join(found, "blob", "left")
     return out.select(key, *(keep or []), "blob", F.coalesce("spans", none).alias("spans")), ledger
 
 
