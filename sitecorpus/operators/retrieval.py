@@ -32,6 +32,9 @@ TIE_DIGITS = 12
 MARGIN = 1e-9         # by which a bound may be too low for rounding
 BLOCK_DOCS = 4096     # documents of a block, about
 BLOCK_QUERIES = 4096  # queries that meet a block in one task, about
+MOST_VECTORS = 32768  # documents of a block, or queries that meet one, in a search by vectors alone
+FEW_BLOCKS = 8        # blocks of such a search, at least, before they hold more than BLOCK_DOCS
+SCORES = 1 << 20      # scores that are held at once
 BLOCK_HEADS = 64      # heads that meet queries in one task, about (a head has up to some 50,000 terms)
 MAX_PIVOTS = 1024     # pivot vectors, collected to the driver
 STRIP = 256
@@ -54,15 +57,18 @@ def keyword_index(docs: DataFrame, doc_id: str = "doc_id", doc_text: str = "text
     """Term index of the corpus: ``tf (term, doc_id, tf)`` written once to the shared folder
     (tokenizing happens once), plus ``idf (term, idf)`` with ``idf = ln(1 + N / df)`` and
     ``norms (doc_id, dn)`` with ``dn = sqrt(sum((tf * idf)^2))`` derived from it. A term has one
-    row per document, so even a stop word is a small share of the joined rows."""
-    tf = (term_rows(docs, doc_id, "doc_id", doc_text)
-          .groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf")))
-    tf = materialize(tf, "term-counts")
-    n_docs = docs.count()
-    idf = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
-        "term", F.log(1.0 + F.lit(float(n_docs)) / F.col("df")).alias("idf"))
-    w = F.col("tf") * F.col("idf")
-    norms = tf.join(idf, "term").groupBy("doc_id").agg(F.sqrt(F.sum(w * w)).alias("dn"))
+    row per document, so even a stop word is a small share of the joined rows. The texts are dealt by
+    ``doc_id``, not their terms one by one, so counting and adding up find a document's terms together."""
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).alias("text")).repartition("doc_id")
+    tf = term_rows(texts, "doc_id", "doc_id", "text").groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    tf = materialize(tf.select("term", "doc_id", "tf"), "term-counts")
+    n_docs = float(docs.count())
+    df = materialize(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "term-documents")
+    idf = df.select("term", F.log(1.0 + F.lit(n_docs) / F.col("df")).alias("idf"))
+    # most terms of a large corpus are in one document: their idf is known and they take no part in the join
+    common = df.filter("df > 1").select("term", F.log(1.0 + F.lit(n_docs) / F.col("df")).alias("idf"))
+    w = F.col("tf") * F.coalesce("idf", F.log(1.0 + F.lit(n_docs) / F.lit(1)))
+    norms = tf.join(common, "term", "left").groupBy("doc_id").agg(F.sqrt(F.sum(w * w)).alias("dn"))
     return tf, idf, norms
 
 
@@ -83,9 +89,12 @@ def _keyword_sides(queries: DataFrame, docs: DataFrame, index) -> tuple[DataFram
         "query_id", "term", "idf", (F.col("n") * F.col("idf")).alias("w")), "query-terms")
     length = asked.groupBy("query_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("qn"))
     q = _weighted_terms(asked.join(length, "query_id").withColumn("w", F.col("w") / F.col("qn")), "query_id")
-    held = (tf.join(asked.select("term", "idf").distinct(), "term").join(norms, "doc_id")
-            .select("doc_id", "term", (F.col("tf") * F.col("idf") / F.col("dn")).alias("w")))
-    return q, _weighted_terms(held, "doc_id")
+    held = tf.join(asked.select("term", "idf").distinct(), "term").select(
+        "doc_id", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    # a document's terms are one row before they meet its norm
+    d = _weighted_terms(held, "doc_id").join(norms, "doc_id").select("doc_id", F.transform(
+        "terms", lambda e: F.struct(e["t"].alias("t"), (e["w"] / F.col("dn")).alias("w"))).alias("terms"))
+    return q, d
 
 
 def _unit(vectors: pd.Series, width: int) -> np.ndarray:
@@ -121,20 +130,27 @@ def _packed(key: tuple, d: pd.DataFrame) -> pd.DataFrame:
         "weight": weight.tobytes(), "centre": centre.tobytes(), "radius": radius, "greatest": weight[first].tobytes()}])
 
 
-def blocks_of(docs: DataFrame) -> tuple[DataFrame, int]:
+def vector_block(n: int) -> int:
+    """Rows of a block in a search by vectors alone, out of ``n``: such a block is small, and each doubling
+    halves the copies of the other side that are dealt to blocks."""
+    return min(MOST_VECTORS, max(BLOCK_DOCS, math.ceil(n / FEW_BLOCKS)))
+
+
+def blocks_of(docs: DataFrame, vectors_only: bool = False) -> tuple[DataFrame, int]:
     """The corpus as blocks (written), and how many numbers they have. ``docs`` are (doc_id, vec,
     terms), either side may be null. Like documents share a block; a group too large for one is
     dealt to several by a hash of the id."""
     n = docs.count()
-    many = min(MAX_PIVOTS, max(1, math.ceil(n / BLOCK_DOCS)))
+    size = vector_block(n) if vectors_only else BLOCK_DOCS
+    many = min(MAX_PIVOTS, max(1, math.ceil(n / size)))
     rows = docs.select("doc_id", "vec", F.col("terms.t").alias("t"), F.col("terms.w").alias("w"), _kind(docs, many).alias("kind"))
     if many == 1:  # all fit into one block
         dealt, at = rows.withColumn("block", F.lit(0).cast("long")), 1
     else:
-        rows = materialize(rows, "search-kinds")
+        # a kind is cheaper to find twice than a document to write again
         # 2 * MAX_PIVOTS + 1 kinds at most, so the window without a partition is over few rows
         upto = Window.orderBy("kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        place = materialize(rows.groupBy("kind").agg(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS).alias("parts"))
+        place = materialize(rows.groupBy("kind").agg(F.ceil(F.count(F.lit(1)) / size).alias("parts"))
                             .withColumn("at", F.sum("parts").over(upto) - F.col("parts")), "search-places")
         at = place.agg(F.sum("parts")).first()[0] or 1
         dealt = rows.join(place, "kind").withColumn("block", F.col("at") + F.pmod(F.xxhash64("doc_id"), F.col("parts")))
@@ -227,8 +243,9 @@ def _scorer(weight: float, k: int | None, threshold: float | None, only_matches:
             docs = np.frombuffer(block["vectors"]).reshape(n, dim)
             term, first = np.frombuffer(block["term"], np.int64), np.frombuffer(block["first"], np.int64)
             row, w = np.frombuffer(block["row"], np.int32), np.frombuffer(block["weight"])
-            for at in range(0, len(q), STRIP):
-                part = q.iloc[at:at + STRIP]
+            strip = max(1, min(STRIP, SCORES // max(n, 1)))
+            for at in range(0, len(q), strip):
+                part = q.iloc[at:at + strip]
                 vector = _unit(part["vec"], dim) @ docs.T
                 keyword = np.zeros(vector.shape)
                 owner, asked, x = _query_terms(part)
@@ -262,10 +279,11 @@ class Search:
     ``rest`` are the (query, block) pairs that are scored; every other pair is skipped."""
 
     def __init__(self, queries: DataFrame, blocks: tuple[DataFrame, int], weight: float, k: int | None,
-                 threshold: float | None = None, only_matches: bool = False):
+                 threshold: float | None = None, only_matches: bool = False, vectors_only: bool = False):
         self.args = weight, k, threshold, only_matches
         self.blocks, self.n_blocks = blocks
-        self.groups = max(1, math.ceil(queries.count() / BLOCK_QUERIES))
+        n = queries.count()
+        self.groups = max(1, math.ceil(n / (vector_block(n) if vectors_only else BLOCK_QUERIES)))
         self.queries = queries.select("query_id", "vec", F.col("terms.t").alias("t"), F.col("terms.w").alias("w"),
                                       F.pmod(F.xxhash64("query_id"), F.lit(self.groups)).alias("qb"))
         self.seeds = self._meet(self.queries, True)
@@ -301,12 +319,12 @@ class Search:
 
 
 def score_blocks(queries: DataFrame, docs: DataFrame, weight: float, k: int | None,
-                 threshold: float | None = None, only_matches: bool = False) -> DataFrame:
+                 threshold: float | None = None, only_matches: bool = False, vectors_only: bool = False) -> DataFrame:
     """Best ``k`` documents (all, with None) of each query and every block that can hold one of its best:
     ``query_id, doc_id, vector_score, keyword_score, score``. ``queries`` are (query_id, vec,
     terms), ``docs`` (doc_id, vec, terms); a missing side of either counts 0."""
-    return Search(materialize(queries, "search-queries"), blocks_of(materialize(docs, "search-docs")),
-                  weight, k, threshold, only_matches).found
+    return Search(materialize(queries, "search-queries"), blocks_of(materialize(docs, "search-docs"), vectors_only),
+                  weight, k, threshold, only_matches, vectors_only).found
 
 
 def _none(kind: str) -> Column:
@@ -320,7 +338,7 @@ def vector_top_k(queries: DataFrame, corpus: DataFrame, k: int = 2, query_id: st
     def side(df, key, name):
         return df.filter(F.col(vec).isNotNull()).select(
             F.col(key).alias(name), F.col(vec).cast("array<double>").alias("vec"), _none(TERMS).alias("terms"))
-    found = score_blocks(side(queries, query_id, "query_id"), side(corpus, doc_id, "doc_id"), 1.0, k)
+    found = score_blocks(side(queries, query_id, "query_id"), side(corpus, doc_id, "doc_id"), 1.0, k, vectors_only=True)
     return top_k(found, k).select("query_id", "doc_id", "vector_score", "rank")
 
 
