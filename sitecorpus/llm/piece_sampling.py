@@ -15,14 +15,14 @@ the queue is the threshold t that gives each member its inclusion score 1 - exp(
 
 All randomness is a hash of the seed, the row's key and the place, so it does not depend on
 partitions or batches. Pieces never cross the start of a word (they hold the word mark only at their
-start), so lattices are built once per word and a worker keeps a bounded number of them. The texts
-of a batch are searched in step, so that the paths of all are drawn together.
+start) nor two characters that follow each other in no piece. So a word falls into segments, whose
+lattices are built once, and a worker keeps a bounded number of them. The texts of a batch are
+searched in step, so that the paths of all are drawn together.
 """
 
 from __future__ import annotations
 
 import functools
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +36,11 @@ SHARPNESS = 1.0
 SAMPLES = 2
 SEED = 9
 KEEP_EDGES = 1_000_000   # of the lattices that a worker keeps, while it works on a partition
-KEEP_LENGTH = 64         # characters of a word it keeps
+WINDOW = 256             # places of a path where it is left that are looked at first
+KEEP_LENGTH = 64         # characters of a segment it keeps
 BATCH_CHARS = 400_000  # text that is sampled at once, about
 DECODE_ROWS = 64       # rows that are decoded at once
-_WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+NEAR_BITS = 1 << 24    # of the table of characters that follow each other in a piece, at most
 SAMPLE = "struct<ids:array<int>,log_p:double,perturbed:double,inclusion:double>"
 
 
@@ -74,7 +75,8 @@ class Spelling:
 
 
 class Vocabulary:
-    """Pieces as a trie in sorted arrays."""
+    """Pieces as a trie: the child of ``state`` by a letter is at ``base[state] + letter`` if ``owner`` there is the
+    state. ``near`` has a bit for letters that follow each other in a piece (perhaps for some others too)."""
 
     def __init__(self, path: str, sharpness: float):
         spelling = Spelling(path)
@@ -87,49 +89,86 @@ class Vocabulary:
         self.width = len(letters) + 1
         self.letter = np.zeros(0x110000, np.int32)
         self.letter[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
-        step, final, weight = {}, [-1], [0.0]
+        number = {c: i for i, c in enumerate(letters, 1)}
+        children, final, weight, near = [{}], [-1], [0.0], set()
         for i in own:
-            state = 0
+            state, before = 0, 0
             for c in self.pieces[i]:
-                key = state * self.width + int(self.letter[ord(c)])
-                state = step.setdefault(key, len(final))
+                now = number[c]
+                near.add(before * self.width + now)
+                before, state = now, children[state].setdefault(now, len(final))
                 if state == len(final):
+                    children.append({})
                     final.append(-1)
                     weight.append(0.0)
             final[state], weight[state] = i, -sharpness * np.log(2 + rank[i])
-        self.keys = np.array(sorted(step), np.int64)
-        self.next = np.array([step[k] for k in self.keys.tolist()], np.int64)
-        self.final, self.weight = np.array(final), np.array(weight)
+        self.final, self.weight = np.array(final, np.int32), np.array(weight)
+        self.near = np.zeros(min(self.width * self.width, NEAR_BITS), bool)
+        self.near[np.array(sorted(near), np.int64) % len(self.near)] = True
+        self.bits, self.near = len(self.near), np.packbits(self.near)
+        self._place(children)
+
+    def _place(self, children: list[dict[int, int]]) -> None:
+        """Lay the children of all states into one array, those of many children first."""
+        room = 8 * len(children)
+        self.base = np.zeros(len(children), np.int32)
+        self.owner = np.full(room + self.width, -1, np.int32)
+        self.next = np.zeros(room + self.width, np.int32)
+        taken = set()
+        for state in sorted(range(len(children)), key=lambda i: -len(children[i])):
+            if not (own := children[state]):
+                break
+            base = state * 0x9E3779B1 % room
+            while any(base + letter in taken for letter in own):
+                base = (base + 1) % room
+            slots = [base + letter for letter in own]
+            taken.update(slots)
+            self.base[state], self.owner[slots], self.next[slots] = base, state, list(own.values())
+
+    def joined(self, letter: np.ndarray) -> np.ndarray:
+        """Whether each letter but the first can stand behind the one before it in a piece."""
+        key = (letter[:-1].astype(np.int64) * self.width + letter[1:]) % self.bits
+        return (self.near[key >> 3] >> (7 - (key & 7)).astype(np.uint8) & 1).astype(bool) & (letter[:-1] > 0) & (letter[1:] > 0)
 
     def edges(self, code: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Start, end, piece (-1: bytes of one character) and weight of all edges over concatenated
-        words; ``end`` is where each character's word ends. By start, long ones first."""
-        letter = self.letter[code].astype(np.int64)
-        at, state, found, length = np.arange(len(code)), np.zeros(len(code), np.int64), [], 0
+        """All edges over concatenated segments; ``end`` is where each character's segment ends. Number of edges and first
+        edge of each character, the characters by falling place of their segment's rest (``order``), and length, piece
+        (-1: bytes of one character) and weight of each edge. Edges lie in that order, long ones first."""
+        letter = self.letter[code]
+        at, state, found = np.arange(len(code), dtype=np.int32), np.zeros(len(code), np.int32), []
+        fan = np.zeros(len(code), np.int32)
         while len(at):
-            key = state * self.width + letter[at + length]
-            j = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            hit = (self.keys[j] == key) & (letter[at + length] > 0)
-            at, state = at[hit], self.next[j[hit]]
-            length += 1
-            done = self.final[state] >= 0
-            found.append((at[done], at[done] + length, self.final[state[done]], self.weight[state[done]]))
-            if length == 1:
-                lone = np.ones(len(code), bool)
-                lone[at[done]] = False
-                lone = np.flatnonzero(lone)
-                size = 1 + (code[lone] > 0x7F) + (code[lone] > 0x7FF) + (code[lone] > 0xFFFF)
-                found.append((lone, lone + 1, np.full(len(lone), -1), self.byte_weight * size))
-            more = at + length < end[at]
+            slot = self.base[state] + letter[at + len(found)]
+            hit = np.flatnonzero(self.owner[slot] == state)
+            at, state = at[hit], self.next[slot[hit]]
+            done = np.flatnonzero(self.final[state] >= 0)
+            found.append((at[done], state[done]))
+            fan[at[done]] += 1
+            if len(found) == 1:
+                lone = np.flatnonzero(fan == 0)
+                fan[lone] = 1
+            more = np.flatnonzero(at + len(found) < end[at])
             at, state = at[more], state[more]
-        start, to, piece, weight = (np.concatenate(x) for x in zip(*found[::-1], strict=True))
-        order = np.argsort(start, kind="stable")
-        return start[order], to[order], piece[order].astype(np.int32), weight[order]
+        left = end - np.arange(len(code))
+        order = np.argsort(left.astype(np.uint16) if left.max() < 1 << 16 else left, kind="stable")
+        stop = np.cumsum(fan[order])
+        first = np.empty(len(code), np.int64)
+        first[order] = stop - fan[order]
+        total, free = int(stop[-1]), first.copy()
+        length, piece, weight = np.ones(total, np.int32), np.full(total, -1, np.int32), np.empty(total)
+        for k in range(len(found), 0, -1):
+            start, state = found[k - 1]
+            e = free[start]
+            free[start] += 1
+            length[e], piece[e], weight[e] = k, self.final[state], self.weight[state]
+        c = code[lone]
+        weight[free[lone]] = self.byte_weight * (1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF))
+        return fan, first, order, length, piece, weight
 
 
 class Lattices:
-    """Lattices of words in flat arrays. Node i of a word is before its i-th character; each node's
-    edges are consecutive, long ones first (a draw then looks at few), with their log-probability given the node and the
+    """Lattices of segments in flat arrays. Node i of a segment is before its i-th character (``code``; -1 at its end); each
+    node's edges are consecutive, long ones first (a draw then looks at few), with their log-probability given the node and the
     running sum of the probabilities."""
 
     def __init__(self, vocabulary: Vocabulary):
@@ -137,18 +176,17 @@ class Lattices:
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.again: set[str] = set()  # words that were asked for after they were added
+        self.known = np.empty(0, np.uint64)  # hashes of the segments kept, ascending
+        self.at, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.again = np.empty(0, bool)       # whether it was asked for after it was added
         self.nodes = self.n_edges = 0
         self.held: dict[str, np.ndarray] = {}
 
     def _forget(self) -> None:
-        """Keep the words that came again, unless they fill half of the store; drop the rest."""
-        words = [w for w in self.number if w in self.again]
-        node = np.array([self.number[w] for w in words], np.int64)
-        size = np.array([len(w) + 1 for w in words], np.int64)
+        """Keep the segments that came again, unless they fill half of the store; drop the rest."""
+        known, node, size = self.known[self.again], self.at[self.again], self.size[self.again] + 1
         old = np.repeat(node - np.cumsum(size) + size, size) + np.arange(int(size.sum()))  # kept nodes, in order
-        fan, last, first = self.fan[old].copy(), self.last[old].copy(), self.edge_of[old]
+        fan, code, first = self.fan[old].copy(), self.code[old], self.edge_of[old]
         if 2 * int(fan.sum()) > KEEP_EDGES:
             self.clear()
             return
@@ -159,8 +197,8 @@ class Lattices:
         kept = dict(run=self.run[edge], start=moved[self.start[edge]], to=moved[self.to[edge]], piece=self.piece[edge], log_p=self.log_p[edge])
         self.clear()
         self._append(0, **kept)
-        self._append(0, last=last, edge_of=edges.astype(np.int32), fan=fan)
-        self.number = dict(zip(words, (np.cumsum(size) - size).tolist()))
+        self._append(0, code=code, edge_of=edges.astype(np.int32), fan=fan)
+        self.known, self.at, self.size, self.again = known, np.cumsum(size) - size, size - 1, np.zeros(len(known), bool)
         self.nodes, self.n_edges = len(old), len(edge)
 
     def _append(self, size: int, **new: np.ndarray) -> None:
@@ -168,74 +206,103 @@ class Lattices:
         for name, values in new.items():
             held, total = self.held.get(name), size + len(values)
             if held is None or len(held) < total:
-                more = np.empty(max(total, 1 << 16, size + size // 4), values.dtype)
+                more = np.empty(max(total, KEEP_EDGES, size + size // 4), values.dtype)
                 if size:
                     more[:size] = held[:size]
                 self.held[name] = held = more
             held[size:total] = values
             setattr(self, name, held[:total])
 
-    def of(self, words: list[str]) -> np.ndarray:
-        """The first node of each word's lattice, which it adds if it is new."""
-        asked = dict.fromkeys(words)
+    def of(self, code: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """The first node of the lattice of each segment of ``code`` (they begin at ``start``, the first at 0), which
+        it adds if it is new."""
         if self.n_edges > KEEP_EDGES:
             self._forget()
-        new = [w for w in asked if w not in self.number]
-        self.again.update(asked.keys() & self.number.keys())
-        long = [w for w in new if len(w) > KEEP_LENGTH]
-        if new:
-            self._add(new)
-        at = np.array(list(map(self.number.__getitem__, words)), np.int64)
-        for w in long:
-            del self.number[w]
-        return at
-
-    def _add(self, words: list[str]) -> None:
-        v = self.vocabulary
-        size = np.array([len(w) for w in words])
-        code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        first = np.concatenate(([0], np.cumsum(size)))
-        end = np.repeat(first[1:], size)
-        start, to, piece, weight = v.edges(code, end)
-        # One more node per word for its end: node numbers are places plus the word's number.
-        word = np.repeat(np.arange(len(words)), size)[start]
-        rest = np.zeros(len(code) + len(words))
-        left = end[start] - start
-        order = np.argsort(left, kind="stable")
-        cut = np.flatnonzero(np.diff(left[order], prepend=0))
-        for a, b in zip(cut, [*cut[1:], len(order)]):
-            e = order[a:b]
-            x = weight[e] + rest[to[e] + word[e]]
-            head = np.flatnonzero(np.diff(start[e], prepend=-1))
-            top = np.maximum.reduceat(x, head)
-            reps = np.diff(np.concatenate((head, [len(e)])))
-            rest[start[e][head] + word[e][head]] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, reps)), head))
-        log_p = weight + rest[to + word] - rest[start + word]
-        p = np.exp(log_p)
-        head = np.flatnonzero(np.diff(start, prepend=-1))
-        reps = np.diff(np.concatenate((head, [len(start)])))
-        total = np.cumsum(p)
-        run = total - np.repeat(total[head] - p[head], reps)
-        run[head + reps - 1] = 1.0
-        last = np.zeros(len(rest), bool)
-        last[first[1:] + np.arange(len(words))] = True
-        edge_of, fan = np.zeros(len(rest), np.int64), np.zeros(len(rest), np.int32)
-        edge_of[start[head] + word[head]] = head + self.n_edges
-        fan[start[head] + word[head]] = reps
-        spelled = np.where(piece < 0, -1 - code[start], piece).astype(np.int32)
-        self._append(self.n_edges, run=run, start=(start + word + self.nodes).astype(np.int32),
-                     to=(to + word + self.nodes).astype(np.int32), piece=spelled, log_p=log_p)
-        self._append(self.nodes, last=last, edge_of=edge_of.astype(np.int32), fan=fan)
-        self.number.update(zip(words, (first[:-1] + np.arange(len(words)) + self.nodes).tolist()))
-        self.nodes += len(last)
-        self.n_edges += len(start)
-
-    def draw(self, node: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Edges of a path from each node to the end of its word, and how many; ``seed`` gives the
-        randomness of each."""
-        active = np.flatnonzero(~self.last[node])
-        steps, at, seed = [], node[active], seed[active]
-        while len(active):
+        size = np.diff(start, append=len(code))
+        place = np.arange(len(code)) - np.repeat(start, size)
+        distinct, where, which = np.unique(_hashes(code, place, start), return_index=True, return_inverse=True)
+        j = np.searchsorted(self.known, distinct)
+        old = np.zeros(len(distinct), bool)
+        inside = np.flatnonzero(j < len(self.known))
+        old[inside] = self.known[j[inside]] == distinct[inside]
+        self.again[j[old]] = True
+        node = np.empty(len(distinct), np.int64)
+        node[old] = self.at[j[old]]
+        new = np.flatnonzero(~old)
+        if len(new):
+            node[new] = self._add(code, start[where[new]], size[where[new]])
+            kept = new[size[where[new]] <= KEEP_LENGTH]
+            for name, values in (("again", np.zeros(len(kept), bool)), ("at", node[kept]), ("size", size[where[kept]]), ("known", distinct[kept])):
+                setattr(self, name, np.insert(getattr(self, name), j[kept], values))
+        node = node[which]
+        most = self.nodes - 1
+        same = np.logical_and.reduceat(self.code[np.minimum(np.repeat(node, size) + place, most)] == code, start)
+        other = np.flatnonzero(~same | (self.code[np.minimum(node + size, most)] != -1))
+        if len(other):  # another segment has the same hash
+            node[other] = self._add(code, start[other], size[other])
+        return node
+
+    def _add(self, code: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The first nodes of new lattices of some segments of ``code``."""
+        first = np.cumsum(size) - size
+        code = code[np.repeat(start - first, size) + np.arange(int(size.sum()))]
+        end = np.repeat(first + size, size)
+        fan, head, order, length, piece, weight = self.vocabulary.edges(code, end)
+        # One more node per segment for its end: node numbers are places plus the segment's number.
+        segment = np.repeat(np.arange(len(size)), size)
+        node = order + segment[order]  # by the length of what is left of the segment, as their edges are
+        reps = fan[order]
+        begin = np.repeat(node, reps)
+        to = begin + length
+        rest, run, log_p = np.zeros(len(code) + len(size)), np.empty(len(begin)), np.empty(len(begin))
+        heads = head[order]
+        left = (end - np.arange(len(code)))[order]
+        cut = np.flatnonzero(np.diff(left, prepend=0))
+        bounds = np.concatenate((heads, [len(begin)]))
+        for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(order)]):
+            e, n = slice(bounds[a], bounds[b]), reps[a:b]
+            at = heads[a:b] - bounds[a]
+            x = weight[e] + rest[to[e]]
+            top = np.maximum.reduceat(x, at)
+            p = np.exp(x - np.repeat(top, n))
+            total = np.add.reduceat(p, at)
+            whole = top + np.log(total)
+            rest[node[a:b]] = whole
+            log_p[e] = x - np.repeat(whole, n)
+            p /= np.repeat(total, n)
+            sums = np.cumsum(p)
+            run[e] = sums - np.repeat(sums[at] - p[at], n)
+        run[bounds[1:] - 1] = 1.0
+        edge_of, fans = np.zeros(len(rest), np.int32), np.zeros(len(rest), np.int32)
+        edge_of[node], fans[node] = heads + self.n_edges, reps
+        letters = np.full(len(rest), -1, np.int32)
+        letters[node] = code[order]
+        lone = np.flatnonzero(piece < 0)
+        piece[lone] = -1 - letters[begin[lone]]
+        self._append(self.n_edges, run=run, start=(begin + self.nodes).astype(np.int32), to=(to + self.nodes).astype(np.int32),
+                     piece=piece, log_p=log_p)
+        self._append(self.nodes, code=letters, edge_of=edge_of, fan=fans)
+        out = first + np.arange(len(size)) + self.nodes
+        self.nodes += len(rest)
+        self.n_edges += len(begin)
+        return out
+
+    def draw(self, node: np.ndarray, seed: np.ndarray, segment: np.ndarray, firsts: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Edges of a path from each node, which is in ``segment``, to the end of its word, and how many; ``seed`` gives the
+        randomness of each. ``firsts`` has the first node of all segments, ``opens`` whether they begin a word; both
+        have one entry more, for the end."""
+        active, at, seed, segment, steps = np.arange(len(node)), node.copy(), seed, segment.copy(), []
+        while True:
+            over = np.flatnonzero(self.code[at] < 0)
+            segment[over] += 1
+            at[over] = firsts[segment[over]]
+            ended = over[opens[segment[over]]]
+            if len(ended):
+                more = np.ones(len(at), bool)
+                more[ended] = False
+                active, at, seed, segment = active[more], at[more], seed[more], segment[more]
+            if not len(active):
+                break
             u = _uniform(seed + np.uint64(len(steps)))
             edge = self.edge_of[at]
             on = np.flatnonzero(u > self.run[edge])
@@ -244,8 +311,6 @@ class Lattices:
                 on = on[u[on] > self.run[edge[on]]]
             steps.append((active, edge))
             at = self.to[edge]
-            more = np.flatnonzero(~self.last[at])
-            active, at, seed = active[more], at[more], seed[more]
         n = np.zeros(len(node), np.int64)
         for active, _ in steps:
             n[active] += 1
@@ -255,11 +320,29 @@ class Lattices:
         return out, n
 
 
+def _hashes(code: np.ndarray, place: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """64-bit hashes of segments, of each character and its place."""
+    return mix(np.add.reduceat(mix(code.astype(np.uint64) | place.astype(np.uint64) << np.uint64(32)), start))
+
+
 def _uniform(x: np.ndarray) -> np.ndarray:
     """Numbers strictly between 0 and 1 by hashing."""
     return ((mix(x) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
 
 
+class _Search:
+    """Perturbed A* over one text's lattice: the path drawn last, its value and the set it is the best of (paths that
+    share the edges before ``start`` and take there none of ``shut``, edges of probability ``shut_p``); the
+    paths ``taken`` with log-probability and value; a ``queue`` of (perturbed value, path that it leaves, place where
+    it leaves it, edges already excluded there, their probability). ``begin`` has the first segment of each word."""
+
+    __slots__ = ("salt", "value", "path", "begin", "start", "shut", "shut_p", "taken", "queue", "edge", "asked")
+
+    def __init__(self, salt: np.ndarray, value: float, path: np.ndarray, begin: np.ndarray):
+        self.salt, self.value, self.path, self.begin = salt, value, path, begin
+        self.start, self.shut, self.shut_p, self.taken, self.queue = 0, (), 0.0, [], []
+
+
 class Sampler:
     def __init__(self, path: str, sharpness: float, k: int, seed: int):
         self.vocabulary = Vocabulary(path, sharpness)
@@ -282,120 +365,126 @@ class Sampler:
         return out
 
     def _batch(self, keys: np.ndarray, texts: list[str]) -> list[list[dict]]:
-        lat = self.lattices
-        words = [_WORD.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        count = np.array([len(w) for w in words])
-        if not count.any():
-            return [[dict(ids=np.empty(0, np.int32), log_p=0.0, perturbed=0.0, inclusion=1.0)] for _ in texts]
-        node = lat.of([w for ws in words for w in ws])
-        first = np.concatenate(([0], np.cumsum(count)))
-        base = mix(keys.astype(np.uint64) ^ mix(np.full(len(keys), self.seed)))
-        place = np.arange(first[-1]) - np.repeat(first[:-1], count)
-        word_seed = np.repeat(base, count) + self.places(int(count.max()))[place]
-        edges, n = lat.draw(node, word_seed)
-        ends = np.concatenate(([0], np.cumsum(n)))
-        cut = ends[first]
+        lat, v = self.lattices, self.vocabulary
         out: list = [[dict(ids=np.empty(0, np.int32), log_p=0.0, perturbed=0.0, inclusion=1.0)] for _ in texts]
-        running = []
-        for i in np.flatnonzero(count):
-            a, b = first[i], first[i + 1]
-            running.append((i, self._search(base[i], node[a:b], edges[cut[i]:cut[i + 1]], ends[a:b + 1] - ends[a])))
-        answers = [None] * len(running)
-        while running:
-            asked = []
-            for (i, search), answer in zip(running, answers, strict=True):
-                try:
-                    asked.append((i, search, *search.send(answer)))
-                except StopIteration as done:
-                    out[i] = done.value
-            running = [(i, search) for i, search, _, _ in asked]
-            if running:
-                sizes = np.cumsum([len(nodes) for _, _, nodes, _ in asked])
-                edges, n = lat.draw(*(np.concatenate(x) for x in list(zip(*asked, strict=True))[2:]))
-                ends = np.concatenate(([0], np.cumsum(n)))
-                answers = [(edges[ends[b - len(nodes)]:ends[b]], n[b - len(nodes):b])
-                           for (_, _, nodes, _), b in zip(asked, sizes, strict=True)]
+        some = np.array([i for i, t in enumerate(texts) if t], np.int64)
+        if not len(some):
+            return out
+        size = np.array([len(texts[i]) + 1 for i in some])
+        whole = "".join(MARK + texts[i] for i in some).replace(" ", MARK)
+        code = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.int32)
+        # A word begins with its marks, so at a text's start and at the first of some marks
+        word = code == ord(MARK)
+        word[1:] &= ~word[:-1]
+        word[np.cumsum(size) - size] = True
+        cut = word.copy()
+        cut[1:] |= ~v.joined(v.letter[code])
+        start = np.flatnonzero(cut)
+        firsts, opens = np.append(lat.of(code, start), 0), np.append(word[start], True)
+        begin = np.flatnonzero(opens)  # the first segment of each word, and the end
+        words = np.concatenate(([0], np.cumsum(np.add.reduceat(word, np.cumsum(size) - size, dtype=np.int64))))  # of the texts
+        count = np.diff(words)
+        base = mix(keys.astype(np.uint64) ^ mix(np.full(len(keys), self.seed)))[some]
+        place = np.arange(words[-1]) - np.repeat(words[:-1], count)
+        word_seed = np.repeat(base, count) + self.places(int(count.max()))[place]
+        edges, n = lat.draw(firsts[begin[:-1]], word_seed, begin[:-1], firsts, opens)
+        cuts = np.concatenate(([0], np.cumsum(n)))[words]
+        salt = base[:, None] + self.salt
+        value = -np.log(-np.log(_uniform(salt[:, 0])))
+        searches = running = [_Search(salt[k], float(value[k]), edges[cuts[k]:cuts[k + 1]], begin[words[k]:words[k + 1]]) for k in range(len(some))]
+        while running := self._split(running, WINDOW):
+            edges, n = lat.draw(*map(np.concatenate, zip(*[self._leave(x, firsts) for x in running], strict=True)), firsts, opens)
+            cuts = np.concatenate(([0], np.cumsum(n)[np.cumsum([x.asked for x in running]) - 1]))
+            for x, a, b in zip(running, cuts, cuts[1:]):
+                x.path = np.concatenate((x.path[:x.start], [x.edge], edges[a:b]))
+        ids = iter(self._ids([path for x in searches for path, _, _ in x.taken]))
+        for i, x in zip(some, searches, strict=True):
+            bound = x.queue[0][0] if x.queue else -np.inf
+            out[i] = [dict(ids=next(ids), log_p=log_p, perturbed=value,
+                           inclusion=float(-np.expm1(-np.exp(min(log_p - bound, 700)))) if x.queue else 1.0)
+                      for _, log_p, value in x.taken]
         return out
 
-    def _search(self, seed: np.uint64, node: np.ndarray, path: np.ndarray, ends: np.ndarray):
-        """Perturbed A* over one text's lattice. A queue entry is (perturbed value, path that it
-        leaves, place where it leaves it, edges already excluded there, their probability). A
-        generator that yields the (nodes, seeds) to draw from, takes (edges, edges per node), and
-        returns the samples."""
-        lat, salt = self.lattices, seed + self.salt
-        value = -np.log(-np.log(_uniform(salt[:1])[0]))
-        queue, taken, start, shut, shut_p = [], [], 0, (), 0.0
-        while True:
-            log_p = lat.log_p[path]
-            taken.append((path, float(log_p.sum()), float(value)))
-            # split what is left of the set that this path was the best of
-            size = self._rest(path[start:], log_p[start:], float(log_p[:start].sum()), len(shut), shut_p)
-            u = _uniform(salt[3 * len(taken)] + self.places(len(size)))
-            perturbed = np.full(len(size), -np.inf)
-            some = np.isfinite(size)
-            perturbed[some] = size[some] - np.log(np.exp(np.minimum(size[some] - value, 700)) - np.log(u[some]))
-            top = np.argpartition(-perturbed, min(self.k, len(size) - 1))[:self.k + 1]
-            for t in top[np.isfinite(perturbed[top])]:
-                there = (*shut, path[start]) if t == 0 else (path[start + t],)
-                p = shut_p + np.exp(log_p[start]) if t == 0 else np.exp(log_p[start + t])
-                queue.append((float(perturbed[t]), len(taken) - 1, int(start + t), there, float(p), ends))
-            queue.sort(key=lambda x: -x[0])
-            if not queue or len(taken) == self.k:
-                break
-            value, which, start, shut, shut_p, ends = queue.pop(0)
-            path, ends = yield from self._leave(taken[which][0], ends, start, shut, node, salt[3 * len(taken) + 1:])
-        bound = queue[0][0] if queue else -np.inf
-        return [dict(ids=self._ids(path), log_p=log_p, perturbed=value,
-                     inclusion=float(-np.expm1(-np.exp(min(log_p - bound, 700)))) if queue else 1.0)
-                for path, log_p, value in taken]
-
-    def _rest(self, path, log_p, before: float, n_shut: int, shut_p: float) -> np.ndarray:
-        """Log-probability of the segmentations that share the edges before each place and differ
-        there, from the first place to the last that can be among the k + 1 taken next: -log u lies
-        between 2**-54 and 38, so a set of exp(-42) times another's probability stays behind it."""
-        lat, before, n = self.lattices, before + np.cumsum(log_p) - log_p, 256
-        while True:
-            other = -np.expm1(log_p[:n])
-            fan = lat.fan[lat.start[path[:n]]].copy()
-            other[0] -= shut_p
-            fan[0] -= n_shut
-            some = (fan > 1) & (other > 1e-15)
-            size = np.full(len(other), -np.inf)
-            size[some] = before[:n][some] + np.log(other[some])
-            if n >= len(path):
-                return size
-            bound = np.partition(size, -self.k - 1)[-self.k - 1] - 42
-            need = int(np.searchsorted(-before, -bound, "right")) if np.isfinite(bound) else 2 * n
-            if need <= n:
-                return size
-            n = need
-
-    def _leave(self, path, ends, at, shut, node, salt):
-        """A path that shares the edges before ``at``, takes there none of ``shut``, and goes on
-        at random; and where its words end."""
+    def _split(self, searches: list[_Search], window: int) -> list[_Search]:
+        """Take each search's path and split what is left of the set that it was the best of: for each place from the
+        first to the last that can be among the k + 1 taken next, the segmentations that share the edges before and
+        differ there. -log u lies between 2**-54 and 38, so a set of exp(-42) times another's probability stays
+        behind it; ``window`` places are looked at, more where that is not enough. Returns the searches that go on."""
+        lat, k = self.lattices, self.k
+        whole = np.concatenate([x.path for x in searches])
+        log_p = lat.log_p[whole]
+        size = np.array([len(x.path) for x in searches])
+        first = np.cumsum(size) - size
+        start, shut_p, value = (np.array([getattr(x, name) for x in searches]) for name in ("start", "shut_p", "value"))
+        before = np.array([float(log_p[a:a + x.start].sum()) for a, x in zip(first, searches)])
+        place = start[:, None] + np.arange(min(max(window, k + 1), int((size - start).max())))
+        inside = place < size[:, None]
+        at = first[:, None] + np.minimum(place, size[:, None] - 1)
+        step = np.where(inside, log_p[at], 0.0)
+        sums = before[:, None] + np.cumsum(step, axis=1)
+        fan, other = lat.fan[lat.start[whole[at]]], -np.expm1(step)
+        fan[:, 0] -= [len(x.shut) for x in searches]
+        other[:, 0] -= shut_p
+        some = np.nonzero(inside & (fan > 1) & (other > 1e-15))
+        rest = np.full(place.shape, -np.inf)
+        rest[some] = (sums - step)[some] + np.log(other[some])
+        beyond = size - start > place.shape[1]
+        if place.shape[1] > k:
+            bound = np.partition(rest, -k - 1, axis=1)[:, -k - 1] - 42
+            beyond &= sums[:, -1] >= bound
+            some = np.nonzero((rest >= bound[:, None]) & (rest > -np.inf))
+        salt = np.array([x.salt[3 * len(x.taken) + 3] for x in searches])
+        u = _uniform(salt[some[0]] + self.places(place.shape[1])[some[1]])
+        perturbed = np.full(place.shape, -np.inf)
+        perturbed[some] = rest[some] - np.log(np.exp(np.minimum(rest[some] - value[some[0]], 700)) - np.log(u))
+        top = np.argpartition(-perturbed, min(k, place.shape[1] - 1), axis=1)[:, :k + 1]
+        p, found = np.exp(np.take_along_axis(step, top, axis=1)).tolist(), np.take_along_axis(perturbed, top, axis=1).tolist()
+        total = np.add.reduceat(log_p, first).tolist()
+        again = [x for x, more in zip(searches, beyond.tolist()) if more]
+        on = self._split(again, 4 * window) if again else []
+        for i, (x, more, places) in enumerate(zip(searches, beyond.tolist(), top.tolist())):
+            if more:
+                continue
+            x.taken.append((x.path, total[i], x.value))
+            for t, q, y in zip(places, p[i], found[i]):
+                if y > -np.inf:
+                    shut, q = ((*x.shut, int(x.path[x.start])), x.shut_p + q) if t == 0 else ((int(x.path[x.start + t]),), q)
+                    x.queue.append((y, len(x.taken) - 1, x.start + t, shut, q))
+            x.queue.sort(key=lambda entry: -entry[0])
+            if x.queue and len(x.taken) < k:
+                x.value, which, x.start, x.shut, x.shut_p = x.queue.pop(0)
+                x.path = x.taken[which][0]
+                on.append(x)
+        return on
+
+    def _leave(self, x: _Search, firsts: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Draw ``edge``, by which a path that shares the edges before ``start`` and takes there none of ``shut`` goes on.
+        Returns the nodes from where it goes on at random, their seeds and their segments."""
         lat = self.lattices
-        here = int(lat.start[path[at]])
-        edges = np.arange(lat.edge_of[here], lat.edge_of[here] + lat.fan[here])
-        edges = edges[~np.isin(edges, shut)]
+        here = int(lat.start[x.path[x.start]])
+        a = int(lat.edge_of[here])
+        edges = np.array([e for e in range(a, a + int(lat.fan[here])) if e not in x.shut])
         run = np.cumsum(np.exp(lat.log_p[edges]))
-        edge = edges[min(np.searchsorted(run, _uniform(salt[:1])[0] * run[-1]), len(edges) - 1)]
-        word = int(np.searchsorted(ends, at, "right")) - 1
-        starts = np.concatenate(([lat.to[edge]], node[word + 1:]))
-        more, n = yield starts, salt[1] + self.places(len(starts))
-        new = np.concatenate((path[:at], [edge], more))
-        return new, np.concatenate((ends[:word + 1], at + 1 + np.cumsum(n)))
-
-    def _ids(self, path: np.ndarray) -> np.ndarray:
-        ids = self.lattices.piece[path]
+        salt = x.salt[3 * len(x.taken) + 1:]
+        x.edge = int(edges[min(np.searchsorted(run, _uniform(salt[:1])[0] * run[-1]), len(edges) - 1)])
+        segment = int(x.begin[0]) + np.count_nonzero(lat.code[lat.to[x.path[:x.start]]] < 0)
+        later = x.begin[np.searchsorted(x.begin, segment, "right"):]
+        x.asked = len(later) + 1
+        return np.append(lat.to[x.edge], firsts[later]), salt[1] + self.places(x.asked), np.append(segment, later)
+
+    def _ids(self, paths: list[np.ndarray]) -> list[np.ndarray]:
+        """The ids of the pieces of each path; a character without a piece has those of its bytes."""
+        ids = self.lattices.piece[np.concatenate(paths)]
+        ends = np.cumsum([len(path) for path in paths])
         lone = np.flatnonzero(ids < 0)
-        if not len(lone):
-            return ids
-        out, last = [], 0
-        for i in lone:
-            letter = chr(-1 - int(ids[i])).encode("utf-8", "surrogatepass")
-            out += [ids[last:i], self.vocabulary.byte_ids[list(letter)]]
-            last = i + 1
-        return np.concatenate([*out, ids[last:]]).astype(np.int32)
+        if len(lone):
+            code = -1 - ids[lone]
+            size = np.ones(len(ids), np.int64)
+            size[lone] += (code > 0x7F).astype(np.int64) + (code > 0x7FF) + (code > 0xFFFF)
+            raw = code.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+            ids, ends = np.repeat(ids, size), np.cumsum(size)[ends - 1]
+            ids[ids < 0] = self.vocabulary.byte_ids[np.frombuffer(raw, np.uint8)]
+        return np.split(ids, ends[:-1])
 
 
 @functools.cache
@@ -427,7 +516,7 @@ def encode(docs: DataFrame, path: str, k: int = SAMPLES, sharpness: float = SHAR
                     found = engine.texts(part.column(0).to_numpy(), part.column(1).to_pylist())
                     yield pa.RecordBatch.from_arrays([*part.columns[2:], _arrow(found)], names=schema.names)
                     del found, part
-                    give_back()
+                give_back()
         finally:
             engine.lattices.clear()  # a worker holds no lattices for the tasks after
             give_back()

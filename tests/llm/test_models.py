@@ -259,6 +259,33 @@ def test_samples_do_not_depend_on_batches(spark, tables, monkeypatch):
     assert [[s["ids"].tolist() for s in x] for x in whole] == [[s["ids"].tolist() for s in x] for x in parts]
 
 
+def test_words_share_the_lattices_of_their_segments():
+    sampler = Sampler(MODEL, 1.0, 2, 9)
+    words = [f"{w}{end}" for w in ("thereby", "naming", "later", "ouch", "ñandú", "漢字") for end in ("###", "&&&", "$$$\nThe", "***\nA", "\t\x07", "☃☃")]
+    text = " ".join(words) + "  "
+    found = sampler.texts(np.arange(1), [text])[0]
+    assert len({tuple(s["ids"].tolist()) for s in found}) == 2
+    assert sampler.lattices.nodes < len(text) * 0.75  # a lattice for each word had more nodes than the text has characters
+
+
+def test_segments_of_equal_hashes_keep_apart(monkeypatch):
+    from sitecorpus.llm import piece_sampling
+    texts = ["the cat and the dog, the cat", "", "a\n\nb  漢字 ☃ ", "the", " "]
+    whole = Sampler(MODEL, 1.0, 3, 9).texts(np.arange(5), texts)
+    monkeypatch.setattr(piece_sampling, "_hashes", lambda code, place, start: np.zeros(len(start), np.uint64))
+    same = Sampler(MODEL, 1.0, 3, 9).texts(np.arange(5), texts)
+    assert [[s["ids"].tolist() for s in x] for x in whole] == [[s["ids"].tolist() for s in x] for x in same]
+
+
+def test_places_behind_the_window_are_looked_at(monkeypatch):
+    from sitecorpus.llm import piece_sampling
+    texts = ["so " * 400, "all in one " * 60, "x", "ünï ☃ " * 90]
+    whole = Sampler(MODEL, 1.0, 4, 9).texts(np.arange(4), texts)
+    monkeypatch.setattr(piece_sampling, "WINDOW", 2)
+    parts = Sampler(MODEL, 1.0, 4, 9).texts(np.arange(4), texts)
+    assert [[(s["ids"].tolist(), round(s["inclusion"], 9)) for s in x] for x in whole] == [[(s["ids"].tolist(), round(s["inclusion"], 9)) for s in x] for x in parts]
+
+
 def brute(rows, k):
     out = {}
     for q, v in rows:
