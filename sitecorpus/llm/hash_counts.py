@@ -57,13 +57,14 @@ def unpack(data: bytes) -> np.ndarray:
 
 
 def _small(totals: np.ndarray) -> bytes:
-    """Totals in four bytes each if they fit, after a byte that tells."""
-    kind = np.uint32 if totals.max(initial=0) < 1 << 32 else np.int64
-    return bytes([np.dtype(kind).itemsize]) + totals.astype(kind).tobytes()
+    """Totals (1 to 2**32) in a byte each: eight steps from a power of two to the next, so that up to 16 all differ and a
+    greater total never has a smaller byte."""
+    return np.minimum((totals.astype(np.float32).view(np.uint32) >> np.uint32(20)) - np.uint32(127 << 3), 255).astype(np.uint8).tobytes()
 
 
 def _large(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint32 if data[0] == 4 else np.int64, offset=1)
+    """The least totals that have these bytes."""
+    return ((np.frombuffer(data, np.uint8).astype(np.uint32) + np.uint32(127 << 3)) << np.uint32(20)).view(np.float32).astype(np.int64)
 
 
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
@@ -77,21 +78,24 @@ def chunked(docs: DataFrame, columns: list, key: list[str], size: int) -> DataFr
 
 
 def with_counts(chunks: DataFrame, size: int, hashes: Callable, receive: Callable, schema: str,
-                totals: bool = False) -> DataFrame:
+                totals: bool = False, drop: int = 0) -> DataFrame:
     """``receive(rows, state, distinct, repeated, totals)`` for each chunk.
 
     ``hashes(rows)`` takes a chunk's rows and gives (state, hashes), one entry per occurrence;
     ``distinct`` are the chunk's distinct hashes ascending, ``repeated`` says of each whether it
-    occurs twice or more in all chunks, ``totals`` how often (None unless asked for). The answer
-    is a data frame or an iterator of them."""
+    occurs twice or more in all chunks, ``totals`` how often, in steps of an eighth to a sixteenth (``_small``; None
+    unless asked for). The answer is a data frame or an iterator of them.
+
+    With ``drop``, hashes are counted, and are in ``distinct``, without their last ``drop`` bits: a hash that occurs
+    once may then pass for repeated, never the other way round, and a chunk's differences take fewer bytes."""
     n = max(1, math.ceil(size / FRAGMENT_BYTES))
 
     def fragment_of(h):
-        return ((h >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+        return ((h << np.uint64(drop) >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
 
     def send(rows: pd.DataFrame) -> pd.DataFrame:
         _, h = hashes(rows)
-        h, count = np.unique(h, return_counts=True)
+        h, count = np.unique(h >> np.uint64(drop), return_counts=True)
         bounds = np.searchsorted(fragment_of(h), np.arange(n + 1, dtype=np.uint64))
         out = []
         for k in np.flatnonzero(np.diff(bounds)):
@@ -122,7 +126,7 @@ def with_counts(chunks: DataFrame, size: int, hashes: Callable, receive: Callabl
 
     def take(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         state, h = hashes(rows)
-        h = np.unique(h)
+        h = np.unique(h >> np.uint64(drop))
         answers = answers.sort_values("fragment")
         repeated = np.concatenate([np.empty(0, np.uint8), *(
             np.unpackbits(np.frombuffer(b, np.uint8), count=k)

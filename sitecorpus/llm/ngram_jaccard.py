@@ -3,7 +3,8 @@
 Method: vertical partitioning. The order of all n-gram hashes is cut into fragments.
 
 1. Each fragment counts its n-grams over the corpus (``hash_counts``). An n-gram of one document
-   alone adds to no overlap, so a document goes on only if enough of its n-grams are shared.
+   alone adds to no overlap, so a document goes on only if enough of its n-grams are shared. Counted are
+   the first 40 bits of a hash: some n-grams of one document pass for shared, which changes no overlap.
 2. Equal sets collapse into one representative. Each representative posts its rarest shared
    n-grams (prefix filter: two sets over the threshold share one of them).
 3. Within an n-gram's postings, ordered by size, each set is paired with the next ``NEAR``. For
@@ -32,6 +33,7 @@ SHORT = 64            # sets of a posting whose open pairs are listed, at most
 POSTING_BLOCK = 512   # postings that are ordered together, about
 BLOCK_GRAMS = 1 << 17  # n-grams of the sets in a block, about
 N_FRAGMENTS = 8
+DROP = 24             # last bits of a hash that are left out where n-grams are counted
 NODES = "row long, doc_id string, row_key long, n_shingles long, set_id string, rare int, grams array<long>"
 
 
@@ -53,7 +55,7 @@ def _sets(docs: DataFrame, n: int, num: int, den: int, lower: bool, key: str, te
 
     def receive(part, state, distinct, repeated, totals):
         h, owner = state
-        at = np.searchsorted(distinct, h)
+        at = np.searchsorted(distinct, h >> np.uint64(DROP))
         docs_n = len(part)
         size_of = np.bincount(owner, minlength=docs_n)
         first = np.concatenate(([0], np.cumsum(size_of)))
@@ -75,7 +77,7 @@ def _sets(docs: DataFrame, n: int, num: int, den: int, lower: bool, key: str, te
         return pd.DataFrame(out, columns=["row", "doc_id", "row_key", "n_shingles", "set_id", "rare", "grams"]
                             ).astype({"rare": "Int32"})
 
-    sets = with_counts(chunks, size, hashes, receive, NODES, totals=True)
+    sets = with_counts(chunks, size, hashes, receive, NODES, totals=True, drop=DROP)
     return store(sets.withColumn("doc_id", F.col("doc_id").cast(docs.schema[key].dataType)), "ngram-sets")
 
 
@@ -118,8 +120,9 @@ def _links(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
     pairs = store(pairs, "ngram-pairs")
     if not pairs.head(1):
         return pairs
-    some = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-    cut = nodes.join(some, "row", "left_semi").select(F.col("row").alias("node"), F.col("n_shingles").alias("n"), F.posexplode(F.transform(
+    some = store(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "ngram-paired")
+    held = store(nodes.join(some, "row", "left_semi"), "ngram-paired-sets")
+    cut = held.select(F.col("row").alias("node"), F.col("n_shingles").alias("n"), F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(N_FRAGMENTS - 1)),
         lambda f: F.filter("grams", lambda g: _fragment(g) == f))).alias("fragment", "part"))
     one = cut.select(F.col("node").alias("a"), F.col("n").alias("na"), "fragment", F.col("part").alias("pa"))
@@ -165,8 +168,10 @@ def _far_links(postings: DataFrame, sizes: DataFrame, nodes: DataFrame, roots: D
     per = store(per.select("gram", F.col("top.root").alias("main"),
                            F.ceil(F.greatest(F.col("w") / F.lit(BLOCK_GRAMS), F.col("m") / F.lit(256))).alias("k")),
                 "ngram-open")
-    open_ = (placed.join(per, "gram").join(nodes.select(F.col("row").alias("node"), "grams"), "node"))
-    open_ = _blocks(open_, "k")
+    open_ = store(placed.join(per, "gram"), "ngram-open-places")  # its size is known before the sets are joined
+    if not open_.head(1):
+        return open_.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    open_ = _blocks(open_.join(nodes.select(F.col("row").alias("node"), "grams"), "node"), "k")
     cols = ["gram", "node", "n", "root", "grams"]
     every = F.explode(F.sequence(F.lit(0), (F.col("k") - 1).cast("int")))
     left = open_.filter("root <> main").select(*cols, F.col("block").alias("i"), every.alias("j"))
@@ -195,11 +200,12 @@ def _link_counts(placed: DataFrame, nodes: DataFrame, num: int, den: int) -> Dat
     are of one component, so the sets of a component are compared in blocks, each pair of blocks once, their
     overlaps summed over the fragments of the order; a pair of blocks gives a number per set, not pairs.
     ``placed`` has (row, root, copies)."""
-    sets = nodes.select("row", F.col("n_shingles").alias("n"), "grams").join(placed.select("row", "root", "copies"), "row")
     per = (placed.join(nodes.select("row", F.size("grams").alias("w")), "row").groupBy("root")
            .agg(F.sum("w").alias("w"), F.count("*").alias("m")).filter("m > 1")
            .select("root", F.ceil(F.greatest(F.col("w") / F.lit(BLOCK_GRAMS), F.col("m") / F.lit(1024))).cast("int").alias("k")))
-    dealt = store(sets.join(per, "root").withColumn("block", F.pmod(F.xxhash64("row"), F.col("k")).cast("int")), "ngram-members")
+    members = store(placed.select("row", "root", "copies").join(per, "root"), "ngram-places")  # of more than one set
+    sets = nodes.select("row", F.col("n_shingles").alias("n"), "grams").join(members, "row")
+    dealt = store(sets.withColumn("block", F.pmod(F.xxhash64("row"), F.col("k")).cast("int")), "ngram-members")
     cols = ["root", "row", "n", "copies", "grams"]
     left = dealt.select(*cols, F.col("block").alias("i"), F.explode(F.sequence("block", F.col("k") - 1)).alias("j"))
     right = dealt.select(*cols, F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"))

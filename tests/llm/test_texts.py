@@ -4,6 +4,7 @@ empty tables, and extra columns with the operators' own names."""
 import collections
 import hashlib
 import itertools
+import random
 import re
 import time
 
@@ -364,3 +365,34 @@ def test_likeness_of_long_texts_by_all_anchors(spark):
         assert got[i].near_edited == pytest.approx(positional(found[i], found[len(texts) + i]))
         assert got[i].fingerprint == "".join(f"{x['at']:08x}{x['hash'] % (1 << 64):016x}" for x in found[i])
     assert got[0].near_next > 0 and len(found[0]) > 4_000
+
+
+def test_classes_do_not_depend_on_the_bits_counted(spark, monkeypatch):
+    """With few bits nearly all n-grams pass for shared; classes and numbers of links stay."""
+    from sitecorpus.llm import ngram_jaccard
+    rng = random.Random(5)
+    base = [[rng.choice("abcdefghij") + str(rng.randrange(40)) for _ in range(60)] for _ in range(12)]
+    rows = []
+    for i in range(90):
+        words = list(base[i % 12])
+        for _ in range(i % 3):
+            words[rng.randrange(60)] = "changed"
+        rows.append((i, " ".join(words)))
+    rows += [(100, None), (101, ""), (102, "two words"), (103, "two words"), (None, rows[0][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = []
+    for drop in (24, 62):
+        monkeypatch.setattr(ngram_jaccard, "DROP", drop)
+        got = ngram_jaccard.jaccard_classes(docs, n=3, threshold=0.8, count_links=True).select("doc_id", "n_shingles", "component_id", "n_links")
+        found.append(sorted(map(str, got.collect())))
+    assert found[0] == found[1] and any("n_links=7" in r for r in found[0])
+
+
+def test_counts_in_a_byte_keep_their_order():
+    from sitecorpus.llm.hash_counts import _large, _small, pack
+    totals = np.unique(np.concatenate((np.arange(1, 5000), 2 ** np.arange(3, 33), 3 ** np.arange(1, 20))))
+    data = _small(totals)
+    assert len(data) == len(totals) and (np.diff(np.frombuffer(data, np.uint8).astype(int)) >= 0).all()
+    assert (_large(data)[:16] == totals[:16]).all() and (_large(data) <= totals).all()
+    h = np.unique(np.random.default_rng(1).integers(0, 1 << 64, 600_000, np.uint64))
+    assert len(pack(np.unique(h >> np.uint64(24)))) < 0.55 * len(pack(h))  # of a chunk's n-grams
