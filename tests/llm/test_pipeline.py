@@ -121,3 +121,18 @@ def test_rows_without_words_stay(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
     got = sorted((tuple(r) for r in one_per_group(spark, df, "").collect()), key=str)
     assert got == sorted([*rows[:6], rows[6], rows[9]], key=str)
+
+
+def test_stored_stages_hand_over_few_rows_at_once(spark):
+    """And the session's own settings are as before."""
+    import pyarrow as pa
+    from sitecorpus.llm.stored import BATCH_ROWS, store
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    got = [r.n for r in store(spark.range(0, 5000, 1, 1).mapInArrow(sizes, "n long"), "batches").collect()]
+    assert sum(got) == 5000 and max(got) <= BATCH_ROWS and spark.conf.get(name) == before
