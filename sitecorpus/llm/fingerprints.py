@@ -22,6 +22,11 @@ from sitecorpus.llm.stored import store
 RANGE_BYTES = 8 << 20  # text in a range of keys, about
 MOST_CUTS = 1_000
 K = 3
+FEW = 32  # hashes common to two texts that are looked up one by one, at most
+
+
+def _no_pairs() -> Column:
+    return F.array().cast("array<struct<a:int,b:int>>")
 
 
 def _words(text: Column) -> Column:
@@ -67,7 +72,40 @@ def fingerprint(found: Column) -> Column:
         F.lpad(F.hex(x["at"]), 8, "0"), F.lpad(F.hex(x["hash"]), 16, "0"))), ""))
 
 
+def _leading(a: Column, b: Column) -> Column:
+    """The number of leading anchors of one hash, place by place of the arrays."""
+    same = F.zip_with(a["hash"], b["hash"], lambda x, y: x.eqNullSafe(y))
+    return _let(F.array_position(same, False), lambda n: F.when(n > 0, (n - 1).cast("int")).otherwise(F.size(a)))
+
+
+def _after(found: Column, n: Column) -> Column:
+    return F.slice(found, n + 1, F.size(found))
+
+
 def matches(a: Column, b: Column) -> Column:
+    """(a, b): the places of the matched anchors. Anchors that both texts begin with belong to each other.
+    Of the rest, only hashes of both texts can match; if these are ``FEW``, other anchors are left out
+    before the sort."""
+    def of_rest(n):
+        pair = F.struct(_after(a, n).alias("a"), _after(b, n).alias("b"))
+
+        def shared(x):
+            common = F.array_intersect(x["a"]["hash"], x["b"]["hash"])
+
+            def of_common(c):
+                def some(found):
+                    return F.filter(found, lambda y: F.array_contains(c, y["hash"]))
+                return F.when(F.size(c) == 0, _no_pairs()).when(
+                    F.size(c) <= FEW, _sorted_matches(some(x["a"]), some(x["b"]))).otherwise(
+                    _sorted_matches(x["a"], x["b"]))
+            return _let(common, of_common)
+        head = F.zip_with(F.slice(a["at"], F.lit(1), n), F.slice(b["at"], F.lit(1), n),
+                          lambda x, y: F.struct(x.alias("a"), y.alias("b")))
+        return F.concat(head, _let(pair, shared))
+    return _let(_leading(a, b), of_rest)
+
+
+def _sorted_matches(a: Column, b: Column) -> Column:
     """(a, b): the places of the matched anchors. The anchors of both texts are sorted by hash, text
     and place; a run is those of one hash in one text, and two runs of a hash are paired in order."""
     def tagged(found, side):
@@ -90,28 +128,32 @@ def matches(a: Column, b: Column) -> Column:
                     F.sequence(F.lit(0), n - 1),
                     lambda q: F.struct(at(one + q)["at"].alias("a"), at(two + q)["at"].alias("b"))))
             pairs = F.transform(F.sequence(F.lit(1), F.size(runs) - 2), paired)
-            none = F.array().cast("array<struct<a:int,b:int>>")
-            return F.when(F.size(runs) >= 3, F.flatten(F.filter(pairs, lambda p: p.isNotNull()))).otherwise(none)
+            return F.when(F.size(runs) >= 3, F.flatten(F.filter(pairs, lambda p: p.isNotNull()))).otherwise(_no_pairs())
 
         starts = F.filter(F.sequence(F.lit(1), F.size(s)), first)
         return F.when(F.size(s) > 0, _let(F.concat(starts, F.array(F.size(s) + 1)), of_runs))
     found = _let(F.sort_array(F.concat(tagged(a, 0), tagged(b, 1))), of_sorted)
-    return F.coalesce(found, F.array().cast("array<struct<a:int,b:int>>"))
+    return F.coalesce(found, _no_pairs())
 
 
 def _covered(places: Column, k: int) -> Column:
-    """The number of words in windows of ``k`` at the places."""
-    return _let(F.sort_array(places), lambda p: F.when(F.size(p) == 0, 0).otherwise(F.aggregate(
-        F.sequence(F.lit(1), F.size(p)), F.lit(0), lambda n, i: n + F.when(i == F.size(p), k).otherwise(
-            F.least(F.lit(k), F.element_at(p, F.least(i + 1, F.size(p))) - F.element_at(p, i))))))
+    """The number of words in windows of ``k`` at the ascending places."""
+    def of(p):
+        new = F.zip_with(p, F.slice(p, F.lit(2), F.size(p)), lambda x, y: F.least(F.lit(k), y - x))  # the last has no y
+        return F.aggregate(new, F.lit(0), lambda n, x: n + x)
+    return _let(places, of)
+
+
+def _share(a: Column, b: Column, whole: Column, k: int) -> Column:
+    """The likeness of two texts; ``whole`` is the number of words in windows of both."""
+    common = _let(matches(a, b), lambda m: _covered(F.sort_array(m["a"]), k) + _covered(F.sort_array(m["b"]), k))
+    return _let(whole, lambda n: F.when(n == 0, 1.0).otherwise(common / n))
 
 
 def likeness(a: Column, b: Column, k: int = K) -> Column:
     """0 to 1, from the anchors of two texts; two texts without words are alike. A text shorter than
     a window has one anchor, which counts as a whole window."""
-    whole = _covered(a["at"], k) + _covered(b["at"], k)
-    common = _let(matches(a, b), lambda m: _covered(m["a"], k) + _covered(m["b"], k))
-    return _let(whole, lambda n: F.when(n == 0, 1.0).otherwise(common / n))
+    return _share(a, b, _covered(a["at"], k) + _covered(b["at"], k), k)
 
 
 def _range_of(docs: DataFrame, key: str, size: int) -> Column:
@@ -175,10 +217,13 @@ def compare_with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text",
                       F.substring(F.col("next_text"), F.lit(1), half))
 
     def compared(x):
-        return F.struct(
-            F.sha2(x["edited"], 256).alias("edited_sha256"),
-            fingerprint(x["own"]).alias("fingerprint"), fingerprint(x["new"]).alias("edited_fingerprint"),
-            likeness(x["own"], x["new"], k).alias("near_edited"), likeness(x["own"], x["next"], k).alias("near_next"))
+        def near(own):
+            return F.struct(
+                F.sha2(x["edited"], 256).alias("edited_sha256"),
+                fingerprint(x["own"]).alias("fingerprint"), fingerprint(x["new"]).alias("edited_fingerprint"),
+                _share(x["own"], x["new"], own + _covered(x["new"]["at"], k), k).alias("near_edited"),
+                _share(x["own"], x["next"], own + _covered(x["next"]["at"], k), k).alias("near_next"))
+        return _let(_covered(x["own"]["at"], k), near)
 
     found = _let(edited, lambda e: _let(F.struct(
         e.alias("edited"), anchors(F.col("text"), k).alias("own"), anchors(e, k).alias("new"),

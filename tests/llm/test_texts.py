@@ -367,6 +367,22 @@ def test_likeness_of_long_texts_by_all_anchors(spark):
     assert got[0].near_next > 0 and len(found[0]) > 4_000
 
 
+@pytest.mark.parametrize("few", [0, 2, 32])
+def test_likeness_however_common_hashes_are_found(spark, monkeypatch, few):
+    """Leading anchors, the few common hashes and the sort of the rest give the matches of plain Python."""
+    from sitecorpus.llm import fingerprints
+    monkeypatch.setattr(fingerprints, "FEW", few)
+    start, end, *rest = (" ".join(words(n, i)) for i, n in enumerate((40, 30, 50, 60, 20)))
+    texts = [start + " " + rest[0], start + " " + rest[1] + " " + end, rest[2] + " " + end, end, end + " " + end,
+             "a b a b a b c", "a b a b", "a b a b c a b a b", "", "one", "one", "b c d", start + " " + end + " " + start]
+    df = spark.createDataFrame([*enumerate(texts)], "id long, text string").select("id", anchors(F.col("text")).alias("found"))
+    pairs = df.crossJoin(df.toDF("other", "next")).select("found", "next", fingerprints.likeness(
+        F.col("found"), F.col("next")).alias("near")).collect()
+    assert len(pairs) == len(texts) ** 2
+    for r in pairs:
+        assert r.near == pytest.approx(positional(r.found, r.next))
+
+
 def test_classes_do_not_depend_on_the_bits_counted(spark, monkeypatch):
     """With few bits nearly all n-grams pass for shared; classes and numbers of links stay."""
     from sitecorpus.llm import ngram_jaccard
