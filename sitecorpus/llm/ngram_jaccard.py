@@ -7,9 +7,11 @@ Method: vertical partitioning. The order of all n-gram hashes is cut into fragme
    the first 40 bits of a hash: some n-grams of one document pass for shared, which changes no overlap.
 2. Equal sets collapse into one representative. Each representative posts its rarest shared
    n-grams (prefix filter: two sets over the threshold share one of them).
-3. Within an n-gram's postings, ordered by size, each set is paired with the next ``NEAR``. For
+3. Within an n-gram's postings, ordered by size, each set is paired with the next one. For
    each pair the overlap is counted in every fragment separately and summed, then compared with
-   the threshold exactly. Links give connected components.
+   the threshold exactly; pairs that numbers of n-grams in bins rule out end before. Links give
+   connected components; then the next ``NEAR`` are paired, as far as they are in different
+   components. So a group of near copies is not paired over and over.
 4. What is left are pairs further apart in a posting, of sets in different components. In postings
    of up to ``SHORT`` sets they are listed and verified like the near ones. In longer ones they
    are compared in blocks (the smaller components against everything), again fragment by
@@ -34,12 +36,15 @@ POSTING_BLOCK = 512   # postings that are ordered together, about
 BLOCK_GRAMS = 1 << 17  # n-grams of the sets in a block, about
 N_FRAGMENTS = 8
 DROP = 24             # last bits of a hash that are left out where n-grams are counted
-NODES = "row long, doc_id string, row_key long, n_shingles long, set_id string, rare int, grams array<long>"
+BIN_BITS = 6          # first bits of an n-gram that name its bin
+NODES = ("row long, doc_id string, row_key long, n_shingles long, set_id string, rare int, grams array<long>, "
+         "bins array<int>")
 
 
 def _sets(docs: DataFrame, n: int, num: int, den: int, lower: bool, key: str, text: str) -> DataFrame:
-    """A row per document; ``grams`` (shared n-grams, rarest first) and ``rare`` (how many of them
-    the prefix has) only where a link to another document is possible."""
+    """A row per document; ``grams`` (shared n-grams, rarest first), ``rare`` (how many of them
+    the prefix has) and ``bins`` (how many of them begin with the same bits) only where a link to
+    another document is possible."""
     size = text_bytes(docs, text)
     chunks = chunked(docs, [F.col(key).cast("string").alias("doc_id"), F.col(text).alias("text"),
                             F.xxhash64(key, text).alias("row_key")], [key, text], size)
@@ -64,7 +69,7 @@ def _sets(docs: DataFrame, n: int, num: int, den: int, lower: bool, key: str, te
         out = []
         for i, (doc, tk) in enumerate(zip(part["doc_id"], part["row_key"], strict=True)):
             a, b = first[i], first[i + 1]
-            grams, rare, set_id = None, None, None
+            grams, rare, set_id, bins = None, None, None, None
             if size_of[i] and shared[i] >= need[i]:
                 own, common = h[a:b], repeated[at[a:b]]
                 set_id = "".join(f"{int(mix(own ^ s).sum(dtype=np.uint64)):016x}" for s in salt)
@@ -72,9 +77,10 @@ def _sets(docs: DataFrame, n: int, num: int, den: int, lower: bool, key: str, te
                 own = own[common]
                 grams = own[np.lexsort((own, t))].view(np.int64)
                 rare = int(shared[i] - need[i] + 1)
-            out.append((int(part["chunk"].iat[0]) << 32 | i, doc, tk, int(size_of[i]), set_id, rare, grams))
+                bins = np.bincount((own >> np.uint64(64 - BIN_BITS)).astype(np.int64), minlength=1 << BIN_BITS).astype(np.int32)
+            out.append((int(part["chunk"].iat[0]) << 32 | i, doc, tk, int(size_of[i]), set_id, rare, grams, bins))
         give_back()
-        return pd.DataFrame(out, columns=["row", "doc_id", "row_key", "n_shingles", "set_id", "rare", "grams"]
+        return pd.DataFrame(out, columns=["row", "doc_id", "row_key", "n_shingles", "set_id", "rare", "grams", "bins"]
                             ).astype({"rare": "Int32"})
 
     sets = with_counts(chunks, size, hashes, receive, NODES, totals=True, drop=DROP)
@@ -92,18 +98,27 @@ def _blocks(postings: DataFrame, per_block: str) -> DataFrame:
 
 
 def _near_pairs(postings: DataFrame, sizes: DataFrame, num: int, den: int) -> DataFrame:
-    """Distinct pairs (a < b) of sets close by in an n-gram's postings."""
+    """Distinct pairs (a < b) of sets close by in an n-gram's postings; ``step`` is how far apart, at least."""
     dealt = _blocks(postings.join(sizes, "gram").withColumn(
         "k", F.ceil(F.col("m") / F.lit(POSTING_BLOCK))), "k")
     w = Window.partitionBy("gram", "block").orderBy("n", "node").rowsBetween(1, NEAR)
     pairs = (dealt.withColumn("next", F.collect_list(F.struct("node", "n")).over(w))
-             .select("node", "n", F.explode("next").alias("o"))
+             .select("node", "n", F.posexplode("next").alias("step", "o"))
              .filter(F.col("n") * den >= F.col("o.n") * num))
-    return pairs.select(F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b")).distinct()
+    return pairs.groupBy(F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b")).agg(
+        F.min(F.col("step") + 1).alias("step"))
 
 
-def _open_pairs(postings: DataFrame, sizes: DataFrame, roots: DataFrame, num: int, den: int) -> DataFrame:
-    """Distinct pairs (a < b) of sets of different components that share a short posting."""
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, b) of sets of different components."""
+    one = roots.select(F.col("row").alias("a"), F.col("root").alias("ra"))
+    two = roots.select(F.col("row").alias("b"), F.col("root").alias("rb"))
+    placed = pairs.join(one, "a", "left").join(two, "b", "left")
+    return placed.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+
+
+def _open_pairs(postings: DataFrame, sizes: DataFrame, roots: DataFrame, near: DataFrame, num: int, den: int) -> DataFrame:
+    """Distinct pairs (a < b) of sets of different components that share a short posting; those of ``near`` are settled."""
     short = postings.join(sizes.filter(f"m > {NEAR + 1} AND m <= {SHORT}").select("gram"), "gram")
     placed = short.join(roots.withColumnRenamed("row", "node"), "node", "left").select(
         "gram", F.struct("node", "n", F.coalesce("root", "node").alias("root")).alias("s"))
@@ -112,12 +127,23 @@ def _open_pairs(postings: DataFrame, sizes: DataFrame, roots: DataFrame, num: in
     pairs = sets.select("s", F.explode("s").alias("a")).select("a", F.explode(F.filter(
         "s", lambda b: (b["node"] > F.col("a.node")) & (b["root"] != F.col("a.root"))
         & (b["n"] * den >= F.col("a.n") * num) & (F.col("a.n") * den >= b["n"] * num))).alias("b"))
-    return pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    found = pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    return found.join(near.select("a", "b"), ["a", "b"], "left_anti")
+
+
+def _possible(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose bins leave room for enough common n-grams: of two sets' n-grams in a bin, at most the
+    smaller number is common. No link is lost, and most other pairs end here, before whole sets are dealt."""
+    one = nodes.select(F.col("row").alias("a"), F.col("n_shingles").alias("na"), F.col("bins").alias("xa"))
+    two = nodes.select(F.col("row").alias("b"), F.col("n_shingles").alias("nb"), F.col("bins").alias("xb"))
+    most = F.aggregate(F.zip_with("xa", "xb", lambda x, y: F.least(x, y)), F.lit(0), lambda n, x: n + x)
+    found = pairs.select("a", "b").join(one, "a").join(two, "b").withColumn("o", most.cast("long"))
+    return found.filter(F.col("o") * (num + den) >= (F.col("na") + F.col("nb")) * num).select("a", "b")
 
 
 def _links(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs over the threshold: overlaps per fragment, summed. Only sets of some pair are cut and dealt."""
-    pairs = store(pairs, "ngram-pairs")
+    pairs = store(_possible(pairs, nodes, num, den), "ngram-pairs")
     if not pairs.head(1):
         return pairs
     some = store(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "ngram-paired")
@@ -244,14 +270,18 @@ def jaccard_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, lower:
     groups = store(sets.filter("set_id is not null").groupBy("set_id").agg(
         F.min("row").alias("row"), F.min("doc_id").alias("low"), F.count("*").alias("copies"),
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best")), "ngram-groups")
-    nodes = store(sets.select("row", "n_shingles", "rare", "grams").join(groups.select("row"), "row", "left_semi"),
-                  "ngram-nodes")
-    postings = store(nodes.select(F.col("row").alias("node"), F.col("n_shingles").alias("n"), F.explode(
-        F.slice("grams", F.lit(1), F.col("rare"))).alias("gram")), "ngram-postings")
+    heads = sets.filter("grams is not null").select("row", "n_shingles", F.slice("grams", F.lit(1), F.col("rare")).alias("head"))
+    postings = store(heads.join(groups.select("row"), "row", "left_semi").select(
+        F.col("row").alias("node"), F.col("n_shingles").alias("n"), F.explode("head").alias("gram")), "ngram-postings")
     sizes = store(postings.groupBy("gram").agg(F.count("*").alias("m")).filter("m > 1"), "ngram-sizes")
-    links = store(_links(_near_pairs(postings, sizes, num, den), nodes, num, den), "ngram-links")
+    met = store(postings.join(sizes, "gram", "left_semi").select(F.col("node").alias("row")).distinct(), "ngram-met")
+    # only sets that meet another one are read again with all their n-grams
+    nodes = store(sets.select("row", "n_shingles", "grams", "bins").join(met, "row", "left_semi"), "ngram-nodes")
+    near = store(_near_pairs(postings, sizes, num, den), "ngram-near")
+    links = store(_links(near.filter("step = 1").select("a", "b"), nodes, num, den), "ngram-links")
     roots = components(links).withColumnRenamed("node", "row")
-    for rest in (lambda: _links(_open_pairs(postings, sizes, roots, num, den), nodes, num, den),
+    for rest in (lambda: _links(_apart(near.filter("step > 1"), roots), nodes, num, den),
+                 lambda: _links(_open_pairs(postings, sizes, roots, near, num, den), nodes, num, den),
                  lambda: _far_links(postings, sizes, nodes, roots, num, den)):
         more = store(rest(), "ngram-more")
         if more.head(1):
@@ -265,7 +295,7 @@ def jaccard_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, lower:
         links = F.col("copies") - 1 + F.coalesce("links", F.lit(0))
     classes = placed.select("set_id", "root", links.alias("n_links")).join(whole, "root").select(
         "set_id", "component_id", F.col("best.row").alias("best"), "n_links")
-    out = sets.drop("grams").join(classes, "set_id", "left")
+    out = sets.drop("grams", "bins").join(classes, "set_id", "left")
     number = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if count_links else []
     return out.select("doc_id", "n_shingles", *number,
                       F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),

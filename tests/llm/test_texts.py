@@ -383,6 +383,29 @@ def test_likeness_however_common_hashes_are_found(spark, monkeypatch, few):
         assert r.near == pytest.approx(positional(r.found, r.next))
 
 
+def test_pairs_of_a_group_of_near_copies_stay_few(spark, monkeypatch):
+    """Sets of one component are not paired again, and a pair that shares little is never dealt."""
+    from sitecorpus.llm import ngram_jaccard
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(base[:3 * i + 5] + [f"own{i}"] + base[3 * i + 6:]) for i in range(60)]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    given, links, possible = [], ngram_jaccard._links, ngram_jaccard._possible
+
+    def counted(pairs, *rest):
+        given.append(pairs.count())
+        return links(pairs, *rest)
+    monkeypatch.setattr(ngram_jaccard, "_links", counted)
+    got = jaccard_classes(docs, n=5, threshold=0.8, count_links=True).collect()
+    assert {(r.component_id, r.n_links) for r in got} == {(0, 59)} and 59 <= sum(given) < 180
+    sets = {1: [7, 1 << 60, 5 << 60], 2: [7, 1 << 60, 6 << 60], 3: [7, -5, -(3 << 60)], 4: [7, 1 << 60, 5 << 60, 9]}
+
+    def bins(grams):
+        return [sum(g % (1 << 64) >> 58 == i for g in grams) for i in range(64)]
+    nodes = spark.createDataFrame([(i, len(g), bins(g)) for i, g in sets.items()], "row long, n_shingles long, bins array<int>")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (1, 4), (3, 4)], "a long, b long")
+    assert {tuple(r) for r in possible(pairs, nodes, 60, 100).collect()} == {(1, 4)}
+
+
 def test_classes_do_not_depend_on_the_bits_counted(spark, monkeypatch):
     """With few bits nearly all n-grams pass for shared; classes and numbers of links stay."""
     from sitecorpus.llm import ngram_jaccard
