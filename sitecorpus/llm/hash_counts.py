@@ -94,7 +94,7 @@ def with_counts(chunks: DataFrame, size: int, hashes: Callable, receive: Callabl
         return ((h << np.uint64(drop) >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
 
     def send(rows: pd.DataFrame) -> pd.DataFrame:
-        _, h = hashes(rows)
+        h = hashes(rows)[1]
         h, count = np.unique(h >> np.uint64(drop), return_counts=True)
         bounds = np.searchsorted(fragment_of(h), np.arange(n + 1, dtype=np.uint64))
         out = []

@@ -28,13 +28,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from sitecorpus.llm.components import components, extended
 from sitecorpus.llm.hash_counts import chunked, text_bytes, with_counts
 from sitecorpus.llm.stored import store
-from sitecorpus.llm.words import LOWER, Batch, distinct_per_text, give_back, mix, numbered
+from sitecorpus.llm.words import LOWER, Batch, distinct_per_text, give_back, in_parts, mix, numbered
 
 NEAR = 4              # following sets that a posting pairs with
 SHORT = 64            # sets of a posting whose open pairs are listed, at most
 POSTING_BLOCK = 512   # postings that are ordered together, about
 BLOCK_GRAMS = 1 << 17  # n-grams of the sets in a block, about
 N_FRAGMENTS = 8
+PART_CHARS = 1 << 19  # text of a chunk that is cut into n-grams at once, about
 DROP = 24             # last bits of a hash that are left out where n-grams are counted
 BIN_BITS = 6          # first bits of an n-gram that name its bin
 NODES = ("row long, doc_id string, row_key long, n_shingles long, set_id string, rare int, grams array<long>, "
@@ -51,10 +52,13 @@ def _sets(docs: DataFrame, n: int, num: int, den: int, lower: bool, key: str, te
     salt = numbered(2, 77)
 
     def hashes(part: pd.DataFrame):
-        batch = Batch(part["text"], LOWER if lower else None)
-        h, _, owner = batch.windows(n, short=True)
-        h, owner = distinct_per_text(h, owner)
-        del batch
+        found = []
+        for at, texts in in_parts(part["text"], PART_CHARS):  # memory does not follow the chunk
+            h, _, owner = Batch(texts, LOWER if lower else None).windows(n, short=True)
+            h, owner = distinct_per_text(h, owner)
+            found.append((h, owner.astype(np.int32) + np.int32(at)))
+        h, owner = (np.concatenate(x) for x in zip(*found, strict=True))
+        del found
         give_back()
         return (h, owner), h
 

@@ -173,14 +173,17 @@ class Lattices:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
+        self.held: dict[str, np.ndarray] = {}
         self.clear()
 
     def clear(self) -> None:
+        for name in self.held:  # parts of the arrays held, which would keep them
+            delattr(self, name)
         self.known = np.empty(0, np.uint64)  # hashes of the segments kept, ascending
         self.at, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
         self.again = np.empty(0, bool)       # whether it was asked for after it was added
         self.nodes = self.n_edges = 0
-        self.held: dict[str, np.ndarray] = {}
+        self.held = {}
 
     def _forget(self) -> None:
         """Keep the segments that came again, unless they fill half of the store; drop the rest."""

@@ -26,6 +26,7 @@ from sitecorpus.llm.words import ALNUM, Batch, distinct_per_text, give_back, in_
 BITS, HEAD, FACTORS = 18, 4, 6
 MAX_ROWS = 8_000    # labelled rows the model is fitted on, about
 EPOCHS, MEAN_OF = 30, 10  # passes over the sample; the model is the mean after the last of them
+SCORE_CHARS = 1 << 18  # of the texts that are scored at once, about
 RATE, PENALTY = (1.0, 0.05), (2e-4, 3e-4)  # of the weights and of the factors
 
 
@@ -104,7 +105,7 @@ class Machine:
         self.w, self.v = mean_w, mean_v
 
     def score(self, texts) -> np.ndarray:
-        z = [self.sums(*self.active(*slots(part, self.place)), len(part))[0] for _, part in in_parts(texts)]
+        z = [self.sums(*self.active(*slots(part, self.place)), len(part))[0] for _, part in in_parts(texts, SCORE_CHARS)]
         return 1 / (1 + np.exp(-np.clip(np.concatenate([np.empty(0), *z]) + self.prior, -30, 30)))
 
 

@@ -15,7 +15,7 @@ import numpy as np
 
 BASE = np.uint64(0x9E3779B97F4A7C13)          # odd, 3 modulo 8
 WINDOW_BASE = np.uint64(0xD1342543DE82EF9B)   # odd, 3 modulo 8
-BLOCK = 1 << 20                               # bytes hashed at once
+BLOCK = 1 << 16                               # bytes, and words of windows, hashed at once
 #: Byte tables: A-Z to a-z; that, and every other ASCII byte but letters (and digits) to a space.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in LOWER)
@@ -53,19 +53,22 @@ def _table(seed: int) -> np.ndarray:
 
 
 class _Powers:
-    """Powers of an odd base and of its inverse modulo 2**64, grown on demand."""
+    """Powers of an odd base and of its inverse modulo 2**64, grown on demand; a worker keeps the first 2 * BLOCK."""
 
     def __init__(self, base: np.uint64):
         self.base, self.inverse = base, np.uint64(pow(int(base), -1, 1 << 64))
         self.up = self.down = np.ones(1, np.uint64)
 
     def to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            n = max(n, 2 * len(self.up))
-            up, down = np.full(n, self.base), np.full(n, self.inverse)
-            up[0] = down[0] = 1
-            self.up, self.down = np.cumprod(up), np.cumprod(down)
-        return self.up, self.down
+        if len(self.up) >= n:
+            return self.up, self.down
+        n = max(n, min(2 * len(self.up), 2 * BLOCK))
+        up, down = np.full(n, self.base), np.full(n, self.inverse)
+        up[0] = down[0] = 1
+        up, down = np.cumprod(up, out=up), np.cumprod(down, out=down)
+        if n <= 2 * BLOCK:
+            self.up, self.down = up, down
+        return up, down
 
 
 _BYTES, _WORDS = _Powers(BASE), _Powers(WINDOW_BASE)
@@ -78,13 +81,13 @@ def _blocks(raw: np.ndarray):
     in one piece)."""
     at, n = 0, len(raw)
     while at < n:
-        end = min(n, at + BLOCK)
+        seen, end = at, min(n, at + BLOCK)
         while end < n:
-            cut = np.flatnonzero(_SEPARATOR[raw[at:end]])
+            cut = np.flatnonzero(_SEPARATOR[raw[seen:end]])
             if len(cut):
-                end = at + int(cut[-1]) + 1
+                end = seen + int(cut[-1]) + 1
                 break
-            end = min(n, end + BLOCK)
+            seen, end = end, min(n, end + BLOCK)
         yield at, raw[at:end]
         at = end
 
@@ -139,20 +142,31 @@ class Batch:
         With ``short``, a text of 1 to size - 1 words gives its whole sequence as one window."""
         n = self.n_words
         doc = np.repeat(np.arange(len(n)), n)
-        up, down = _WORDS.to(len(self.hash) + 1)
-        total = np.zeros(len(self.hash) + 1, np.uint64)
-        np.cumsum(self.hash * up[:len(self.hash)], out=total[1:])
-        at = np.arange(len(self.hash))
-        at = at[at + size <= self.first[1:][doc]]
+        at = np.flatnonzero(np.arange(size, len(self.hash) + size) <= self.first[1:][doc])
         owner = doc[at]
-        h = mix((total[at + size] - total[at]) * down[at])
+        h = self._sums(at, at + size)
         if short:
             few = np.flatnonzero((n > 0) & (n < size))
             a, b = self.first[few], self.first[few + 1]
-            whole = mix(mix((total[b] - total[a]) * down[a]) + (b - a).astype(np.uint64))
+            whole = mix(self._sums(a, b) + (b - a).astype(np.uint64))
             at, owner, h = (np.concatenate(x) for x in ((at, a), (owner, few), (h, whole)))
         return h, at, owner
 
+    def _sums(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of the words from ``start`` (ascending) to ``end``, of those that start in BLOCK words at a time."""
+        out = np.empty(len(start), np.uint64)
+        bounds = np.searchsorted(start, np.arange(0, len(self.hash) + BLOCK, BLOCK))
+        for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
+            if a == b:
+                continue
+            words = self.hash[i * BLOCK:int(end[a:b].max())]
+            up, down = _WORDS.to(len(words) + 1)
+            total = np.zeros(len(words) + 1, np.uint64)
+            np.cumsum(words * up[:len(words)], out=total[1:])
+            one, two = start[a:b] - i * BLOCK, end[a:b] - i * BLOCK
+            out[a:b] = mix((total[two] - total[one]) * down[one])
+        return out
+
 
 def in_parts(texts, size: int = 1 << 20):
     """Consecutive texts of about ``size`` characters together (one longer text is a part of its
