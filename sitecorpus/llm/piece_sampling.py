@@ -38,7 +38,7 @@ SEED = 9
 KEEP_EDGES = 1_000_000   # of the lattices that a worker keeps, while it works on a partition
 WINDOW = 256             # places of a path where it is left that are looked at first
 KEEP_LENGTH = 64         # characters of a segment it keeps
-BATCH_CHARS = 400_000  # text that is sampled at once, about
+BATCH_CHARS = 200_000  # text that is sampled at once, about
 DECODE_ROWS = 64       # rows that are decoded at once
 NEAR_BITS = 1 << 24    # of the table of characters that follow each other in a piece, at most
 SAMPLE = "struct<ids:array<int>,log_p:double,perturbed:double,inclusion:double>"
