@@ -147,3 +147,83 @@ def test_stream_outcomes_equal_batch_in_any_order(spark, tmp_path):
         assert sorted(map(str, now.select(cols).collect())) == sorted(map(str, batch.select(cols).collect()))
     held = state_rows(spark, state, "attempts").select(F.size("attempts").alias("n")).collect()
     assert place and max(r.n for r in held) <= 6  # three of each kind, however many arrived
+
+
+def _pages_of_stream(monkeypatch, files):
+    """The pages that ``stream_corpus`` hands to the states, over files in batch."""
+    from sitecorpus.streaming import live
+
+    handed = []
+    monkeypatch.setattr(live, "title_groups", handed.append)
+    monkeypatch.setattr(live, "drain", lambda *_: None)
+    live.stream_corpus(files, "unused")
+    return handed[0].select("filename", "title_key", "path", "run")
+
+
+def test_corpus_stream_parses_each_file_once(spark, tmp_path, monkeypatch):
+    """Leaving out unreadable files costs no second parse and no decoding for each mention of the text."""
+    folder = tmp_path / "run=3"
+    folder.mkdir()
+    files = {"a.md": '---\ntitle: "A"\n---\n\nx', "odd.md": "---\ntitle: [1, 2]\nother: yes\n---\n\nx", "none.md": "no block",
+             "null.md": "---\ntitle:\n---\n\nx", "bad.md": "---\ntitle: [\n---\n\nx", "list.md": "---\n- a\n---\n\nx",
+             "empty.md": "---\n# only a comment\n---\n\nx"}
+    for name, text in files.items():
+        (folder / name).write_text(text)
+    (folder / "bytes.md").write_bytes(b"---\ntitle: \xff\n---\n")
+    pages = _pages_of_stream(monkeypatch, read_markdown_corpus(spark, f"{tmp_path}/run=*"))
+    got = {r.filename: (r.title_key, r.run, r.path.endswith(f"/run=3/{r.filename}")) for r in pages.collect()}
+    assert got == {"a.md": ("A", 3, True), "odd.md": ("[1, 2]", 3, True), "none.md": ("none", 3, True), "null.md": (None, 3, True)}
+    plan = pages._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("StringDecode") == 1
+
+
+def test_corpus_stream_states_take_rows(spark, tmp_path):
+    """No data frames for each name and title, and a handful of tasks look a micro-batch's files up."""
+    from sitecorpus.streaming import keyed
+
+    _save(tmp_path, 0, [(f"p{i}.md", f"T{i % 50}") for i in range(80)])
+    state = os.path.join(shared_path(spark, "corpus-stream-test", uuid.uuid4().hex), "_checkpoint")
+    limit, before = keyed.LISTING_TASKS, spark.conf.get(keyed.LISTING_TASKS)
+    seen = []
+    with keyed.few_listing_tasks(spark):
+        seen.append(int(spark.conf.get(limit)))
+    assert seen == [4 * spark.sparkContext.defaultParallelism] and spark.conf.get(limit) == before
+    groups = keyed.title_groups(read_markdown_stream(spark, f"{tmp_path}/*").selectExpr("filename", "stem AS title_key", "path", "0 AS run"))
+    plan = groups._jdf.queryExecution().analyzed().toString()
+    assert plan.count("TransformWithStateInPySpark") == 2 and "InPandas" not in plan
+    stream_corpus(read_markdown_stream(spark, f"{tmp_path}/*", files_per_batch=50), state)
+    assert sorted(r.filename for r in corpus_index(spark, state).collect()) == sorted(f"p{i}.md" for i in range(30, 50))
+
+
+def test_states_of_rows_are_those_of_frames():
+    from sitecorpus.streaming.keyed import EVENT_COLUMNS, PageNameRows, PageNames, TitleGroupRows, TitleGroups
+
+    class Value:
+        v = None
+
+        def get(self):
+            return self.v
+
+        def update(self, v):
+            self.v = v
+
+    def processors(*kinds):
+        made = [k() for k in kinds]
+        for p in made:
+            p.state = Value()
+        return made
+
+    rng, row = random.Random(5), collections.namedtuple("row", EVENT_COLUMNS)
+    for _ in range(100):
+        names, titles = processors(PageNames, PageNameRows), processors(TitleGroups, TitleGroupRows)
+        for run in range(3):
+            pages = [row("", rng.choice(["T", "U", None]), "a.md", f"{run}/a.md", run, False) for _ in range(rng.randrange(1, 3))]
+            frame = pd.DataFrame(pages)
+            (events,) = names[0].handleInputRows(("a.md",), iter([frame]), None)
+            assert [r.asDict() for r in names[1].handleInputRows(("a.md",), iter(pages), None)] == events.to_dict("records")
+            assert names[0].state.v == names[1].state.v
+            some = [row(*e) for e in events.itertuples(index=False, name=None)]
+            some += [row("tT", "T", f"{i}.md", f"{run}/{i}.md", run, False) for i in range(rng.randrange(3))]
+            (out,) = titles[0].handleInputRows(("tT",), iter([pd.DataFrame(some)]), None)
+            assert [r.asDict() for r in titles[1].handleInputRows(("tT",), iter(some), None)] == out.to_dict("records")
+            assert titles[0].state.v == titles[1].state.v
