@@ -227,3 +227,11 @@ def test_states_of_rows_are_those_of_frames():
             (out,) = titles[0].handleInputRows(("tT",), iter([pd.DataFrame(some)]), None)
             assert [r.asDict() for r in titles[1].handleInputRows(("tT",), iter(some), None)] == out.to_dict("records")
             assert titles[0].state.v == titles[1].state.v
+
+
+def test_listed_files_are_not_kept_by_the_driver(spark, tmp_path):
+    _save(tmp_path, 0, [("a.md", "T")])
+    index = read_markdown_corpus(spark, f"{tmp_path}/*")._jdf.queryExecution().analyzed().collectLeaves().head().relation().location()
+    (held,) = [f for f in index.getClass().getDeclaredFields() if f.getName().endswith("fileStatusCache")]
+    held.setAccessible(True)
+    assert held.get(index).getClass().getSimpleName() == "NoopCache$"
